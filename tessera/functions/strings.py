@@ -132,7 +132,8 @@ def engine_type(prefix_col, text_col, defaults: dict | None = None) -> Column:
     defaults = ENGINE_DEFAULTS if defaults is None else defaults
     p = F.coalesce(as_col(prefix_col), F.lit(ENGINE_NULL_PREFIX))
     pattern = F.concat(F.lit(r"\s("), p, F.lit(r"\w+)"))
-    found = F.nullif(F.regexp_extract(as_col(text_col), pattern, 1), F.lit(""))
+    found = F.nullif(F.call_function("regexp_extract", as_col(text_col), pattern, F.lit(1)),
+                     F.lit(""))
     default = F.lit(None).cast("string")
     if defaults:
         m = F.create_map(*[x for kv in defaults.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
@@ -166,7 +167,8 @@ def split_keywords(c) -> Column:
 def job_id(c) -> Column:
     """Step-job id: last two ``:`` parts of an execution id joined by ``-``."""
     parts = F.split(as_col(c), ":")
-    return F.array_join(F.slice(parts, -2, 2), "-")
+    start = F.greatest(F.size(parts) - 1, F.lit(1))
+    return F.array_join(F.slice(parts, start, F.lit(2)), "-")
 
 
 def join_text(*cols) -> Column:
