@@ -90,16 +90,76 @@ dmdl AS (
 
 
 def vendor_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
-    """Vendor hierarchy: every supplier, parent = suppkey % 10 (the ten root
-    suppliers have themselves as parent)."""
+    """Vendor hierarchy: every supplier, parent = suppkey % 10, except every
+    7th supplier whose parent code has no row; every 11th supplier appears a
+    second time under an upper-case name (two names for one code)."""
     s = table(spark, sf, "supplier")
-    return s.select(F.col("s_suppkey").cast("string").alias("ctrr_code"),
-                    F.pmod(F.col("s_suppkey"), F.lit(10)).cast("string").alias("ctrr_parent_vend_code"),
-                    F.col("s_name").alias("ctrr_name"))
+    parent = F.when(F.col("s_suppkey") % 7 == 0, F.lit("none")) \
+        .otherwise(F.pmod(F.col("s_suppkey"), F.lit(10)).cast("string"))
+    base = s.select(F.col("s_suppkey").cast("string").alias("ctrr_code"),
+                    parent.alias("ctrr_parent_vend_code"), F.col("s_name").alias("ctrr_name"))
+    twin = s.filter(F.col("s_suppkey") % 11 == 0).select(
+        F.col("s_suppkey").cast("string").alias("ctrr_code"),
+        parent.alias("ctrr_parent_vend_code"), F.upper(F.col("s_name")).alias("ctrr_name"))
+    return base.unionByName(twin)
 
 
 VENDOR_HIERARCHY_SQL = """
 ctrr AS (
-  SELECT CAST(s_suppkey AS VARCHAR) AS ctrr_code, CAST(s_suppkey % 10 AS VARCHAR) AS ctrr_parent_vend_code,
+  SELECT CAST(s_suppkey AS VARCHAR) AS ctrr_code,
+         CASE WHEN s_suppkey % 7 = 0 THEN 'none' ELSE CAST(s_suppkey % 10 AS VARCHAR) END AS ctrr_parent_vend_code,
          s_name AS ctrr_name
-  FROM supplier)"""
+  FROM supplier
+  UNION ALL
+  SELECT CAST(s_suppkey AS VARCHAR),
+         CASE WHEN s_suppkey % 7 = 0 THEN 'none' ELSE CAST(s_suppkey % 10 AS VARCHAR) END, upper(s_name)
+  FROM supplier WHERE s_suppkey % 11 = 0)"""
+
+
+def month_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """Month calendar over the months the orders span: label ``MON-YY``,
+    fiscal year, month bounds, and a second pair of bounds shifted back five
+    days (the calendar's other role)."""
+    o = table(spark, sf, "orders")
+    m = o.select(F.trunc(F.to_date("o_orderdate"), "month").alias("start_date")).distinct()
+    fy = F.year(F.add_months(F.col("start_date"), -3))
+    return m.select(
+        F.upper(F.date_format("start_date", "MMM-yy")).alias("month"),
+        F.concat(fy.cast("string"), F.lit("-"), (fy + 1).cast("string")).alias("fyear"),
+        "start_date", F.last_day("start_date").alias("end_date"),
+        F.date_sub("start_date", 5).alias("caln_start_date"),
+        F.date_sub(F.last_day("start_date"), 5).alias("caln_end_date"))
+
+
+MONTH_CALENDAR_SQL = """
+cal AS (
+  SELECT upper(strftime(start_date, '%b-%y')) AS month,
+         CAST(year(start_date - INTERVAL 3 MONTH) AS VARCHAR) || '-'
+           || CAST(year(start_date - INTERVAL 3 MONTH) + 1 AS VARCHAR) AS fyear,
+         start_date, last_day(start_date) AS end_date,
+         CAST(start_date - INTERVAL 5 DAY AS DATE) AS caln_start_date,
+         CAST(last_day(start_date) - INTERVAL 5 DAY AS DATE) AS caln_end_date
+  FROM (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS start_date FROM orders))"""
+
+
+def quantity_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """Bands of width 10 over the quantities present, plus the -1 band that
+    catches null quantities."""
+    li = table(spark, sf, "lineitem")
+    b = li.select(F.floor(F.col("l_quantity") / 10).cast("int").alias("b")) \
+        .filter(F.col("b").isNotNull()).distinct()
+    bands = b.select(F.concat(F.lit("Q"), (F.col("b") * 10).cast("string"), F.lit("-"),
+                              (F.col("b") * 10 + 9).cast("string")).alias("mile_desc"),
+                     (F.col("b") * 10).alias("mile_start_km"),
+                     (F.col("b") * 10 + 9).alias("mile_end_km"))
+    unknown = spark.range(1).select(F.lit("UNKNOWN").alias("mile_desc"),
+                                    F.lit(-1).alias("mile_start_km"), F.lit(-1).alias("mile_end_km"))
+    return bands.unionByName(unknown)
+
+
+QUANTITY_BANDS_SQL = """
+mile AS (
+  SELECT 'Q' || CAST(b * 10 AS VARCHAR) || '-' || CAST(b * 10 + 9 AS VARCHAR) AS mile_desc,
+         b * 10 AS mile_start_km, b * 10 + 9 AS mile_end_km
+  FROM (SELECT DISTINCT CAST(floor(l_quantity / 10) AS INTEGER) AS b FROM lineitem WHERE l_quantity IS NOT NULL)
+  UNION ALL SELECT 'UNKNOWN', -1, -1)"""
