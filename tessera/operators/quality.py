@@ -293,10 +293,18 @@ def enrich_outcomes(outcomes: DataFrame, meta: DataFrame, job_frequency: str,
 
 def gate(outcomes: DataFrame, rule_name: str = OVERALL_RULE) -> DataFrame:
     """Latest overall status per source (by audit time); the gate fails when
-    any source's latest status is Failed.  One row: failed source count and
-    the gate result."""
-    ov = outcomes.filter(F.col("rule") == rule_name).select("source", "outcome", "audittimestamp")
-    latest = W.latest_per(ov, ["source"], "audittimestamp")
-    return latest.agg(F.count_if(F.col("outcome") == "Failed").cast("bigint").alias("failed_sources"),
-                      F.count_distinct("source").cast("bigint").alias("sources")) \
+    any source's latest status is Failed.  One row: failed source count,
+    source count and the gate result.
+
+    One aggregation, no self-join: per source ``max_by(failed, (ts, failed))``
+    is 1 when any row at the latest audit time failed (ties as ``rank() = 1``).
+    """
+    ov = outcomes.filter(F.col("rule") == rule_name) \
+        .select("source", F.when(F.col("outcome") == "Failed", 1).otherwise(0).alias("_f"),
+                "audittimestamp")
+    per = ov.groupBy("source").agg(
+        F.max_by(F.col("_f"), F.struct(F.col("audittimestamp"), F.col("_f"))).alias("_lf"))
+    return per.agg(F.sum("_lf").cast("bigint").alias("failed_sources"),
+                   F.count(F.lit(1)).cast("bigint").alias("sources")) \
+        .withColumn("failed_sources", F.coalesce(F.col("failed_sources"), F.lit(0).cast("bigint"))) \
         .withColumn("gate", F.when(F.col("failed_sources") > 0, "Failed").otherwise("Passed"))
