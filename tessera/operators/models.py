@@ -1,11 +1,34 @@
-"""Feature preparation, training, scoring, evaluation and monitoring."""
+"""Feature preparation, per-key training, scoring, evaluation and monitoring.
+
+Per-key models are fitted from **sufficient statistics**: the normal
+equations ``X'X b = X'y`` of each (pk, mapping) group are sums, computed by
+one ``groupBy().agg()`` with map-side partial aggregation, so a key holding
+a third of all rows is reduced before the shuffle.  Only the small
+(features+1)^2 systems — one row per key — reach Python, where numpy
+solves them with a pseudo-inverse (the minimum-norm least-squares answer,
+as ``lstsq`` on the raw rows gives).  Scoring is a join of rows with the
+coefficient table and a dot product in SQL expressions.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tessera.functions import strings as S
 from tessera.functions import values as V
+from tessera.operators.joins import bounded_broadcast
+
+# Model-quality thresholds as the source ships them
+# (usecase, metric_name, unit, base_threshold, critical_threshold, expected_value).
+THRESHOLDS = [
+    ("DCP", "Intersection", "Percentage", 30.0, 20.0, ">=30"),
+    ("DCP", "R2", "Number", 0.75, 0.7, ">-0.75"),
+]
+MAX_CATEGORIES = 10_000
 
 
 def minmax(df: DataFrame, col: str, part=(), out: str | None = None) -> DataFrame:
@@ -24,3 +47,249 @@ def minmax(df: DataFrame, col: str, part=(), out: str | None = None) -> DataFram
         b = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi")).withColumn("_k", F.lit(1))
         j = df.withColumn("_k", F.lit(1)).join(F.broadcast(b), "_k", "left").drop("_k")
     return j.withColumn(out, V.minmax_expr(col, "_lo", "_hi")).drop("_lo", "_hi")
+
+
+# ------------------------------------------------------------------ E04 / E05
+
+def category_table(df: DataFrame, cols) -> DataFrame:
+    """(column, value) of every category seen (the training vocabulary)."""
+    parts = [df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+             .filter(F.col("value").isNotNull()).distinct() for c in cols]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def one_hot(df: DataFrame, cols, categories: DataFrame | None = None, keep=False) -> DataFrame:
+    """One-hot encode ``cols`` (originals dropped unless ``keep``), one
+    integer column ``<col>_<value>`` per category.
+
+    The category list is fixed by ``categories`` (from training) so scoring
+    builds the same columns; unseen values get all zeros.  The list is a
+    small distinct table; its size is checked before it is brought to the
+    driver to name the columns.
+    """
+    cats = categories if categories is not None else category_table(df, cols)
+    rows = cats.limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError("too many categories for one-hot columns")
+    by_col: dict[str, list[str]] = {}
+    for r in rows:
+        by_col.setdefault(r["column"], []).append(r["value"])
+    new = {}
+    for c in cols:
+        for v in sorted(by_col.get(c, [])):
+            new[feature_name(c, v)] = (F.col(c).cast("string") == F.lit(v)).cast("int")
+    out = df.withColumns(new) if new else df
+    return out if keep else out.drop(*cols)
+
+
+def feature_name(col: str, value: str) -> str:
+    return f"{col}_{value}"
+
+
+def with_keys(df: DataFrame, pk: str, mapping: str) -> DataFrame:
+    """Mapping column (constant ``default`` or a copy of a column) and the
+    model key = letters and digits of the primary key."""
+    m = F.lit("default") if mapping == "default" else F.col(mapping).cast("string")
+    return df.withColumn("mapping", m).withColumn("pk", S.alnum_key(F.col(pk).cast("string")))
+
+
+# ------------------------------------------------------------------ E06 / E07
+
+def manifest(df: DataFrame, keys, run_id: str, algorithms, data_root: str) -> DataFrame:
+    """One work row per (pk, mapping): rows, data path, algorithms, status."""
+    algos = F.array(*[F.lit(a) for a in algorithms])
+    path = F.concat(F.lit(data_root.rstrip("/") + "/"),
+                    F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.col(k)) for k in keys]))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        *keys, "n_rows", F.lit(run_id).alias("run_id"), path.alias("data_path"),
+        algos.alias("algorithms"), F.lit("Submitted").alias("status"))
+
+
+def split(df: DataFrame, id_cols, test_pct: int = 10, seed: int = 42, out: str = "is_test") -> DataFrame:
+    """Deterministic train/test split: ``pmod(xxhash64(seed, ids), 100) < test_pct``."""
+    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in id_cols]), F.lit(100))
+    return df.withColumn(out, h < test_pct)
+
+
+# ------------------------------------------------------------------ E08
+
+def normal_equations(df: DataFrame, keys, features, label: str) -> DataFrame:
+    """Per key: n and the sums of X'X (upper triangle, with intercept) and
+    X'y — one partial-aggregate pass."""
+    xs = [F.lit(1.0)] + [F.col(f).cast("double") for f in features]
+    y = F.col(label).cast("double")
+    p = len(xs)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i in range(p):
+        for j in range(i, p):
+            aggs.append(F.sum(xs[i] * xs[j]).alias(f"xx_{i}_{j}"))
+        aggs.append(F.sum(xs[i] * y).alias(f"xy_{i}"))
+    aggs.append(F.sum(y * y).alias("yy"))
+    aggs.append(F.sum(y).alias("ysum"))
+    return df.filter(y.isNotNull()).groupBy(*keys).agg(*aggs)
+
+
+def _solve_frame(features, keys):
+    p = len(features) + 1
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, r in pdf.iterrows():
+            a = np.zeros((p, p))
+            b = np.zeros(p)
+            for i in range(p):
+                for j in range(i, p):
+                    a[i, j] = a[j, i] = r[f"xx_{i}_{j}"]
+                b[i] = r[f"xy_{i}"]
+            coef = np.linalg.pinv(a) @ b
+            n = float(r["n"])
+            ybar = float(r["ysum"]) / n if n else float("nan")
+            sse = float(r["yy"]) - 2 * float(coef @ b) + float(coef @ a @ coef)
+            sst = float(r["yy"]) - n * ybar * ybar
+            r2 = 1.0 - sse / sst if sst > 0 else float("nan")
+            out.append([r[k] for k in keys] + [float(coef[0]), [float(c) for c in coef[1:]], r2, int(n)])
+        return pd.DataFrame(out, columns=list(keys) + ["intercept", "coef", "r2", "n_train"])
+    return solve
+
+
+def fit_linear(df: DataFrame, keys, features, label: str, algo: str = "lr") -> DataFrame:
+    """Per-key ordinary least squares: (keys, algoname, intercept, coef[],
+    r2, n_train).  Sums by partial aggregation; solve per key in numpy over
+    the (one row per key) statistics table."""
+    ne = normal_equations(df, keys, features, label)
+    key_fields = [f for f in ne.schema.fields if f.name in keys]
+    schema = T.StructType(key_fields + [
+        T.StructField("intercept", T.DoubleType()),
+        T.StructField("coef", T.ArrayType(T.DoubleType())),
+        T.StructField("r2", T.DoubleType()),
+        T.StructField("n_train", T.LongType())])
+    solve = _solve_frame(list(features), list(keys))
+    fitted = ne.mapInPandas(lambda it: (solve(pdf) for pdf in it), schema)
+    return fitted.withColumn("algoname", F.lit(algo))
+
+
+def fit_mean(df: DataFrame, keys, label: str, algo: str = "mean") -> DataFrame:
+    """Baseline per-key model: the mean label (intercept only)."""
+    return df.groupBy(*keys).agg(F.avg(label).alias("intercept"), F.count(F.lit(1)).alias("n_train")) \
+        .withColumn("coef", F.array().cast("array<double>")).withColumn("r2", F.lit(None).cast("double")) \
+        .withColumn("algoname", F.lit(algo))
+
+
+def predict(df: DataFrame, models: DataFrame, keys, features, out: str = "pred") -> DataFrame:
+    """Score rows with the per-key coefficient table: intercept + coef . x
+    (a keyed join; the dot product is a SQL expression)."""
+    xs = F.array(*[F.col(f).cast("double") for f in features]) if features else F.array().cast("array<double>")
+    j = df.join(models.select(*keys, "algoname", "intercept", "coef"), list(keys), "inner")
+    dot = F.aggregate(F.zip_with(F.col("coef"), xs, lambda c, x: F.coalesce(c * x, F.lit(0.0))),
+                      F.lit(0.0), lambda s, v: s + v)
+    return j.withColumn(out, F.col("intercept") + dot).drop("intercept", "coef")
+
+
+def fit_trees(df: DataFrame, keys, features, label: str, algo: str = "gbt", max_iter: int = 20,
+              seed: int = 42):
+    """Boosted trees on the pooled rows with the key as an indexed feature
+    (``pyspark.ml``); returns (model, algoname)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+    idx = [StringIndexer(inputCol=k, outputCol=f"_{k}_ix", handleInvalid="keep") for k in keys]
+    vec = VectorAssembler(inputCols=[f"_{k}_ix" for k in keys] + list(features), outputCol="_features",
+                          handleInvalid="keep")
+    gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="pred",
+                       maxIter=max_iter, seed=seed, maxBins=256)
+    return Pipeline(stages=idx + [vec, gbt]).fit(df), algo
+
+
+# ------------------------------------------------------------------ E01 / E02 / E03
+
+def topk_overlap(pred: DataFrame, keys, part, pred_col: str, actual_col: str, n: int,
+                 actual: DataFrame | None = None, actual_keys=None, actual_part=None) -> DataFrame:
+    """Intersection metric: per ``part`` (e.g. algorithm) the number of keys
+    in both the top-``n`` by prediction and the top-``n`` by actual value
+    (``rank() <= n``, ties kept), and that count as a percent of ``n``.
+
+    ``actual`` defaults to the prediction rows themselves (held-out rows
+    carry both values); with a separate ground-truth table its top-``n`` is
+    taken per ``actual_part`` and joined on the keys only."""
+    def top(df, order, p, ks):
+        w = Window.partitionBy(*p).orderBy(F.col(order).desc()) if p else \
+            Window.orderBy(F.col(order).desc())
+        return df.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") <= n).select(*ks, *p).distinct()
+    tp = top(pred, pred_col, list(part), list(keys))
+    if actual is None:
+        ta = top(pred, actual_col, list(part), list(keys))
+        j = tp.join(ta, list(keys) + list(part))
+    else:
+        ak = list(actual_keys or keys)
+        ta = top(actual, actual_col, list(actual_part or []), ak)
+        j = tp.join(ta.select(*[F.col(a).alias(k) for a, k in zip(ak, keys)]), list(keys))
+    return j.groupBy(*part).agg(F.count(F.lit(1)).cast("bigint").alias("metric_value")) \
+        .withColumn("metric_name", F.lit("Intersection")) \
+        .withColumn("metric_percent", F.round(F.col("metric_value") * 100.0 / n, 4))
+
+
+def winner(metrics: DataFrame, metric: str = "metric_value", name: str = "algoname") -> DataFrame:
+    from tessera.operators.windows import winner as _w
+    return _w(metrics, metric, name).select(F.col(metric).cast("string").alias("winningalgometric"),
+                                            F.col(name).alias("winningalgo"))
+
+
+def thresholds(spark) -> DataFrame:
+    return spark.createDataFrame(THRESHOLDS, "usecase string, metric_name string, unit string, "
+                                             "base_threshold double, critical_threshold double, "
+                                             "expected_value string")
+
+
+def traffic_light(metrics: DataFrame, thresholds_df: DataFrame, value: str = "metric_value") -> DataFrame:
+    """Green at or above base, Amber at or above critical, else Red."""
+    j = metrics.join(bounded_broadcast(thresholds_df, 100_000), "metric_name")
+    v = F.col(value)
+    return j.withColumn("status", F.when(v >= F.col("base_threshold"), "Green")
+                        .when(v >= F.col("critical_threshold"), "Amber")
+                        .when(v < F.col("critical_threshold"), "Red"))
+
+
+# ------------------------------------------------------------------ E12 / E13 / E14
+
+def status_log(models: DataFrame, keys, run_id: str) -> DataFrame:
+    """One status row per (key, algorithm): Succeeded when a model exists."""
+    ok = F.col("intercept").isNotNull() & ~F.isnan(F.col("intercept"))
+    return models.select(*keys, "algoname", F.lit(run_id).alias("run_id"),
+                         F.when(ok, "Succeeded").otherwise("Failed").alias("status"))
+
+
+def check_mapping(mapping: DataFrame, required_training, required_inference) -> DataFrame:
+    """Config integrity: exactly one mapping row, required algorithms are a
+    subset of the listed ones, mapping columns are ``default`` or a column."""
+    req_t = F.array(*[F.lit(a) for a in required_training])
+    req_i = F.array(*[F.lit(a) for a in required_inference])
+    return mapping.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and(F.size(F.array_except(req_t, F.col("training_algorithms"))) == 0).alias("training_ok"),
+        F.bool_and(F.size(F.array_except(req_i, F.col("inference_algorithms"))) == 0).alias("inference_ok"),
+    ).withColumn("valid", (F.col("n_rows") == 1) & F.col("training_ok") & F.col("inference_ok"))
+
+
+def run_record(metrics: DataFrame, win: DataFrame, run_id: str, usecase: str, stages: dict,
+               status: DataFrame | None = None) -> DataFrame:
+    """One nested run-lineage record: algorithm scores as an array of
+    structs, stage epochs as structs, job totals."""
+    scores = metrics.agg(F.array_sort(F.collect_list(F.struct(
+        F.col("algoname").alias("algo_name"), F.col("metric_value").cast("double").alias("algo_score"))))
+        .alias("algo_scores"))
+    rec = scores.withColumn("_one", F.lit(1)).join(
+        F.broadcast(win.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    for stage, (start, end) in stages.items():
+        rec = rec.withColumn(stage, F.struct(F.lit(int(start)).cast("bigint").alias("start_time"),
+                                             F.lit(int(end)).cast("bigint").alias("end_time")))
+    if status is not None:
+        tot = status.agg(F.count(F.lit(1)).alias("total_jobs"),
+                         F.count_if(F.col("status") == "Failed").alias("failed_jobs")).withColumn("_one", F.lit(1))
+        rec = rec.withColumn("_one", F.lit(1)).join(F.broadcast(tot), "_one").drop("_one")
+    return rec.select(F.lit(run_id).alias("stepjobid"), F.lit(usecase).alias("usecase_name"),
+                      F.lit("Completed").alias("status"), F.col("winningalgo").alias("winner_algo"),
+                      "algo_scores", *stages.keys(),
+                      *([c for c in ("total_jobs", "failed_jobs")] if status is not None else []))

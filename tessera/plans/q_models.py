@@ -1 +1,276 @@
-"""Registered queries."""
+"""Registered model-operations queries (E*, Z18-Z20) with DuckDB oracle SQL
+where the computation has an SQL form."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions import strings as S
+from tessera.operators import models as MO
+from tessera.plans import analogues as AN
+from tessera.plans.registry import query
+from tessera.session import table
+
+TOP_N = 50
+CATEGORICAL = ["p_type", "l_returnflag"]
+
+
+def features(spark, sf):
+    """Feature rows: one per line item, with part name, region, categorical
+    columns, quantity and a probability-like label."""
+    li = table(spark, sf, "lineitem")
+    p = table(spark, sf, "part")
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    j = li.join(p, li["l_partkey"] == p["p_partkey"]).join(o, li["l_orderkey"] == o["o_orderkey"]) \
+        .join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"]) \
+        .join(r, n["n_regionkey"] == r["r_regionkey"])
+    return j.select("l_orderkey", "l_linenumber", F.col("p_name").alias("part_name"),
+                    F.col("r_name").alias("region"), "p_type", "l_returnflag", "o_orderpriority",
+                    F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"),
+                    (F.col("l_discount") * 10).alias("part_probability"),
+                    (((F.col("l_orderkey") + F.col("l_linenumber")) % 10) == 0).alias("is_test"))
+
+
+FEATURES_SQL = """
+feat AS (
+  SELECT l_orderkey, l_linenumber, p_name AS part_name, r_name AS region, p_type, l_returnflag, o_orderpriority,
+         l_quantity AS qty, l_extendedprice AS price, l_discount * 10 AS part_probability,
+         (l_orderkey + l_linenumber) % 10 = 0 AS is_test
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+       JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+       JOIN region ON n_regionkey = r_regionkey)"""
+
+_P_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+_FLAGS = ["A", "N", "R"]
+
+
+@query("E04_E05_M03_feature_prep", sql=f"""
+WITH {FEATURES_SQL.strip()},
+b AS (SELECT min(qty) AS lo, max(qty) AS hi FROM feat)
+SELECT regexp_replace(part_name, '[^\\p{{L}}\\p{{N}}]', '', 'g') AS pk, 'default' AS mapping, l_orderkey, l_linenumber,
+       {", ".join(f"CAST(p_type = '{v}' AS INTEGER) AS p_type_{v}" for v in _P_TYPES)},
+       {", ".join(f"CAST(l_returnflag = '{v}' AS INTEGER) AS l_returnflag_{v}" for v in _FLAGS)},
+       round(CASE WHEN hi = lo THEN 0.0 ELSE (qty - lo) / (hi - lo) END, 6) AS qty_scaled
+FROM feat, b""")
+def e04_e05(spark, sf):
+    f = features(spark, sf)
+    f = MO.with_keys(f, "part_name", "default")
+    f = MO.one_hot(f, CATEGORICAL)
+    f = MO.minmax(f, "qty", out="qty_scaled").withColumn("qty_scaled", F.round("qty_scaled", 6))
+    keep = ["pk", "mapping", "l_orderkey", "l_linenumber", "qty_scaled"] + \
+        [c for c in f.columns if c.startswith("p_type_") or c.startswith("l_returnflag_")]
+    return f.select(*keep)
+
+
+@query("E06_A08_manifest", sql=f"""
+WITH {FEATURES_SQL.strip()}
+SELECT regexp_replace(part_name, '[^\\p{{L}}\\p{{N}}]', '', 'g') AS pk, region AS mapping, CAST(count(*) AS BIGINT) AS n_rows,
+       'run-1' AS run_id,
+       '/data/features/pk=' || regexp_replace(part_name, '[^\\p{{L}}\\p{{N}}]', '', 'g') || '/mapping=' || region AS data_path,
+       'lr|mean' AS algorithms, 'Submitted' AS status
+FROM feat GROUP BY ALL""")
+def e06(spark, sf):
+    f = MO.with_keys(features(spark, sf), "part_name", "region")
+    m = MO.manifest(f, ["pk", "mapping"], "run-1", ["lr", "mean"], "/data/features")
+    return m.withColumn("algorithms", F.array_join("algorithms", "|"))
+
+
+@query("E07_split")
+def e07(spark, sf):
+    """Hash split of every row (no SQL twin: xxhash64 is Spark's)."""
+    f = features(spark, sf).drop("is_test")
+    return MO.split(f, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "is_test")
+
+
+@query("E08_fit_linear", sql="""
+SELECT p_name AS part_name, round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept,
+       round(regr_slope(l_extendedprice, l_quantity), 3) AS slope, CAST(count(*) AS BIGINT) AS n_train
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name""")
+def e08(spark, sf):
+    """Per-key least squares from partial-aggregate normal equations (one
+    feature here, so the SQL twin is ``regr_slope``/``regr_intercept``)."""
+    f = features(spark, sf)
+    m = MO.fit_linear(f, ["part_name"], ["qty"], "price")
+    return m.select("part_name", F.round("intercept", 3).alias("intercept"),
+                    F.round(F.element_at("coef", 1), 3).alias("slope"), "n_train")
+
+
+def _single_feature_models(f):
+    """'lr' (one feature, built-in regr_* aggregates) and 'mean' per key,
+    fitted on the training rows."""
+    tr = f.filter(~F.col("is_test"))
+    lr = tr.groupBy("pk", "mapping").agg(
+        F.regr_intercept("part_probability", "qty").alias("intercept"),
+        F.regr_slope("part_probability", "qty").alias("slope")) \
+        .select("pk", "mapping", F.lit("lr").alias("algoname"), "intercept",
+                F.array(F.coalesce("slope", F.lit(0.0))).alias("coef"))
+    mean = MO.fit_mean(tr, ["pk", "mapping"], "part_probability") \
+        .select("pk", "mapping", "algoname", "intercept", F.array(F.lit(0.0)).alias("coef"))
+    return lr.unionByName(mean)
+
+
+def held_out_predictions(spark, sf):
+    f = MO.with_keys(features(spark, sf), "part_name", "region")
+    models = _single_feature_models(f)
+    te = f.filter(F.col("is_test"))
+    pred = MO.predict(te, models, ["pk", "mapping"], ["qty"])
+    return pred.withColumn("pred", F.round("pred", 6))
+
+
+_PRED_SQL = f"""
+{FEATURES_SQL.strip()},
+f AS (SELECT *, regexp_replace(part_name, '[^\\p{{L}}\\p{{N}}]', '', 'g') AS pk, region AS mapping FROM feat),
+lr AS (SELECT pk, mapping, 'lr' AS algoname, regr_intercept(part_probability, qty) AS intercept,
+              coalesce(regr_slope(part_probability, qty), 0.0) AS slope FROM f WHERE NOT is_test GROUP BY pk, mapping),
+mn AS (SELECT pk, mapping, 'mean' AS algoname, avg(part_probability) AS intercept, 0.0 AS slope
+       FROM f WHERE NOT is_test GROUP BY pk, mapping),
+models AS (SELECT * FROM lr UNION ALL SELECT * FROM mn),
+pred AS (SELECT f.l_orderkey, f.l_linenumber, f.pk, f.mapping, m.algoname, f.part_probability,
+                round(m.intercept + coalesce(m.slope * f.qty, 0.0), 6) AS pred
+         FROM f JOIN models m ON f.pk = m.pk AND f.mapping = m.mapping WHERE f.is_test)"""
+
+
+@query("E10_E11_predict", sql=f"""
+WITH {_PRED_SQL.strip()}
+SELECT l_orderkey, l_linenumber, pk, mapping, algoname, pred FROM pred""")
+def e10_e11(spark, sf):
+    return held_out_predictions(spark, sf).select("l_orderkey", "l_linenumber", "pk", "mapping", "algoname", "pred")
+
+
+_OVERLAP_SQL = f"""
+{_PRED_SQL.strip()},
+tp AS (SELECT DISTINCT pk, mapping, algoname FROM (
+         SELECT *, rank() OVER (PARTITION BY algoname ORDER BY pred DESC) AS rk FROM pred) WHERE rk <= {TOP_N}),
+ta AS (SELECT DISTINCT pk, mapping, algoname FROM (
+         SELECT *, rank() OVER (PARTITION BY algoname ORDER BY part_probability DESC) AS rk FROM pred) WHERE rk <= {TOP_N}),
+ov AS (SELECT algoname, CAST(count(*) AS BIGINT) AS metric_value, 'Intersection' AS metric_name,
+              round(count(*) * 100.0 / {TOP_N}, 4) AS metric_percent
+       FROM tp JOIN ta USING (pk, mapping, algoname) GROUP BY algoname)"""
+
+
+def overlap_metrics(spark, sf):
+    pred = held_out_predictions(spark, sf)
+    return MO.topk_overlap(pred, ["pk", "mapping"], ["algoname"], "pred", "part_probability", TOP_N)
+
+
+@query("E01_J20_topk_overlap", sql=f"""
+WITH {_OVERLAP_SQL.strip()}
+SELECT algoname, metric_value, metric_name, metric_percent FROM ov""")
+def e01(spark, sf):
+    return overlap_metrics(spark, sf).select("algoname", "metric_value", "metric_name", "metric_percent")
+
+
+@query("E02_winner", sql=f"""
+WITH {_OVERLAP_SQL.strip()}
+SELECT CAST(metric_value AS VARCHAR) AS winningalgometric, algoname AS winningalgo FROM ov
+ORDER BY metric_value DESC, algoname LIMIT 1""")
+def e02(spark, sf):
+    return MO.winner(overlap_metrics(spark, sf))
+
+
+_THR_SQL = ", ".join(f"('{u}', '{m}', '{un}', {b}, {c}, '{e}')" for u, m, un, b, c, e in MO.THRESHOLDS)
+
+
+@query("E03_Z20_traffic_light", sql=f"""
+WITH {_OVERLAP_SQL.strip()},
+thr AS (SELECT * FROM (VALUES {_THR_SQL}) t(usecase, metric_name, unit, base_threshold, critical_threshold, expected_value))
+SELECT ov.metric_name, unit, expected_value, metric_percent AS actual_value, algoname, base_threshold, critical_threshold,
+       CASE WHEN metric_percent >= base_threshold THEN 'Green'
+            WHEN metric_percent >= critical_threshold THEN 'Amber'
+            WHEN metric_percent < critical_threshold THEN 'Red' END AS status, 'Training' AS source
+FROM ov JOIN thr ON ov.metric_name = thr.metric_name""")
+def e03(spark, sf):
+    m = overlap_metrics(spark, sf)
+    t = MO.traffic_light(m, MO.thresholds(spark), value="metric_percent")
+    return t.select("metric_name", "unit", "expected_value", F.col("metric_percent").alias("actual_value"),
+                    "algoname", "base_threshold", "critical_threshold", "status",
+                    F.lit("Training").alias("source"))
+
+
+@query("E12_status_rollup", sql=f"""
+WITH {_PRED_SQL.strip()}
+SELECT algoname, CAST(count(*) AS BIGINT) AS total_jobs,
+       CAST(count(*) FILTER (WHERE intercept IS NOT NULL AND NOT isnan(intercept)) AS BIGINT) AS succeeded_jobs,
+       CAST(count(*) FILTER (WHERE intercept IS NULL OR isnan(intercept)) AS BIGINT) AS failed_jobs
+FROM models GROUP BY algoname""")
+def e12(spark, sf):
+    f = MO.with_keys(features(spark, sf), "part_name", "region")
+    st = MO.status_log(_single_feature_models(f), ["pk", "mapping"], "run-1")
+    return st.groupBy("algoname").agg(
+        F.count(F.lit(1)).alias("total_jobs"),
+        F.count_if(F.col("status") == "Succeeded").alias("succeeded_jobs"),
+        F.count_if(F.col("status") == "Failed").alias("failed_jobs"))
+
+
+@query("Z20_inference_quality", sql=f"""
+WITH {_PRED_SQL.strip()},
+inf AS (SELECT DISTINCT pk, mapping, algoname FROM (
+          SELECT *, rank() OVER (PARTITION BY algoname ORDER BY pred DESC) AS rk FROM pred) WHERE rk <= {TOP_N}),
+gt0 AS (SELECT pk AS partname, mapping AS region, avg(part_probability) AS actual_failure_probabilty
+        FROM f GROUP BY ALL),
+gt AS (SELECT DISTINCT partname, region FROM (
+         SELECT *, rank() OVER (ORDER BY actual_failure_probabilty DESC) AS rk FROM gt0) WHERE rk <= {TOP_N}),
+ov AS (SELECT algoname, CAST(count(*) AS BIGINT) AS metric_value, 'Intersection' AS metric_name,
+              round(count(*) * 100.0 / {TOP_N}, 4) AS metric_percent
+       FROM gt JOIN inf ON inf.pk = gt.partname AND inf.mapping = gt.region GROUP BY algoname),
+thr AS (SELECT * FROM (VALUES {_THR_SQL}) t(usecase, metric_name, unit, base_threshold, critical_threshold, expected_value))
+SELECT ov.metric_name, metric_percent AS actual_value, algoname,
+       CASE WHEN metric_percent >= base_threshold THEN 'Green'
+            WHEN metric_percent >= critical_threshold THEN 'Amber'
+            WHEN metric_percent < critical_threshold THEN 'Red' END AS status, 'Inference' AS source
+FROM ov JOIN thr ON ov.metric_name = thr.metric_name""")
+def z20(spark, sf):
+    """Inference monitoring: top-N scored keys per algorithm vs the top-N of
+    a ground-truth table (mean label per part and region)."""
+    pred = held_out_predictions(spark, sf)
+    f = MO.with_keys(features(spark, sf), "part_name", "region")
+    gt = f.groupBy(F.col("pk").alias("partname"), F.col("mapping").alias("region")) \
+        .agg(F.avg("part_probability").alias("actual_failure_probabilty"))
+    m = MO.topk_overlap(pred, ["pk", "mapping"], ["algoname"], "pred", "actual_failure_probabilty", TOP_N,
+                        actual=gt, actual_keys=["partname", "region"], actual_part=[])
+    t = MO.traffic_light(m, MO.thresholds(spark), value="metric_percent")
+    return t.select("metric_name", F.col("metric_percent").alias("actual_value"), "algoname", "status",
+                    F.lit("Inference").alias("source"))
+
+
+@query("Z18_training_run")
+def z18(spark, sf):
+    """Training run: keys, one-hot features, scaled quantity, hash split,
+    per-key multi-feature OLS and a mean baseline, held-out predictions,
+    top-N overlap per algorithm with traffic lights.  (No SQL twin: the
+    multi-feature solve is numpy over aggregated normal equations.)"""
+    f = MO.with_keys(features(spark, sf).drop("is_test"), "part_name", "region")
+    f = MO.minmax(f, "qty", out="qty_scaled")
+    cats = MO.category_table(f, CATEGORICAL)
+    f = MO.one_hot(f, CATEGORICAL, cats)
+    feats = ["qty_scaled"] + [c for c in f.columns if c.startswith("p_type_") or c.startswith("l_returnflag_")]
+    f = MO.split(f, ["l_orderkey", "l_linenumber"])
+    tr, te = f.filter(~F.col("is_test")), f.filter(F.col("is_test"))
+    lr = MO.fit_linear(tr, ["pk", "mapping"], feats, "part_probability")
+    mean = MO.fit_mean(tr, ["pk", "mapping"], "part_probability")
+    models = lr.select("pk", "mapping", "algoname", "intercept", "coef").unionByName(
+        mean.select("pk", "mapping", "algoname", "intercept",
+                    F.array_repeat(F.lit(0.0), len(feats)).alias("coef")))
+    pred = MO.predict(te, models, ["pk", "mapping"], feats)
+    m = MO.topk_overlap(pred, ["pk", "mapping"], ["algoname"], "pred", "part_probability", TOP_N)
+    return MO.traffic_light(m, MO.thresholds(spark), value="metric_percent") \
+        .select("algoname", "metric_name", "metric_value", "metric_percent", "status")
+
+
+@query("Z19_scoring_run")
+def z19(spark, sf):
+    """Scoring run: models fitted on the training split score every row;
+    per-key mean score per algorithm (no SQL twin, as Z18)."""
+    f = MO.with_keys(features(spark, sf).drop("is_test"), "part_name", "region")
+    f = MO.split(f, ["l_orderkey", "l_linenumber"])
+    tr = f.filter(~F.col("is_test"))
+    lr = MO.fit_linear(tr, ["pk", "mapping"], ["qty"], "part_probability")
+    pred = MO.predict(f, lr.select("pk", "mapping", "algoname", "intercept", "coef"), ["pk", "mapping"], ["qty"])
+    return pred.groupBy("pk", "mapping", "algoname").agg(F.round(F.avg("pred"), 6).alias("mean_score"),
+                                                         F.count(F.lit(1)).alias("n_scored"))
+
+
+_ = (AN, S)
