@@ -163,3 +163,120 @@ mile AS (
          b * 10 AS mile_start_km, b * 10 + 9 AS mile_end_km
   FROM (SELECT DISTINCT CAST(floor(l_quantity / 10) AS INTEGER) AS b FROM lineitem WHERE l_quantity IS NOT NULL)
   UNION ALL SELECT 'UNKNOWN', -1, -1)"""
+
+
+def supply_receipts_src(spark: SparkSession, sf: str) -> DataFrame:
+    """Vendor receipts: supplier, part, part+flag item, yyyymm month, quantity
+    (null on 7th lines)."""
+    li = table(spark, sf, "lineitem")
+    return li.select(
+        F.col("l_suppkey").cast("string").alias("venp_vend_code"),
+        F.col("l_partkey").cast("string").alias("venp_root_part"),
+        F.concat(F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_returnflag")).alias("venp_item_code"),
+        (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("venp_month"),
+        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("double")).otherwise(F.col("l_quantity"))
+        .alias("venp_tot_recd_qty"))
+
+
+SUPPLY_SQL = """
+venp AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS venp_vend_code, CAST(l_partkey AS VARCHAR) AS venp_root_part,
+         CAST(l_partkey AS VARCHAR) || '-' || l_returnflag AS venp_item_code,
+         year(l_shipdate) * 100 + month(l_shipdate) AS venp_month,
+         CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity END AS venp_tot_recd_qty
+  FROM lineitem)"""
+
+
+def audit_sources(spark: SparkSession, sf: str):
+    """Audit header (orders), model master (nation), audit detail (lineitem),
+    IQS codes (region)."""
+    o = table(spark, sf, "orders")
+    n = table(spark, sf, "nation")
+    li = table(spark, sf, "lineitem")
+    r = table(spark, sf, "region")
+    chkm = o.select(
+        F.col("o_orderkey").alias("chkm_chksht_no"),
+        F.when(F.col("o_orderkey") % 2 == 0,
+               F.concat(F.lit("NATION_"), (F.col("o_custkey") % 25).cast("string")))
+        .otherwise((F.col("o_custkey") % 5).cast("string")).alias("chkm_bveh_code"),
+        F.col("o_orderdate").alias("chkm_audit_date"),
+        F.when(F.col("o_orderstatus") == "F", "D").otherwise("E").alias("chkm_dom_exp"),
+        F.when(F.col("o_orderpriority").startswith("1"), "Y").otherwise("N").alias("chkm_nissan"))
+    qmmm = n.select(F.col("n_name").alias("qmmm_code"), F.col("n_regionkey").cast("string").alias("qmmm_family_model_code"),
+                    F.when(F.col("n_nationkey") % 2 == 0, "O").otherwise("X").alias("qmmm_type"),
+                    F.upper(F.concat(F.lit("m"), F.col("n_nationkey").cast("string"), F.lit("-"), F.col("n_name")))
+                    .alias("qmmm_desc"))
+    chkd = li.select(
+        F.col("l_orderkey").alias("chkd_chksht_no"),
+        F.concat(F.col("l_returnflag"), F.col("l_linenumber").cast("string")).alias("chkd_defect_code"),
+        F.col("l_quantity").alias("chkd_factor_value"), F.col("l_linestatus").alias("chkd_defect_type"),
+        F.col("l_suppkey").cast("string").alias("chkd_vend_code"),
+        (F.col("l_linenumber") % 4).cast("string").alias("chkd_iqs_code"))
+    cods = r.select(F.col("r_regionkey").cast("string").alias("cods_code"), F.col("r_name").alias("cods_desc"),
+                    F.when(F.col("r_regionkey") != 2, "IQS").otherwise("OTHER").alias("cods_type"))
+    return chkm, qmmm, chkd, cods
+
+
+AUDIT_SQL = """
+chkm AS (SELECT o_orderkey AS chkm_chksht_no,
+                CASE WHEN o_orderkey % 2 = 0 THEN 'NATION_' || CAST(o_custkey % 25 AS VARCHAR)
+                     ELSE CAST(o_custkey % 5 AS VARCHAR) END AS chkm_bveh_code,
+                o_orderdate AS chkm_audit_date, CASE WHEN o_orderstatus = 'F' THEN 'D' ELSE 'E' END AS chkm_dom_exp,
+                CASE WHEN starts_with(o_orderpriority, '1') THEN 'Y' ELSE 'N' END AS chkm_nissan FROM orders),
+qmmm AS (SELECT n_name AS qmmm_code, CAST(n_regionkey AS VARCHAR) AS qmmm_family_model_code,
+                CASE WHEN n_nationkey % 2 = 0 THEN 'O' ELSE 'X' END AS qmmm_type,
+                upper('m' || CAST(n_nationkey AS VARCHAR) || '-' || n_name) AS qmmm_desc FROM nation),
+chkd AS (SELECT l_orderkey AS chkd_chksht_no, l_returnflag || CAST(l_linenumber AS VARCHAR) AS chkd_defect_code,
+                l_quantity AS chkd_factor_value, l_linestatus AS chkd_defect_type,
+                CAST(l_suppkey AS VARCHAR) AS chkd_vend_code, CAST(l_linenumber % 4 AS VARCHAR) AS chkd_iqs_code
+         FROM lineitem),
+cods AS (SELECT CAST(r_regionkey AS VARCHAR) AS cods_code, r_name AS cods_desc,
+                CASE WHEN r_regionkey <> 2 THEN 'IQS' ELSE 'OTHER' END AS cods_type FROM region)"""
+
+
+def spares_sources(spark: SparkSession, sf: str):
+    """Invoice detail (lines with the order's customer), invoice header,
+    customer, address (nation/region), item master (part, two companies)."""
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    p = table(spark, sf, "part")
+    d = li.join(o.select("o_orderkey", "o_custkey"), li["l_orderkey"] == o["o_orderkey"]).select(
+        F.col("l_partkey").cast("string").alias("invd_item_code"), F.col("l_orderkey").alias("invd_invo_no"),
+        (F.col("o_custkey") % 3).cast("string").alias("invd_cust_ccat_id"), F.col("o_custkey").alias("invd_cust_id"),
+        F.when(F.col("l_linenumber") == 6, F.lit(None).cast("double")).otherwise(F.col("l_quantity")).alias("invd_qty"))
+    h = o.select(F.col("o_orderkey").alias("invo_no"), F.to_date("o_orderdate").alias("invo_date"),
+                 F.when(F.col("o_orderkey") % 3 == 0, "02").otherwise("01").alias("invo_comp_code"),
+                 (F.col("o_custkey") % 3).cast("string").alias("invo_cust_ccat_id"), F.col("o_custkey").alias("invo_cust_id"))
+    cust = c.select((F.col("c_custkey") % 3).cast("string").alias("cust_ccat_id"), F.col("c_custkey").alias("cust_id"))
+    addr = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"]).select(
+        (F.col("c_custkey") % 3).cast("string").alias("addr_cust_ccat_id"), F.col("c_custkey").alias("addr_cust_id"),
+        F.col("n_name").alias("addr_city"), F.col("r_name").alias("addr_in_stat_id"))
+    item = p.select(F.col("p_partkey").cast("string").alias("item_code"),
+                    F.when(F.col("p_partkey") % 2 == 0, "01").otherwise("02").alias("item_comp_code"),
+                    F.col("p_name").alias("item_desc"))
+    return d, h, cust, addr, item
+
+
+SPARES_SQL = """
+invd AS (SELECT CAST(l_partkey AS VARCHAR) AS invd_item_code, l_orderkey AS invd_invo_no,
+                CAST(o_custkey % 3 AS VARCHAR) AS invd_cust_ccat_id, o_custkey AS invd_cust_id,
+                CASE WHEN l_linenumber = 6 THEN NULL ELSE l_quantity END AS invd_qty
+         FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+invo AS (SELECT o_orderkey AS invo_no, CAST(o_orderdate AS DATE) AS invo_date,
+                CASE WHEN o_orderkey % 3 = 0 THEN '02' ELSE '01' END AS invo_comp_code,
+                CAST(o_custkey % 3 AS VARCHAR) AS invo_cust_ccat_id, o_custkey AS invo_cust_id FROM orders),
+cust AS (SELECT CAST(c_custkey % 3 AS VARCHAR) AS cust_ccat_id, c_custkey AS cust_id FROM customer),
+addr AS (SELECT CAST(c_custkey % 3 AS VARCHAR) AS addr_cust_ccat_id, c_custkey AS addr_cust_id, n_name AS addr_city,
+                r_name AS addr_in_stat_id
+         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+item AS (SELECT CAST(p_partkey AS VARCHAR) AS item_code, CASE WHEN p_partkey % 2 = 0 THEN '01' ELSE '02' END AS item_comp_code,
+                p_name AS item_desc FROM part)"""
+
+# Extract windows for the spares analogue (the source's windows cover
+# 2015-2023, the driver data 1995-2001; one fiscal year left out as there).
+SPARES_WINDOWS_ANALOGUE = [("1995-04-01", "1996-03-31"), ("1996-04-01", "1997-03-31"),
+                           ("1997-04-01", "1998-03-31"), ("1998-04-01", "1999-03-31"),
+                           ("2000-04-01", "2001-03-31")]

@@ -74,3 +74,76 @@ def dispatch_sales(invc: DataFrame, dealers: DataFrame, as_of, spec_code: str) -
     return g.select("month_year", "model_code", "model_code_full",
                     F.col("serial_id").cast("int").alias("serial_id"), "count", "session",
                     "City", "State", "glue_last_updated", "base_model_code")
+
+
+def supply_receipts(venp: DataFrame, ctrr: DataFrame, as_of) -> DataFrame:
+    """Monthly vendor receipts.
+
+    J11 vendor parent name -> A03 distinct -> P01 rename -> F08 not-null
+    quantity -> D09 year/month from ``yyyymm`` -> D04 label -> D03 serial id
+    -> P03 load time.
+    """
+    from tessera.operators import joins as J
+    x = J.resolve_parent(venp, "venp_vend_code", ctrr, "ctrr_code", "ctrr_parent_vend_code",
+                         "ctrr_name", "vendor_name")
+    x = x.select("vendor_name", F.col("venp_vend_code").alias("vendor_code"),
+                 F.col("venp_root_part").alias("root_part_number"),
+                 F.col("venp_item_code").alias("part_number"), "venp_month",
+                 F.col("venp_tot_recd_qty").alias("count")).distinct()
+    x = FL.not_null(x, ["count"])
+    y, m = D.year_month_from_yyyymm("venp_month")
+    return x.select("part_number", "root_part_number", "count", "vendor_name", "vendor_code",
+                    D.month_label_my(m, y).alias("month_year"), D.serial_month(m, y).alias("serial_id"),
+                    D.load_ts_text(as_of).alias("glue_last_updated"))
+
+
+def audit_findings(chkm: DataFrame, qmmm: DataFrame, chkd: DataFrame, ctrr: DataFrame,
+                   cods: DataFrame, as_of, lo: str, hi: str) -> DataFrame:
+    """Audit findings.
+
+    J07 OR join of header to model master (two equi-joins) with a type
+    filter -> J08 left-join chain (detail, vendor, codes) whose WHERE makes
+    it inner -> F03 date window -> X16 model label -> P01 -> X01 -> P03 ->
+    D01 session -> D05 month label.
+    """
+    from tessera.operators import joins as J
+    g = qmmm.filter(F.col("qmmm_type") == "O")
+    m = J.or_join(chkm, g, "chkm_bveh_code", ("qmmm_code", "qmmm_family_model_code"))
+    m = m.filter(F.to_date("chkm_audit_date").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+    x = m.join(chkd, m["chkm_chksht_no"] == chkd["chkd_chksht_no"], "left") \
+        .join(ctrr.select("ctrr_code", "ctrr_name"), F.col("ctrr_code") == F.col("chkd_vend_code"), "left") \
+        .join(cods, F.col("cods_code") == F.col("chkd_iqs_code"), "left") \
+        .filter((F.col("chkd_iqs_code") != "3") & (F.col("cods_type") == "IQS"))
+    model = F.concat(F.col("qmmm_desc"), F.lit("-"),
+                     F.when(F.col("chkm_dom_exp") == "D", "DOM").otherwise("EXP"),
+                     F.when(F.col("chkm_nissan") == "Y", "-N").otherwise(""))
+    return x.select(S.prefix(model, 3).alias("model"), F.col("chkm_audit_date").alias("audit_date"),
+                    F.col("chkd_defect_code").alias("def_code"), F.col("chkd_factor_value").alias("dmt"),
+                    F.col("chkd_defect_type").alias("nature_of_defect"), F.col("ctrr_name").alias("vendor"),
+                    D.load_ts_text(as_of).alias("glue_last_updated"),
+                    D.fiscal_session("chkm_audit_date").alias("session"),
+                    D.month_year("chkm_audit_date").alias("pmonth_year"))
+
+
+def spares_sales(invd: DataFrame, invo: DataFrame, cust: DataFrame, addr: DataFrame,
+                 item: DataFrame, as_of, windows) -> DataFrame:
+    """Spares sales.
+
+    U05 one scan over the union of fiscal windows -> J14 four-way join on
+    composite keys -> J13 correlated max keyed by detail and header columns
+    -> P07 null quantity 0 -> D01 session -> P03 load time.
+    """
+    from tessera.operators import joins as J
+    from tessera.operators import sets as U
+    h = U.read_windows(invo, "invo_date", [(F.lit(a).cast("date"), F.lit(b).cast("date")) for a, b in windows])
+    x = invd.join(h, (invd["invd_cust_ccat_id"] == h["invo_cust_ccat_id"]) & (invd["invd_cust_id"] == h["invo_cust_id"])
+                  & (invd["invd_invo_no"] == h["invo_no"])) \
+        .join(cust, (F.col("invo_cust_ccat_id") == cust["cust_ccat_id"]) & (F.col("invo_cust_id") == cust["cust_id"])) \
+        .join(addr, (F.col("cust_ccat_id") == addr["addr_cust_ccat_id"]) & (F.col("cust_id") == addr["addr_cust_id"]))
+    x = J.scalar_max(x, item, {"invd_item_code": "item_code", "invo_comp_code": "item_comp_code"},
+                     "item_desc", "item_name")
+    return x.select("invd_item_code", "item_name", F.col("invo_date").alias("invoice_date"),
+                    F.coalesce(F.col("invd_qty"), F.lit(0.0)).alias("sale_qty"),
+                    F.col("addr_city").alias("City"), F.col("addr_in_stat_id").alias("State"),
+                    D.load_ts_text(as_of).alias("glue_last_updated"),
+                    D.fiscal_session("invo_date").alias("session"))
