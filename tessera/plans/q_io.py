@@ -1 +1,256 @@
-"""Registered queries."""
+"""Registered source/sink queries (S*, K*, Z15): each writes the data with
+a sink into a fresh folder under the session's shared checkpoint folder
+(``spark.checkpoint.dir``) and returns the read-back DataFrame."""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera import sinks as K
+from tessera import sources as SR
+from tessera.plans import analogues as AN
+from tessera.plans.registry import query
+from tessera.session import checkpoint_dir, table
+
+RUN_DATE = dt.date(2024, 2, 1)
+
+
+def scratch(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tessera-io/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@query("S02_K01_run_partitions", sql="""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
+def s02_k01(spark, sf):
+    """Write orders under the run-date partitions twice (a rerun replaces
+    the day), read that day back by partition filter."""
+    path = scratch(spark, "orders_run")
+    o = table(spark, sf, "orders")
+    K.write_run(o, path, RUN_DATE)
+    K.write_run(o, path, RUN_DATE)
+    K.write_run(o.limit(0), path, dt.date(2024, 1, 31))
+    back = SR.read_run(spark, path, RUN_DATE)
+    return back.select(*o.columns)
+
+
+_CUST_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType())])
+
+
+@query("S03_S04_K02_csv", sql="""
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, c_custkey AS key2, c_name AS name2 FROM customer""")
+def s03_s04_k02(spark, sf):
+    """CSV with header and explicit schema; a ``$``-separated copy read back
+    for two projected columns."""
+    c = table(spark, sf, "customer")
+    p1, p2 = scratch(spark, "cust_csv"), scratch(spark, "cust_dollar")
+    K.write_csv(c, p1)
+    K.write_csv(c, p2, sep="$")
+    a = SR.read_csv(spark, p1, schema=_CUST_SCHEMA)
+    b = SR.read_csv(spark, p2, schema=_CUST_SCHEMA, sep="$", columns=["c_custkey", "c_name"]) \
+        .select(F.col("c_custkey").alias("key2"), F.col("c_name").alias("name2"))
+    return a.join(b, a["c_custkey"] == b["key2"])
+
+
+@query("S05_U01_read_many", sql="""
+SELECT c_custkey, c_name, c_mktsegment FROM customer""")
+def s05(spark, sf):
+    """One file set per market segment, appended back by column name."""
+    c = table(spark, sf, "customer")
+    segs = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    paths = []
+    for i, s in enumerate(segs):
+        p = scratch(spark, f"seg{i}")
+        part = c.filter(F.col("c_mktsegment") == s)
+        # column order differs per file: the append goes by name
+        cols = part.columns if i % 2 == 0 else list(reversed(part.columns))
+        K.write_csv(part.select(*cols), p)
+        paths.append(p)
+    rest = scratch(spark, "seg_rest")
+    K.write_csv(c.filter(~F.col("c_mktsegment").isin(segs)), rest)
+    paths.append(rest)
+    df = SR.read_many(spark, paths, ["c_custkey", "c_name", "c_mktsegment"], fmt="csv", header=True,
+                      inferSchema=True)
+    return df.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_mktsegment")
+
+
+_EVENT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("permalink", T.StringType())])
+
+
+@query("S06_K11_json_lines", sql="""
+SELECT event_id, event_type, value, CASE WHEN event_id % 3 = 0 THEN 'p/' || CAST(event_id AS VARCHAR) END AS permalink
+FROM events""")
+def s06_k11(spark, sf):
+    """JSON lines with a fixed column list; records without ``permalink``
+    read back with a null."""
+    e = table(spark, sf, "events")
+    p = scratch(spark, "events_json")
+    with_link = e.filter(F.col("event_id") % 3 == 0).select(
+        "event_id", "event_type", "value",
+        F.concat(F.lit("p/"), F.col("event_id").cast("string")).alias("permalink"))
+    without = e.filter(F.col("event_id") % 3 != 0).select("event_id", "event_type", "value")
+    K.write_ndjson(with_link, p + "/a")
+    K.write_ndjson(without, p + "/b")
+    return SR.read_json_lines(spark, [p + "/a", p + "/b"], _EVENT_SCHEMA)
+
+
+@query("S07_S09_snapshot_recent", sql="""
+SELECT n_nationkey, n_name, n_regionkey FROM nation""")
+def s07_s09(spark, sf):
+    """Snapshot read of a written table; file selection by extension and by
+    modification time."""
+    n = table(spark, sf, "nation")
+    p = scratch(spark, "nation_snap")
+    n.write.mode("overwrite").parquet(p)
+    snap = SR.read_snapshot(spark, p, "parquet")
+    q = scratch(spark, "nation_files")
+    K.write_csv(snap, q)
+    K.write_ndjson(snap, q, mode="append")  # another format in the folder, left out by the glob
+    recent = SR.read_recent(spark, q, "csv", glob="*.csv", modified_after="2000-01-01T00:00:00",
+                            header=True, schema="n_nationkey int, n_name string, n_regionkey int")
+    return recent
+
+
+@query("S10_Z15_ingest", sql="""
+SELECT 'region' AS name, CAST(count(*) AS BIGINT) AS n FROM region
+UNION ALL SELECT 'nation', count(*) FROM nation
+UNION ALL SELECT 'supplier', count(*) FROM supplier""")
+def s10_z15(spark, sf):
+    """Config-driven ingest: master/transaction snapshots and a manual file
+    folder, each overwriting its curated target; counts read back."""
+    manual = scratch(spark, "manual_supplier")
+    K.write_csv(table(spark, sf, "supplier"), manual)
+    target = scratch(spark, "curated")
+    cfg = [{"category": "master", "source": f"{sf}/region.parquet", "name": "region"},
+           {"category": "transaction", "source": f"{sf}/nation.parquet", "name": "nation"},
+           {"category": "manual", "source": manual, "name": "supplier", "fmt": "csv", "glob": "*.csv"}]
+    SR.ingest(spark, cfg, target)
+    SR.ingest(spark, cfg, target)  # rerun: targets are replaced, not doubled
+    out = None
+    for c in cfg:
+        d = spark.read.parquet(f"{target}/{c['name']}").agg(F.count(F.lit(1)).alias("n")) \
+            .withColumn("name", F.lit(c["name"]))
+        out = d if out is None else out.unionByName(d)
+    return out.select("name", "n")
+
+
+@query("S11_E14_run_tables", sql="""
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS stepjobid, 'events' AS usecase_name,
+       CAST(count(*) AS BIGINT) AS total_jobs, CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS failed_jobs,
+       CAST(floor(min(epoch(ts))) AS BIGINT) AS start_time, CAST(floor(max(epoch(ts))) AS BIGINT) AS end_time
+FROM events GROUP BY CAST(ts AS DATE)""")
+def s11_e14(spark, sf):
+    """Nested run records (struct and array columns) written as JSON under
+    ``year=/month=/day=/stepjobid=`` and read back by partition discovery."""
+    e = table(spark, sf, "events")
+    d = F.to_date("ts")
+    rec = e.groupBy(d.alias("d")).agg(
+        F.count(F.lit(1)).alias("total_jobs"), F.count_if(F.col("event_type") == "error").alias("failed_jobs"),
+        F.min(F.unix_timestamp(F.col("ts").cast("timestamp"))).alias("s"),
+        F.max(F.unix_timestamp(F.col("ts").cast("timestamp"))).alias("t"),
+        F.array_sort(F.collect_set("event_type")).alias("types"))
+    rec = rec.select(
+        F.date_format("d", "yyyy").alias("year"), F.date_format("d", "MM").alias("month"),
+        F.date_format("d", "dd").alias("day"), F.col("d").cast("string").alias("stepjobid"),
+        F.lit("events").alias("usecase_name"), F.lit("Completed").alias("status"),
+        F.lit(None).cast("string").alias("winner_algo"),
+        F.transform("types", lambda t: F.struct(t.alias("algo_name"), F.lit(1.0).alias("algo_score")))
+        .alias("algo_scores"),
+        F.struct(F.col("s").alias("start_time"), F.col("t").alias("end_time")).alias("preprocessing"),
+        F.struct(F.col("s").alias("start_time"), F.col("t").alias("end_time")).alias("training"),
+        "total_jobs", "failed_jobs")
+    p = scratch(spark, "run_records")
+    body = [c for c in rec.columns if c not in ("year", "month", "day", "stepjobid")] + ["stepjobid"]
+    K.write_ndjson(rec.select("year", "month", "day", *body).withColumn("stepjobid_p", F.col("stepjobid")),
+                   p, partition_by=["year", "month", "day", "stepjobid_p"])
+    back = SR.read_run_tables(spark, p)
+    return back.select("stepjobid", "usecase_name", "total_jobs", "failed_jobs",
+                       F.col("preprocessing.start_time").alias("start_time"),
+                       F.col("training.end_time").alias("end_time"))
+
+
+@query("K03_keyed_partition_read", sql="""
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE p_type = 'PROMO' AND l_returnflag = 'R'""")
+def k03(spark, sf):
+    """Write lines keyed by (pk, mapping) = (part type, flag); read one key's
+    partition back (partition pruning on the directories)."""
+    li = table(spark, sf, "lineitem")
+    p = table(spark, sf, "part")
+    x = li.join(p, li["l_partkey"] == p["p_partkey"]).select(
+        F.col("p_type").alias("pk"), F.col("l_returnflag").alias("mapping"),
+        "l_orderkey", "l_linenumber", "l_quantity")
+    path = scratch(spark, "keyed")
+    K.write_keyed(x, path)
+    back = spark.read.parquet(path).filter((F.col("pk") == "PROMO") & (F.col("mapping") == "R"))
+    return back.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+_LOAD_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+    T.StructField("l_quantity", T.IntegerType()), T.StructField("l_returnflag", T.StringType()),
+    T.StructField("l_shipdate", T.DateType())])
+
+
+@query("K05_K06_K07_typed_loads", sql="""
+SELECT 'full' AS kind, CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
+       CAST(l_quantity AS INTEGER) AS l_quantity, l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem
+UNION ALL
+SELECT 'append', l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER), substr(l_returnflag || l_linestatus, 1, 1),
+       CAST(l_shipdate AS DATE) FROM lineitem WHERE l_linenumber = 1
+UNION ALL
+SELECT 'staged', l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER), l_returnflag, CAST(l_shipdate AS DATE)
+FROM lineitem WHERE l_linenumber = 7""")
+def k05_k06_k07(spark, sf):
+    """Full-refresh typed load (twice: replaced), append load with a text
+    length limit, and a single staged file; all read back."""
+    li = table(spark, sf, "lineitem")
+    full, app, stg = scratch(spark, "full"), scratch(spark, "append"), scratch(spark, "staged")
+    K.load_full(li, _LOAD_SCHEMA, full)
+    K.load_full(li, _LOAD_SCHEMA, full)
+    K.load_append(li.filter(F.col("l_linenumber") == 1)
+                  .withColumn("l_returnflag", F.concat("l_returnflag", "l_linestatus")),
+                  _LOAD_SCHEMA, app, max_len={"l_returnflag": 1})
+    K.stage_single(li.filter(F.col("l_linenumber") == 7).select(*[f.name for f in _LOAD_SCHEMA.fields]), stg,
+                   casts={"l_quantity": "int", "l_shipdate": "date"})
+    a = spark.read.parquet(full).withColumn("kind", F.lit("full"))
+    b = spark.read.parquet(app).withColumn("kind", F.lit("append"))
+    c = spark.read.parquet(stg).withColumn("kind", F.lit("staged"))
+    return a.unionByName(b).unionByName(c)
+
+
+@query("K08_K09_K10_K12_K13_outputs", sql="""
+SELECT 'dash' AS kind, CAST(count(*) AS BIGINT) AS n FROM region
+UNION ALL SELECT 'outcomes', 2 * count(*) FROM nation
+UNION ALL SELECT 'archive', count(*) FROM supplier
+UNION ALL SELECT 'gzip', count(*) FROM part
+UNION ALL SELECT 'features', count(*) FILTER (WHERE c_custkey % 10 <> 0) FROM customer""")
+def k08_k13(spark, sf):
+    """Dashboard overwrite, outcome append (twice), timestamped archive,
+    gzip Parquet, feature snapshot with defaults and event time."""
+    d, o, a, g, f = (scratch(spark, n) for n in ("dash", "outcomes", "archive", "gzip", "features"))
+    K.write_dashboard(table(spark, sf, "region"), d)
+    K.write_dashboard(table(spark, sf, "region"), d)
+    K.write_outcomes(table(spark, sf, "nation"), o)
+    K.write_outcomes(table(spark, sf, "nation"), o)
+    arch = K.archive_snapshot(table(spark, sf, "supplier"), a, AN.AS_OF)
+    K.write_run(table(spark, sf, "part"), g, RUN_DATE, compression="gzip")
+    c = table(spark, sf, "customer").withColumn(
+        "c_mktsegment", F.when(F.col("c_custkey") % 10 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")))
+    K.write_features(c, f, {"c_mktsegment": "UNKNOWN"}, AN.AS_OF)
+    parts = [("dash", spark.read.parquet(d)), ("outcomes", spark.read.parquet(o)),
+             ("archive", spark.read.parquet(arch)), ("gzip", spark.read.parquet(g)),
+             ("features", spark.read.parquet(f).filter(F.col("c_mktsegment") != "UNKNOWN"))]
+    out = None
+    for k, df in parts:
+        x = df.agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(k))
+        out = x if out is None else out.unionByName(x)
+    return out.select("kind", "n")

@@ -33,9 +33,10 @@ def read_run(spark: SparkSession, path: str, as_of=None, partition_cols=("year",
     df = r.option("basePath", path).parquet(path)
     if as_of is not None:
         d = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of)[:10])
-        vals = {"year": f"{d:%Y}", "month": f"{d:%m}", "day": f"{d:%d}"}
+        # partition discovery may type "02" as the integer 2: compare as ints
+        vals = {"year": d.year, "month": d.month, "day": d.day}
         cond = reduce(lambda a, b: a & b,
-                      [F.col(c).cast("string") == F.lit(vals[c]) for c in partition_cols if c in vals])
+                      [F.col(c).cast("int") == F.lit(vals[c]) for c in partition_cols if c in vals])
         df = df.filter(cond)
     return df
 
