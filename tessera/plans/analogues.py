@@ -280,3 +280,132 @@ item AS (SELECT CAST(p_partkey AS VARCHAR) AS item_code, CASE WHEN p_partkey % 2
 SPARES_WINDOWS_ANALOGUE = [("1995-04-01", "1996-03-31"), ("1996-04-01", "1997-03-31"),
                            ("1997-04-01", "1998-03-31"), ("1998-04-01", "1999-03-31"),
                            ("2000-04-01", "2001-03-31")]
+
+
+def warranty_sources(spark: SparkSession, sf: str) -> dict:
+    """Claim headers (orders), claim lines (line items), vehicle details
+    (customers, with exact duplicates), dealers, part types, judge codes,
+    shop-floor codes, plants (nations), model master and platform / part
+    maps — all derived from the driver tables."""
+    o = table(spark, sf, "orders")
+    li = table(spark, sf, "lineitem")
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    p = table(spark, sf, "part")
+    d = F.to_date("o_orderdate")
+    k = F.col("o_orderkey")
+    prio1 = F.substring("o_orderpriority", 1, 1)
+    clam = o.select(
+        k.alias("clam_issue_no"),
+        F.when(k % 20 == 0, "X").otherwise("D").alias("clam_deind"),
+        F.when(k % 97 == 0, F.lit("CTMT ")).otherwise(F.col("o_custkey").cast("string")).alias("clam_delr_cd"),
+        F.lit("F").alias("clam_for_cd"), F.lit("O").alias("clam_outlet_cd"),
+        F.col("o_orderstatus").alias("clam_dup_sl_no"),
+        F.when(k % 4 == 0, F.lit(None).cast("string")).otherwise(prio1).alias("clam_shop_floor"),
+        F.col("o_orderpriority").alias("clam_clam_type_dms"),
+        F.when(k % 50 == 0, F.lit("I400")).otherwise((k % 100).cast("string")).alias("clam_vend_cd"),
+        (F.col("o_custkey") % 30).cast("string").alias("clam_plant_no"),
+        F.concat(F.lit("M"), (F.col("o_custkey") % 7).cast("string")).alias("clam_model_cd"),
+        F.concat(F.lit("Y"), prio1, F.lit("X")).alias("clam_bveh_code"),
+        F.col("o_custkey").cast("string").alias("clam_vin_no"),
+        F.when(k % 13 == 0, "F01").otherwise("F00").alias("clam_judge_cd"),
+        F.lit("DLR").alias("clam_war_party_type"),
+        F.when(k % 9 == 0, F.lit(None).cast("int"))
+        .otherwise(F.floor(F.col("o_totalprice") / 10000).cast("int")).alias("clam_odometer"),
+        F.when(k % 11 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("clam_credit_amt"),
+        F.date_sub(d, 30).alias("clam_register_dt"), d.alias("clam_repair_dt"), d.alias("clam_process_dt"),
+        F.date_add(d, 10).alias("clam_fcok_date"), d.alias("clam_sratr_date"))
+    clm2 = li.join(o.select("o_orderkey", "o_custkey"), li["l_orderkey"] == o["o_orderkey"]).select(
+        F.lit("D").alias("clm2_deind"), F.col("o_custkey").cast("string").alias("clm2_delr_cd"),
+        F.lit("F").alias("clm2_for_cd"), F.lit("O").alias("clm2_outlet_cd"),
+        F.col("l_linestatus").alias("clm2_dup_sl_no"), F.col("l_orderkey").alias("clm2_issue_no"),
+        F.when(F.col("l_returnflag") == "R", "X").when(F.col("l_returnflag") == "A", "L")
+        .otherwise(F.lit(None).cast("string")).alias("clm2_casual_part"),
+        F.col("l_partkey").cast("string").alias("clm2_part_no"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("l_returnflag"))
+        .alias("clm2_part_type"))
+    cid = F.col("c_custkey")
+    vd1 = c.select(
+        cid.cast("string").alias("vdtl_vin"),
+        F.when(cid % 4 == 0, "petrol").when(cid % 4 == 1, "diesel").when(cid % 4 == 2, "cng")
+        .otherwise("lpg").alias("vdtl_fuel"),
+        F.when(F.col("c_acctbal") > 5000, "AT").otherwise("MT").alias("vdtl_tm_type"),
+        F.when(cid % 5 == 0, F.lit(None).cast("string")).when(cid % 5 == 1, "K12").when(cid % 5 == 2, "D13")
+        .when(cid % 5 == 3, "G12").otherwise("ZZ9").alias("vdtl_engi_prefix"),
+        F.concat(F.col("c_mktsegment"), F.lit(" K12M G12X "), F.col("c_name")).alias("vdtl_pmod_desc"))
+    vdtl = vd1.unionByName(vd1.filter(F.col("vdtl_vin").cast("int") % 10 == 0))
+    dmdl = dealers(spark, sf).select("delr_cd", F.lit("F").alias("for_cd"), F.lit("O").alias("outlet_cd"),
+                                     "city", "state", F.col("state").alias("region"))
+    dmdl = dmdl.unionByName(dmdl)
+    ptyp = li.select(F.col("l_returnflag").alias("ptyp_part_type")).distinct() \
+        .withColumn("ptyp_part_desc", F.concat(F.lit("type "), F.col("ptyp_part_type"))) \
+        .unionByName(spark.range(1).select(F.lit("X").alias("ptyp_part_type"),
+                                           F.lit("unspecified").alias("ptyp_part_desc")))
+    judg = spark.range(1).select(F.lit("F00").alias("judg_cd"))
+    shop = o.select(prio1.alias("code"), F.substring("o_orderpriority", 3, 20).alias("description")).distinct() \
+        .unionByName(spark.range(1).select(F.lit("X").alias("code"), F.lit("UNASSIGNED").alias("description")))
+    item = p.select(F.col("p_partkey").cast("string").alias("item_code"),
+                    F.when(F.col("p_partkey") % 2 == 0, "01").otherwise("02").alias("item_comp_code"),
+                    F.col("p_name").alias("item_desc"))
+    wrpn = n.select(F.col("n_nationkey").cast("string").alias("wrpn_code"), F.col("n_name").alias("wrpn_desc"))
+    modl = o.filter(F.col("o_custkey") % 7 != 3).select(
+        F.concat(F.lit("M"), (F.col("o_custkey") % 7).cast("string")).alias("modl_wty_cd"),
+        F.concat(F.lit("Y"), prio1, F.lit("X")).alias("modl_mktg_cd")).distinct() \
+        .withColumn("modl_desc", F.concat(F.lit("MODEL "), F.col("modl_wty_cd"), F.lit("/"), F.col("modl_mktg_cd")))
+    platform = o.select(F.concat(F.lit("Y"), prio1, F.lit("X")).alias("model"),
+                        F.concat(F.lit("P"), prio1).alias("platform")).distinct() \
+        .filter(F.col("model") != "Y5X").withColumn("ord", F.lit(0))
+    partmap = p.filter(F.col("p_partkey") % 3 != 0).select(
+        F.col("p_partkey").cast("string").alias("part_number"), F.upper("p_name").alias("part_name"),
+        F.col("p_partkey").alias("ord"))
+    return {"clam": clam, "clm2": clm2, "vdtl": vdtl, "dmdl": dmdl, "cal": month_calendar(spark, sf),
+            "mile": quantity_bands(spark, sf), "ptyp": ptyp, "judg": judg, "ctrr": vendor_hierarchy(spark, sf),
+            "shop": shop, "item": item, "wrpn": wrpn, "modl": modl, "platform": platform, "partmap": partmap}
+
+
+WARRANTY_SQL = """
+clam AS (SELECT o_orderkey AS clam_issue_no, CASE WHEN o_orderkey % 20 = 0 THEN 'X' ELSE 'D' END AS clam_deind,
+       CASE WHEN o_orderkey % 97 = 0 THEN 'CTMT ' ELSE CAST(o_custkey AS VARCHAR) END AS clam_delr_cd,
+       'F' AS clam_for_cd, 'O' AS clam_outlet_cd, o_orderstatus AS clam_dup_sl_no,
+       CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE substr(o_orderpriority, 1, 1) END AS clam_shop_floor,
+       o_orderpriority AS clam_clam_type_dms,
+       CASE WHEN o_orderkey % 50 = 0 THEN 'I400' ELSE CAST(o_orderkey % 100 AS VARCHAR) END AS clam_vend_cd,
+       CAST(o_custkey % 30 AS VARCHAR) AS clam_plant_no, 'M' || CAST(o_custkey % 7 AS VARCHAR) AS clam_model_cd,
+       'Y' || substr(o_orderpriority, 1, 1) || 'X' AS clam_bveh_code, CAST(o_custkey AS VARCHAR) AS clam_vin_no,
+       CASE WHEN o_orderkey % 13 = 0 THEN 'F01' ELSE 'F00' END AS clam_judge_cd, 'DLR' AS clam_war_party_type,
+       CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(floor(o_totalprice / 10000) AS INTEGER) END AS clam_odometer,
+       CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS clam_credit_amt,
+       CAST(o_orderdate AS DATE) - 30 AS clam_register_dt, CAST(o_orderdate AS DATE) AS clam_repair_dt,
+       CAST(o_orderdate AS DATE) AS clam_process_dt, CAST(o_orderdate AS DATE) + 10 AS clam_fcok_date,
+       CAST(o_orderdate AS DATE) AS clam_sratr_date FROM orders),
+clm2 AS (SELECT 'D' AS clm2_deind, CAST(o_custkey AS VARCHAR) AS clm2_delr_cd, 'F' AS clm2_for_cd, 'O' AS clm2_outlet_cd,
+       l_linestatus AS clm2_dup_sl_no, l_orderkey AS clm2_issue_no,
+       CASE l_returnflag WHEN 'R' THEN 'X' WHEN 'A' THEN 'L' END AS clm2_casual_part,
+       CAST(l_partkey AS VARCHAR) AS clm2_part_no,
+       CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_returnflag END AS clm2_part_type
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+vd1 AS (SELECT CAST(c_custkey AS VARCHAR) AS vdtl_vin,
+       CASE c_custkey % 4 WHEN 0 THEN 'petrol' WHEN 1 THEN 'diesel' WHEN 2 THEN 'cng' ELSE 'lpg' END AS vdtl_fuel,
+       CASE WHEN c_acctbal > 5000 THEN 'AT' ELSE 'MT' END AS vdtl_tm_type,
+       CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'K12' WHEN 2 THEN 'D13' WHEN 3 THEN 'G12' ELSE 'ZZ9' END
+         AS vdtl_engi_prefix,
+       c_mktsegment || ' K12M G12X ' || c_name AS vdtl_pmod_desc FROM customer),
+vdtl AS (SELECT * FROM vd1 UNION ALL SELECT * FROM vd1 WHERE CAST(vdtl_vin AS INTEGER) % 10 = 0),
+dm1 AS (SELECT CAST(c_custkey AS VARCHAR) AS delr_cd, 'F' AS for_cd, 'O' AS outlet_cd, n_name AS city,
+       r_name AS state, r_name AS region
+       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+dmdl AS (SELECT * FROM dm1 UNION ALL SELECT * FROM dm1),
+ptyp AS (SELECT ptyp_part_type, 'type ' || ptyp_part_type AS ptyp_part_desc
+         FROM (SELECT DISTINCT l_returnflag AS ptyp_part_type FROM lineitem) UNION ALL SELECT 'X', 'unspecified'),
+judg AS (SELECT 'F00' AS judg_cd),
+shop AS (SELECT DISTINCT substr(o_orderpriority, 1, 1) AS code, substr(o_orderpriority, 3, 20) AS description FROM orders
+         UNION ALL SELECT 'X', 'UNASSIGNED'),
+item AS (SELECT CAST(p_partkey AS VARCHAR) AS item_code, CASE WHEN p_partkey % 2 = 0 THEN '01' ELSE '02' END
+         AS item_comp_code, p_name AS item_desc FROM part),
+wrpn AS (SELECT CAST(n_nationkey AS VARCHAR) AS wrpn_code, n_name AS wrpn_desc FROM nation),
+modl AS (SELECT modl_wty_cd, modl_mktg_cd, 'MODEL ' || modl_wty_cd || '/' || modl_mktg_cd AS modl_desc
+         FROM (SELECT DISTINCT 'M' || CAST(o_custkey % 7 AS VARCHAR) AS modl_wty_cd,
+                      'Y' || substr(o_orderpriority, 1, 1) || 'X' AS modl_mktg_cd FROM orders WHERE o_custkey % 7 <> 3)),
+platform AS (SELECT DISTINCT 'Y' || substr(o_orderpriority, 1, 1) || 'X' AS model,
+             'P' || substr(o_orderpriority, 1, 1) AS platform FROM orders WHERE substr(o_orderpriority, 1, 1) <> '5'),
+partmap AS (SELECT CAST(p_partkey AS VARCHAR) AS part_number, upper(p_name) AS part_name FROM part WHERE p_partkey % 3 <> 0)"""
