@@ -409,3 +409,73 @@ modl AS (SELECT modl_wty_cd, modl_mktg_cd, 'MODEL ' || modl_wty_cd || '/' || mod
 platform AS (SELECT DISTINCT 'Y' || substr(o_orderpriority, 1, 1) || 'X' AS model,
              'P' || substr(o_orderpriority, 1, 1) AS platform FROM orders WHERE substr(o_orderpriority, 1, 1) <> '5'),
 partmap AS (SELECT CAST(p_partkey AS VARCHAR) AS part_number, upper(p_name) AS part_name FROM part WHERE p_partkey % 3 <> 0)"""
+
+
+def line_defect_sources(spark: SparkSession, sf: str) -> dict:
+    """Line defects (line items with order and part), model master (part),
+    item master, cause codes (region), plants (nation), work centres."""
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders")
+    p = table(spark, sf, "part")
+    r = table(spark, sf, "region")
+    n = table(spark, sf, "nation")
+    j = li.join(o.select("o_orderkey", "o_orderpriority", "o_custkey"), li["l_orderkey"] == o["o_orderkey"]) \
+        .join(p.select("p_partkey", "p_type"), li["l_partkey"] == p["p_partkey"])
+    ln = F.col("l_linenumber")
+    vdes = j.select(
+        F.concat(F.lit("Y"), F.substring("p_type", 1, 2), F.col("l_partkey").cast("string")).alias("vdes_semm_model_code"),
+        F.col("l_shipdate").alias("vdes_creation_date"),
+        F.concat(F.substring("o_orderpriority", 1, 4), (F.col("l_orderkey") % 50).cast("string")).alias("vdes_ctl_no"),
+        F.when(ln % 3 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("l_shipdate")).alias("vdes_last_updated_on"),
+        F.when(ln == 5, F.lit(None).cast("string")).when(F.col("l_returnflag") == "R", "X")
+        .otherwise(F.col("l_linestatus")).alias("vdes_status"),
+        F.col("l_partkey").cast("string").alias("vdes_item_part_no"),
+        F.col("l_suppkey").cast("string").alias("vdes_ctrr_vend_code"),
+        F.concat(F.lit("defect "), F.col("l_returnflag"), F.col("l_linestatus")).alias("vdes_prob_desc"),
+        F.col("l_linestatus").alias("vdes_catg"),
+        F.when(ln > 3, "Y").otherwise("N").alias("vdes_repeat_flag"),
+        F.lpad((F.col("l_suppkey") % 7).cast("string"), 3, "0").alias("vdes_cause_code"),
+        (F.col("o_custkey") % 30).cast("string").alias("vdes_psln_plant"),
+        ln.cast("string").alias("vdes_section"))
+    semm = p.select(
+        F.concat(F.lit("Y"), F.substring("p_type", 1, 2), F.col("p_partkey").cast("string")).alias("semm_model_code"),
+        F.when(F.col("p_partkey") % 9 == 0, F.lit(" "))
+        .otherwise(F.concat(F.lit("Y"), F.substring("p_type", 1, 2), (F.col("p_size") % 10).cast("string")))
+        .alias("semm_basic_model"))
+    item = p.select(F.col("p_partkey").cast("string").alias("item_code"), F.col("p_name").alias("item_desc")) \
+        .unionByName(p.filter(F.col("p_partkey") % 5 == 0).select(
+            F.col("p_partkey").cast("string").alias("item_code"), F.upper("p_name").alias("item_desc")))
+    dfcc = r.select(F.col("r_regionkey").cast("string").alias("dfcc_code"), F.col("r_name").alias("dfcc_desc"))
+    wrpn = n.select(F.col("n_nationkey").cast("string").alias("wrpn_code"), F.col("n_name").alias("wrpn_desc"))
+    l2 = li.select(F.col("l_linenumber").alias("k")).distinct()
+    k = F.col("k")
+    wc = l2.select(F.when(k == 1, "EN-body").when(k == 2, "QA").when(k == 3, " yo paint")
+                   .when(k == 4, F.lit(None).cast("string")).otherwise(F.concat(F.lit("prod"), k.cast("string")))
+                   .alias("wc_dept_code"),
+                   F.concat(F.lit("WC"), k.cast("string")).alias("wc_name"), k.cast("string").alias("wc_rec_no"))
+    return {"vdes": vdes, "semm": semm, "item": item, "dfcc": dfcc, "wrpn": wrpn, "wc": wc,
+            "ctrr": vendor_hierarchy(spark, sf)}
+
+
+LINE_DEFECT_SQL = """
+vdes AS (SELECT 'Y' || substr(p_type, 1, 2) || CAST(l_partkey AS VARCHAR) AS vdes_semm_model_code,
+       l_shipdate AS vdes_creation_date,
+       substr(o_orderpriority, 1, 4) || CAST(l_orderkey % 50 AS VARCHAR) AS vdes_ctl_no,
+       CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_shipdate END AS vdes_last_updated_on,
+       CASE WHEN l_linenumber = 5 THEN NULL WHEN l_returnflag = 'R' THEN 'X' ELSE l_linestatus END AS vdes_status,
+       CAST(l_partkey AS VARCHAR) AS vdes_item_part_no, CAST(l_suppkey AS VARCHAR) AS vdes_ctrr_vend_code,
+       'defect ' || l_returnflag || l_linestatus AS vdes_prob_desc, l_linestatus AS vdes_catg,
+       CASE WHEN l_linenumber > 3 THEN 'Y' ELSE 'N' END AS vdes_repeat_flag,
+       lpad(CAST(l_suppkey % 7 AS VARCHAR), 3, '0') AS vdes_cause_code,
+       CAST(o_custkey % 30 AS VARCHAR) AS vdes_psln_plant, CAST(l_linenumber AS VARCHAR) AS vdes_section
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+semm AS (SELECT 'Y' || substr(p_type, 1, 2) || CAST(p_partkey AS VARCHAR) AS semm_model_code,
+       CASE WHEN p_partkey % 9 = 0 THEN ' ' ELSE 'Y' || substr(p_type, 1, 2) || CAST(p_size % 10 AS VARCHAR) END
+         AS semm_basic_model FROM part),
+item AS (SELECT CAST(p_partkey AS VARCHAR) AS item_code, p_name AS item_desc FROM part
+         UNION ALL SELECT CAST(p_partkey AS VARCHAR), upper(p_name) FROM part WHERE p_partkey % 5 = 0),
+dfcc AS (SELECT CAST(r_regionkey AS VARCHAR) AS dfcc_code, r_name AS dfcc_desc FROM region),
+wrpn AS (SELECT CAST(n_nationkey AS VARCHAR) AS wrpn_code, n_name AS wrpn_desc FROM nation),
+wc AS (SELECT CASE k WHEN 1 THEN 'EN-body' WHEN 2 THEN 'QA' WHEN 3 THEN ' yo paint' WHEN 4 THEN NULL
+              ELSE 'prod' || CAST(k AS VARCHAR) END AS wc_dept_code, 'WC' || CAST(k AS VARCHAR) AS wc_name,
+              CAST(k AS VARCHAR) AS wc_rec_no FROM (SELECT DISTINCT l_linenumber AS k FROM lineitem))"""

@@ -226,3 +226,54 @@ def warranty_claims(src: dict, as_of, window=("2016-04-01", "2035-03-31"), deind
     x = x.withColumn("glue_last_updated", D.load_ts_text(as_of))
     return P.with_uid(x, WARRANTY_OUT + ["base_model_code", "platform", "engine_type", "causal_part_name"],
                       as_of)
+
+
+LINE_OUT = ["model_code", "part_number", "part_name", "vendor_code", "vendor_name", "observation",
+            "defect_category", "rep_defect", "causes_category", "plant", "pmonth_year", "session", "month",
+            "glue_last_updated", "defect_resp", "wc_dept_code", "wc_name", "wc_rec_no", "base_model_code",
+            "date", "control_no", "last_update_on", "line_status", "location"]
+
+
+def line_defects(src: dict, as_of) -> DataFrame:
+    """In-line defect register.
+
+    A02 max item name per code -> J11 vendor parent name (over the distinct
+    vendor codes) -> J09 six-way left-join star incl. an integer-cast text
+    key -> D05 month label/name -> D01 session -> P08/P09 blank model code
+    filled from the full code -> W04/W08 keep rows unique on (date, control
+    no) or updated -> F02 drop status X keeping nulls -> X04 responsibility
+    -> X01 base model -> F08 -> F01 -> X06 location -> P01 projection.
+    """
+    from tessera.operators import aggregates as A
+    from tessera.operators import joins as J
+    from tessera.operators import windows as W
+    v = src["vdes"]
+    item = A.max_per_key(src["item"], "item_code", "item_desc")
+    vend = J.resolve_parent(v.select(F.col("vdes_ctrr_vend_code").alias("vendor_code")).distinct(),
+                            "vendor_code", src["ctrr"], "ctrr_code", "ctrr_parent_vend_code", "ctrr_name",
+                            "vend_name").distinct()
+    x = v.join(src["semm"], v["vdes_semm_model_code"] == src["semm"]["semm_model_code"], "left") \
+        .join(item, v["vdes_item_part_no"] == item["item_code"], "left")
+    x = J.join_cast_key(x, src["dfcc"], "vdes_cause_code", "dfcc_code", how="left")
+    x = x.join(vend, x["vdes_ctrr_vend_code"] == vend["vendor_code"], "left") \
+        .join(src["wrpn"], x["vdes_psln_plant"] == src["wrpn"]["wrpn_code"], "left") \
+        .join(src["wc"], x["vdes_section"] == src["wc"]["wc_rec_no"], "left")
+    x = x.select(F.col("semm_basic_model").alias("model_code"), F.col("semm_model_code").alias("full_model_code"),
+                 F.col("vdes_creation_date").alias("date"), F.col("vdes_ctl_no").alias("control_no"),
+                 F.col("vdes_last_updated_on").alias("last_update_on"), F.col("vdes_status").alias("line_status"),
+                 F.col("vdes_item_part_no").alias("part_number"), F.col("item_desc").alias("part_name"),
+                 F.col("vdes_ctrr_vend_code").alias("vendor_code"), F.col("vend_name").alias("vendor_name"),
+                 F.col("vdes_prob_desc").alias("observation"), F.col("vdes_catg").alias("defect_category"),
+                 F.col("vdes_repeat_flag").alias("rep_defect"), F.col("dfcc_desc").alias("causes_category"),
+                 F.col("wrpn_desc").alias("plant"), "wc_dept_code", "wc_name", "wc_rec_no")
+    x = x.withColumn("pmonth_year", D.month_year("date")).withColumn("session", D.fiscal_session("date")) \
+        .withColumn("model_code", V.fill_from("model_code", "full_model_code", 5)).drop("full_model_code") \
+        .withColumn("month", D.month_name("date"))
+    x = W.dedup_prefer_updated(x, ["date", "control_no"], "last_update_on")
+    x = FL.exclude_keep_null(x, "line_status", ["X"])
+    x = x.withColumn("glue_last_updated", D.load_ts_text(as_of)) \
+        .withColumn("defect_resp", S.responsibility("wc_dept_code")) \
+        .withColumn("base_model_code", S.prefix("model_code", 3))
+    x = FL.filter_codes(x, "model_code", "base_model_code")
+    x = x.withColumn("location", S.location("control_no"))
+    return x.select(*LINE_OUT)
