@@ -277,3 +277,61 @@ def line_defects(src: dict, as_of) -> DataFrame:
     x = FL.filter_codes(x, "model_code", "base_model_code")
     x = x.withColumn("location", S.location("control_no"))
     return x.select(*LINE_OUT)
+
+
+def _with_parts(df: DataFrame, key: str, text: str, parts: DataFrame) -> DataFrame:
+    from tessera.operators import text as TX
+    m = TX.match_part(df.select(key, text), key, text, parts, "p_name", "p_partkey")
+    return df.join(m, key, "left")
+
+
+def field_reports(reports: DataFrame, obs: DataFrame, partmap: DataFrame, as_of) -> DataFrame:
+    """Field technical reports.
+
+    S05 appended files (caller) -> P01 -> J16 part name by number (default
+    ``''``) -> X15 keyword lists -> C02 subject -> observation type -> D01 ->
+    D05 -> P04 uid -> X03 mileage/days digits -> X04 -> X01 -> F08 -> F01.
+    """
+    from tessera.operators import joins as J
+    from tessera.operators import projections as P
+    from tessera.operators import text as TX
+    x = J.map_lookup(reports, "causal_parts_no", partmap, "part_number", "part_name",
+                     "causal_parts_name_english", order="ord", default="")
+    x = x.withColumn("subject_english", F.coalesce(F.col("subject_english"), F.lit("")))
+    cls = TX.classify_text(x.select("sbpr_no", "subject_english"), "sbpr_no", "subject_english",
+                           obs, "observation_type", "keywords", out_label="_obs", out_score="_obs_score")
+    x = x.join(cls, "sbpr_no", "left").withColumn("subject_english", F.col("_obs")).drop("_obs", "_obs_score")
+    x = x.withColumn("session", D.fiscal_session("date_of_incident")) \
+        .withColumn("glue_last_updated", D.load_ts_text(as_of)) \
+        .withColumn("pmonth_year", D.month_year("date_of_incident"))
+    x = P.with_uid(x, ["sbpr_no"], as_of)
+    x = x.withColumn("mileage", S.digits("mileage_using_time")).withColumn("days", S.digits("days_used")) \
+        .withColumn("defect_response", S.responsibility("Defect_resp")) \
+        .withColumn("base_model_code", S.prefix("product_model_code", 3))
+    x = FL.not_null(x, ["product_model_code"])
+    return FL.filter_codes(x, "product_model_code", "base_model_code")
+
+
+def change_notes(notes: DataFrame, parts: DataFrame, as_of) -> DataFrame:
+    """Engineering change notes: C03 part from the change text -> X02 dash at
+    position 6 dropped from both part numbers -> D01 -> P03."""
+    x = _with_parts(notes, "ecn_no", "contents_of_change", parts)
+    return x.withColumn("part_num_1", S.remove_dash("part_num_1")) \
+        .withColumn("part_num_2", S.remove_dash("part_num_2")) \
+        .withColumn("session", D.fiscal_session("reg_dt")) \
+        .withColumn("glue_last_updated", D.load_ts_text(as_of))
+
+
+def problem_register(rows: DataFrame, key: str, text: str, parts: DataFrame, obs: DataFrame, as_of,
+                     keep) -> DataFrame:
+    """Past-problem / supplier-quality registers: C03 part name, score and
+    number, C02 observation type (and its category), P01, P03, X01."""
+    from tessera.operators import text as TX
+    x = _with_parts(rows, key, text, parts).withColumnRenamed("part_score", "pn_pred_score")
+    cls = TX.classify_text(rows.select(key, text), key, text, obs, "observation_type", "keywords",
+                           out_label="observation_type", out_score="_s").drop("_s")
+    x = x.join(cls, key, "left").join(obs.select("observation_type", "category"), "observation_type", "left")
+    x = x.withColumn("glue_last_updated", D.load_ts_text(as_of)) \
+        .withColumn("base_model_code", S.prefix("model_code", 3))
+    return x.select(*keep, "part_name", "pn_pred_score", "part_number", "observation_type", "category",
+                    "glue_last_updated", "base_model_code")

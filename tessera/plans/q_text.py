@@ -317,3 +317,38 @@ def x11(spark, sf):
     return res.select("doc_id",
                       F.when(F.col("vehicle_category").isNull(), F.lit(None).cast("string"))
                       .otherwise(F.col("model_name")).alias("model_name"), "vehicle_category")
+
+
+# ------------------------------------------------------------------ SQL twins as CTE builders
+# (used by the text marts: each returns CTE text ending in a relation
+# ``{p}_best(<keys>, label, score)``)
+
+def classify_ctes(p: str, docs: str, keys: list[str], text: str, dict_rel: str, label: str = "label") -> str:
+    """Bag-of-words classification of ``docs`` (a relation with ``keys`` and
+    ``text``) against ``dict_rel(label, kw list)``; ties -> smallest label,
+    no overlap -> smallest label with 0."""
+    k = ", ".join(keys)
+    on = " AND ".join(f"d.{c} = b.{c}" for c in keys)
+    return f"""
+{p}_d AS (SELECT {k}, unnest(string_split(lower({text}), ' ')) AS tok FROM {docs}),
+{p}_dt AS (SELECT {k}, tok, count(*) AS c FROM {p}_d GROUP BY ALL),
+{p}_dn AS (SELECT {k}, sqrt(sum(c * c)) AS nrm FROM {p}_dt GROUP BY ALL),
+{p}_k AS (SELECT {label} AS label, unnest(kw) AS tok FROM {dict_rel}),
+{p}_kt AS (SELECT label, tok, count(*) AS c FROM {p}_k GROUP BY ALL),
+{p}_kn AS (SELECT label, sqrt(sum(c * c)) AS nrm FROM {p}_kt GROUP BY label),
+{p}_dot AS (SELECT {", ".join("dt." + c for c in keys)}, kt.label, sum(dt.c * kt.c) AS dp
+            FROM {p}_dt dt JOIN {p}_kt kt USING (tok) GROUP BY ALL),
+{p}_sc AS (SELECT {", ".join("x." + c for c in keys)}, x.label, dp / (dn.nrm * kn.nrm) AS score
+           FROM {p}_dot x JOIN {p}_dn dn USING ({k}) JOIN {p}_kn kn USING (label)),
+{p}_b1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY score DESC, label) AS rn
+                          FROM {p}_sc) WHERE rn = 1),
+{p}_best AS (SELECT {", ".join("d." + c for c in keys)}, coalesce(b.label, (SELECT min({label}) FROM {dict_rel})) AS label,
+                    round(coalesce(b.score, 0) * 100, 2) AS score
+             FROM {docs} d LEFT JOIN {p}_b1 b ON {on})"""
+
+
+PART_DICT_SQL = """
+pd AS (SELECT p_name AS label, min(p_partkey) AS part_number, string_split(lower(p_name), ' ') AS kw
+       FROM part GROUP BY p_name)"""
+
+KEYWORD_DICT_SQL = _KW_SQL.strip()
