@@ -335,3 +335,46 @@ def problem_register(rows: DataFrame, key: str, text: str, parts: DataFrame, obs
         .withColumn("base_model_code", S.prefix("model_code", 3))
     return x.select(*keep, "part_name", "pn_pred_score", "part_number", "observation_type", "category",
                     "glue_last_updated", "base_model_code")
+
+
+def problem_reports(reports: DataFrame, labels: DataFrame, docs: DataFrame, obs: DataFrame, as_of,
+                    bucket) -> DataFrame:
+    """Summary problem reports.
+
+    J15 two left merges on differently named keys with full-row dedup -> D08
+    date text parsed (bad -> null) -> W07 forward fill in report order
+    (bucketed so no task holds every report) -> X01 -> P12 text of several
+    columns -> C02 observation type -> X04 -> X02 -> D01 -> P04 uid.
+    """
+    from tessera.operators import joins as J
+    from tessera.operators import projections as P
+    from tessera.operators import text as TX
+    from tessera.operators import windows as W
+    x = J.left_merge_dedup(reports, labels, "conv_id", "label_doc")
+    x = J.left_merge_dedup(x, docs, "conv_id", "doc_key")
+    x = x.withColumn("date", F.to_date(D.parse_date("date_txt", ("dd/MM/yyyy",))))
+    x = W.ffill(x, "date", ["conv_id", "turn"], bucket=bucket)
+    x = x.withColumn("model_code", S.prefix("part_no", 5)).withColumn("all", S.join_text("role", "text"))
+    cls = TX.classify_text(x.select("report_id", "all"), "report_id", "all", obs, "observation_type",
+                           "keywords", out_label="observation_type", out_score="obs_score")
+    x = x.join(cls, "report_id", "left") \
+        .withColumn("defect_resp", S.responsibility("dept")) \
+        .withColumn("part_number", S.remove_dash("part_no")) \
+        .withColumn("session", D.fiscal_session("date"))
+    x = P.with_uid(x, ["conv_id", "turn"], as_of)
+    return x.select("report_id", "conv_id", "turn", "date", "part_number", "model_code", "observation_type",
+                    "obs_score", "defect_resp", "session", "uid", "quality", "toxic", "lang")
+
+
+def defect_log(raw: DataFrame, key: str, text: str, parts: DataFrame, obs: DataFrame, as_of) -> DataFrame:
+    """In-plant defect log: X18 column names cleaned -> X04 -> C03 -> C02 ->
+    D01 -> D05 -> X01."""
+    from tessera.operators import text as TX
+    x = raw.toDF(*S.clean_columns_names(raw.columns))
+    x = x.withColumn("defect_resp", S.responsibility("resp_dept"))
+    x = _with_parts(x, key, text, parts)
+    cls = TX.classify_text(x.select(key, text), key, text, obs, "observation_type", "keywords",
+                           out_label="observation_type", out_score="obs_score")
+    x = x.join(cls, key, "left").withColumn("session", D.fiscal_session("found_on")) \
+        .withColumn("pmonth_year", D.month_year("found_on")).withColumn("base_model_code", S.prefix("model_code", 3))
+    return x.drop(text)
