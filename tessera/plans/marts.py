@@ -378,3 +378,108 @@ def defect_log(raw: DataFrame, key: str, text: str, parts: DataFrame, obs: DataF
     x = x.join(cls, key, "left").withColumn("session", D.fiscal_session("found_on")) \
         .withColumn("pmonth_year", D.month_year("found_on")).withColumn("base_model_code", S.prefix("model_code", 3))
     return x.drop(text)
+
+
+# Fuel names searched in social posts.
+FUEL_NAMES = ["petrol", "diesel", "cng", "lpg"]
+
+
+def social_features(posts: DataFrame, props: DataFrame, model_terms: DataFrame, model_canon: DataFrame,
+                    model_cat: DataFrame, part_terms: DataFrame, part_cat: DataFrame, channels,
+                    stop_words=None) -> DataFrame:
+    """Social posts, feature part.
+
+    F07 language ``en`` and channel list -> X10 clean text -> X11 model /
+    part / fuel terms (leftmost term, canonical name, category; all null when
+    a step misses) -> M01 keys of the property map -> M02 sentiment -> X12
+    owner falls back to the folder -> F09 spam flag.
+    """
+    from tessera.operators import joins as J
+    from tessera.operators import text as TX
+    p = FL.filter_channel(posts, "sn_type", channels, lang_col="language", lang="en")
+    p = p.withColumn("tokens", S.clean_tokens("message", stop_words)) \
+        .withColumn("processed_text", F.array_join("tokens", " "))
+    m = TX.extract_term(p, "post_id", F.col("tokens"), model_terms, "term", "tpos", max_words=3)
+    m = m.join(model_canon, "term").join(model_cat, "model_name", "left") \
+        .select("post_id", F.when(F.col("vehicle_category").isNull(), F.lit(None).cast("string"))
+                .otherwise(F.col("model_name")).alias("model_name"), "vehicle_category", "real_oem")
+    pt = TX.extract_term(p, "post_id", F.col("tokens"), part_terms, "term", "tpos", max_words=1) \
+        .join(part_cat, "term", "left") \
+        .select("post_id", F.when(F.col("part_name_category").isNull(), F.lit(None).cast("string"))
+                .otherwise(F.col("term")).alias("part_name"),
+                F.when(F.col("part_name_category").isNull(), F.lit(None).cast("string"))
+                .otherwise(F.col("part_name_type")).alias("part_name_type"), "part_name_category")
+    fuel_terms = p.sparkSession.createDataFrame([(f, i) for i, f in enumerate(FUEL_NAMES)], "term string, tpos int")
+    fu = TX.extract_term(p, "post_id", F.col("tokens"), fuel_terms, "term", "tpos", max_words=1) \
+        .withColumnRenamed("term", "fuel_type")
+    p = p.join(m, "post_id", "left").join(pt, "post_id", "left").join(fu, "post_id", "left")
+    p = p.join(props, "post_id", "left")
+    p = p.withColumn("sentiment", V.norm_sentiment(V.json_get("workflow_properties", "sentiment"))) \
+        .withColumn("is_spam", V.json_get("workflow_properties", "isSpam")) \
+        .withColumn("message_category", V.json_get("workflow_properties", "messageCategory")) \
+        .withColumn("oem", F.coalesce("real_oem", "folder_name")) \
+        .withColumn("filter_flag", FL.spam_flag("message"))
+    _ = J
+    return p.drop("workflow_properties", "tokens")
+
+
+def social_scores(feat: DataFrame, phrases: DataFrame, n_phrases: DataFrame, kw_dict: DataFrame,
+                  n_classes: int, weights: dict, masks: DataFrame) -> DataFrame:
+    """Only gated posts (F10) are scored; category (masked by the part
+    category) and feedback tasks blend the phrase score (C04) and the
+    keyword cosine (C01) of the post's top keywords (C06); ungated posts keep
+    null predictions (left join back)."""
+    from tessera.operators import text as TX
+    gated = feat.filter(FL.score_gate("model_name", "part_name", "filter_flag", "sentiment")) \
+        .select("post_id", "processed_text", "part_name_category")
+    kw = TX.top_keywords(gated, "post_id", F.split("processed_text", " "), k=20)
+    toks = kw.select("post_id", F.explode(F.split("keywords", ", ")).alias("token"))
+    ps = TX.phrase_scores(toks, "post_id", "token", phrases, "cls", "phrase", "pword", n_phrases)
+    bow = TX.bow_cosine(kw.select("post_id", F.regexp_replace("keywords", ", ", " ").alias("t")), "post_id", "t",
+                        kw_dict, "item_id", "kw") \
+        .groupBy("post_id", (F.col("item_id") % n_classes).cast("int").alias("cls")).agg(F.max("score").alias("bow"))
+    classes = feat.sparkSession.range(n_classes).select(F.col("id").cast("int").alias("cls"), F.col("id").alias("pos"))
+    allowed = gated.join(masks, "part_name_category").select("post_id", "cls")
+    out = gated.select("post_id")
+    for task, mask in (("category", allowed), ("feedback", None)):
+        w1, w2 = weights[task]
+        pred = TX.blend_predict(ps.withColumn("cls", F.col("cls").cast("int")), bow, "post_id", "cls",
+                                "max_score", "bow", w1, w2, classes, "pos", mask)
+        pred = gated.select("post_id").join(pred, "post_id", "left").select(
+            "post_id", F.coalesce("label", F.lit(0)).alias(f"{task}_label"),
+            F.round(F.coalesce("score", F.lit(0.0)), 6).alias(f"{task}_score"))
+        out = out.join(pred, "post_id")
+    return feat.join(out, "post_id", "left")
+
+
+SOCIAL_SCHEMA = [("id", "string"), ("post_id", "bigint"), ("oem", "string"), ("sn_type", "string"),
+                 ("message", "string"), ("processed_text", "string"), ("sn_created_time", "timestamp_ntz"),
+                 ("model_name", "string"), ("vehicle_category", "string"), ("part_name", "string"),
+                 ("part_name_category", "string"), ("fuel_type", "string"), ("sentiment", "int"),
+                 ("filter_flag", "int"), ("category_label", "int"), ("category_score", "double"),
+                 ("feedback_label", "int"), ("feedback_score", "double"), ("permalink", "string"),
+                 ("sn_created_time_month", "date"), ("session", "string"), ("glue_last_updated", "string")]
+
+
+def social_load(scored: DataFrame, as_of, text_len: int = 4000, link_len: int = 255) -> DataFrame:
+    """Social posts, load part: P05 deterministic row id -> D10 month start
+    -> D01 -> P02 declared types -> X09 byte-bounded trims -> W05 keep one
+    row per message (largest id; null messages untouched) -> U07 redaction
+    of neutral posts up to 12 months old and of all older posts."""
+    from pyspark.sql import types as T
+
+    from tessera.operators import projections as P
+    from tessera.operators import sets as U
+    from tessera.operators import windows as W
+    x = P.with_row_id(scored, ["post_id", "folder_name"], name="id")
+    x = x.withColumn("glue_last_updated", D.load_ts_text(as_of)) \
+        .withColumn("sn_created_time_month", D.month_start("sn_created_time")) \
+        .withColumn("session", D.fiscal_session("sn_created_time")) \
+        .withColumn("filter_flag", F.col("filter_flag").cast("int"))
+    x = x.withColumn("message", S.trim_escaped("message", text_len)) \
+        .withColumn("processed_text", S.trim_escaped("processed_text", text_len)) \
+        .withColumn("permalink", F.substring(F.col("permalink").cast("string"), 1, link_len))
+    schema = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in SOCIAL_SCHEMA])
+    x = P.apply_schema(x, schema)
+    x = W.dedup_keep_max(x, "message", "id")
+    return U.redact(x, "sn_created_time", "sentiment", ["message", "processed_text"], as_of)
