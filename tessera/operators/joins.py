@@ -27,11 +27,28 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
     The check is ``limit(max_rows + 1).count()``, which stops reading as soon
-    as the bound is passed, so it is cheap even when the side is large.
-    Beyond the bound the frame is returned unchanged (shuffle join).
+    as the bound is passed, so it is cheap even when the side is large; its
+    answer is remembered per plan.  Beyond the bound the frame is returned
+    unchanged (shuffle join; AQE may still pick a broadcast from runtime
+    sizes).  Dimensions whose size is bounded by construction (a month
+    calendar, a band table, a code list) are broadcast directly instead.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    fits = _FITS.get(key)
+    if fits is None:
+        fits = df.limit(max_rows + 1).count() <= max_rows
+        _FITS[key] = fits
+    return F.broadcast(df) if fits else df
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """Whether :func:`bounded_broadcast` would broadcast ``df`` (memoised)."""
+    return bounded_broadcast(df, max_rows) is not df
+
+
+# checks already made in this process, keyed by the plan's semantic hash, so
+# a dimension used by several joins of one plan is counted once
+_FITS: dict = {}
 
 
 def _on(a: DataFrame, b: DataFrame, a_keys, b_keys) -> Column:

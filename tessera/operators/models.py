@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from tessera.functions import strings as S
 from tessera.functions import values as V
-from tessera.operators.joins import bounded_broadcast
 
 # Model-quality thresholds as the source ships them
 # (usecase, metric_name, unit, base_threshold, critical_threshold, expected_value).
@@ -245,7 +244,8 @@ def thresholds(spark) -> DataFrame:
 
 def traffic_light(metrics: DataFrame, thresholds_df: DataFrame, value: str = "metric_value") -> DataFrame:
     """Green at or above base, Amber at or above critical, else Red."""
-    j = metrics.join(bounded_broadcast(thresholds_df, 100_000), "metric_name")
+    # thresholds: one row per metric, a fixed configuration table
+    j = metrics.join(F.broadcast(thresholds_df), "metric_name")
     v = F.col(value)
     return j.withColumn("status", F.when(v >= F.col("base_threshold"), "Green")
                         .when(v >= F.col("critical_threshold"), "Amber")

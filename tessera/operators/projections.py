@@ -64,7 +64,12 @@ def global_index(df: DataFrame, order_cols, name: str = "_idx") -> DataFrame:
     partition count table, broadcast back).
     """
     from pyspark.sql import Window
+
+    from tessera.session import cut_lineage
     spark = df.sparkSession
+    # the numbering reads its input three times (range sample, partition
+    # counts, rows): materialise it once in the shared checkpoint folder
+    df = cut_lineage(df.select(*df.columns))
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     # monotonically_increasing_id = (partition index << 33) + position in the
     # partition, so after a range shuffle and a local sort the position is the

@@ -284,8 +284,8 @@ def enrich_outcomes(outcomes: DataFrame, meta: DataFrame, job_frequency: str,
                     solution_type: str, solution_category: str) -> DataFrame:
     """Join outcomes with rule metadata (thresholds, units) on the rule text
     and add job descriptors."""
-    from tessera.operators.joins import bounded_broadcast
-    m = bounded_broadcast(meta, 100_000)
+    # rule metadata: one row per declared rule (configuration, fixed size)
+    m = F.broadcast(meta)
     return m.join(outcomes, "rule", "inner").withColumns({
         "job_frequency": F.lit(job_frequency), "solution_type": F.lit(solution_type),
         "solution_category": F.lit(solution_category)})

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import strings as S
-from tessera.operators.joins import bounded_broadcast
+from tessera.operators.joins import bounded_broadcast, fits_broadcast
 
 DICT_BROADCAST_ROWS = 2_000_000
 
@@ -48,10 +48,12 @@ def bow_cosine(docs: DataFrame, doc_key: str, text: str, dictionary: DataFrame,
     dn = dt.groupBy(doc_key).agg(F.sqrt(F.sum(F.col("dc") * F.col("dc"))).alias("dn"))
     kt = token_counts(dictionary, label, F.col(keywords), "kc")
     kn = kt.groupBy(label).agg(F.sqrt(F.sum(F.col("kc") * F.col("kc"))).alias("kn"))
-    kt_b = bounded_broadcast(kt, DICT_BROADCAST_ROWS)
+    small = fits_broadcast(kt, DICT_BROADCAST_ROWS)
+    kt_b = F.broadcast(kt) if small else kt
     dot = dt.join(kt_b, "token").groupBy(doc_key, label) \
         .agg(F.sum(F.col("dc") * F.col("kc")).alias("dp"))
-    return dot.join(dn, doc_key).join(bounded_broadcast(kn, DICT_BROADCAST_ROWS), label) \
+    # kn has at most as many rows as kt: same decision, no second check
+    return dot.join(dn, doc_key).join(F.broadcast(kn) if small else kn, label) \
         .select(doc_key, label, (F.col("dp") / (F.col("dn") * F.col("kn"))).alias("score"))
 
 
@@ -93,32 +95,69 @@ def match_part(docs: DataFrame, doc_key: str, text: str, parts: DataFrame, name:
 
 # ------------------------------------------------------------------ bigram Jaccard
 
+def bigram_set(w: Column) -> Column:
+    """Distinct character bigrams of a word, as an array."""
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - 1, F.lit(1))),
+                                         lambda i: F.substring(w, i, 2)))
+    return F.filter(grams, lambda g: F.length(g) == 2)
+
+
 def word_bigrams(words: DataFrame, word: str) -> DataFrame:
     """(word, bigram, nb) with the distinct character bigrams of each word
     and their count ``nb``."""
-    w = F.col(word)
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - 1, F.lit(1))),
-                                         lambda i: F.substring(w, i, 2)))
-    grams = F.filter(grams, lambda g: F.length(g) == 2)
-    return words.select(w.alias(word), grams.alias("_g")) \
+    return words.select(F.col(word).alias(word), bigram_set(F.col(word)).alias("_g")) \
         .select(word, F.explode("_g").alias("bigram"), F.size("_g").alias("nb"))
 
 
 def jaccard_pairs(left: DataFrame, lw: str, right: DataFrame, rw: str,
-                  same_first_letter: bool = False) -> DataFrame:
-    """Every (left word, right word) pair sharing at least one bigram with
-    its Jaccard similarity ``inter / union`` of bigram sets.  Pairs that
-    share none have similarity 0 and are not emitted."""
-    lb = word_bigrams(left.select(lw).distinct(), lw).withColumnRenamed("nb", "_nl")
-    rb = word_bigrams(right.select(rw).distinct(), rw).withColumnRenamed("nb", "_nr") \
-        .withColumnRenamed("bigram", "_rbg")
-    cond = lb["bigram"] == rb["_rbg"]
+                  same_first_letter: bool = False, threshold: float | None = None) -> DataFrame:
+    """(left word, right word, sim) for word pairs sharing at least one
+    bigram, sim = Jaccard index of their bigram sets; pairs sharing none
+    have similarity 0 and are not emitted.
+
+    With a ``threshold`` only pairs with ``sim >= threshold`` are returned,
+    found by prefix filtering: bigrams are ordered by rarity and each word
+    is indexed under its first ``|A| - floor(t|A|) + 1`` bigrams only (a
+    pair reaching the threshold must share one of those), candidates are
+    verified exactly with ``array_intersect``.  Common bigrams then no
+    longer multiply the join.
+    """
+    if threshold is None:
+        lb = word_bigrams(left.select(lw).distinct(), lw).withColumnRenamed("nb", "_nl")
+        rb = word_bigrams(right.select(rw).distinct(), rw).withColumnRenamed("nb", "_nr") \
+            .withColumnRenamed("bigram", "_rbg")
+        cond = lb["bigram"] == rb["_rbg"]
+        if same_first_letter:
+            cond = cond & (F.substring(lb[lw], 1, 1) == F.substring(rb[rw], 1, 1))
+        j = lb.join(bounded_broadcast(rb, DICT_BROADCAST_ROWS), cond)
+        g = j.groupBy(lw, rw, "_nl", "_nr").agg(F.count(F.lit(1)).alias("_inter"))
+        return g.select(lw, rw, (F.col("_inter") / (F.col("_nl") + F.col("_nr") - F.col("_inter")))
+                        .alias("sim"))
+    t = float(threshold)
+    la = left.select(F.col(lw)).distinct().select(lw, bigram_set(F.col(lw)).alias("_la"))
+    ra = right.select(F.col(rw)).distinct().select(rw, bigram_set(F.col(rw)).alias("_ra"))
+    lb = la.select(lw, F.explode("_la").alias("bigram"), F.size("_la").alias("nb"))
+    rb = ra.select(rw, F.explode("_ra").alias("bigram"), F.size("_ra").alias("nb"))
+    # bigram vocabulary with frequencies: bounded by the distinct bigrams
+    freq = lb.select("bigram").unionByName(rb.select("bigram")).groupBy("bigram") \
+        .agg(F.count(F.lit(1)).alias("_df"))
+    freq = bounded_broadcast(freq, DICT_BROADCAST_ROWS)
+
+    def prefix(b: DataFrame, w: str) -> DataFrame:
+        keep = F.col("nb") - F.floor(F.col("nb") * F.lit(t)) + 1
+        win = Window.partitionBy(w).orderBy("_df", "bigram")
+        return b.join(freq, "bigram").withColumn("_r", F.row_number().over(win)) \
+            .filter(F.col("_r") <= keep).select(w, "bigram")
+    lp = prefix(lb, lw)
+    rp = prefix(rb, rw).withColumnRenamed("bigram", "_pbg")
+    cond = lp["bigram"] == rp["_pbg"]
     if same_first_letter:
-        cond = cond & (F.substring(lb[lw], 1, 1) == F.substring(rb[rw], 1, 1))
-    j = lb.join(bounded_broadcast(rb, DICT_BROADCAST_ROWS), cond)
-    g = j.groupBy(lw, rw, "_nl", "_nr").agg(F.count(F.lit(1)).alias("_inter"))
-    return g.select(lw, rw, (F.col("_inter") / (F.col("_nl") + F.col("_nr") - F.col("_inter")))
-                    .alias("sim"))
+        cond = cond & (F.substring(lp[lw], 1, 1) == F.substring(rp[rw], 1, 1))
+    cand = lp.join(bounded_broadcast(rp, DICT_BROADCAST_ROWS), cond).select(lw, rw).distinct()
+    pairs = cand.join(la, lw).join(bounded_broadcast(ra, DICT_BROADCAST_ROWS), rw)
+    inter = F.size(F.array_intersect("_la", "_ra"))
+    sim = inter / (F.size("_la") + F.size("_ra") - inter)
+    return pairs.select(lw, rw, sim.alias("sim")).filter(F.col("sim") >= t)
 
 
 # ------------------------------------------------------------------ C05
@@ -170,7 +209,7 @@ def correct_words(words: DataFrame, word: str, vocab: DataFrame, vword: str, vpo
 
 def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: DataFrame,
                   cls: str, phrase: str, pword: str, n_phrases: DataFrame,
-                  stop_words=None, threshold: float = 0.35) -> DataFrame:
+                  stop_words=None, threshold: float = 0.35, prefix_filter: bool = False) -> DataFrame:
     """Per (doc, class): ``max`` and ``mean`` over the class phrases of the
     phrase score = mean over the phrase's words (longer than 2 chars, not
     stop words) of the best similarity to any text token (< threshold -> 0).
@@ -184,15 +223,22 @@ def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: Data
     dtk = doc_tokens.filter(ok_tok).select(doc_key, token).distinct()
     pw = phrases.filter((F.length(F.col(pword)) > 2) & ~F.col(pword).isin(stop))
     n_words = pw.groupBy(cls, phrase).agg(F.count(F.lit(1)).alias("_nw"))
-    sims = jaccard_pairs(dtk.select(token).distinct(), token, pw.select(pword).distinct(), pword) \
+    # plain bigram join by default; ``prefix_filter`` switches to prefix
+    # filtering, which prunes well on natural text (rare bigrams) but not on
+    # near-uniform bigram distributions
+    sims = jaccard_pairs(dtk.select(token).distinct(), token, pw.select(pword).distinct(), pword,
+                         threshold=threshold if prefix_filter else None) \
         .filter(F.col("sim") >= threshold)
     best_word = dtk.join(sims, token).groupBy(doc_key, pword).agg(F.max("sim").alias("_m"))
-    ph = best_word.join(bounded_broadcast(pw.select(cls, phrase, pword), DICT_BROADCAST_ROWS), pword) \
+    # n_words and n_phrases are aggregates of the phrase table: one check
+    small = fits_broadcast(pw, DICT_BROADCAST_ROWS)
+    bc = (lambda d: F.broadcast(d)) if small else (lambda d: d)
+    ph = best_word.join(bc(pw.select(cls, phrase, pword)), pword) \
         .groupBy(doc_key, cls, phrase).agg(F.sum("_m").alias("_s")) \
-        .join(bounded_broadcast(n_words, DICT_BROADCAST_ROWS), [cls, phrase]) \
+        .join(bc(n_words), [cls, phrase]) \
         .withColumn("_ps", F.col("_s") / F.col("_nw"))
     agg = ph.groupBy(doc_key, cls).agg(F.max("_ps").alias("max_score"), F.sum("_ps").alias("_sum"))
-    return agg.join(bounded_broadcast(n_phrases, DICT_BROADCAST_ROWS), cls) \
+    return agg.join(bc(n_phrases), cls) \
         .select(doc_key, cls, "max_score", (F.col("_sum") / F.col("n")).alias("mean_score"))
 
 
@@ -257,7 +303,8 @@ def blend_predict(s1: DataFrame, s2: DataFrame, key: str, cls: str, score1: str,
         masked = allowed.select(key).distinct().withColumn("_masked", F.lit(True))
         j = j.join(al, [key, cls], "left").join(masked, key, "left").withColumn(
             "v", F.when(F.col("_masked") & F.col("_ok").isNull(), F.lit(0.0)).otherwise(F.col("v")))
-    j = j.join(bounded_broadcast(classes.select(cls, cls_pos), DICT_BROADCAST_ROWS), cls)
+    # the class list is the model's output space: bounded by construction
+    j = j.join(F.broadcast(classes.select(cls, cls_pos)), cls)
     best = j.groupBy(key).agg(F.min_by(F.struct(F.col(cls).alias("l"), F.col("v").alias("s")),
                                        F.struct(-F.col("v"), F.col(cls_pos))).alias("b"))
     return best.select(key, F.col("b.l").alias("label"), F.col("b.s").alias("score"))

@@ -341,7 +341,7 @@ def warranty_sources(spark: SparkSession, sf: str) -> dict:
         .withColumn("ptyp_part_desc", F.concat(F.lit("type "), F.col("ptyp_part_type"))) \
         .unionByName(spark.range(1).select(F.lit("X").alias("ptyp_part_type"),
                                            F.lit("unspecified").alias("ptyp_part_desc")))
-    judg = spark.range(1).select(F.lit("F00").alias("judg_cd"))
+    judg = o.select(F.concat(F.lit("F0"), (prio1.cast("int") - 1).cast("string")).alias("judg_cd")).distinct()
     shop = o.select(prio1.alias("code"), F.substring("o_orderpriority", 3, 20).alias("description")).distinct() \
         .unionByName(spark.range(1).select(F.lit("X").alias("code"), F.lit("UNASSIGNED").alias("description")))
     item = p.select(F.col("p_partkey").cast("string").alias("item_code"),
@@ -397,7 +397,8 @@ dm1 AS (SELECT CAST(c_custkey AS VARCHAR) AS delr_cd, 'F' AS for_cd, 'O' AS outl
 dmdl AS (SELECT * FROM dm1 UNION ALL SELECT * FROM dm1),
 ptyp AS (SELECT ptyp_part_type, 'type ' || ptyp_part_type AS ptyp_part_desc
          FROM (SELECT DISTINCT l_returnflag AS ptyp_part_type FROM lineitem) UNION ALL SELECT 'X', 'unspecified'),
-judg AS (SELECT 'F00' AS judg_cd),
+judg AS (SELECT DISTINCT 'F0' || CAST(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1 AS VARCHAR) AS judg_cd
+         FROM orders),
 shop AS (SELECT DISTINCT substr(o_orderpriority, 1, 1) AS code, substr(o_orderpriority, 3, 20) AS description FROM orders
          UNION ALL SELECT 'X', 'UNASSIGNED'),
 item AS (SELECT CAST(p_partkey AS VARCHAR) AS item_code, CASE WHEN p_partkey % 2 = 0 THEN '01' ELSE '02' END

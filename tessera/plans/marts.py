@@ -190,18 +190,21 @@ def warranty_claims(src: dict, as_of, window=("2016-04-01", "2035-03-31"), deind
                            "clm2_casual_part", multi_flags=("X",), single_flags=("X", "L"))
     vd = src["vdtl"].distinct()
     x = x.join(vd, x["clam_vin_no"] == vd["vdtl_vin"], "left")
-    dm = J.bounded_broadcast(src["dmdl"].distinct())
+    # dealers grow with the business: no hint, the planner / AQE decide
+    dm = src["dmdl"].distinct()
     x = x.join(dm, (x["clam_delr_cd"] == dm["delr_cd"]) & (x["clam_for_cd"] == dm["for_cd"])
                & (x["clam_outlet_cd"] == dm["outlet_cd"]))
     cal = src["cal"].distinct()
-    fc = J.bounded_broadcast(cal.select(F.col("month").alias("fcok_month"), F.col("fyear").alias("fcok_year"),
-                                        "caln_start_date", "caln_end_date"))
+    # calendar, bands, part types: bounded by construction (months spanned,
+    # value bands, code lists) -> broadcast without a counting job
+    fc = F.broadcast(cal.select(F.col("month").alias("fcok_month"), F.col("fyear").alias("fcok_year"),
+                                "caln_start_date", "caln_end_date"))
     x = J.range_join(x, fc, "clam_fcok_date", "caln_start_date", "caln_end_date")
-    mn = J.bounded_broadcast(cal.select("month", "fyear", "start_date", "end_date"))
+    mn = F.broadcast(cal.select("month", "fyear", "start_date", "end_date"))
     x = J.range_join(x, mn, "clam_process_dt", "start_date", "end_date")
-    x = J.band_join(x, J.bounded_broadcast(src["mile"].distinct()), "clam_odometer", "mile_start_km",
+    x = J.band_join(x, F.broadcast(src["mile"].distinct()), "clam_odometer", "mile_start_km",
                     "mile_end_km", width=10, null_as=-1)
-    x = J.join_default_key(x, J.bounded_broadcast(src["ptyp"]), "clm2_part_type", "ptyp_part_type", "X")
+    x = J.join_default_key(x, F.broadcast(src["ptyp"]), "clm2_part_type", "ptyp_part_type", "X")
     x = J.semi_join(x, src["judg"], "clam_judge_cd", "judg_cd")
     x = J.resolve_parent(x, "clam_vend_cd", src["ctrr"], "ctrr_code", "ctrr_parent_vend_code", "ctrr_name",
                          "vendor_name")
@@ -396,9 +399,12 @@ def social_features(posts: DataFrame, props: DataFrame, model_terms: DataFrame,
     """
     from tessera.operators import joins as J
     from tessera.operators import text as TX
+    from tessera.session import cut_lineage
     p = FL.filter_channel(posts, "sn_type", channels, lang_col="language", lang="en")
     p = p.withColumn("tokens", S.clean_tokens("message", stop_words)) \
         .withColumn("processed_text", F.array_join("tokens", " "))
+    # the cleaned posts feed four term searches and the output: clean once
+    p = cut_lineage(p)
     m = TX.extract_term(p, "post_id", F.col("tokens"), model_terms, "term", "tpos", max_words=3)
     m = m.join(model_canon, "term").join(model_cat, "model_name", "left") \
         .select("post_id", F.when(F.col("vehicle_category").isNull(), F.lit(None).cast("string"))
@@ -420,7 +426,9 @@ def social_features(posts: DataFrame, props: DataFrame, model_terms: DataFrame,
         .withColumn("oem", F.coalesce("real_oem", "folder_name")) \
         .withColumn("filter_flag", FL.spam_flag("message"))
     _ = J
-    return p.drop("workflow_properties", "tokens")
+    # staged boundary (the source writes the features as staged files before
+    # scoring and loading): materialise once in the shared checkpoint folder
+    return cut_lineage(p.drop("workflow_properties", "tokens"))
 
 
 def social_scores(feat: DataFrame, phrases: DataFrame, n_phrases: DataFrame, kw_dict: DataFrame,

@@ -171,3 +171,16 @@ def test_classify_text_tie_and_no_overlap(spark):
     d = spark.createDataFrame([(10, ["brake"]), (11, ["noise"])], "label int, kw array<string>")
     got = {r["id"]: (r["label"], r["score"]) for r in TX.classify_text(docs, "id", "text", d, "label", "kw").collect()}
     assert got[1][0] == 10 and got[2] == (10, 0.0) and got[3] == (10, 0.0)
+
+
+def test_jaccard_prefix_filter_is_exact(spark):
+    import random
+    rnd = random.Random(7)
+    letters = "abcdefgh"
+    left = [("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 9))),) for _ in range(300)]
+    right = [("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 9))),) for _ in range(80)]
+    a = spark.createDataFrame(left, "w string")
+    b = spark.createDataFrame(right, "v string")
+    full = TX.jaccard_pairs(a, "w", b, "v").filter(F.col("sim") >= 0.35)
+    pref = TX.jaccard_pairs(a, "w", b, "v", threshold=0.35)
+    assert rows(full, "w", "v", "sim") == rows(pref, "w", "v", "sim")
