@@ -34,8 +34,8 @@ def minmax(df: DataFrame, col: str, part=(), out: str | None = None) -> DataFram
     """Min-max scaling of one column, globally or per ``part``; a constant
     column (or group) scales to 0.
 
-    The bounds are a (partial) aggregate; globally it is one row, joined
-    back as a broadcast on a constant key — no one-partition window.
+    The bounds are a (partial) aggregate; globally it is a scalar subquery
+    (computed once) — no one-partition window, no join.
     """
     out = out or col
     part = list(part)
@@ -43,8 +43,8 @@ def minmax(df: DataFrame, col: str, part=(), out: str | None = None) -> DataFram
         b = df.groupBy(*part).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
         j = df.join(b, part, "left")
     else:
-        b = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi")).withColumn("_k", F.lit(1))
-        j = df.withColumn("_k", F.lit(1)).join(F.broadcast(b), "_k", "left").drop("_k")
+        b = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+        j = df.withColumns({"_lo": b.getField("lo"), "_hi": b.getField("hi")})
     return j.withColumn(out, V.minmax_expr(col, "_lo", "_hi")).drop("_lo", "_hi")
 
 
@@ -280,15 +280,14 @@ def run_record(metrics: DataFrame, win: DataFrame, run_id: str, usecase: str, st
     scores = metrics.agg(F.array_sort(F.collect_list(F.struct(
         F.col("algoname").alias("algo_name"), F.col("metric_value").cast("double").alias("algo_score"))))
         .alias("algo_scores"))
-    rec = scores.withColumn("_one", F.lit(1)).join(
-        F.broadcast(win.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    rec = scores.withColumn("winningalgo", win.select("winningalgo").scalar())
     for stage, (start, end) in stages.items():
         rec = rec.withColumn(stage, F.struct(F.lit(int(start)).cast("bigint").alias("start_time"),
                                              F.lit(int(end)).cast("bigint").alias("end_time")))
     if status is not None:
-        tot = status.agg(F.count(F.lit(1)).alias("total_jobs"),
-                         F.count_if(F.col("status") == "Failed").alias("failed_jobs")).withColumn("_one", F.lit(1))
-        rec = rec.withColumn("_one", F.lit(1)).join(F.broadcast(tot), "_one").drop("_one")
+        tot = status.agg(F.struct(F.count(F.lit(1)).alias("t"),
+                                  F.count_if(F.col("status") == "Failed").alias("f"))).scalar()
+        rec = rec.withColumns({"total_jobs": tot.getField("t"), "failed_jobs": tot.getField("f")})
     return rec.select(F.lit(run_id).alias("stepjobid"), F.lit(usecase).alias("usecase_name"),
                       F.lit("Completed").alias("status"), F.col("winningalgo").alias("winner_algo"),
                       "algo_scores", *stages.keys(),

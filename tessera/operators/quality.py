@@ -75,7 +75,7 @@ def is_primary_key(c: str) -> Rule:
     mc, mu = f"Column.{c}.Completeness", f"Column.{c}.Uniqueness"
     return Rule(f"IsPrimaryKey {_q(c)}",
                 [(mc, F.count(c) / F.count(F.lit(1))),
-                 (mu, F.count_distinct(c) / F.count(F.lit(1)))],
+                 (mu, ("distinct_ratio", c))],
                 lambda ms: (ms[mc] == 1.0) & (ms[mu] == 1.0),
                 row=F.col(c).isNotNull() & (F.col(f"_kc_{c}") == 1),
                 key_counts=[c])
@@ -121,8 +121,8 @@ def values_cmp(c: str, op: str, v=None, as_of=None) -> Rule:
 def distinct_count(c: str, lo, hi) -> Rule:
     m = f"Column.{c}.DistinctValuesCount"
     return Rule(f"DistinctValuesCount {_q(c)} between {lo} and {hi}",
-                [(m, F.count_distinct(c).cast("double"))],
-                lambda ms: (ms[m] > lo) & (ms[m] < hi))
+                [(m, ("distinct", c))],
+                lambda ms: (ms[m] > lo) & (ms[m] < hi), key_counts=[c])
 
 
 def custom_sql(sql: str, lo, hi) -> Rule:
@@ -152,10 +152,21 @@ def _typed(c: Column, v) -> Column:
     return c
 
 
-def _prepare(df: DataFrame, rules) -> DataFrame:
+def _groups(df: DataFrame, rules) -> dict:
+    """One ``groupBy(c).count()`` per column that a rule counts by key; it
+    serves the row-level primary-key test (joined back) and the distinct
+    count (a scalar subquery over it), so no ``count(DISTINCT)`` expands
+    the rows."""
     keys = sorted({k for r in rules for k in r.key_counts})
-    for k in keys:
-        df = W.with_group_count(df, [k], out=f"_kc_{k}")
+    return {k: df.groupBy(k).agg(F.count(F.lit(1)).alias(f"_kc_{k}")) for k in keys}
+
+
+def _prepare(df: DataFrame, rules, groups: dict | None = None) -> DataFrame:
+    groups = _groups(df, rules) if groups is None else groups
+    for k, g in groups.items():
+        if any(k in r.key_counts and r.row is not None for r in rules):
+            g2 = g.withColumnRenamed(k, f"_gk_{k}")
+            df = df.join(g2, df[k].eqNullSafe(g2[f"_gk_{k}"]), "inner").drop(f"_gk_{k}")
     return df
 
 
@@ -193,30 +204,38 @@ def evaluate(df: DataFrame, rules, run: dict | None = None, digits: int = 6) ->
     counts (row-level rules only) and run columns.  One aggregate pass.
     """
     spark = df.sparkSession
-    p = _prepare(df, rules)
-    aggs, names = [], {}
+    groups = _groups(df, rules)
+    p = _prepare(df, rules, groups)
+    aggs, names, later = [F.count(F.lit(1)).alias("_rows")], {}, {}
     for i, r in enumerate(rules):
         for j, (mname, expr) in enumerate(r.metrics):
-            if expr is None:
-                continue
             alias = f"_m{i}_{j}"
-            aggs.append(expr.cast("double").alias(alias))
             names[(i, j)] = alias
+            if expr is None or isinstance(expr, tuple):
+                later[alias] = expr
+                continue
+            aggs.append(expr.cast("double").alias(alias))
         if r.row is not None:
             aggs.append(F.count_if(r.row).alias(f"_p{i}"))
             aggs.append(F.count_if(~r.row).alias(f"_f{i}"))
     one = p.agg(*aggs)
-    # custom SQL rules: each a scalar query over the input as view "primary"
+    # values that are not aggregates of the rows: scalar subqueries (distinct
+    # counts over the key-group tables, custom SQL over the view "primary")
     for i, r in enumerate(rules):
-        if r.custom_sql:
-            df.createOrReplaceTempView("primary")
-            val = spark.sql(r.custom_sql)
-            val = val.select(F.col(val.columns[0]).cast("double").alias(f"_c{i}")) \
-                .withColumn("_one", F.lit(1))
-            one = one.withColumn("_one", F.lit(1)).join(F.broadcast(val), "_one").drop("_one")
-            for j, (mname, expr) in enumerate(r.metrics):
-                if expr is None:
-                    names[(i, j)] = f"_c{i}"
+        for j, (mname, expr) in enumerate(r.metrics):
+            alias = names[(i, j)]
+            if alias not in later:
+                continue
+            if expr is None:
+                df.createOrReplaceTempView("primary")
+                val = spark.sql(r.custom_sql)
+                col = val.select(F.col(val.columns[0]).cast("double")).scalar()
+            else:
+                kind, c = expr
+                col = groups[c].agg(F.count(c).cast("double")).scalar()
+                if kind == "distinct_ratio":
+                    col = col / F.col("_rows")
+            one = one.withColumn(alias, col)
     structs = []
     for i, r in enumerate(rules):
         raw = {mname: F.col(names[(i, j)]) for j, (mname, _) in enumerate(r.metrics)}

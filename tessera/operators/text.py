@@ -70,10 +70,8 @@ def classify_text(docs: DataFrame, doc_key: str, text: str, dictionary: DataFram
     order = F.struct(-F.col("score"), F.col(pos))
     best = sc.groupBy(doc_key).agg(F.min_by(F.struct(F.col(label).alias("l"), F.col("score").alias("s")),
                                             order).alias("b"))
-    first = dictionary.agg(F.min_by(F.col(label), F.col(pos)).alias("_first")) \
-        .withColumn("_one", F.lit(1))
-    base = docs.select(doc_key).withColumn("_one", F.lit(1)) \
-        .join(F.broadcast(first), "_one").drop("_one")
+    first = dictionary.agg(F.min_by(F.col(label), F.col(pos))).scalar()
+    base = docs.select(doc_key, first.alias("_first"))
     res = base.join(best, doc_key, "left")
     return res.select(doc_key,
                       F.coalesce(F.col("b.l"), F.col("_first")).alias(out_label),
@@ -252,9 +250,8 @@ def top_keywords(docs: DataFrame, doc_key: str, tokens: Column, k: int = 20,
     tc = docs.select(doc_key, F.explode(tokens).alias("w")) \
         .filter((F.length("w") >= min_len) & ~F.col("w").isin(stop)) \
         .groupBy(doc_key, "w").agg(F.count(F.lit(1)).alias("tf"))
-    n_docs = docs.agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
-    df_ = tc.groupBy("w").agg(F.count(F.lit(1)).alias("df")).withColumn("_one", F.lit(1)) \
-        .join(F.broadcast(n_docs), "_one").drop("_one")
+    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    df_ = tc.groupBy("w").agg(F.count(F.lit(1)).alias("df")).withColumn("_n", n_docs)
     sc = tc.join(df_, "w").withColumn("tfidf", F.col("tf") * F.log(F.col("_n") / F.col("df")))
     w = Window.partitionBy(doc_key).orderBy(F.col("tfidf").desc(), F.col("w"))
     top = sc.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
