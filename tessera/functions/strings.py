@@ -251,9 +251,10 @@ def trim_escaped_py(text, size: int):
     if text is None:
         return None
     trm = str(text)[:size]
-    widths = [_escaped_width(ch) for ch in trm]
-    if sum(widths) < size:
+    # the escaped width of the whole head, measured by the codec (fast path)
+    if len(trm.encode("unicode_escape")) < size:
         return trm
+    widths = [_escaped_width(ch) for ch in trm]
     total, k = 0, 0
     for w in widths:
         if total + w > size:
