@@ -274,3 +274,18 @@ def s09_a01_stream(spark, sf):
     run_available_now(spark, src, sink, ck)
     out = spark.read.parquet(sink)
     return out.select("day", "event_type", F.col("n").cast("bigint").alias("n"), F.round("total", 4).alias("total"))
+
+
+_S01_SQL = """
+SELECT c.c_mktsegment AS segment, n.n_name AS nation, CAST(count(*) AS BIGINT) AS n_orders,
+       round(sum(o.o_totalprice), 2) AS revenue
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE o.o_orderstatus <> 'P'
+GROUP BY c.c_mktsegment, n.n_name"""
+
+
+@query("S01_read_query", sql=_S01_SQL)
+def s01(spark, sf):
+    """SQL over catalog tables registered as views (Catalyst prunes the
+    columns and pushes the filter into the Parquet scan)."""
+    return SR.read_query(spark, _S01_SQL, {t: table(spark, sf, t) for t in ("orders", "customer", "nation")})

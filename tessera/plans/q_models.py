@@ -274,3 +274,17 @@ def z19(spark, sf):
 
 
 _ = (AN, S)
+
+
+@query("E09_fit_trees")
+def e09(spark, sf):
+    """Boosted trees on the pooled training rows with the model keys as an
+    indexed feature (``pyspark.ml``), scored on the held-out rows; mean
+    prediction per key.  No SQL twin (iterative fit)."""
+    f = MO.with_keys(features(spark, sf).drop("is_test"), "part_name", "region")
+    f = MO.split(f, ["l_orderkey", "l_linenumber"])
+    tr, te = f.filter(~F.col("is_test")), f.filter(F.col("is_test"))
+    model, algo = MO.fit_trees(tr, ["pk", "mapping"], ["qty"], "part_probability", max_iter=10)
+    pred = model.transform(te).withColumn("algoname", F.lit(algo))
+    return pred.groupBy("pk", "mapping", "algoname").agg(F.round(F.avg("pred"), 6).alias("mean_pred"),
+                                                         F.count(F.lit(1)).alias("n_scored"))
