@@ -275,8 +275,12 @@ def _overall_sql(union_sql: str, run=RUN) -> str:
 def quality_run(spark, sf, run=RUN, as_of=AS_OF):
     """Five table rule sets evaluated, overall row per source appended."""
     from functools import reduce
+    from tessera.session import cut_lineage
     outs = [outcomes(spark, sf, s, run, as_of) for s in DQ_SOURCES]
-    allo = reduce(lambda a, b: a.unionByName(b), outs)
+    # the outcome table is written once (as the source writes it before the
+    # overall status is derived); the overall rows then read it back instead
+    # of evaluating every rule set a second time
+    allo = cut_lineage(reduce(lambda a, b: a.unionByName(b), outs))
     return Q.with_overall(allo, run)
 
 
