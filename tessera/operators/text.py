@@ -158,6 +158,67 @@ def jaccard_pairs(left: DataFrame, lw: str, right: DataFrame, rw: str,
     return pairs.select(lw, rw, sim.alias("sim")).filter(F.col("sim") >= t)
 
 
+def jaccard_matches(left: DataFrame, lw: str, right: DataFrame, rw: str, threshold: float,
+                    max_dict_rows: int = DICT_BROADCAST_ROWS) -> DataFrame:
+    """(left word, right word, sim) with bigram Jaccard ``sim >= threshold``,
+    for a bounded right side (a dictionary).
+
+    The dictionary's bigram postings (bigram -> dictionary word ids) are
+    broadcast after a size check; Spark partitions the distinct left words
+    and each Arrow batch counts, per word, the shared bigrams with every
+    dictionary word reachable through its bigrams (``numpy.bincount`` over the
+    postings) — the same candidates as the bigram equi-join, counted in
+    vectors instead of shuffled rows.  Exact: sim = inter / (|A|+|B|-inter).
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    spark = left.sparkSession
+    rd = right.select(F.col(rw).alias("w")).filter(F.col("w").isNotNull()).distinct()
+    if rd.limit(max_dict_rows + 1).count() > max_dict_rows:
+        # too large to ship: fall back to the shuffled bigram join
+        return jaccard_pairs(left, lw, right, rw).filter(F.col("sim") >= threshold)
+    dict_words = sorted(r[0] for r in rd.collect())
+    postings: dict[str, list[int]] = {}
+    sizes = np.zeros(len(dict_words), dtype=np.int64)
+    for i, wd in enumerate(dict_words):
+        grams = {wd[j:j + 2] for j in range(len(wd) - 1)}
+        sizes[i] = len(grams)
+        for g in grams:
+            postings.setdefault(g, []).append(i)
+    bc = spark.sparkContext.broadcast(
+        ({g: np.asarray(v, dtype=np.int64) for g, v in postings.items()}, sizes, dict_words))
+    t = float(threshold)
+
+    def match(batches):
+        post, nb, words = bc.value
+        n = len(words)
+        for pdf in batches:
+            out_l, out_r, out_s = [], [], []
+            for wd in pdf["w"]:
+                if wd is None:
+                    continue
+                grams = {wd[j:j + 2] for j in range(len(wd) - 1)}
+                lists = [post[g] for g in grams if g in post]
+                if not lists:
+                    continue
+                inter = np.bincount(np.concatenate(lists), minlength=n)
+                hit = np.nonzero(inter)[0]
+                sim = inter[hit] / (len(grams) + nb[hit] - inter[hit])
+                keep = sim >= t
+                for k, sv in zip(hit[keep], sim[keep]):
+                    out_l.append(wd)
+                    out_r.append(words[k])
+                    out_s.append(float(sv))
+            yield pd.DataFrame({"l": out_l, "r": out_r, "sim": out_s})
+
+    schema = T.StructType([T.StructField("l", T.StringType()), T.StructField("r", T.StringType()),
+                           T.StructField("sim", T.DoubleType())])
+    ld = left.select(F.col(lw).alias("w")).filter(F.col("w").isNotNull()).distinct()
+    return ld.mapInPandas(match, schema).select(F.col("l").alias(lw), F.col("r").alias(rw), "sim")
+
+
 # ------------------------------------------------------------------ C05
 
 def correct_words(words: DataFrame, word: str, vocab: DataFrame, vword: str, vpos: str,
@@ -221,12 +282,13 @@ def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: Data
     dtk = doc_tokens.filter(ok_tok).select(doc_key, token).distinct()
     pw = phrases.filter((F.length(F.col(pword)) > 2) & ~F.col(pword).isin(stop))
     n_words = pw.groupBy(cls, phrase).agg(F.count(F.lit(1)).alias("_nw"))
-    # plain bigram join by default; ``prefix_filter`` switches to prefix
-    # filtering, which prunes well on natural text (rare bigrams) but not on
-    # near-uniform bigram distributions
-    sims = jaccard_pairs(dtk.select(token).distinct(), token, pw.select(pword).distinct(), pword,
-                         threshold=threshold if prefix_filter else None) \
-        .filter(F.col("sim") >= threshold)
+    # bigram postings of the (bounded) phrase dictionary, counted per word in
+    # Arrow batches; ``prefix_filter`` uses the all-Spark prefix-filtered join
+    if prefix_filter:
+        sims = jaccard_pairs(dtk.select(token).distinct(), token, pw.select(pword).distinct(), pword,
+                             threshold=threshold)
+    else:
+        sims = jaccard_matches(dtk.select(token), token, pw.select(pword), pword, threshold)
     best_word = dtk.join(sims, token).groupBy(doc_key, pword).agg(F.max("sim").alias("_m"))
     # n_words and n_phrases are aggregates of the phrase table: one check
     small = fits_broadcast(pw, DICT_BROADCAST_ROWS)

@@ -287,12 +287,12 @@ def j17(spark, sf):
 
 @query("J18_join_meta", sql="""
 WITH meta AS (SELECT DISTINCT event_type AS rule_type, upper(event_type) AS rule_label FROM events)
-SELECT event_id, rule_label FROM events JOIN meta ON event_type = rule_type WHERE user_id % 10 = 0""")
+SELECT event_id, rule_label FROM events JOIN meta ON event_type = rule_type""")
 def j18(spark, sf):
     e = table(spark, sf, "events")
     meta = e.select(F.col("event_type").alias("rule_type"),
                     F.upper("event_type").alias("rule_label")).distinct()
-    x = e.filter(F.col("user_id") % 10 == 0).select("event_id", "event_type")
+    x = e.select("event_id", "event_type")
     return J.join_meta(x, meta, "event_type", "rule_type").select("event_id", "rule_label")
 
 

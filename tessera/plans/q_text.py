@@ -41,9 +41,9 @@ kwd AS (SELECT item_id, flatten(list_transform(
 
 
 def class_phrases(spark, sf):
-    """(cls, phrase, pword) words of benchmark sentences (every 4th item),
-    class = item % 5; and (cls, n) phrases per class."""
-    b = table(spark, sf, "benchmark").filter(F.col("item_id") % 4 == 0)
+    """(cls, phrase, pword) words of every benchmark sentence, class =
+    item % 5; and (cls, n) phrases per class."""
+    b = table(spark, sf, "benchmark")
     s = b.select("item_id", F.posexplode(F.split("text", r"\.", -1)).alias("si", "s"))
     w = s.select((F.col("item_id") % N_CLASSES).alias("cls"),
                  (F.col("item_id") * 1000 + F.col("si") + 1).alias("phrase"),
@@ -55,7 +55,7 @@ def class_phrases(spark, sf):
 _PHRASES_SQL = f"""
 sent AS (SELECT item_id, si, string_split(text, '.')[si] AS s
          FROM (SELECT item_id, text, unnest(range(1, len(string_split(text, '.')) + 1)) AS si
-               FROM benchmark WHERE item_id % 4 = 0)),
+               FROM benchmark)),
 pw0 AS (SELECT item_id % {N_CLASSES} AS cls, item_id * 1000 + si AS phrase,
                unnest(regexp_extract_all(lower(s), '{ALNUM_SQL}')) AS pword FROM sent),
 np AS (SELECT cls, count(*) AS n FROM (SELECT DISTINCT cls, phrase FROM pw0) GROUP BY cls)"""
@@ -125,7 +125,8 @@ def vocabulary(spark, sf):
 WITH w AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower(text), '{ALNUM_SQL}')) AS w FROM documents)
            WHERE length(w) > 2),
 voc AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{ALNUM_SQL}')) AS v FROM benchmark),
-kw AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{ALNUM_SQL}')) AS v FROM benchmark WHERE item_id % 4 = 0),
+kw AS (SELECT DISTINCT v FROM (SELECT unnest(regexp_extract_all(lower(text), '{ALNUM_SQL}')) AS v FROM benchmark)
+        WHERE length(v) > 2 AND v NOT IN ({STOP_SQL})),
 unk AS (SELECT w FROM w WHERE w NOT IN (SELECT v FROM voc)),
 bw AS (SELECT w, {_bigrams_sql('w')} AS bg FROM unk),
 bv AS (SELECT v, {_bigrams_sql('v')} AS bg FROM voc),
@@ -137,8 +138,9 @@ best AS (SELECT w, arg_min(r.v, rn) AS corr FROM r JOIN kw USING (v) WHERE rn <=
 SELECT w.w AS word, coalesce(best.corr, w.w) AS corrected FROM w LEFT JOIN best USING (w)""")
 def c05(spark, sf):
     voc = vocabulary(spark, sf)
-    kw = table(spark, sf, "benchmark").filter(F.col("item_id") % 4 == 0) \
-        .select(F.explode(alnum_tokens("text")).alias("v"))
+    # keywords: the dictionary's countable words (longer than 2, not stop
+    # words), a subset of the vocabulary
+    kw = vocabulary(spark, sf).filter((F.length("v") > 2) & ~F.col("v").isin(S.DEFAULT_STOP_WORDS))
     return TX.correct_words(doc_words(spark, sf), "w", voc.withColumn("vp", F.col("v")), "v", "vp",
                             kw, "v").withColumnRenamed("w", "word")
 

@@ -184,3 +184,16 @@ def test_jaccard_prefix_filter_is_exact(spark):
     full = TX.jaccard_pairs(a, "w", b, "v").filter(F.col("sim") >= 0.35)
     pref = TX.jaccard_pairs(a, "w", b, "v", threshold=0.35)
     assert rows(full, "w", "v", "sim") == rows(pref, "w", "v", "sim")
+
+
+def test_jaccard_matches_equals_join(spark):
+    import random
+    rnd = random.Random(11)
+    letters = "abcdefghij"
+    left = [("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 9))),) for _ in range(400)]
+    right = [("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 9))),) for _ in range(90)]
+    a = spark.createDataFrame(left, "w string")
+    b = spark.createDataFrame(right, "v string")
+    full = TX.jaccard_pairs(a, "w", b, "v").filter(F.col("sim") >= 0.35)
+    fast = TX.jaccard_matches(a, "w", b, "v", 0.35)
+    assert rows(full, "w", "v", "sim") == rows(fast, "w", "v", "sim")
