@@ -74,11 +74,14 @@ def global_index(df: DataFrame, order_cols, name: str = "_idx") -> DataFrame:
     # monotonically_increasing_id = (partition index << 33) + position in the
     # partition, so after a range shuffle and a local sort the position is the
     # rank inside the partition: no second shuffle for a window.
-    local = df.repartitionByRange(n_parts, *order_cols) \
-        .sortWithinPartitions(*order_cols) \
-        .withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_local", F.monotonically_increasing_id()
-                    - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    # Range bounds come from a sample whose seed depends on the job, so the
+    # numbered partitions are written once and both the per-partition counts
+    # and the rows are read from that copy.
+    local = cut_lineage(df.repartitionByRange(n_parts, *order_cols)
+                        .sortWithinPartitions(*order_cols)
+                        .withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_local", F.monotonically_increasing_id()
+                                    - F.shiftleft(F.col("_pid").cast("bigint"), 33)))
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
