@@ -100,7 +100,9 @@ def parse_date(text, formats=("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd-MM-yyyy",
                               "dd/MM/yyyy")) -> Column:
     """Parse text with the first format that fits; bad text -> null."""
     c = as_col(text)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    # wall-clock result (TIMESTAMP_NTZ): the same value whatever the session
+    # time zone is
+    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])
 
 
 def year_month(ts) -> tuple[Column, Column]:

@@ -154,8 +154,8 @@ def s11_e14(spark, sf):
     d = F.to_date("ts")
     rec = e.groupBy(d.alias("d")).agg(
         F.count(F.lit(1)).alias("total_jobs"), F.count_if(F.col("event_type") == "error").alias("failed_jobs"),
-        F.min(F.unix_timestamp(F.col("ts").cast("timestamp"))).alias("s"),
-        F.max(F.unix_timestamp(F.col("ts").cast("timestamp"))).alias("t"),
+        F.min(F.unix_timestamp(F.col("ts"))).alias("s"),
+        F.max(F.unix_timestamp(F.col("ts"))).alias("t"),
         F.array_sort(F.collect_set("event_type")).alias("types"))
     rec = rec.select(
         F.date_format("d", "yyyy").alias("year"), F.date_format("d", "MM").alias("month"),

@@ -381,7 +381,7 @@ SELECT run_date, CAST(count(*) AS BIGINT) AS total_jobs,
 FROM s GROUP BY run_date""")
 def a11(spark, sf):
     e = table(spark, sf, "events")
-    start = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    start = F.unix_timestamp(F.col("ts"))
     s = e.select(F.to_date("ts").alias("run_date"), (F.col("user_id") % 7).alias("model"),
                  F.when(F.col("event_type") == "error", "Failed").otherwise("Succeeded").alias("status"),
                  start.alias("start_time"), (start + F.col("value").cast("bigint")).alias("end_time"))

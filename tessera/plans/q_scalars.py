@@ -142,7 +142,7 @@ SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) + CAST(trunc(value) AS BIGINT)
 FROM events""")
 def d14(spark, sf):
     e = table(spark, sf, "events")
-    start = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    start = F.unix_timestamp(F.col("ts"))
     st = F.struct(start.alias("start_time"),
                   (start + F.col("value").cast("bigint") * 60).alias("end_time"))
     return e.select("event_id", D.elapsed_seconds(st).alias("elapsed"))

@@ -25,7 +25,10 @@ def daily_counts(stream: DataFrame, ts: str = "ts", key: str = "event_type", id_
     """Streaming plan: watermark on the event time, duplicates of an id
     dropped while within the watermark, then per-window, per-key counts and
     sums."""
-    s = stream.withColumn("_ts", F.col(ts).cast("timestamp")) \
+    # watermarks need a zoned TIMESTAMP: take the wall-clock value as a UTC
+    # instant (zone-free), so daily windows are wall-clock days whatever the
+    # session time zone
+    s = stream.withColumn("_ts", F.timestamp_seconds(F.unix_timestamp(F.col(ts)))) \
         .withWatermark("_ts", delay).dropDuplicatesWithinWatermark([id_col])
     return s.groupBy(F.window("_ts", window).alias("w"), F.col(key)) \
         .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
@@ -47,7 +50,8 @@ def run_available_now(spark: SparkSession, source_dir: str, sink_dir: str, check
     agg = daily_counts(r.parquet(source_dir))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "event_type", "n", "total") \
+        day = F.date_from_unix_date((F.unix_timestamp(F.col("w.start")) / 86400).cast("int"))
+        batch.select(day.cast("timestamp_ntz").alias("day"), "event_type", "n", "total") \
             .write.mode("overwrite").parquet(sink_dir)
 
     q = agg.writeStream.outputMode("complete").foreachBatch(write) \
