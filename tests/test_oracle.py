@@ -37,3 +37,15 @@ def test_query(spark, duck, name):
     msgs = compare(sdf.columns, {f.name: family(f.dataType.simpleString()) for f in sdf.schema.fields},
                    srows, dcols, {d[0]: family(str(d[1])) for d in rel.description}, drows)
     assert not msgs, msgs
+
+
+@pytest.mark.parametrize("name", ["D07_D08_date_text", "D14_elapsed", "A11_run_summary", "S11_E14_run_tables",
+                                  "S09_A01_streaming_daily_counts", "Z09_problem_reports"])
+def test_zone_independent(spark, duck, name):
+    """Time-sensitive queries give the same rows under a non-UTC session."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
