@@ -74,3 +74,12 @@ def run_summary(status: DataFrame, status_col: str = "status", ok: str = "Succee
         aggs.append(F.countDistinct(model_col).cast("bigint").alias("models"))
     g = status.groupBy(*keys) if keys else status
     return g.agg(*aggs)
+
+
+def count_delta(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Row counts before and after a change and their difference (one row;
+    both counts are scalar subqueries, no join)."""
+    b = before.agg(F.count(F.lit(1))).scalar()
+    a = after.agg(F.count(F.lit(1))).scalar()
+    return before.sparkSession.range(1).select(
+        b.alias("rows_before"), a.alias("rows_after"), (b - a).alias("rows_removed"))

@@ -535,3 +535,16 @@ def t01(spark, sf):
     s = table(spark, sf, "orders").select("o_custkey", F.col("o_orderpriority").alias("lbl"),
                                           F.round(F.col("o_totalprice") / 100000).alias("sc"))
     return W.best_label(s, ["o_custkey"], "lbl", "sc")
+
+
+@query("A10_count_delta", sql="""
+WITH t AS (SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN NULL ELSE text END AS t FROM documents),
+m AS (SELECT t AS k, max(doc_id) AS mx FROM t WHERE t IS NOT NULL GROUP BY t),
+kept AS (SELECT doc_id FROM t LEFT JOIN m ON t.t = m.k WHERE m.mx IS NULL OR t.doc_id = m.mx)
+SELECT (SELECT count(*) FROM t) AS rows_before, (SELECT count(*) FROM kept) AS rows_after,
+       (SELECT count(*) FROM t) - (SELECT count(*) FROM kept) AS rows_removed""")
+def a10(spark, sf):
+    """Rows before and after removing duplicate texts (keep the largest id)."""
+    d = table(spark, sf, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 50 == 0, F.lit(None).cast("string")).otherwise(F.col("text")).alias("t"))
+    return A.count_delta(d, W.dedup_keep_max(d, "t", "doc_id"))
