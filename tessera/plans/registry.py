@@ -7,6 +7,7 @@ tables).  Queries without an SQL form register no oracle.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 QUERIES: dict[str, Callable] = {}
@@ -17,7 +18,14 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            # executors' Python workers need the package (UDFs, mapInPandas)
+            from tessera.session import ship_package
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -46,6 +46,7 @@ def get_spark(master: str | None = None, app: str = "tessera",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -84,3 +85,29 @@ def register_views(spark: SparkSession, sf_dir: str) -> None:
         path = os.path.join(sf_dir, f"{name}.parquet")
         if os.path.exists(path):
             table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in executor Python workers (Arrow UDFs,
+    ``mapInPandas``): zip the package once and ``addPyFile`` it, the usual
+    way to ship a library to a cluster.  Idempotent per SparkContext."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="tessera-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
