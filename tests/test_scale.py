@@ -62,3 +62,16 @@ def test_range_join_is_an_equi_join(spark):
     o = table(spark, SMALL, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
     p = plan(J.range_join(o, F.broadcast(cal), "d", "start_date", "end_date"))
     assert "BroadcastHashJoin" in p and "NestedLoop" not in p
+
+
+def test_no_unscalable_operators_in_any_plan(spark):
+    """Every registered query: no nested-loop or cartesian join, no
+    row-at-a-time Python UDF in the physical plan."""
+    import __spark_entry__ as E
+    bad = {}
+    for name, fn in E.queries().items():
+        p = plan(fn(spark, SMALL))
+        hits = [k for k in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython") if k in p]
+        if hits:
+            bad[name] = hits
+    assert not bad, bad
