@@ -141,8 +141,8 @@ def c05(spark, sf):
     # keywords: the dictionary's countable words (longer than 2, not stop
     # words), a subset of the vocabulary
     kw = vocabulary(spark, sf).filter((F.length("v") > 2) & ~F.col("v").isin(S.DEFAULT_STOP_WORDS))
-    return TX.correct_words(doc_words(spark, sf), "w", voc.withColumn("vp", F.col("v")), "v", "vp",
-                            kw, "v").withColumnRenamed("w", "word")
+    return TX.correct_words_postings(doc_words(spark, sf), "w", voc.withColumn("vp", F.col("v")), "v", "vp",
+                                     kw, "v").withColumnRenamed("w", "word")
 
 
 _PHRASE_SCORE_SQL = f"""

@@ -201,3 +201,18 @@ def test_jaccard_matches_equals_join(spark):
     full = TX.jaccard_pairs(a, "w", b, "v").filter(F.col("sim") >= 0.35)
     fast = TX.jaccard_matches(a, "w", b, "v", 0.35)
     assert rows(full, "w", "v", "sim") == rows(fast, "w", "v", "sim")
+
+
+def test_correct_words_postings_equals_join(spark):
+    import random
+    rnd = random.Random(3)
+    letters = "abcdefg"
+    vocab = sorted({"".join(rnd.choice(letters) for _ in range(rnd.randint(2, 7))) for _ in range(300)})
+    kws = vocab[::4]
+    words = list({"".join(rnd.choice(letters) for _ in range(rnd.randint(3, 8))) for _ in range(400)}) + vocab[:20]
+    wdf = spark.createDataFrame([(w,) for w in words], "w string")
+    vdf = spark.createDataFrame([(v, v) for v in vocab], "v string, vp string")
+    kdf = spark.createDataFrame([(x,) for x in kws], "k string")
+    a = dict(TX.correct_words(wdf, "w", vdf, "v", "vp", kdf, "k").collect())
+    b = dict(TX.correct_words_postings(wdf, "w", vdf, "v", "vp", kdf, "k").collect())
+    assert a == b
