@@ -48,3 +48,32 @@ def op2_simhash(spark, sf_dir):
 def op7_packing(spark, sf_dir):
     from tessera.llm.op07_packing import pack
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), with_ids=False)
+
+
+@query("op5_bpe")
+def op5_bpe(spark, sf_dir):
+    from tessera.llm.op05_bpe import encode_decode
+    out = encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), ids_as_text=True)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+_LINKED_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0),
+link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+         ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings
+          UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+low AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM link GROUP BY x)
+SELECT low.x AS vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, low.x = component_id AS kept
+FROM low LEFT JOIN n ON n.x = low.x
+"""
+
+
+@query("op1_grid_join", _LINKED_VECTORS)
+def op1_grid_join(spark, sf_dir):
+    from tessera.llm.op01_grid_join import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
