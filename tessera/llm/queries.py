@@ -77,3 +77,15 @@ FROM low LEFT JOIN n ON n.x = low.x
 def op1_grid_join(spark, sf_dir):
     from tessera.llm.op01_grid_join import near_duplicates
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_quality")
+def op4_quality(spark, sf_dir):
+    from tessera.llm.op04_quality import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    from tessera.llm.op09_toxicity import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
