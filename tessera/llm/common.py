@@ -22,7 +22,7 @@ def id_bucket(col, mod: int):
 
 def text_key(col):
     """64-bit key of a text; null and empty text share one."""
-    return F.xxhash64(F.coalesce(F.col(col), F.lit("")))
+    return F.xxhash64(F.coalesce(col, F.lit("")))
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -89,3 +89,35 @@ def op4_quality(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     from tessera.llm.op09_toxicity import classify
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_rules")
+def op3_rules(spark, sf_dir):
+    from tessera.llm.op03_rules import judge
+    return judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_LINES = """
+WITH w AS (
+  SELECT doc_id, i AS line, s, len(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS s,
+               unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
+c AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, line) > 1 AS copy FROM w WHERE words > 0),
+r AS (SELECT *, sum(CASE WHEN copy THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY line) AS run FROM c),
+gone AS (SELECT doc_id, line FROM (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS total FROM r WHERE copy)
+         WHERE total >= 50),
+left_over AS (SELECT w.doc_id, string_agg(w.s, chr(10) ORDER BY w.line) AS text
+              FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.line = w.line
+              WHERE gone.line IS NULL GROUP BY w.doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_removed,
+       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(l.text, '') END AS text
+FROM documents d LEFT JOIN left_over l ON l.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
+@query("op10_lines", _LINES)
+def op10_lines(spark, sf_dir):
+    from tessera.llm.op10_lines import dedup_lines
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_removed", "text")
