@@ -121,3 +121,15 @@ FROM documents d LEFT JOIN left_over l ON l.doc_id = d.doc_id LEFT JOIN n ON n.d
 def op10_lines(spark, sf_dir):
     from tessera.llm.op10_lines import dedup_lines
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_removed", "text")
+
+
+@query("op6_html")
+def op6_html(spark, sf_dir):
+    from tessera.llm.op06_html import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark, sf_dir):
+    from tessera.llm.op08_token_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 50256)
