@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's ``docs``.  All but the last return
-the columns of ``documents``.
+the columns of ``documents``.  The trained stages fit on the documents they are
+given and the labels in ``sf_dir``.
 """
 
 from __future__ import annotations
@@ -10,12 +11,36 @@ from __future__ import annotations
 import os
 import uuid
 
-from tessera.llm import queries
+from pyspark.sql import functions as F
+
+from tessera.llm import op04_quality, op09_toxicity, queries
 from tessera.llm.op02_simhash import keep_one
 from tessera.llm.op07_packing import pack
+from tessera.llm.op10_lines import dedup_lines
 from tessera.session import checkpoint_dir, ship_package, table
 
 
+def quality(spark, docs, sf_dir):
+    """Documents that the quality classifier rejects go."""
+    ship_package(spark)
+    score = op04_quality.score_column(docs, table(spark, sf_dir, "labels"))
+    return docs.where(score("text") >= 0.5)
+
+
+def toxicity(spark, docs, sf_dir):
+    """Documents that the toxicity classifier rejects go."""
+    ship_package(spark)
+    model = op09_toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return docs.where(op09_toxicity.score_column(model, "text") < 0.5)
+
+
+def repeated_passages(spark, docs, sf_dir):
+    """Later copies of repeated passages go from the texts; every document stays."""
+    out = dedup_lines(docs)
+    changed = F.when(out.n_removed > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", changed.cast("long")).select(*docs.columns)
+
+
 def near_duplicates(spark, docs, sf_dir):
     """One document of each near-duplicate group stays."""
     ship_package(spark)
@@ -29,6 +54,9 @@ def packing(spark, docs, sf_dir):
 
 
 STAGES = [
+    ("quality", quality),
+    ("toxicity", toxicity),
+    ("repeated_passages", repeated_passages),
     ("near_duplicates", near_duplicates),
     ("packing", packing),
 ]
