@@ -22,9 +22,10 @@ def map_get(c, key: str) -> Column:
 
 
 def norm_sentiment(c) -> Column:
-    """Sentiment as an integer in -2..2, anything else (or null) -> 0."""
-    v = as_col(c).cast("string").try_cast("int")
-    return F.when(v.isin(SENTIMENT_VALUES), v).otherwise(F.lit(0))
+    """Sentiment as an integer in -2..2 (``-1`` and ``-1.0`` alike), anything
+    else (or null) -> 0."""
+    v = as_col(c).cast("string").try_cast("double")
+    return F.when(v.isin([float(x) for x in SENTIMENT_VALUES]), v.cast("int")).otherwise(F.lit(0))
 
 
 def percent(score, digits: int = 2) -> Column:

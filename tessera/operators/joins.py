@@ -4,9 +4,9 @@ Design rules used throughout:
 
 * equi-joins only — range, band and OR conditions are rewritten into
   equi-joins on a bucket or on each branch, so no nested-loop join;
-* a side is broadcast only after :func:`bounded_broadcast` has checked its
-  row count against a bound; otherwise the join is left to the planner
-  (sort-merge, and AQE may still switch to broadcast with runtime sizes);
+* a side is broadcast only after :func:`bounded_broadcast` has checked the
+  optimizer's size estimate against a byte bound; otherwise the join is left to the
+  planner (sort-merge, and AQE may still switch to broadcast with runtime sizes);
 * per-key statistics that a correlated subquery would compute are
   pre-aggregated with ``groupBy`` (map-side partial aggregation) and joined
   back, never computed with a one-partition window.
@@ -19,36 +19,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension is broadcast without further thought.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Byte bound under which a dimension is broadcast (Spark's own limit is 8 GB).
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a plan: read from its statistics each
+    time, no job is run and nothing is remembered."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    The check is ``limit(max_rows + 1).count()``, which stops reading as soon
-    as the bound is passed, so it is cheap even when the side is large; its
-    answer is remembered per plan.  Beyond the bound the frame is returned
-    unchanged (shuffle join; AQE may still pick a broadcast from runtime
-    sizes).  Dimensions whose size is bounded by construction (a month
-    calendar, a band table, a code list) are broadcast directly instead.
-    """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    fits = _FITS.get(key)
-    if fits is None:
-        fits = df.limit(max_rows + 1).count() <= max_rows
-        _FITS[key] = fits
-    return F.broadcast(df) if fits else df
 
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if its estimated size is at most ``max_bytes``.
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Whether :func:`bounded_broadcast` would broadcast ``df`` (memoised)."""
-    return bounded_broadcast(df, max_rows) is not df
+    Beyond the bound the frame is returned unchanged (shuffle join; AQE may
+    still pick a broadcast from runtime sizes).  The result is the same either way.
+    """
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
-# checks already made in this process, keyed by the plan's semantic hash, so
-# a dimension used by several joins of one plan is counted once
-_FITS: dict = {}
+def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether :func:`bounded_broadcast` would broadcast ``df``."""
+    return estimated_bytes(df) <= max_bytes
 
 
 def _on(a: DataFrame, b: DataFrame, a_keys, b_keys) -> Column:
@@ -84,58 +76,58 @@ def anti_join(a: DataFrame, b: DataFrame, a_key: str, b_key: str | None = None)
 
 def range_join(facts: DataFrame, ranges: DataFrame, x: str, lo: str, hi: str,
                bucket: str = "month", width: float | None = None,
-               how: str = "inner") -> DataFrame:
+               how: str = "inner", bounds: DataFrame | None = None) -> DataFrame:
     """Join each fact to every range with ``lo <= x <= hi`` via an equi bucket.
 
     Ranges are exploded into the buckets they touch (``month`` buckets for
-    dates/timestamps, or numeric buckets of ``width``); facts carry their own
+    dates/timestamps, or numeric buckets of ``width``; by default the median width
+    of the ranges), clamped to the facts' own minimum and maximum (a scalar subquery), so an open-ended
+    range has no more buckets than the facts span; ``bounds`` names a cheaper table
+    with the same column ``x`` (the facts before other joins) to take them from.  Facts carry their own
     bucket; the join is an equi-join on the bucket with the exact ``between``
     as a residual filter.  A fact with a null ``x`` matches nothing (inner)
     or keeps null range columns (left).
     """
     if bucket == "month":
         fb = F.trunc(F.to_date(F.col(x)), "month")
-        rb = F.explode(F.sequence(F.trunc(F.to_date(F.col(lo)), "month"),
-                                  F.trunc(F.to_date(F.col(hi)), "month"),
-                                  F.expr("interval 1 month")))
+        low, high, step = F.trunc(F.to_date(F.col(lo)), "month"), F.trunc(F.to_date(F.col(hi)), "month"), F.expr("interval 1 month")
     else:
-        if not width:
-            raise ValueError("numeric buckets need a width")
-        fb = F.floor(F.col(x) / F.lit(width)).cast("bigint")
-        rb = F.explode(F.sequence(F.floor(F.col(lo) / F.lit(width)).cast("bigint"),
-                                  F.floor(F.col(hi) / F.lit(width)).cast("bigint")))
-    r = ranges.withColumn("_rbucket", rb)
+        if width is None:
+            span = ranges.agg(F.percentile_approx(F.col(hi).cast("double") - F.col(lo).cast("double"), 0.5)).scalar()
+            w = F.when(span > 0, span).otherwise(F.lit(1.0))
+        elif width <= 0:
+            raise ValueError("the bucket width must be positive")
+        else:
+            w = F.lit(float(width))
+        number = lambda c: F.floor(F.col(c) / w).cast("bigint")
+        fb, low, high, step = number(x), number(lo), number(hi), F.lit(1).cast("bigint")
     f = facts.withColumn("_fbucket", fb)
+    seen = (facts if bounds is None else bounds).agg(F.struct(F.min(fb).alias("lo"), F.max(fb).alias("hi"))).scalar()
+    r = ranges.withColumns({"_rlo": F.greatest(low, seen.getField("lo")), "_rhi": F.least(high, seen.getField("hi"))})
+    r = r.filter("_rlo <= _rhi").withColumn("_rbucket", F.explode(F.sequence("_rlo", "_rhi", step))).drop("_rlo", "_rhi")
     cond = (f["_fbucket"] == r["_rbucket"]) & f[x].between(r[lo], r[hi])
     return f.join(r, cond, how).drop("_fbucket", "_rbucket")
 
 
 def band_join(facts: DataFrame, bands: DataFrame, x: str, lo: str, hi: str,
-              width: float, null_as: float | None = -1, how: str = "inner") -> DataFrame:
+              width: float | None = None, null_as: float | None = -1, how: str = "inner",
+              bounds: DataFrame | None = None) -> DataFrame:
     """Band join on a numeric value, null mapped to ``null_as`` first."""
     tmp = "_band_x"
     val = F.col(x) if null_as is None else F.coalesce(F.col(x), F.lit(null_as))
     f = facts.withColumn(tmp, val.cast("double"))
-    return range_join(f, bands, tmp, lo, hi, bucket="numeric", width=width, how=how).drop(tmp)
+    b = None if bounds is None else bounds.withColumn(tmp, val.cast("double"))
+    return range_join(f, bands, tmp, lo, hi, bucket="numeric", width=width, how=how, bounds=b).drop(tmp)
 
 
 def or_join(a: DataFrame, b: DataFrame, a_key: str, b_keys: tuple[str, str],
             how: str = "inner") -> DataFrame:
-    """``a.k = b.k1 OR a.k = b.k2`` as two equi-joins (no nested loop).
-
-    The second branch excludes pairs the first branch already produced
-    (``b.k1`` equal to ``b.k2``), so every matching pair appears once.
-    """
+    """``a.k = b.k1 OR a.k = b.k2`` as one equi-join (no nested loop): each row
+    of ``b`` is exploded into its distinct non-null keys, so a pair appears once."""
     k1, k2 = b_keys
-    first = a.join(b, a[a_key] == b[k1], "inner")
-    second = a.join(b, (a[a_key] == b[k2]) & ~F.coalesce(b[k1] == b[k2], F.lit(False)),
-                    "inner")
-    out = first.unionByName(second)
-    if how == "left":
-        missing = a.join(out.select(F.col(a_key).alias("_hit")).distinct(),
-                         a[a_key] == F.col("_hit"), "left_anti")
-        out = out.unionByName(missing, allowMissingColumns=True)
-    return out
+    keys = F.array_compact(F.array_distinct(F.array(b[k1], b[k2])))
+    kb = b.withColumn("_or_key", F.explode(keys))
+    return a.join(kb, a[a_key] == kb["_or_key"], how).drop("_or_key")
 
 
 def join_cast_key(a: DataFrame, b: DataFrame, a_key: str, b_key: str,
@@ -184,25 +176,29 @@ def resolve_parent(df: DataFrame, code: str, hierarchy: DataFrame, h_code: str,
         .drop("_c", "_resolved")
 
 
-def scalar_lookup(df: DataFrame, lookup: DataFrame, keys: dict[str, str], value: str,
-                  out: str, default=None, distinct: bool = False) -> DataFrame:
-    """Scalar subquery without aggregate: label by key, optional default.
+def scalar_lookup(df: DataFrame, lookup: DataFrame, keys: dict[str, str], value, out, default=None,
+                  distinct: bool = False) -> DataFrame:
+    """Scalar subqueries without aggregate: labels by key, optional default.
 
-    More than one distinct match is an error in SQL; the check runs inside
-    the plan (``raise_error``) instead of a separate action.
+    ``value`` and ``out`` are a column name or equally long lists of them (one
+    join fetches all).  A key with more than one (distinct) match is an error once a
+    row of ``df`` refers to it, as in SQL; the check is part of the plan
+    (``raise_error`` after the join), not an action of its own.
     """
+    values, outs = ([value], [out]) if isinstance(value, str) else (list(value), list(out))
     lk = lookup.select(*[F.col(v).alias(f"_lk{i}") for i, v in enumerate(keys.values())],
-                       F.col(value).alias("_lv"))
+                       F.struct(*[F.col(v).alias(f"v{i}") for i, v in enumerate(values)]).alias("_lv"))
     if distinct:
         lk = lk.distinct()
     agg = lk.groupBy(*[f"_lk{i}" for i in range(len(keys))]).agg(
-        F.count(F.lit(1)).alias("_ln"), F.first("_lv", ignorenulls=False).alias("_lv"))
-    agg = agg.withColumn("_lv", F.when(F.col("_ln") > 1, F.raise_error(
-        F.lit("scalar lookup returned more than one row"))).otherwise(F.col("_lv")))
+        F.count(F.lit(1)).alias("_ln"), F.first("_lv").alias("_lv"))
     cond = _on(df, agg, list(keys.keys()), [f"_lk{i}" for i in range(len(keys))])
     res = df.join(agg, cond, "left")
-    val = F.col("_lv") if default is None else F.coalesce(F.col("_lv"), F.lit(default))
-    return res.withColumn(out, val).drop("_lv", "_ln", *[f"_lk{i}" for i in range(len(keys))])
+    error = F.raise_error(F.lit("scalar lookup returned more than one row"))
+    for i, o in enumerate(outs):
+        val = F.when(F.col("_ln") > 1, error).otherwise(F.col("_lv").getField(f"v{i}"))
+        res = res.withColumn(o, val if default is None else F.coalesce(val, F.lit(default)))
+    return res.drop("_lv", "_ln", *[f"_lk{i}" for i in range(len(keys))])
 
 
 def scalar_max(df: DataFrame, lookup: DataFrame, keys: dict[str, str], value: str,
@@ -222,7 +218,7 @@ def left_merge_dedup(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> Data
 
 def map_lookup(df: DataFrame, key: str, lookup: DataFrame, l_key: str, l_value: str,
                out: str, order: str | None = None, default=None,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Dictionary lookup: **last duplicate wins** (largest ``order``), the
     default applies only when the key has no entry (a null value stays null).
 
@@ -233,7 +229,7 @@ def map_lookup(df: DataFrame, key: str, lookup: DataFrame, l_key: str, l_value:
     dedup = lookup.filter(F.col(l_key).isNotNull()).groupBy(F.col(l_key).alias("_mk")).agg(
         F.max_by(F.col(l_value), order_col).alias("_mv"))
     dedup = dedup.withColumn("_mhit", F.lit(True))
-    dedup = bounded_broadcast(dedup, max_broadcast_rows)
+    dedup = bounded_broadcast(dedup, max_broadcast_bytes)
     res = df.join(dedup, df[key] == dedup["_mk"], "left")
     val = F.col("_mv") if default is None else F.when(F.col("_mhit").isNull(), F.lit(default)) \
         .otherwise(F.col("_mv"))
@@ -249,10 +245,10 @@ def full_outer_counts(p: DataFrame, f: DataFrame, key: str, p_val: str, f_val: s
 
 
 def join_meta(df: DataFrame, meta: DataFrame, key: str, meta_key: str | None = None,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Inner join with a small metadata table on a text key (bounded broadcast)."""
     meta_key = meta_key or key
-    m = bounded_broadcast(meta, max_broadcast_rows)
+    m = bounded_broadcast(meta, max_broadcast_bytes)
     if meta_key == key:
         return df.join(m, key, "inner")
     return df.join(m, df[key] == m[meta_key], "inner")

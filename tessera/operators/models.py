@@ -12,6 +12,8 @@ coefficient table and a dot product in SQL expressions.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -214,9 +216,18 @@ def topk_overlap(pred: DataFrame, keys, part, pred_col: str, actual_col: str, n:
     carry both values); with a separate ground-truth table its top-``n`` is
     taken per ``actual_part`` and joined on the keys only."""
     def top(df, order, p, ks):
-        w = Window.partitionBy(*p).orderBy(F.col(order).desc()) if p else \
-            Window.orderBy(F.col(order).desc())
-        return df.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") <= n).select(*ks, *p).distinct()
+        # the n-th largest distinct value that rank() <= n reaches, from counts
+        # per value (map-side combined): ties of any number stay where they are
+        value = F.col(order).cast("double")
+        per = df.filter(value.isNotNull()).groupBy(*p, value.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+        w = Window.partitionBy(*p).orderBy(F.col("_v").desc()) if p else Window.partitionBy(F.lit(0)).orderBy(F.col("_v").desc())
+        bound = per.withColumn("_before", F.sum("_c").over(w) - F.col("_c")).filter(F.col("_before") < n)
+        if not p:
+            low = bound.agg(F.min("_v")).scalar()
+            return df.filter(value >= low).select(*ks).distinct()
+        bound = bound.groupBy(*[F.col(c).alias(f"_p_{c}") for c in p]).agg(F.min("_v").alias("_low"))
+        on = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in p]
+        return df.join(bound, reduce(lambda a, b: a & b, on)).filter(value >= F.col("_low")).select(*ks, *p).distinct()
     tp = top(pred, pred_col, list(part), list(keys))
     if actual is None:
         ta = top(pred, actual_col, list(part), list(keys))
@@ -230,6 +241,13 @@ def topk_overlap(pred: DataFrame, keys, part, pred_col: str, actual_col: str, n:
         .withColumn("metric_percent", F.round(F.col("metric_value") * 100.0 / n, 4))
 
 
+def overlap_rollup(metrics: DataFrame) -> DataFrame:
+    """Overlap per algorithm: its mappings' counts added, percents averaged."""
+    return metrics.groupBy("algoname").agg(
+        F.sum("metric_value").cast("bigint").alias("metric_value"), F.first("metric_name").alias("metric_name"),
+        F.round(F.avg("metric_percent"), 4).alias("metric_percent"))
+
+
 def winner(metrics: DataFrame, metric: str = "metric_value", name: str = "algoname") -> DataFrame:
     from tessera.operators.windows import winner as _w
     return _w(metrics, metric, name).select(F.col(metric).cast("string").alias("winningalgometric"),
@@ -245,15 +263,16 @@ def thresholds(spark) -> DataFrame:
 def traffic_light(metrics: DataFrame, thresholds_df: DataFrame, value: str = "metric_value") -> DataFrame:
     """Green at or above base, Amber at or above critical, else Red.
 
-    The threshold table (one row per metric, configuration) becomes a map in
-    a scalar subquery; metrics without a threshold are dropped, as an inner
-    join would.  No join, so no plan shape depends on the literal metric name.
+    The threshold table (configuration) becomes a map of metric name to its
+    rows in a scalar subquery, and each metric gets a row per threshold row of its
+    name (several use cases may share a metric); metrics without a threshold are
+    dropped, as an inner join would.  No join, so no plan shape depends on the
+    literal metric name.
     """
     cols = [c for c in thresholds_df.columns if c != "metric_name"]
-    m = thresholds_df.agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col("metric_name"), F.struct(*cols))))).scalar()
-    t = F.element_at(m, F.col("metric_name"))
-    j = metrics.withColumn("_thr", t).filter(F.col("_thr").isNotNull()) \
+    per = thresholds_df.groupBy("metric_name").agg(F.collect_list(F.struct(*cols)).alias("rows"))
+    m = per.agg(F.map_from_entries(F.collect_list(F.struct("metric_name", "rows")))).scalar()
+    j = metrics.withColumn("_thr", F.explode(F.element_at(m, F.col("metric_name")))) \
         .withColumns({c: F.col("_thr").getField(c) for c in cols}).drop("_thr")
     v = F.col(value)
     return j.withColumn("status", F.when(v >= F.col("base_threshold"), "Green")

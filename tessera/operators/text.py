@@ -3,7 +3,7 @@
 No per-row Python: texts are exploded into tokens, dictionaries are
 exploded into (label, token) rows, and scores are sums over an equi-join
 on the token, reduced by partial aggregation.  Dictionaries are broadcast
-only after a row-count check (:func:`tessera.operators.joins.bounded_broadcast`).
+only after a size check (:func:`tessera.operators.joins.bounded_broadcast`).
 No (text, label) pair with nothing in common is ever materialised: texts
 without any overlap get the tie-break label from a one-row constant.
 
@@ -19,9 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import strings as S
+from tessera.functions import values as V
 from tessera.operators.joins import bounded_broadcast, fits_broadcast
 
-DICT_BROADCAST_ROWS = 2_000_000
+DICT_BROADCAST_BYTES = 64 << 20
+# Dictionary words whose bigram postings are shipped to the tasks; a larger
+# dictionary takes the shuffled join with the same result.
+MAX_POSTINGS_WORDS = 2_000_000
 
 
 # ------------------------------------------------------------------ tokens
@@ -48,7 +52,7 @@ def bow_cosine(docs: DataFrame, doc_key: str, text: str, dictionary: DataFrame,
     dn = dt.groupBy(doc_key).agg(F.sqrt(F.sum(F.col("dc") * F.col("dc"))).alias("dn"))
     kt = token_counts(dictionary, label, F.col(keywords), "kc")
     kn = kt.groupBy(label).agg(F.sqrt(F.sum(F.col("kc") * F.col("kc"))).alias("kn"))
-    small = fits_broadcast(kt, DICT_BROADCAST_ROWS)
+    small = fits_broadcast(kt, DICT_BROADCAST_BYTES)
     kt_b = F.broadcast(kt) if small else kt
     dot = dt.join(kt_b, "token").groupBy(doc_key, label) \
         .agg(F.sum(F.col("dc") * F.col("kc")).alias("dp"))
@@ -66,7 +70,7 @@ def classify_text(docs: DataFrame, doc_key: str, text: str, dictionary: DataFram
     pos = pos or label
     sc = bow_cosine(docs, doc_key, text, dictionary, label, keywords)
     sc = sc.join(bounded_broadcast(dictionary.select(label, *([pos] if pos != label else [])),
-                                   DICT_BROADCAST_ROWS), label)
+                                   DICT_BROADCAST_BYTES), label)
     order = F.struct(-F.col("score"), F.col(pos))
     best = sc.groupBy(doc_key).agg(F.min_by(F.struct(F.col(label).alias("l"), F.col("score").alias("s")),
                                             order).alias("b"))
@@ -88,7 +92,7 @@ def match_part(docs: DataFrame, doc_key: str, text: str, parts: DataFrame, name:
     c = classify_text(docs, doc_key, text, d, name, "_kw", out_label="part_name",
                       out_score="part_score")
     return c.join(bounded_broadcast(d.select(F.col(name).alias("part_name"), "part_number"),
-                                    DICT_BROADCAST_ROWS), "part_name", "left")
+                                    DICT_BROADCAST_BYTES), "part_name", "left")
 
 
 # ------------------------------------------------------------------ bigram Jaccard
@@ -127,7 +131,7 @@ def jaccard_pairs(left: DataFrame, lw: str, right: DataFrame, rw: str,
         cond = lb["bigram"] == rb["_rbg"]
         if same_first_letter:
             cond = cond & (F.substring(lb[lw], 1, 1) == F.substring(rb[rw], 1, 1))
-        j = lb.join(bounded_broadcast(rb, DICT_BROADCAST_ROWS), cond)
+        j = lb.join(bounded_broadcast(rb, DICT_BROADCAST_BYTES), cond)
         g = j.groupBy(lw, rw, "_nl", "_nr").agg(F.count(F.lit(1)).alias("_inter"))
         return g.select(lw, rw, (F.col("_inter") / (F.col("_nl") + F.col("_nr") - F.col("_inter")))
                         .alias("sim"))
@@ -139,7 +143,7 @@ def jaccard_pairs(left: DataFrame, lw: str, right: DataFrame, rw: str,
     # bigram vocabulary with frequencies: bounded by the distinct bigrams
     freq = lb.select("bigram").unionByName(rb.select("bigram")).groupBy("bigram") \
         .agg(F.count(F.lit(1)).alias("_df"))
-    freq = bounded_broadcast(freq, DICT_BROADCAST_ROWS)
+    freq = bounded_broadcast(freq, DICT_BROADCAST_BYTES)
 
     def prefix(b: DataFrame, w: str) -> DataFrame:
         keep = F.col("nb") - F.floor(F.col("nb") * F.lit(t)) + 1
@@ -151,15 +155,15 @@ def jaccard_pairs(left: DataFrame, lw: str, right: DataFrame, rw: str,
     cond = lp["bigram"] == rp["_pbg"]
     if same_first_letter:
         cond = cond & (F.substring(lp[lw], 1, 1) == F.substring(rp[rw], 1, 1))
-    cand = lp.join(bounded_broadcast(rp, DICT_BROADCAST_ROWS), cond).select(lw, rw).distinct()
-    pairs = cand.join(la, lw).join(bounded_broadcast(ra, DICT_BROADCAST_ROWS), rw)
+    cand = lp.join(bounded_broadcast(rp, DICT_BROADCAST_BYTES), cond).select(lw, rw).distinct()
+    pairs = cand.join(la, lw).join(bounded_broadcast(ra, DICT_BROADCAST_BYTES), rw)
     inter = F.size(F.array_intersect("_la", "_ra"))
     sim = inter / (F.size("_la") + F.size("_ra") - inter)
     return pairs.select(lw, rw, sim.alias("sim")).filter(F.col("sim") >= t)
 
 
 def jaccard_matches(left: DataFrame, lw: str, right: DataFrame, rw: str, threshold: float,
-                    max_dict_rows: int = DICT_BROADCAST_ROWS) -> DataFrame:
+                    max_dict_rows: int = MAX_POSTINGS_WORDS) -> DataFrame:
     """(left word, right word, sim) with bigram Jaccard ``sim >= threshold``,
     for a bounded right side (a dictionary).
 
@@ -178,7 +182,7 @@ def jaccard_matches(left: DataFrame, lw: str, right: DataFrame, rw: str, thresho
     rd = right.select(F.col(rw).alias("w")).filter(F.col("w").isNotNull()).distinct()
     if rd.limit(max_dict_rows + 1).count() > max_dict_rows:
         # too large to ship: fall back to the shuffled bigram join
-        return jaccard_pairs(left, lw, right, rw).filter(F.col("sim") >= threshold)
+        return jaccard_pairs(left, lw, right, rw, threshold=threshold)
     dict_words = sorted(r[0] for r in rd.collect())
     postings: dict[str, list[int]] = {}
     sizes = np.zeros(len(dict_words), dtype=np.int64)
@@ -258,7 +262,7 @@ def correct_words(words: DataFrame, word: str, vocab: DataFrame, vword: str, vpo
     fill = fill.withColumn("fr", F.row_number().over(fw)) \
         .filter(F.col("fr") <= k - F.col("ns")) \
         .select("w", "v", "vp", F.lit(1.0).alias("dist"), (F.col("ns") + F.col("fr")).alias("r"))
-    cands = top_shared.unionByName(fill).join(bounded_broadcast(kw, DICT_BROADCAST_ROWS), "v")
+    cands = top_shared.unionByName(fill).join(bounded_broadcast(kw, DICT_BROADCAST_BYTES), "v")
     best = cands.groupBy("w").agg(F.min_by("v", "r").alias("corr"))
     return w.join(best, "w", "left") \
         .select(F.col("w").alias(word), F.coalesce("corr", "w").alias("corrected"))
@@ -266,7 +270,7 @@ def correct_words(words: DataFrame, word: str, vocab: DataFrame, vword: str, vpo
 
 def correct_words_postings(words: DataFrame, word: str, vocab: DataFrame, vword: str, vpos: str,
                            keywords: DataFrame, kword: str, k: int = 10,
-                           max_dict_rows: int = DICT_BROADCAST_ROWS) -> DataFrame:
+                           max_dict_rows: int = MAX_POSTINGS_WORDS) -> DataFrame:
     """Same result as :func:`correct_words`, counted in Arrow batches.
 
     The (size-checked) vocabulary is broadcast as bigram postings plus, per
@@ -361,7 +365,7 @@ def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: Data
         sims = jaccard_matches(dtk.select(token), token, pw.select(pword), pword, threshold)
     best_word = dtk.join(sims, token).groupBy(doc_key, pword).agg(F.max("sim").alias("_m"))
     # n_words and n_phrases are aggregates of the phrase table: one check
-    small = fits_broadcast(pw, DICT_BROADCAST_ROWS)
+    small = fits_broadcast(pw, DICT_BROADCAST_BYTES)
     bc = (lambda d: F.broadcast(d)) if small else (lambda d: d)
     ph = best_word.join(bc(pw.select(cls, phrase, pword)), pword) \
         .groupBy(doc_key, cls, phrase).agg(F.sum("_m").alias("_s")) \
@@ -395,24 +399,22 @@ def top_keywords(docs: DataFrame, doc_key: str, tokens: Column, k: int = 20,
 # ------------------------------------------------------------------ C07 / C08
 
 def label_centroids(vectors: DataFrame, vec: str, label: str) -> DataFrame:
-    """Element-wise mean vector per label as (label, pos, value) rows."""
+    """Element-wise mean vector per label: one row (label, centroid) each."""
     ex = vectors.select(label, F.posexplode(vec).alias("pos", "x"))
-    return ex.groupBy(label, "pos").agg(F.avg(F.col("x").cast("double")).alias("cv"))
+    means = ex.groupBy(label, "pos").agg(F.avg(F.col("x").cast("double")).alias("cv"))
+    return means.groupBy(label).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "cv"))), lambda s: s["cv"]).alias("centroid"))
 
 
 def embed_cosine(vectors: DataFrame, key: str, vec: str, centroids: DataFrame, label: str) -> DataFrame:
     """Cosine of every vector with every class centroid: (key, label, cos).
 
-    An equi-join on the vector position against the (small, broadcast)
-    centroid table; sums reduce by partial aggregation per (key, label)."""
-    ex = vectors.select(key, F.posexplode(vec).alias("pos", "x")) \
-        .withColumn("x", F.col("x").cast("double"))
-    vn = ex.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("vn"))
-    cn = centroids.groupBy(label).agg(F.sqrt(F.sum(F.col("cv") * F.col("cv"))).alias("cn"))
-    dot = ex.join(bounded_broadcast(centroids, DICT_BROADCAST_ROWS), "pos") \
-        .groupBy(key, label).agg(F.sum(F.col("x") * F.col("cv")).alias("dp"))
-    return dot.join(vn, key).join(F.broadcast(cn), label) \
-        .select(key, label, (F.col("dp") / (F.col("vn") * F.col("cn"))).alias("cos"))
+    The centroids are a row per class (the model's output space), carried into each row as one array by a scalar
+    subquery; the cosine is an expression on the two arrays: no shuffle."""
+    table = centroids.agg(F.collect_list(F.struct(F.col(label).alias("l"), F.col("centroid").alias("c")))).scalar()
+    x = vectors.select(key, F.col(vec).cast("array<double>").alias("_v"), F.explode(table).alias("_c"))
+    return x.select(key, F.col("_c.l").alias(label), V.cosine(F.col("_v"), F.col("_c.c")).alias("cos")) \
+        .filter(F.col("cos").isNotNull())
 
 
 def blend_predict(s1: DataFrame, s2: DataFrame, key: str, cls: str, score1: str, score2: str,
@@ -432,42 +434,40 @@ def blend_predict(s1: DataFrame, s2: DataFrame, key: str, cls: str, score1: str,
         masked = allowed.select(key).distinct().withColumn("_masked", F.lit(True))
         j = j.join(al, [key, cls], "left").join(masked, key, "left").withColumn(
             "v", F.when(F.col("_masked") & F.col("_ok").isNull(), F.lit(0.0)).otherwise(F.col("v")))
-    # the class list is the model's output space: bounded by construction
-    j = j.join(F.broadcast(classes.select(cls, cls_pos)), cls)
-    best = j.groupBy(key).agg(F.min_by(F.struct(F.col(cls).alias("l"), F.col("v").alias("s")),
-                                       F.struct(-F.col("v"), F.col(cls_pos))).alias("b"))
-    return best.select(key, F.col("b.l").alias("label"), F.col("b.s").alias("score"))
+    # argmax over the whole class list (the model's output space, so bounded by
+    # construction): a class without a score, or masked, stands at 0
+    order = classes.agg(F.array_sort(F.collect_list(F.struct(F.col(cls_pos).alias("p"), F.col(cls).alias("l"))))).scalar()
+    j = j.filter(F.col("v") != 0).join(F.broadcast(classes.select(cls, cls_pos)), cls).unionByName(
+        j.select(key).distinct(), allowMissingColumns=True)
+    best = j.groupBy(key).agg(
+        F.min_by(F.struct(F.col(cls).alias("l"), F.col("v").alias("s")),
+                 F.when(F.col(cls).isNotNull(), F.struct(-F.col("v"), F.col(cls_pos)))).alias("b"),
+        F.collect_set(cls).alias("scored")).withColumn("order", order)
+    rest = F.element_at(F.filter("order", lambda c: ~F.array_contains("scored", c["l"])), 1)
+    zero = F.when(rest.isNotNull(), F.struct(rest["l"].alias("l"), F.lit(0.0).alias("s")))
+    pick = F.when(F.col("b.s") > 0, F.col("b")).otherwise(F.coalesce(zero, F.col("b")))
+    return best.select(key, pick["l"].alias("label"), pick["s"].alias("score"))
 
 
 # ------------------------------------------------------------------ X11
 
-def _fits(n: int):
-    return lambda i: i <= F.size("_t") - n
-
-
-def _gram(n: int):
-    return lambda i: F.array_join(F.slice(F.col("_t"), i + 1, n), " ")
-
-
 def extract_term(docs: DataFrame, doc_key: str, tokens: Column, terms: DataFrame, term: str,
-                 term_pos: str, max_words: int = 3) -> DataFrame:
+                 term_pos: str) -> DataFrame:
     """First dictionary term found on token boundaries: (doc_key, term).
 
-    Token n-grams (up to ``max_words``) are exploded with their start
-    position and equi-joined to the dictionary; the match with the smallest
-    start (then dictionary position) wins — what a leftmost regex
-    alternation over the terms returns."""
-    t = docs.select(doc_key, tokens.alias("_t"))
-    grams = []
-    for n in range(1, max_words + 1):
-        starts = F.filter(F.sequence(F.lit(0), F.size("_t")), _fits(n))
-        g = t.select(doc_key, F.posexplode(F.transform(starts, _gram(n))).alias("_start", "_gram"))
-        grams.append(g.filter(F.col("_gram").isNotNull()))
-    allg = grams[0]
-    for g in grams[1:]:
-        allg = allg.unionByName(g)
+    Token n-grams of every length the dictionary has (read from it, one scalar
+    subquery) are exploded once with their start position and equi-joined to
+    the dictionary; the match with the smallest start (then longest, then
+    dictionary position) wins — what a leftmost regex alternation over the terms returns."""
     d = terms.select(F.col(term).alias("_gram"), F.col(term_pos).alias("_tp"), F.col(term).alias(term))
-    m = allg.join(bounded_broadcast(d, DICT_BROADCAST_ROWS), "_gram")
+    lengths = d.agg(F.collect_set(F.size(F.split("_gram", " ", -1)))).scalar()
+    t = docs.select(doc_key, tokens.alias("_t")).withColumn("_len", lengths)
+    grams = F.flatten(F.transform("_len", lambda n: F.transform(
+        F.filter(F.sequence(F.lit(0), F.size("_t")), lambda i: i + n <= F.size("_t")),
+        lambda i: F.struct(i.alias("s"), F.array_join(F.slice("_t", i + 1, n), " ").alias("g")))))
+    g = t.select(doc_key, F.explode(grams).alias("_x")).select(
+        doc_key, F.col("_x.s").alias("_start"), F.col("_x.g").alias("_gram"))
+    m = g.join(bounded_broadcast(d, DICT_BROADCAST_BYTES), "_gram")
     # leftmost match; at one start the longest term (a named-list regex
     # prefers it), then dictionary position
     order = F.struct("_start", -F.length(F.col(term)), "_tp")

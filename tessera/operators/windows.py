@@ -89,7 +89,7 @@ def keep_last(df: DataFrame, keys, order) -> DataFrame:
     should make the order total).  ``max_by`` aggregation, partial per task."""
     order = [order] if isinstance(order, str) else list(order)
     cols = [c for c in df.columns if c not in keys]
-    ok = F.struct(*[F.col(o) for o in order]) if len(order) > 1 else F.col(order[0])
+    ok = F.struct(*[F.col(o) for o in order])  # a struct is never null: rows with null order values come first
     return df.groupBy(*keys).agg(F.max_by(F.struct(*cols), ok).alias("_kl")) \
         .select(*keys, *[F.col(f"_kl.{c}").alias(c) for c in cols])
 
@@ -121,11 +121,17 @@ def ffill(df: DataFrame, col: str, order, part=(), bucket: Column | None = None,
     # every bucket of a key gets the last non-null value of the buckets
     # before it, also buckets that hold no non-null value themselves
     allb = b.select(*part, "_fb").distinct()
-    cb = allb.join(last_in_bucket, [*part, "_fb"], "left")
+    kept = [f"_fl{i}" for i in range(len(part) + 1)]
+    last_in_bucket = last_in_bucket.select(
+        *[F.col(c).alias(n) for c, n in zip([*part, "_fb"], kept)], "_blast")
+    cb = allb.join(last_in_bucket, _null_safe_on(allb, last_in_bucket, [*part, "_fb"], kept), "left").drop(*kept)
     cb = cb.withColumn("_carry", F.last("_blast", ignorenulls=True).over(w_b)).drop("_blast")
-    res = inside.join(cb, [*part, "_fb"], "left")
+    # null part keys and null buckets are groups like any other
+    names = [f"_fk{i}" for i in range(len(part) + 1)]
+    cb = cb.select(*[F.col(c).alias(n) for c, n in zip([*part, "_fb"], names)], "_carry")
+    res = inside.join(cb, _null_safe_on(inside, cb, [*part, "_fb"], names), "left")
     return res.withColumn(out, F.coalesce(F.col("_fin"), F.col("_carry"))) \
-        .drop("_fb", "_fin", "_carry")
+        .drop("_fb", "_fin", "_carry", *names)
 
 
 def best_label(scores: DataFrame, keys, label: str, score: str, pos: str | None = None,

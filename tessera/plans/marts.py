@@ -199,27 +199,25 @@ def warranty_claims(src: dict, as_of, window=("2016-04-01", "2035-03-31"), deind
     # value bands, code lists) -> broadcast without a counting job
     fc = F.broadcast(cal.select(F.col("month").alias("fcok_month"), F.col("fyear").alias("fcok_year"),
                                 "caln_start_date", "caln_end_date"))
-    x = J.range_join(x, fc, "clam_fcok_date", "caln_start_date", "caln_end_date")
+    x = J.range_join(x, fc, "clam_fcok_date", "caln_start_date", "caln_end_date", bounds=c)
     mn = F.broadcast(cal.select("month", "fyear", "start_date", "end_date"))
-    x = J.range_join(x, mn, "clam_process_dt", "start_date", "end_date")
+    x = J.range_join(x, mn, "clam_process_dt", "start_date", "end_date", bounds=c)
     x = J.band_join(x, F.broadcast(src["mile"].distinct()), "clam_odometer", "mile_start_km",
-                    "mile_end_km", width=10, null_as=-1)
+                    "mile_end_km", null_as=-1, bounds=c)
     x = J.join_default_key(x, F.broadcast(src["ptyp"]), "clm2_part_type", "ptyp_part_type", "X")
     x = J.semi_join(x, src["judg"], "clam_judge_cd", "judg_cd")
     x = J.resolve_parent(x, "clam_vend_cd", src["ctrr"], "ctrr_code", "ctrr_parent_vend_code", "ctrr_name",
                          "vendor_name")
     x = x.withColumn("shop_flr_cd", F.coalesce(F.col("clam_shop_floor"), F.lit("X")))
     x = J.scalar_lookup(x, src["shop"], {"shop_flr_cd": "code"}, "description", "defect_resp")
-    item01 = src["item"].filter(F.col("item_comp_code") == "01")
-    x = J.scalar_lookup(x, item01, {"clm2_part_no": "item_code"}, "item_desc", "_item_name")
     x = J.scalar_lookup(x, src["wrpn"], {"clam_plant_no": "wrpn_code"}, "wrpn_desc", "plant")
     mk = {"clam_model_cd": "modl_wty_cd", "clam_bveh_code": "modl_mktg_cd"}
-    x = J.scalar_lookup(x, src["modl"], mk, "modl_desc", "model_dsec", distinct=True)
-    x = J.scalar_lookup(x, src["modl"], mk, "modl_mktg_cd", "modl_service_code", distinct=True)
+    x = J.scalar_lookup(x, src["modl"], mk, ["modl_desc", "modl_mktg_cd"], ["model_dsec", "modl_service_code"],
+                        distinct=True)
     x = x.withColumn("days_used", D.days_used("clam_register_dt", "clam_repair_dt"))
     x = x.select(*WARRANTY_OUT).distinct()
-    x = x.withColumn("month", D.expand_year("month", pivot=50)) \
-        .withColumn("fcok_month", D.expand_year("fcok_month", pivot=50)) \
+    x = x.withColumn("month", D.expand_year("month")) \
+        .withColumn("fcok_month", D.expand_year("fcok_month")) \
         .withColumn("base_model_code", S.prefix("modl_service_code", 3))
     x = J.map_lookup(x, "base_model_code", src["platform"], "model", "platform", "platform", order="ord")
     x = x.withColumn("vdtl_engi_prefix", F.coalesce(F.col("vdtl_engi_prefix"), F.lit("XXX"))) \
@@ -357,7 +355,7 @@ def problem_reports(reports: DataFrame, labels: DataFrame, docs: DataFrame, obs:
     x = J.left_merge_dedup(x, docs, "conv_id", "doc_key")
     x = x.withColumn("date", F.to_date(D.parse_date("date_txt", ("dd/MM/yyyy",))))
     x = W.ffill(x, "date", ["conv_id", "turn"], bucket=bucket)
-    x = x.withColumn("model_code", S.prefix("part_no", 5)).withColumn("all", S.join_text("role", "text"))
+    x = x.withColumn("model_code", S.prefix("part_no", 3)).withColumn("all", S.join_text("role", "text"))
     cls = TX.classify_text(x.select("report_id", "all"), "report_id", "all", obs, "observation_type",
                            "keywords", out_label="observation_type", out_score="obs_score")
     x = x.join(cls, "report_id", "left") \
@@ -397,7 +395,6 @@ def social_features(posts: DataFrame, props: DataFrame, model_terms: DataFrame,
     a step misses) -> M01 keys of the property map -> M02 sentiment -> X12
     owner falls back to the folder -> F09 spam flag.
     """
-    from tessera.operators import joins as J
     from tessera.operators import text as TX
     from tessera.session import cut_lineage
     p = FL.filter_channel(posts, "sn_type", channels, lang_col="language", lang="en")
@@ -405,27 +402,30 @@ def social_features(posts: DataFrame, props: DataFrame, model_terms: DataFrame,
         .withColumn("processed_text", F.array_join("tokens", " "))
     # the cleaned posts feed four term searches and the output: clean once
     p = cut_lineage(p)
-    m = TX.extract_term(p, "post_id", F.col("tokens"), model_terms, "term", "tpos", max_words=3)
-    m = m.join(model_canon, "term").join(model_cat, "model_name", "left") \
-        .select("post_id", F.when(F.col("vehicle_category").isNull(), F.lit(None).cast("string"))
-                .otherwise(F.col("model_name")).alias("model_name"), "vehicle_category", "real_oem")
-    pt = TX.extract_term(p, "post_id", F.col("tokens"), part_terms, "term", "tpos", max_words=1) \
+    m = TX.extract_term(p, "post_id", F.col("tokens"), model_terms, "term", "tpos")
+    # a term without a canonical entry keeps its own name; any step that misses
+    # (category, owner) nulls all three
+    m = m.join(model_canon, "term", "left").withColumn("model_name", F.coalesce("model_name", "term")) \
+        .join(model_cat, "model_name", "left")
+    hit = F.col("vehicle_category").isNotNull() & F.col("real_oem").isNotNull()
+    m = m.select("post_id", *[F.when(hit, F.col(c)).alias(c) for c in ("model_name", "vehicle_category", "real_oem")])
+    pt = TX.extract_term(p, "post_id", F.col("tokens"), part_terms, "term", "tpos") \
         .join(part_cat, "term", "left") \
         .select("post_id", F.when(F.col("part_name_category").isNull(), F.lit(None).cast("string"))
                 .otherwise(F.col("term")).alias("part_name"),
                 F.when(F.col("part_name_category").isNull(), F.lit(None).cast("string"))
                 .otherwise(F.col("part_name_type")).alias("part_name_type"), "part_name_category")
     fuel_terms = p.sparkSession.createDataFrame([(f, i) for i, f in enumerate(FUEL_NAMES)], "term string, tpos int")
-    fu = TX.extract_term(p, "post_id", F.col("tokens"), fuel_terms, "term", "tpos", max_words=1) \
+    fu = TX.extract_term(p, "post_id", F.col("tokens"), fuel_terms, "term", "tpos") \
         .withColumnRenamed("term", "fuel_type")
     p = p.join(m, "post_id", "left").join(pt, "post_id", "left").join(fu, "post_id", "left")
     p = p.join(props, "post_id", "left")
     p = p.withColumn("sentiment", V.norm_sentiment(V.json_get("workflow_properties", "sentiment"))) \
         .withColumn("is_spam", V.json_get("workflow_properties", "isSpam")) \
+        .withColumn("is_profane", V.json_get("workflow_properties", "isProfane")) \
         .withColumn("message_category", V.json_get("workflow_properties", "messageCategory")) \
         .withColumn("oem", F.coalesce("real_oem", "folder_name")) \
         .withColumn("filter_flag", FL.spam_flag("message"))
-    _ = J
     # staged boundary (the source writes the features as staged files before
     # scoring and loading): materialise once in the shared checkpoint folder
     return cut_lineage(p.drop("workflow_properties", "tokens"))
@@ -463,7 +463,9 @@ def social_scores(feat: DataFrame, phrases: DataFrame, n_phrases: DataFrame, kw_
 SOCIAL_SCHEMA = [("id", "string"), ("post_id", "bigint"), ("oem", "string"), ("sn_type", "string"),
                  ("message", "string"), ("processed_text", "string"), ("sn_created_time", "timestamp_ntz"),
                  ("model_name", "string"), ("vehicle_category", "string"), ("part_name", "string"),
-                 ("part_name_category", "string"), ("fuel_type", "string"), ("sentiment", "int"),
+                 ("part_name_category", "string"), ("part_name_type", "string"), ("fuel_type", "string"),
+                 ("sentiment", "int"), ("is_spam", "string"), ("is_profane", "string"),
+                 ("message_category", "string"), ("folder_name", "string"), ("real_oem", "string"),
                  ("filter_flag", "int"), ("category_label", "int"), ("category_score", "double"),
                  ("feedback_label", "int"), ("feedback_score", "double"), ("permalink", "string"),
                  ("sn_created_time_month", "date"), ("session", "string"), ("glue_last_updated", "string")]

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,12 +121,12 @@ def s07_s09(spark, sf):
 
 
 @query("S10_Z15_ingest", sql="""
-SELECT 'region' AS name, CAST(count(*) AS BIGINT) AS n FROM region
-UNION ALL SELECT 'nation', count(*) FROM nation
-UNION ALL SELECT 'supplier', count(*) FROM supplier""")
+SELECT 'region' AS name, CAST(r_regionkey AS BIGINT) AS key, r_name AS label, NULL::DOUBLE AS amount FROM region
+UNION ALL SELECT 'nation', n_nationkey, n_name, n_regionkey FROM nation
+UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal FROM supplier""")
 def s10_z15(spark, sf):
     """Config-driven ingest: master/transaction snapshots and a manual file
-    folder, each overwriting its curated target; counts read back."""
+    folder, each overwriting its curated target; all rows read back."""
     manual = scratch(spark, "manual_supplier")
     K.write_csv(table(spark, sf, "supplier"), manual)
     target = scratch(spark, "curated")
@@ -134,12 +135,14 @@ def s10_z15(spark, sf):
            {"category": "manual", "source": manual, "name": "supplier", "fmt": "csv", "glob": "*.csv"}]
     SR.ingest(spark, cfg, target)
     SR.ingest(spark, cfg, target)  # rerun: targets are replaced, not doubled
-    out = None
-    for c in cfg:
-        d = spark.read.parquet(f"{target}/{c['name']}").agg(F.count(F.lit(1)).alias("n")) \
-            .withColumn("name", F.lit(c["name"]))
-        out = d if out is None else out.unionByName(d)
-    return out.select("name", "n")
+    picked = {"region": ("r_regionkey", "r_name", None), "nation": ("n_nationkey", "n_name", "n_regionkey"),
+              "supplier": ("s_suppkey", "s_name", "s_acctbal")}
+    parts = []
+    for name, (key, label, amount) in picked.items():
+        d = spark.read.parquet(f"{target}/{name}")
+        parts.append(d.select(F.lit(name).alias("name"), F.col(key).cast("bigint").alias("key"), F.col(label).alias("label"),
+                              (F.col(amount) if amount else F.lit(None)).cast("double").alias("amount")))
+    return reduce(lambda x, y: x.unionByName(y), parts)
 
 
 @query("S11_E14_run_tables", sql="""
@@ -205,21 +208,20 @@ SELECT 'full' AS kind, CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumb
        CAST(l_quantity AS INTEGER) AS l_quantity, l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem
 UNION ALL
 SELECT 'append', l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER), substr(l_returnflag || l_linestatus, 1, 1),
-       CAST(l_shipdate AS DATE) FROM lineitem WHERE l_linenumber = 1
+       CAST(l_shipdate AS DATE) FROM lineitem
 UNION ALL
 SELECT 'staged', l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER), l_returnflag, CAST(l_shipdate AS DATE)
-FROM lineitem WHERE l_linenumber = 7""")
+FROM lineitem""")
 def k05_k06_k07(spark, sf):
-    """Full-refresh typed load (twice: replaced), append load with a text
-    length limit, and a single staged file; all read back."""
+    """Full-refresh typed load (twice: replaced), append load that cuts texts to
+    their declared length, and a single staged file; all read back."""
     li = table(spark, sf, "lineitem")
     full, app, stg = scratch(spark, "full"), scratch(spark, "append"), scratch(spark, "staged")
     K.load_full(li, _LOAD_SCHEMA, full)
     K.load_full(li, _LOAD_SCHEMA, full)
-    K.load_append(li.filter(F.col("l_linenumber") == 1)
-                  .withColumn("l_returnflag", F.concat("l_returnflag", "l_linestatus")),
-                  _LOAD_SCHEMA, app, max_len={"l_returnflag": 1})
-    K.stage_single(li.filter(F.col("l_linenumber") == 7).select(*[f.name for f in _LOAD_SCHEMA.fields]), stg,
+    K.load_append(li.withColumn("l_returnflag", F.concat("l_returnflag", "l_linestatus")),
+                  _LOAD_SCHEMA, app, max_len={"l_returnflag": 1}, too_long="cut")
+    K.stage_single(li.select(*[f.name for f in _LOAD_SCHEMA.fields]), stg,
                    casts={"l_quantity": "int", "l_shipdate": "date"})
     a = spark.read.parquet(full).withColumn("kind", F.lit("full"))
     b = spark.read.parquet(app).withColumn("kind", F.lit("append"))
@@ -227,33 +229,48 @@ def k05_k06_k07(spark, sf):
     return a.unionByName(b).unionByName(c)
 
 
-@query("K08_K09_K10_K12_K13_outputs", sql="""
-SELECT 'dash' AS kind, CAST(count(*) AS BIGINT) AS n FROM region
-UNION ALL SELECT 'outcomes', 2 * count(*) FROM nation
-UNION ALL SELECT 'archive', count(*) FROM supplier
-UNION ALL SELECT 'gzip', count(*) FROM part
-UNION ALL SELECT 'features', count(*) FILTER (WHERE c_custkey % 10 <> 0) FROM customer""")
+_AS_OF = dt.datetime.fromisoformat(AN.AS_OF)
+_OUT_COLS = ["kind", "id", "name", "note", "amount", "stamp"]
+
+
+@query("K08_K09_K10_K12_K13_outputs", sql=f"""
+SELECT 'dash' AS kind, CAST(r_regionkey AS BIGINT) AS id, r_name AS name, NULL::VARCHAR AS note, NULL::DOUBLE AS amount,
+       NULL::VARCHAR AS stamp FROM region
+UNION ALL SELECT 'outcomes', n_nationkey, n_name, NULL, n_regionkey, NULL FROM nation, range(2)
+UNION ALL SELECT 'archive', s_suppkey, s_name, NULL, s_acctbal, 'archive_ts={_AS_OF:%Y%m%d%H%M%S}' FROM supplier
+UNION ALL SELECT 'gzip', p_partkey, p_name, p_brand, p_retailprice, 'gz' FROM part
+UNION ALL SELECT 'features', c_custkey, c_name, CASE WHEN c_custkey % 10 = 0 THEN 'UNKNOWN' ELSE c_mktsegment END, c_acctbal,
+                 '{_AS_OF:%Y-%m-%dT%H:%M:%SZ}' FROM customer""")
 def k08_k13(spark, sf):
     """Dashboard overwrite, outcome append (twice), timestamped archive,
-    gzip Parquet, feature snapshot with defaults and event time."""
+    gzip Parquet, feature snapshot with defaults and event time: all rows and
+    columns read back, with the archive's folder name and the files' codec."""
     d, o, a, g, f = (scratch(spark, n) for n in ("dash", "outcomes", "archive", "gzip", "features"))
     K.write_dashboard(table(spark, sf, "region"), d)
     K.write_dashboard(table(spark, sf, "region"), d)
     K.write_outcomes(table(spark, sf, "nation"), o)
     K.write_outcomes(table(spark, sf, "nation"), o)
-    arch = K.archive_snapshot(table(spark, sf, "supplier"), a, AN.AS_OF)
+    K.archive_snapshot(table(spark, sf, "supplier"), a, AN.AS_OF)
     K.write_run(table(spark, sf, "part"), g, RUN_DATE, compression="gzip")
     c = table(spark, sf, "customer").withColumn(
         "c_mktsegment", F.when(F.col("c_custkey") % 10 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")))
     K.write_features(c, f, {"c_mktsegment": "UNKNOWN"}, AN.AS_OF)
-    parts = [("dash", spark.read.parquet(d)), ("outcomes", spark.read.parquet(o)),
-             ("archive", spark.read.parquet(arch)), ("gzip", spark.read.parquet(g)),
-             ("features", spark.read.parquet(f).filter(F.col("c_mktsegment") != "UNKNOWN"))]
-    out = None
-    for k, df in parts:
-        x = df.agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(k))
-        out = x if out is None else out.unionByName(x)
-    return out.select("kind", "n")
+
+    def rows(kind, path, key, name, note=None, amount=None, stamp=None):
+        none = F.lit(None)
+        return spark.read.parquet(path).select(
+            F.lit(kind).alias("kind"), F.col(key).cast("bigint").alias("id"), F.col(name).alias("name"),
+            (F.col(note) if note else none).cast("string").alias("note"),
+            (F.col(amount) if amount else none).cast("double").alias("amount"),
+            (none if stamp is None else stamp).cast("string").alias("stamp"))
+
+    file = F.col("_metadata.file_path")
+    parts = [rows("dash", d, "r_regionkey", "r_name"), rows("outcomes", o, "n_nationkey", "n_name", amount="n_regionkey"),
+             rows("archive", a, "s_suppkey", "s_name", amount="s_acctbal", stamp=F.regexp_extract(file, "(archive_ts=[0-9]+)", 1)),
+             rows("gzip", g, "p_partkey", "p_name", "p_brand", "p_retailprice", F.regexp_extract(file, r"\.(gz)\.parquet$", 1)),
+             rows("features", f, "c_custkey", "c_name", "c_mktsegment", "c_acctbal", F.col("event_time"))]
+    out = reduce(lambda x, y: x.unionByName(y), parts)
+    return out.select(*_OUT_COLS)
 
 
 @query("S09_A01_streaming_daily_counts", sql="""
@@ -269,9 +286,9 @@ def s09_a01_stream(spark, sf):
     src, sink, ck = scratch(spark, "stream_src"), scratch(spark, "stream_sink"), scratch(spark, "stream_ck")
     for i in range(3):
         e.filter(F.col("event_id") % 3 == i).write.mode("append").parquet(src)
-    run_available_now(spark, src, sink, ck)
+    run_available_now(spark, src, sink, ck, max_files=1, delay="31 days")
     e.filter(F.col("event_id") % 10 == 0).write.mode("append").parquet(src)  # re-delivered rows
-    run_available_now(spark, src, sink, ck)
+    run_available_now(spark, src, sink, ck, max_files=1, delay="31 days")
     out = spark.read.parquet(sink)
     return out.select("day", "event_type", F.col("n").cast("bigint").alias("n"), F.round("total", 4).alias("total"))
 

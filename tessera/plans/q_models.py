@@ -5,13 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions import strings as S
 from tessera.operators import models as MO
-from tessera.plans import analogues as AN
 from tessera.plans.registry import query
 from tessera.session import table
 
-TOP_N = 50
+TOP_N = 200  # fixed value
 CATEGORICAL = ["p_type", "l_returnflag"]
 
 
@@ -143,24 +141,31 @@ def e10_e11(spark, sf):
 _OVERLAP_SQL = f"""
 {_PRED_SQL.strip()},
 tp AS (SELECT DISTINCT pk, mapping, algoname FROM (
-         SELECT *, rank() OVER (PARTITION BY algoname ORDER BY pred DESC) AS rk FROM pred) WHERE rk <= {TOP_N}),
+         SELECT *, rank() OVER (PARTITION BY mapping, algoname ORDER BY pred DESC) AS rk FROM pred WHERE pred IS NOT NULL) WHERE rk <= {TOP_N}),
 ta AS (SELECT DISTINCT pk, mapping, algoname FROM (
-         SELECT *, rank() OVER (PARTITION BY algoname ORDER BY part_probability DESC) AS rk FROM pred) WHERE rk <= {TOP_N}),
-ov AS (SELECT algoname, CAST(count(*) AS BIGINT) AS metric_value, 'Intersection' AS metric_name,
+         SELECT *, rank() OVER (PARTITION BY mapping, algoname ORDER BY part_probability DESC) AS rk FROM pred WHERE part_probability IS NOT NULL) WHERE rk <= {TOP_N}),
+per_mapping AS (SELECT mapping, algoname, CAST(count(*) AS BIGINT) AS metric_value, 'Intersection' AS metric_name,
               round(count(*) * 100.0 / {TOP_N}, 4) AS metric_percent
-       FROM tp JOIN ta USING (pk, mapping, algoname) GROUP BY algoname)"""
+       FROM tp JOIN ta USING (pk, mapping, algoname) GROUP BY mapping, algoname),
+ov AS (SELECT algoname, CAST(sum(metric_value) AS BIGINT) AS metric_value, 'Intersection' AS metric_name,
+              round(avg(metric_percent), 4) AS metric_percent FROM per_mapping GROUP BY algoname)"""
 
 
 def overlap_metrics(spark, sf):
+    """Overlap ranked per (mapping, algorithm)."""
     pred = held_out_predictions(spark, sf)
-    return MO.topk_overlap(pred, ["pk", "mapping"], ["algoname"], "pred", "part_probability", TOP_N)
+    return MO.topk_overlap(pred, ["pk"], ["mapping", "algoname"], "pred", "part_probability", TOP_N)
+
+
+def overlap_by_algorithm(spark, sf):
+    return MO.overlap_rollup(overlap_metrics(spark, sf))
 
 
 @query("E01_J20_topk_overlap", sql=f"""
 WITH {_OVERLAP_SQL.strip()}
-SELECT algoname, metric_value, metric_name, metric_percent FROM ov""")
+SELECT mapping, algoname, metric_value, metric_name, metric_percent FROM per_mapping""")
 def e01(spark, sf):
-    return overlap_metrics(spark, sf).select("algoname", "metric_value", "metric_name", "metric_percent")
+    return overlap_metrics(spark, sf).select("mapping", "algoname", "metric_value", "metric_name", "metric_percent")
 
 
 @query("E02_winner", sql=f"""
@@ -168,7 +173,7 @@ WITH {_OVERLAP_SQL.strip()}
 SELECT CAST(metric_value AS VARCHAR) AS winningalgometric, algoname AS winningalgo FROM ov
 ORDER BY metric_value DESC, algoname LIMIT 1""")
 def e02(spark, sf):
-    return MO.winner(overlap_metrics(spark, sf))
+    return MO.winner(overlap_by_algorithm(spark, sf))
 
 
 _THR_SQL = ", ".join(f"('{u}', '{m}', '{un}', {b}, {c}, '{e}')" for u, m, un, b, c, e in MO.THRESHOLDS)
@@ -183,7 +188,7 @@ SELECT ov.metric_name, unit, expected_value, metric_percent AS actual_value, alg
             WHEN metric_percent < critical_threshold THEN 'Red' END AS status, 'Training' AS source
 FROM ov JOIN thr ON ov.metric_name = thr.metric_name""")
 def e03(spark, sf):
-    m = overlap_metrics(spark, sf)
+    m = overlap_by_algorithm(spark, sf)
     t = MO.traffic_light(m, MO.thresholds(spark), value="metric_percent")
     return t.select("metric_name", "unit", "expected_value", F.col("metric_percent").alias("actual_value"),
                     "algoname", "base_threshold", "critical_threshold", "status",
@@ -208,7 +213,7 @@ def e12(spark, sf):
 @query("Z20_inference_quality", sql=f"""
 WITH {_PRED_SQL.strip()},
 inf AS (SELECT DISTINCT pk, mapping, algoname FROM (
-          SELECT *, rank() OVER (PARTITION BY algoname ORDER BY pred DESC) AS rk FROM pred) WHERE rk <= {TOP_N}),
+          SELECT *, rank() OVER (PARTITION BY algoname ORDER BY pred DESC) AS rk FROM pred WHERE pred IS NOT NULL) WHERE rk <= {TOP_N}),
 gt0 AS (SELECT pk AS partname, mapping AS region, avg(part_probability) AS actual_failure_probabilty
         FROM f GROUP BY ALL),
 gt AS (SELECT DISTINCT partname, region FROM (
@@ -255,7 +260,7 @@ def z18(spark, sf):
         mean.select("pk", "mapping", "algoname", "intercept",
                     F.array_repeat(F.lit(0.0), len(feats)).alias("coef")))
     pred = MO.predict(te, models, ["pk", "mapping"], feats)
-    m = MO.topk_overlap(pred, ["pk", "mapping"], ["algoname"], "pred", "part_probability", TOP_N)
+    m = MO.overlap_rollup(MO.topk_overlap(pred, ["pk"], ["mapping", "algoname"], "pred", "part_probability", TOP_N))
     return MO.traffic_light(m, MO.thresholds(spark), value="metric_percent") \
         .select("algoname", "metric_name", "metric_value", "metric_percent", "status")
 
@@ -273,8 +278,6 @@ def z19(spark, sf):
                                                          F.count(F.lit(1)).alias("n_scored"))
 
 
-_ = (AN, S)
-
 
 @query("E09_fit_trees")
 def e09(spark, sf):

@@ -46,7 +46,7 @@ def class_phrases(spark, sf):
     b = table(spark, sf, "benchmark")
     s = b.select("item_id", F.posexplode(F.split("text", r"\.", -1)).alias("si", "s"))
     w = s.select((F.col("item_id") % N_CLASSES).alias("cls"),
-                 (F.col("item_id") * 1000 + F.col("si") + 1).alias("phrase"),
+                 F.concat_ws("-", F.col("item_id"), F.col("si") + 1).alias("phrase"),
                  F.explode(F.regexp_extract_all(F.lower("s"), F.lit(ALNUM), F.lit(0))).alias("pword"))
     n = w.select("cls", "phrase").distinct().groupBy("cls").agg(F.count(F.lit(1)).alias("n"))
     return w, n
@@ -56,7 +56,7 @@ _PHRASES_SQL = f"""
 sent AS (SELECT item_id, si, string_split(text, '.')[si] AS s
          FROM (SELECT item_id, text, unnest(range(1, len(string_split(text, '.')) + 1)) AS si
                FROM benchmark)),
-pw0 AS (SELECT item_id % {N_CLASSES} AS cls, item_id * 1000 + si AS phrase,
+pw0 AS (SELECT item_id % {N_CLASSES} AS cls, item_id || '-' || si AS phrase,
                unnest(regexp_extract_all(lower(s), '{ALNUM_SQL}')) AS pword FROM sent),
 np AS (SELECT cls, count(*) AS n FROM (SELECT DISTINCT cls, phrase FROM pw0) GROUP BY cls)"""
 
@@ -99,14 +99,14 @@ sc AS (SELECT conv_id, turn, label, dp / (dn.nrm * kn.nrm) AS score FROM dot JOI
        JOIN kn USING (label)),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY score DESC, label) AS rn
                         FROM sc) WHERE rn = 1),
-c AS (SELECT conv_id, turn, conv_id * 1000 + turn AS msg_id FROM conversations)
+c AS (SELECT conv_id, turn, conv_id || '-' || turn AS msg_id FROM conversations)
 SELECT msg_id, coalesce(best.label, (SELECT min(p_name) FROM part)) AS part_name,
        round(coalesce(best.score, 0) * 100, 2) AS part_score, pd.part_number
 FROM c LEFT JOIN best USING (conv_id, turn)
      LEFT JOIN pd ON pd.p_name = coalesce(best.label, (SELECT min(p_name) FROM part))""")
 def c03(spark, sf):
     c = table(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("msg_id"), "text")
+        F.concat_ws("-", "conv_id", "turn").alias("msg_id"), "text")
     return TX.match_part(c, "msg_id", "text", table(spark, sf, "part"), "p_name", "p_partkey") \
         .select("msg_id", "part_name", "part_score", "part_number")
 
@@ -266,7 +266,9 @@ j AS (SELECT coalesce(p.doc_id, b.doc_id) AS doc_id, coalesce(p.cls, b.cls) AS c
              coalesce(p.max_score, 0.0) / {w1} + coalesce(b.bow, 0.0) / {w2} AS v
       FROM phs p FULL OUTER JOIN bowc b ON p.doc_id = b.doc_id AND p.cls = b.cls),
 dd AS ({docs_sql}),
-c AS (SELECT j.doc_id, j.cls, {mask} AS v FROM j JOIN documents dd USING (doc_id)),
+sc0 AS (SELECT j.doc_id, j.cls, {mask} AS v FROM j JOIN documents dd USING (doc_id)),
+every AS (SELECT doc_id, cls FROM (SELECT DISTINCT doc_id FROM sc0), range({N_CLASSES}) g(cls)),
+c AS (SELECT doc_id, cls, coalesce(v, 0.0) AS v FROM every LEFT JOIN sc0 USING (doc_id, cls)),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY v DESC, cls) AS rn FROM c) WHERE rn = 1),
 pred AS (SELECT dd.doc_id, coalesce(best.cls, 0) AS label, round(coalesce(best.v, 0.0), 6) AS score
          FROM dd LEFT JOIN best USING (doc_id))"""
@@ -314,7 +316,7 @@ FROM res LEFT JOIN cat USING (model_name)""")
 def x11(spark, sf):
     terms, canon, cat = term_dictionary(spark, sf)
     d = table(spark, sf, "documents")
-    found = TX.extract_term(d, "doc_id", alnum_tokens("text"), terms, "term", "tpos", max_words=3)
+    found = TX.extract_term(d, "doc_id", alnum_tokens("text"), terms, "term", "tpos")
     res = found.join(canon, "term").join(cat, "model_name", "left")
     return res.select("doc_id",
                       F.when(F.col("vehicle_category").isNull(), F.lit(None).cast("string"))

@@ -53,8 +53,9 @@ def get_spark(master: str | None = None, app: str = "tessera",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we pick a scratch
-    folder ourselves; on a cluster the configured shared folder is used.
+    Only in local mode, where one machine runs everything, is a scratch folder
+    chosen if none is set (tests); on a cluster that is an error, for
+    executors can't read each other's local folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -5,6 +5,7 @@ written are replaced)."""
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,10 @@ def write_run(df: DataFrame, path: str, as_of, compression: str = "snappy", mode
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
-    """CSV with a header, no index."""
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    """CSV with a header, no index.  Texts keep their line breaks and quotes
+    (quoted, quotes doubled); an empty text is written as ``""``, a null as nothing."""
+    df.write.mode(mode).options(header=True, sep=sep, quote='"', escape='"', emptyValue='""',
+                                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_keyed(df: DataFrame, path: str, keys=("pk", "mapping"), fmt: str = "parquet") -> None:
@@ -66,11 +69,22 @@ def length_violations(df: DataFrame, max_len: dict[str, int]) -> DataFrame:
 
 
 def load_append(df: DataFrame, schema: T.StructType, target: str, max_len: dict[str, int] | None = None,
-                fmt: str = "parquet") -> None:
-    """Append typed load; text columns are cut to their declared length."""
+                fmt: str = "parquet", too_long: str = "fail", rejects: str | None = None) -> None:
+    """Append typed load.  A text longer than declared in ``max_len`` fails the load;
+    with ``too_long="reject"`` its row goes to the ``rejects`` path instead, and
+    only ``too_long="cut"`` cuts it."""
     x = apply_schema(df, schema)
-    if max_len:
+    if max_len and too_long == "cut":
         x = x.withColumns({c: F.substring(F.col(c), 1, n) for c, n in max_len.items()})
+    elif max_len and too_long == "reject":
+        if not rejects:
+            raise ValueError("rejecting rows needs a path for them")
+        length_violations(x, max_len).write.mode("append").format(fmt).save(rejects)
+        long = reduce(lambda a, b: a | b, [F.coalesce(F.length(F.col(c)) > n, F.lit(False)) for c, n in max_len.items()])
+        x = x.filter(~long)
+    elif max_len:
+        x = x.withColumns({c: F.when(F.length(F.col(c)) > n, F.raise_error(F.lit(f"{c} is longer than {n}")))
+                           .otherwise(F.col(c)) for c, n in max_len.items()})
     x.write.mode("append").format(fmt).save(target)
 
 

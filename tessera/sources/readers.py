@@ -42,9 +42,13 @@ def read_run(spark: SparkSession, path: str, as_of=None, partition_cols=("year",
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None,
-             sep: str = ",", header: bool = True, columns=None) -> DataFrame:
-    """CSV with a header; an explicit schema is preferred over inference."""
-    r = spark.read.option("header", header).option("sep", sep)
+             sep: str = ",", header: bool = True, columns=None, multi_line: bool = True) -> DataFrame:
+    """CSV with a header; an explicit schema is preferred over inference.
+    Quoted texts may hold line breaks and doubled quotes; a quoted empty text is
+    '', an unquoted one null.  Files known to hold no line break inside a text can
+    be read with ``multi_line=False``: large ones are then split among tasks."""
+    r = spark.read.options(header=header, sep=sep, quote='"', escape='"', multiLine=multi_line, emptyValue="", nullValue="\x00",
+                           ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     df = r.csv(path)
     return df.select(*columns) if columns else df

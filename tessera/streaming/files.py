@@ -21,10 +21,11 @@ EVENT_SCHEMA = T.StructType([
 
 
 def daily_counts(stream: DataFrame, ts: str = "ts", key: str = "event_type", id_col: str = "event_id",
-                 value: str = "value", delay: str = "31 days", window: str = "1 day") -> DataFrame:
+                 value: str = "value", *, delay: str, window: str = "1 day") -> DataFrame:
     """Streaming plan: watermark on the event time, duplicates of an id
     dropped while within the watermark, then per-window, per-key counts and
-    sums."""
+    sums.  Rows later than ``delay`` behind the latest event are dropped; the query's
+    progress counts them (see :func:`late_rows`)."""
     # watermarks need a zoned TIMESTAMP: take the wall-clock value as a UTC
     # instant (zone-free), so daily windows are wall-clock days whatever the
     # session time zone
@@ -35,9 +36,10 @@ def daily_counts(stream: DataFrame, ts: str = "ts", key: str = "event_type", id_
 
 
 def run_available_now(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
-                      schema: T.StructType = EVENT_SCHEMA, max_files: int = 1, glob: str | None = None,
-                      modified_after: str | None = None) -> None:
-    """Process every file not yet seen, then stop.
+                      schema: T.StructType = EVENT_SCHEMA, glob: str | None = None,
+                      modified_after: str | None = None, *, max_files: int, delay: str) -> int:
+    """Process every file not yet seen, at most ``max_files`` a micro-batch, then
+    stop.  Returns the number of rows dropped as later than ``delay``.
 
     Output mode ``complete`` with ``foreachBatch``: each micro-batch writes
     the full (small, aggregated) result with overwrite, so a batch replayed
@@ -47,7 +49,7 @@ def run_available_now(spark: SparkSession, source_dir: str, sink_dir: str, check
         r = r.option("pathGlobFilter", glob)
     if modified_after:
         r = r.option("modifiedAfter", modified_after)
-    agg = daily_counts(r.parquet(source_dir))
+    agg = daily_counts(r.parquet(source_dir), delay=delay)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         day = F.date_from_unix_date((F.unix_timestamp(F.col("w.start")) / 86400).cast("int"))
@@ -57,3 +59,9 @@ def run_available_now(spark: SparkSession, source_dir: str, sink_dir: str, check
     q = agg.writeStream.outputMode("complete").foreachBatch(write) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
+    return late_rows(q)
+
+
+def late_rows(query) -> int:
+    """Rows that the query's stateful operators dropped behind the watermark."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
