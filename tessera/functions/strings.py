@@ -7,10 +7,8 @@ Arrow-batched pandas UDF.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions._util import as_col
 
@@ -151,14 +149,14 @@ def extract_uuid(c) -> Column:
     return F.regexp_extract(F.coalesce(as_col(c), F.lit("")), UUID_PATTERN, 0)
 
 
-def split_keywords(c) -> Column:
-    """Keyword text -> flat lower-case word list.
+def split_keywords(c, sep: str = "/") -> Column:
+    """Keyword text -> flat lower-case word list; ``sep`` is ``/`` or ``,``.
 
-    Lower-case, collapse ``/ +`` to ``/``, split on ``/``; a piece with one
+    Lower-case, drop spaces after the separator, split on it; a piece with one
     word stays whole (trimmed), a multi-word piece is split on whitespace.
     """
-    x = F.regexp_replace(F.lower(as_col(c)), r"/ +", "/")
-    pieces = F.split(x, "/")
+    x = F.regexp_replace(F.lower(as_col(c)), f"{sep} +", sep)
+    pieces = F.split(x, sep, -1)
     words = F.transform(pieces, lambda p: F.filter(F.split(F.trim(p), r"\s+"),
                                                   lambda w: w != ""))
     return F.flatten(words)
@@ -242,7 +240,7 @@ def _escaped_width(ch: str) -> int:
 
 
 def trim_escaped_py(text, size: int):
-    """Reference rule for one value (used by the UDF and by tests).
+    """Reference rule for one value (tests hold :func:`trim_escaped` against it).
 
     Take the first ``size`` chars; when their escaped width reaches ``size``
     cut at ``size`` escaped bytes; a cut inside an escape drops the last
@@ -268,25 +266,35 @@ def trim_escaped_py(text, size: int):
     return head[:cut] if cut >= 0 else head
 
 
-@F.pandas_udf(T.StringType())
-def _trim_escaped_udf(s: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([trim_escaped_py(t, int(k)) if t is not None else None
-                      for t, k in zip(s, n)], dtype=object)
-
-
 def trim_escaped(c, size: int) -> Column:
-    """Byte-bounded trim (see :func:`trim_escaped_py`).
-
-    Plain printable ASCII without backslashes has escaped width 1 per
-    char, so it is a JVM ``substring``; only other text goes through the
-    Arrow UDF.
-    """
-    x = as_col(c)
-    head = F.substring(x, 1, size)
-    plain = head.rlike(r"^[ -\[\]-~]*$")
-    return F.when(x.isNull(), F.lit(None).cast("string")) \
-        .when(plain, head) \
-        .otherwise(_trim_escaped_udf(x, F.lit(size)))
+    """Byte-bounded trim (see :func:`trim_escaped_py`) in built-in functions:
+    escaped width of each of the first ``size`` characters, then the longest
+    beginning that fits, found by one fold over the widths."""
+    head = F.substring(as_col(c), 1, size)
+    code = lambda i: F.ascii(F.substring(head, i, 1))  # noqa: E731  the character's code point
+
+    def width(i):
+        o = code(i)
+        return (F.when(o.isin(92, 10, 9, 13), 2).when((o < 32) | (o == 127), 4).when(o < 128, 1)
+                .when(o < 256, 4).when(o < 65536, 6).otherwise(10))
+
+    n = F.length(head)
+    widths = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), width)).otherwise(F.array().cast("array<int>"))
+    start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("k"), F.lit(True).alias("open"))
+
+    def add(acc, w):
+        fits = acc["open"] & (acc["total"] + w <= size)
+        return F.struct((acc["total"] + F.when(fits, w).otherwise(0)).alias("total"),
+                        (acc["k"] + fits.cast("int")).alias("k"), fits.alias("open"))
+
+    fold = F.aggregate(widths, start, add)
+    kept = F.substring(head, F.lit(1), fold["k"])
+    gap = F.instr(F.reverse(kept), " ")
+    cut = F.when(gap == 0, kept).otherwise(F.substring(kept, F.lit(1), F.length(kept) - gap))
+    plain = F.length(head) == F.octet_length(head)
+    simple = plain & head.rlike(r"^[ -\[\]-~]*\z")
+    return F.when(head.isNull() | simple, head).otherwise(
+        F.when((fold["total"] == size) | (fold["k"] == n), kept).otherwise(cut))
 
 
 def concat_key(*cols, sep: str = "") -> Column:

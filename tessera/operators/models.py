@@ -1,10 +1,10 @@
 """Feature preparation, per-key training, scoring, evaluation and monitoring.
 
 Per-key models are fitted from **sufficient statistics**: the normal
-equations ``X'X b = X'y`` of each (pk, mapping) group are sums, computed by
-one ``groupBy().agg()`` with map-side partial aggregation, so a key holding
+equations ``X'X b = X'y`` of each (pk, mapping) group are sums of products of
+features not 0, added up with map-side partial aggregation, so a key holding
 a third of all rows is reduced before the shuffle.  Only the small
-(features+1)^2 systems — one row per key — reach Python, where numpy
+systems — one row per key — reach Python, where numpy
 solves them with a pseudo-inverse (the minimum-norm least-squares answer,
 as ``lstsq`` on the raw rows gives).  Scoring is a join of rows with the
 coefficient table and a dot product in SQL expressions.
@@ -29,7 +29,6 @@ THRESHOLDS = [
     ("DCP", "Intersection", "Percentage", 30.0, 20.0, ">=30"),
     ("DCP", "R2", "Number", 0.75, 0.7, ">-0.75"),
 ]
-MAX_CATEGORIES = 10_000
 
 
 def minmax(df: DataFrame, col: str, part=(), out: str | None = None) -> DataFrame:
@@ -67,16 +66,13 @@ def one_hot(df: DataFrame, cols, categories: DataFrame | None = None, keep=False
     integer column ``<col>_<value>`` per category.
 
     The category list is fixed by ``categories`` (from training) so scoring
-    builds the same columns; unseen values get all zeros.  The list is a
-    small distinct table; its size is checked before it is brought to the
-    driver to name the columns.
+    builds the same columns; unseen values get all zeros.  Columns have names,
+    so the list comes to the driver; for many categories use
+    :func:`sparse_one_hot`, which has no list.
     """
     cats = categories if categories is not None else category_table(df, cols)
-    rows = cats.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError("too many categories for one-hot columns")
     by_col: dict[str, list[str]] = {}
-    for r in rows:
+    for r in cats.toLocalIterator():
         by_col.setdefault(r["column"], []).append(r["value"])
     new = {}
     for c in cols:
@@ -110,66 +106,108 @@ def manifest(df: DataFrame, keys, run_id: str, algorithms, data_root: str) -> Da
 
 
 def split(df: DataFrame, id_cols, test_pct: int = 10, seed: int = 42, out: str = "is_test") -> DataFrame:
-    """Deterministic train/test split: ``pmod(xxhash64(seed, ids), 100) < test_pct``."""
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in id_cols]), F.lit(100))
-    return df.withColumn(out, h < test_pct)
+    """Deterministic train/test split: the first 32 bits of
+    ``md5(seed|ids...)`` modulo 100 below ``test_pct``."""
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in id_cols])), 1, 8), 16, 10)
+    return df.withColumn(out, h.cast("bigint") % 100 < test_pct)
 
 
 # ------------------------------------------------------------------ E08
 
-def normal_equations(df: DataFrame, keys, features, label: str) -> DataFrame:
-    """Per key: n and the sums of X'X (upper triangle, with intercept) and
-    X'y — one partial-aggregate pass."""
-    xs = [F.lit(1.0)] + [F.col(f).cast("double") for f in features]
-    y = F.col(label).cast("double")
-    p = len(xs)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i in range(p):
-        for j in range(i, p):
-            aggs.append(F.sum(xs[i] * xs[j]).alias(f"xx_{i}_{j}"))
-        aggs.append(F.sum(xs[i] * y).alias(f"xy_{i}"))
-    aggs.append(F.sum(y * y).alias("yy"))
-    aggs.append(F.sum(y).alias("ysum"))
-    return df.filter(y.isNotNull()).groupBy(*keys).agg(*aggs)
-
-
-def _solve_frame(features, keys):
-    p = len(features) + 1
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, r in pdf.iterrows():
-            a = np.zeros((p, p))
-            b = np.zeros(p)
-            for i in range(p):
-                for j in range(i, p):
-                    a[i, j] = a[j, i] = r[f"xx_{i}_{j}"]
-                b[i] = r[f"xy_{i}"]
-            coef = np.linalg.pinv(a) @ b
-            n = float(r["n"])
-            ybar = float(r["ysum"]) / n if n else float("nan")
-            sse = float(r["yy"]) - 2 * float(coef @ b) + float(coef @ a @ coef)
-            sst = float(r["yy"]) - n * ybar * ybar
-            r2 = 1.0 - sse / sst if sst > 0 else float("nan")
-            out.append([r[k] for k in keys] + [float(coef[0]), [float(c) for c in coef[1:]], r2, int(n)])
-        return pd.DataFrame(out, columns=list(keys) + ["intercept", "coef", "r2", "n_train"])
-    return solve
+def sparse_one_hot(df: DataFrame, cols, numeric=(), out: str = "x") -> DataFrame:
+    """One array column of (i, x) entries: 1.0 per categorical value and the
+    numeric columns that are not 0.  A feature's number is the hash of its
+    :func:`feature_name`, so any number of categories needs no list of them,
+    and scoring rows get the numbers of training rows."""
+    entries = [F.when(F.col(c).isNotNull(), F.struct(
+        F.xxhash64(F.concat(F.lit(f"{c}_"), F.col(c).cast("string"))).alias("i"), F.lit(1.0).alias("x"))) for c in cols]
+    entries += [F.when(F.col(c) != 0, F.struct(F.xxhash64(F.lit(c)).alias("i"), F.col(c).cast("double").alias("x")))
+                for c in numeric]
+    return df.withColumn(out, F.array_compact(F.array(*entries)))
+
+
+_ONE, _LABEL = -1, -2  # numbers of the constant and of the label in the products
+
+
+def normal_equations(df: DataFrame, keys, vector: str, label: str) -> DataFrame:
+    """(keys, i, j, s): sums of products of the features not 0, of the
+    constant and of the label; a row of n entries gives (n + 2)(n + 3) / 2 products,
+    added up map-side."""
+    extra = F.array(F.struct(F.lit(_ONE).cast("bigint").alias("i"), F.lit(1.0).alias("x")),
+                    F.struct(F.lit(_LABEL).cast("bigint").alias("i"), F.col(label).cast("double").alias("x")))
+    v = df.filter(F.col(label).isNotNull()).select(
+        *keys, F.concat(F.col(vector).cast("array<struct<i:bigint,x:double>>"), extra).alias("_v"))
+    pairs = F.flatten(F.transform("_v", lambda a: F.transform(
+        F.filter("_v", lambda b: b["i"] >= a["i"]),
+        lambda b: F.struct(a["i"].alias("i"), b["i"].alias("j"), (a["x"] * b["x"]).alias("s")))))
+    return (v.select(*keys, F.explode(pairs).alias("_p")).groupBy(*keys, F.col("_p.i").alias("i"), F.col("_p.j").alias("j"))
+            .agg(F.sum("_p.s").alias("s")))
+
+
+def solve_key(i, j, s) -> tuple[float, dict[int, float], float, int]:
+    """Minimum-norm least squares of one key from its products."""
+    names = np.unique(np.concatenate((i, j)))
+    a = np.zeros((len(names), len(names)))
+    r, c = np.searchsorted(names, i), np.searchsorted(names, j)
+    a[r, c] = s
+    a[c, r] = s
+    y, one = int(np.searchsorted(names, _LABEL)), int(np.searchsorted(names, _ONE))
+    x = np.array([k for k in range(len(names)) if k != y])
+    xx, xy, yy, n, ysum = a[np.ix_(x, x)], a[x, y], a[y, y], a[one, one], a[one, y]
+    coef = np.linalg.pinv(xx) @ xy
+    sse, sst = yy - 2 * coef @ xy + coef @ xx @ coef, yy - ysum * ysum / n
+    at = int(np.flatnonzero(x == one)[0])
+    weights = {int(names[k]): float(w) for k, w in zip(x, coef) if k != one}
+    return float(coef[at]), weights, float(1 - sse / sst) if sst > 0 else float("nan"), int(round(n))
+
+
+def fit_sparse(df: DataFrame, keys, vector: str, label: str, algo: str = "lr") -> DataFrame:
+    """Per-key ordinary least squares on sparse vectors: (keys, algoname,
+    intercept, weights map of feature number to weight, r2, n_train)."""
+    ne = normal_equations(df, keys, vector, label)
+    per = ne.groupBy(*keys).agg(F.collect_list(F.struct("i", "j", "s")).alias("_p"))  # features squared, not rows
+    schema = T.StructType([f for f in ne.schema.fields if f.name in keys] + [
+        T.StructField("intercept", T.DoubleType()), T.StructField("weights", T.MapType(T.LongType(), T.DoubleType())),
+        T.StructField("r2", T.DoubleType()), T.StructField("n_train", T.LongType())])
+
+    def solve(batches):
+        for pdf in batches:
+            rows = []
+            for head, p in zip(pdf[list(keys)].itertuples(index=False, name=None), pdf["_p"]):
+                i, j, s = (np.array([e[f] for e in p]) for f in ("i", "j", "s"))
+                rows.append((*head, *solve_key(i, j, s)))
+            yield pd.DataFrame(rows, columns=[*keys, "intercept", "weights", "r2", "n_train"])
+
+    return per.mapInPandas(solve, schema).withColumn("algoname", F.lit(algo))
 
 
 def fit_linear(df: DataFrame, keys, features, label: str, algo: str = "lr") -> DataFrame:
-    """Per-key ordinary least squares: (keys, algoname, intercept, coef[],
-    r2, n_train).  Sums by partial aggregation; solve per key in numpy over
-    the (one row per key) statistics table."""
-    ne = normal_equations(df, keys, features, label)
-    key_fields = [f for f in ne.schema.fields if f.name in keys]
-    schema = T.StructType(key_fields + [
-        T.StructField("intercept", T.DoubleType()),
-        T.StructField("coef", T.ArrayType(T.DoubleType())),
-        T.StructField("r2", T.DoubleType()),
-        T.StructField("n_train", T.LongType())])
-    solve = _solve_frame(list(features), list(keys))
-    fitted = ne.mapInPandas(lambda it: (solve(pdf) for pdf in it), schema)
-    return fitted.withColumn("algoname", F.lit(algo))
+    """:func:`fit_sparse` on columns: (keys, algoname, intercept, coef[] in the
+    order of ``features``, r2, n_train)."""
+    v = F.filter(F.array(*[F.struct(F.lit(k).cast("bigint").alias("i"), F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias("x"))
+                           for k, f in enumerate(features)]), lambda e: e["x"] != 0)
+    m = fit_sparse(df.withColumn("_vector", v), keys, "_vector", label, algo)
+    coef = F.array(*[F.coalesce(F.try_element_at("weights", F.lit(k).cast("bigint")), F.lit(0.0)) for k in range(len(features))])
+    return m.withColumn("coef", coef).select(*keys, "intercept", "coef", "r2", "n_train", "algoname")
+
+
+def predict_sparse(df: DataFrame, models: DataFrame, keys, vector: str, out: str = "pred") -> DataFrame:
+    """Score rows of sparse vectors with the weight table of :func:`fit_sparse`."""
+    j = df.join(models.select(*keys, "algoname", "intercept", "weights"), list(keys))
+    dot = F.aggregate(vector, F.lit(0.0), lambda s, e: s + e["x"] * F.coalesce(F.try_element_at("weights", e["i"]), F.lit(0.0)))
+    return j.withColumn(out, F.col("intercept") + dot).drop("intercept", "weights")
+
+
+def store_models(models: DataFrame, path: str, folders=("mapping", "algoname")) -> None:
+    """Coefficient table, a row per key, under ``mapping=/algoname=`` folders (not a
+    folder and file per key); a rerun replaces the folders it fitted."""
+    from tessera.sinks.writers import write_keyed
+    write_keyed(models, path, keys=folders)
+
+
+def load_models(spark, path: str, folders=("mapping", "algoname")) -> DataFrame:
+    m = spark.read.option("basePath", path).parquet(path)
+    return m.withColumns({k: F.col(k).cast("string") for k in folders})
 
 
 def fit_mean(df: DataFrame, keys, label: str, algo: str = "mean") -> DataFrame:
@@ -189,19 +227,59 @@ def predict(df: DataFrame, models: DataFrame, keys, features, out: str = "pred")
     return j.withColumn(out, F.col("intercept") + dot).drop("intercept", "coef")
 
 
-def fit_trees(df: DataFrame, keys, features, label: str, algo: str = "gbt", max_iter: int = 20,
-              seed: int = 42):
-    """Boosted trees on the pooled rows with the key as an indexed feature
-    (``pyspark.ml``); returns (model, algoname)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-    idx = [StringIndexer(inputCol=k, outputCol=f"_{k}_ix", handleInvalid="keep") for k in keys]
-    vec = VectorAssembler(inputCols=[f"_{k}_ix" for k in keys] + list(features), outputCol="_features",
-                          handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="pred",
-                       maxIter=max_iter, seed=seed, maxBins=256)
-    return Pipeline(stages=idx + [vec, gbt]).fit(df), algo
+def fit_trees(df: DataFrame, keys, features, label: str, algo: str = "gbt", rounds: int = 10,
+              rate: float = 0.3, bins: int = 16) -> DataFrame:
+    """Boosted trees of one split each, a model per key: (keys, algoname, base,
+    steps: array of struct(feature, cut, left, right), n_train).
+
+    Features are cut at their approximate quantiles (``bins`` of them); rows of a
+    key in the same cell of cuts are one row of counts and sums from then
+    on.  Each round adds up the cells' residuals per (key, feature, cut) with map-side
+    combining, takes each key's best split and joins it to the cells.  No key's
+    rows meet in one task, and the number of keys has no bound.
+    """
+    from tessera.session import cut_lineage
+    qs = [k / bins for k in range(1, bins)]
+    cuts = df.agg(*[F.percentile_approx(F.col(f).cast("double"), qs).alias(f"q{i}") for i, f in enumerate(features)]).first()
+    cuts = [sorted(set(cuts[i] or [])) for i in range(len(features))]  # at most bins - 1 numbers per feature
+    cell = [sum((F.coalesce(F.col(f).cast("double") > c, F.lit(True)).cast("int") for c in cuts[i]), F.lit(0)).alias(f"b{i}")
+            for i, f in enumerate(features)]
+    cols = [f"b{i}" for i in range(len(features))]
+    cells = df.filter(F.col(label).isNotNull()).select(*keys, *cell, F.col(label).cast("double").alias("_y")) \
+        .groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("r"))
+    base = cells.groupBy(*keys).agg((F.sum("r") / F.sum("n")).alias("base"), F.sum("n").alias("n_train"))
+    model = base.withColumn("steps", F.array().cast("array<struct<feature:int,cut:double,left:double,right:double>>"))
+    cells = cut_lineage(cells.join(base, list(keys)).withColumn("r", F.col("r") - F.col("n") * F.col("base")).drop("base", "n_train"))
+    edges = F.array(*[F.struct(F.lit(i).alias("feature"), F.lit(k).alias("at"), F.lit(float(c)).alias("cut"))
+                      for i in range(len(features)) for k, c in enumerate(cuts[i])])
+    at = F.coalesce(*[F.when(F.col("e.feature") == k, F.col(c)) for k, c in enumerate(cols)])
+    for _ in range(rounds if any(cuts) else 0):
+        e = cells.select(*keys, "n", "r", *cols, F.explode(edges).alias("e")).withColumn("_left", at <= F.col("e.at"))
+        agg = e.groupBy(*keys, "e").agg(
+            F.sum(F.when(F.col("_left"), F.col("n")).otherwise(0)).alias("nl"), F.sum("n").alias("na"),
+            F.sum(F.when(F.col("_left"), F.col("r")).otherwise(0.0)).alias("rl"), F.sum("r").alias("ra"))
+        mean = lambda s, n: F.when(n > 0, s / n).otherwise(0.0)
+        nr, rr = F.col("na") - F.col("nl"), F.col("ra") - F.col("rl")
+        gain = F.col("rl") * mean(F.col("rl"), F.col("nl")) + rr * mean(rr, nr)
+        best = agg.groupBy(*keys).agg(F.max_by(F.struct(
+            F.col("e.feature").alias("feature"), F.col("e.at").alias("at"), F.col("e.cut").alias("cut"),
+            (rate * mean(F.col("rl"), F.col("nl"))).alias("left"), (rate * mean(rr, nr)).alias("right")),
+            F.struct(F.round(gain, 9), -F.col("e.feature"), -F.col("e.at"))).alias("e"))
+        best = cut_lineage(best)
+        model = model.join(best, list(keys)).withColumn("steps", F.concat("steps", F.array(F.struct(
+            "e.feature", "e.cut", "e.left", "e.right")))).drop("e")
+        cells = cut_lineage(cells.join(best, list(keys)).withColumn("r", F.col("r") - F.col("n") * F.when(
+            at <= F.col("e.at"), F.col("e.left")).otherwise(F.col("e.right"))).drop("e"))
+    return model.withColumn("algoname", F.lit(algo))
+
+
+def predict_trees(df: DataFrame, models: DataFrame, keys, features, out: str = "pred") -> DataFrame:
+    """Score rows with :func:`fit_trees` models; a missing value goes right."""
+    x = F.array(*[F.col(f).cast("double") for f in features])
+    j = df.withColumn("_x", x).join(models.select(*keys, "algoname", "base", "steps"), list(keys))
+    add = F.aggregate("steps", F.lit(0.0), lambda s, t: s + F.when(
+        F.element_at("_x", t["feature"] + 1) <= t["cut"], t["left"]).otherwise(t["right"]))
+    return j.withColumn(out, F.col("base") + add).drop("_x", "base", "steps")
 
 
 # ------------------------------------------------------------------ E01 / E02 / E03
@@ -290,15 +368,20 @@ def status_log(models: DataFrame, keys, run_id: str) -> DataFrame:
 
 
 def check_mapping(mapping: DataFrame, required_training, required_inference) -> DataFrame:
-    """Config integrity: exactly one mapping row, required algorithms are a
-    subset of the listed ones, mapping columns are ``default`` or a column."""
+    """Config integrity, one row: exactly one mapping row, required algorithms
+    are listed, the training algorithms include every inference algorithm, and the
+    training mapping column is the inference one or ``default``."""
     req_t = F.array(*[F.lit(a) for a in required_training])
     req_i = F.array(*[F.lit(a) for a in required_inference])
     return mapping.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.bool_and(F.size(F.array_except(req_t, F.col("training_algorithms"))) == 0).alias("training_ok"),
         F.bool_and(F.size(F.array_except(req_i, F.col("inference_algorithms"))) == 0).alias("inference_ok"),
-    ).withColumn("valid", (F.col("n_rows") == 1) & F.col("training_ok") & F.col("inference_ok"))
+        F.bool_and(F.size(F.array_except("inference_algorithms", "training_algorithms")) == 0).alias("superset_ok"),
+        F.bool_and((F.col("training_mapping_column") == F.col("inference_mapping_column"))
+                   | (F.col("training_mapping_column") == "default")).alias("column_ok"),
+    ).withColumn("valid", (F.col("n_rows") == 1) & F.col("training_ok") & F.col("inference_ok")
+                 & F.col("superset_ok") & F.col("column_ok"))
 
 
 def run_record(metrics: DataFrame, win: DataFrame, run_id: str, usecase: str, stages: dict,

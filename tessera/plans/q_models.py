@@ -3,11 +3,17 @@ where the computation has an SQL form."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
+from tessera import sinks as K
+from tessera import sources as SR
 from tessera.operators import models as MO
+from tessera.operators import quality as Q
+from tessera.plans.q_io import scratch
 from tessera.plans.registry import query
-from tessera.session import table
+from tessera.session import cut_lineage, table
 
 TOP_N = 200  # fixed value
 CATEGORICAL = ["p_type", "l_returnflag"]
@@ -76,9 +82,13 @@ def e06(spark, sf):
     return m.withColumn("algorithms", F.array_join("algorithms", "|"))
 
 
-@query("E07_split")
+_SPLIT_SQL = ("CAST('0x' || substr(md5('42|' || CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)), 1, 8) "
+              "AS BIGINT) % 100 < 10")
+
+
+@query("E07_split", sql=f"SELECT l_orderkey, l_linenumber, {_SPLIT_SQL} AS is_test FROM lineitem")
 def e07(spark, sf):
-    """Hash split of every row (no SQL twin: xxhash64 is Spark's)."""
+    """Hash split of every row."""
     f = features(spark, sf).drop("is_test")
     return MO.split(f, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "is_test")
 
@@ -241,53 +251,160 @@ def z20(spark, sf):
                     F.lit("Inference").alias("source"))
 
 
-@query("Z18_training_run")
-def z18(spark, sf):
-    """Training run: keys, one-hot features, scaled quantity, hash split,
-    per-key multi-feature OLS and a mean baseline, held-out predictions,
-    top-N overlap per algorithm with traffic lights.  (No SQL twin: the
-    multi-feature solve is numpy over aggregated normal equations.)"""
-    f = MO.with_keys(features(spark, sf).drop("is_test"), "part_name", "region")
-    f = MO.minmax(f, "qty", out="qty_scaled")
-    cats = MO.category_table(f, CATEGORICAL)
-    f = MO.one_hot(f, CATEGORICAL, cats)
-    feats = ["qty_scaled"] + [c for c in f.columns if c.startswith("p_type_") or c.startswith("l_returnflag_")]
-    f = MO.split(f, ["l_orderkey", "l_linenumber"])
-    tr, te = f.filter(~F.col("is_test")), f.filter(F.col("is_test"))
-    lr = MO.fit_linear(tr, ["pk", "mapping"], feats, "part_probability")
-    mean = MO.fit_mean(tr, ["pk", "mapping"], "part_probability")
-    models = lr.select("pk", "mapping", "algoname", "intercept", "coef").unionByName(
-        mean.select("pk", "mapping", "algoname", "intercept",
-                    F.array_repeat(F.lit(0.0), len(feats)).alias("coef")))
-    pred = MO.predict(te, models, ["pk", "mapping"], feats)
-    m = MO.overlap_rollup(MO.topk_overlap(pred, ["pk"], ["mapping", "algoname"], "pred", "part_probability", TOP_N))
-    return MO.traffic_light(m, MO.thresholds(spark), value="metric_percent") \
-        .select("algoname", "metric_name", "metric_value", "metric_percent", "status")
+KEYS = ["pk", "mapping"]
+ALGORITHMS = ["lr", "mean"]
+MAPPING_DOC = {"mapping_json_data": {
+    "primary_key": "part_name",
+    "Training": {"mappingColumn": "region", "all_algorithms": ALGORITHMS},
+    "Inference": {"mappingColumn": "region", "all_algorithms": [],
+                  "mapping": {"AFRICA": ["lr"], "AMERICA": ["lr", "mean"], "ASIA": ["mean"], "EUROPE": ["lr", "mean"],
+                              "MIDDLE EAST": ["lr"]}}}}
 
 
-@query("Z19_scoring_run")
-def z19(spark, sf):
-    """Scoring run: models fitted on the training split score every row;
-    per-key mean score per algorithm (no SQL twin, as Z18)."""
+def mapping_document(spark):
+    """The mapping document written as JSON and read back."""
+    path = scratch(spark, "mapping")
+    spark.createDataFrame([(json.dumps(MAPPING_DOC),)], "value string").write.text(path)
+    return SR.read_mapping(spark, path)
+
+
+def run_features(spark, sf):
+    """Gate, mapping check, keyed features written and read back, manifest."""
     f = MO.with_keys(features(spark, sf).drop("is_test"), "part_name", "region")
-    f = MO.split(f, ["l_orderkey", "l_linenumber"])
+    run = {"corelation_id": "run-1", "source": "features", "year": "2024", "month": "02", "day": "01"}
+    outcomes = Q.with_overall(Q.evaluate(f, [Q.is_complete("pk"), Q.values_between("qty", 0, 1000)], run), run)
+    if Q.gate(outcomes.withColumn("audittimestamp", F.current_timestamp())).first()["gate"] != "Passed":
+        raise ValueError("the data-quality gate failed")
+    mapping = mapping_document(spark)
+    if not MO.check_mapping(mapping, ALGORITHMS, ALGORITHMS).first()["valid"]:
+        raise ValueError("the mapping document is not valid")
+    f = MO.minmax(f, "qty", out="qty_scaled").select(*KEYS, "l_orderkey", "l_linenumber", "qty_scaled", "part_probability")
+    path = scratch(spark, "keyed_features")
+    K.write_keyed(f, path, KEYS)
+    f = SR.read_run(spark, path).withColumns({k: F.col(k).cast("string") for k in KEYS})
+    return MO.split(f, ["l_orderkey", "l_linenumber"]), mapping, MO.manifest(f, KEYS, "run-1", ALGORITHMS, path)
+
+
+def train_models(spark, f):
+    """Both algorithms on the training rows, stored and read back."""
     tr = f.filter(~F.col("is_test"))
-    lr = MO.fit_linear(tr, ["pk", "mapping"], ["qty"], "part_probability")
-    pred = MO.predict(f, lr.select("pk", "mapping", "algoname", "intercept", "coef"), ["pk", "mapping"], ["qty"])
-    return pred.groupBy("pk", "mapping", "algoname").agg(F.round(F.avg("pred"), 6).alias("mean_score"),
-                                                         F.count(F.lit(1)).alias("n_scored"))
+    lr = MO.fit_linear(tr, KEYS, ["qty_scaled"], "part_probability")
+    mean = MO.fit_mean(tr, KEYS, "part_probability").withColumn("coef", F.array(F.lit(0.0)))
+    path = scratch(spark, "models")
+    MO.store_models(lr.select(*KEYS, "algoname", "intercept", "coef").unionByName(
+        mean.select(*KEYS, "algoname", "intercept", "coef")), path)
+    return MO.load_models(spark, path)
 
 
-
-@query("E09_fit_trees")
+_RUN_SQL = f"""
+{FEATURES_SQL.strip()},
+bounds AS (SELECT min(qty) AS lo, max(qty) AS hi FROM feat),
+f AS (SELECT regexp_replace(part_name, '[^\\p{{L}}\\p{{N}}]', '', 'g') AS pk, region AS mapping, l_orderkey, l_linenumber,
+             part_probability AS y, CASE WHEN hi = lo THEN 0.0 ELSE (qty - lo) / (hi - lo) END AS x, {_SPLIT_SQL} AS is_test
+      FROM feat, bounds),
+fit AS (SELECT pk, mapping, avg(y) AS my, avg(x) AS mx, regr_slope(y, x) AS b, regr_intercept(y, x) AS a,
+               min(x) = max(x) AS flat FROM f WHERE NOT is_test GROUP BY ALL),
+models AS (SELECT pk, mapping, 'mean' AS algoname, my AS intercept, 0.0 AS slope FROM fit
+           UNION ALL SELECT pk, mapping, 'lr', CASE WHEN flat THEN my / (1 + mx * mx) ELSE a END,
+                            CASE WHEN flat THEN my * mx / (1 + mx * mx) ELSE b END FROM fit)"""
+
+
+@query("Z18_training_run", sql=f"""
+WITH {_RUN_SQL.strip()},
+pred AS (SELECT f.*, algoname, round(intercept + slope * x, 6) AS p FROM f JOIN models USING (pk, mapping) WHERE is_test),
+tp AS (SELECT DISTINCT pk, mapping, algoname FROM pred QUALIFY rank() OVER (PARTITION BY mapping, algoname ORDER BY p DESC) <= {TOP_N}),
+ta AS (SELECT DISTINCT pk, mapping, algoname FROM pred QUALIFY rank() OVER (PARTITION BY mapping, algoname ORDER BY y DESC) <= {TOP_N}),
+pm AS (SELECT mapping, algoname, count(*) AS n FROM tp JOIN ta USING (pk, mapping, algoname) GROUP BY ALL),
+m AS (SELECT algoname, CAST(sum(n) AS BIGINT) AS metric_value, round(avg(round(n * 100.0 / {TOP_N}, 4)), 4) AS metric_percent FROM pm GROUP BY ALL)
+SELECT algoname, metric_value, metric_percent, CASE WHEN metric_percent >= 30 THEN 'Green' WHEN metric_percent >= 20 THEN 'Amber' ELSE 'Red' END AS status,
+       (SELECT algoname FROM m ORDER BY metric_value DESC, algoname LIMIT 1) AS winner_algo,
+       (SELECT CAST(count(*) AS BIGINT) FROM models) AS total_jobs, CAST(0 AS BIGINT) AS failed_jobs,
+       (SELECT CAST(count(DISTINCT pk || '|' || mapping) AS BIGINT) FROM f) AS work_items
+FROM m""")
+def z18(spark, sf):
+    """Training run, in the order of its steps: gate, mapping document and its
+    check, keyed features, manifest, both algorithms per key, stored models,
+    status log, held-out predictions, overlap per (mapping, algorithm),
+    traffic lights, winner, run record; a row per algorithm."""
+    f, mapping, work = run_features(spark, sf)
+    models = train_models(spark, f)
+    status = MO.status_log(models, KEYS, "run-1")
+    pred = MO.predict(f.filter("is_test"), models, KEYS, ["qty_scaled"]).withColumn("pred", F.round("pred", 6))
+    m = MO.overlap_rollup(MO.topk_overlap(pred, ["pk"], ["mapping", "algoname"], "pred", "part_probability", TOP_N))
+    m = cut_lineage(m)
+    lights = MO.traffic_light(m, MO.thresholds(spark), value="metric_percent")
+    record = MO.run_record(m, MO.winner(m), "run-1", "DCP", {"preprocessing": (0, 1), "training": (1, 2)}, status)
+    path = scratch(spark, "run_record")
+    K.write_ndjson(record, path)
+    back = SR.read_run_tables(spark, path)
+    scores = back.select("winner_algo", "total_jobs", "failed_jobs", F.explode("algo_scores").alias("s"))
+    n = work.agg(F.count(F.lit(1))).scalar()
+    return scores.join(lights, F.col("s.algo_name") == F.col("algoname")).select(
+        "algoname", F.col("s.algo_score").cast("bigint").alias("metric_value"), "metric_percent", "status", "winner_algo",
+        "total_jobs", "failed_jobs", n.alias("work_items"))
+
+
+@query("Z19_scoring_run", sql=f"""
+WITH {_RUN_SQL.strip()},
+allowed(mapping, algoname) AS (VALUES {", ".join(f"('{r}', '{a}')" for r, algos in
+    MAPPING_DOC["mapping_json_data"]["Inference"]["mapping"].items() for a in algos)}),
+p AS (SELECT f.pk, f.mapping, algoname, intercept + slope * x AS p FROM f JOIN models USING (pk, mapping) JOIN allowed USING (mapping, algoname))
+SELECT pk, mapping, algoname, round(avg(p), 6) AS mean_score, CAST(count(*) AS BIGINT) AS n_scored, 'Succeeded' AS status
+FROM p GROUP BY ALL""")
+def z19(spark, sf):
+    """Scoring run: gate, mapping document, keyed features, stored models of the
+    algorithms its document lists for each mapping, scores of every row
+    written by key; mean score and job status per key and algorithm."""
+    f, mapping, work = run_features(spark, sf)
+    models = train_models(spark, f)
+    jobs = SR.algorithms_by_key(work.select(*KEYS), mapping, "mapping").select(*KEYS, F.explode("algorithms").alias("algoname"))
+    models = models.join(jobs, [*KEYS, "algoname"])
+    pred = MO.predict(f, models, KEYS, ["qty_scaled"])
+    path = scratch(spark, "scores")
+    K.write_keyed(pred.select(*KEYS, "algoname", "l_orderkey", "l_linenumber", "pred"), path, KEYS)
+    back = SR.read_run(spark, path).withColumns({k: F.col(k).cast("string") for k in KEYS})
+    status = MO.status_log(models, KEYS, "run-1").drop("run_id")
+    return back.groupBy(*KEYS, "algoname").agg(F.round(F.avg("pred"), 6).alias("mean_score"), F.count(F.lit(1)).alias("n_scored")) \
+        .join(status, [*KEYS, "algoname"])
+
+
+@query("E09_fit_trees", sql=f"""
+WITH {_RUN_SQL.strip()}
+SELECT pk, mapping, 'gbt' AS algoname, CAST(count(*) FILTER (WHERE NOT is_test) AS BIGINT) AS n_train,
+       CAST(count(*) FILTER (WHERE is_test) AS BIGINT) AS n_scored, TRUE AS no_worse
+FROM f GROUP BY ALL HAVING count(*) FILTER (WHERE NOT is_test) > 0""")
 def e09(spark, sf):
-    """Boosted trees on the pooled training rows with the model keys as an
-    indexed feature (``pyspark.ml``), scored on the held-out rows; mean
-    prediction per key.  No SQL twin (iterative fit)."""
+    """Boosted trees per key on the training rows, all rows scored; ``no_worse``:
+    squared error on the training rows at most that of the key's mean."""
     f = MO.with_keys(features(spark, sf).drop("is_test"), "part_name", "region")
     f = MO.split(f, ["l_orderkey", "l_linenumber"])
-    tr, te = f.filter(~F.col("is_test")), f.filter(F.col("is_test"))
-    model, algo = MO.fit_trees(tr, ["pk", "mapping"], ["qty"], "part_probability", max_iter=10)
-    pred = model.transform(te).withColumn("algoname", F.lit(algo))
-    return pred.groupBy("pk", "mapping", "algoname").agg(F.round(F.avg("pred"), 6).alias("mean_pred"),
-                                                         F.count(F.lit(1)).alias("n_scored"))
+    models = MO.fit_trees(f.filter(~F.col("is_test")), KEYS, ["qty", "price"], "part_probability", rounds=5)
+    pred = MO.predict_trees(f, models, KEYS, ["qty", "price"]).join(models.select(*KEYS, "base", "n_train"), KEYS)
+    y, train = F.col("part_probability"), ~F.col("is_test")
+    return pred.groupBy(*KEYS, "algoname").agg(
+        F.max("n_train").alias("n_train"), F.count_if(F.col("is_test")).alias("n_scored"),
+        (F.sum(F.when(train, F.pow(y - F.col("pred"), 2))) <= F.sum(F.when(train, F.pow(y - F.col("base"), 2))) + 1e-6).alias("no_worse"))
+
+
+@query("E11_stored_models", sql=f"""
+WITH {_RUN_SQL.strip()}
+SELECT l_orderkey, l_linenumber, pk, mapping, algoname, round(intercept + slope * x, 6) AS pred FROM f JOIN models USING (pk, mapping)""")
+def e11(spark, sf):
+    """Coefficients stored by key and algorithm, read back, every row scored."""
+    f = MO.with_keys(features(spark, sf).drop("is_test"), "part_name", "region")
+    f = MO.split(MO.minmax(f, "qty", out="qty_scaled"), ["l_orderkey", "l_linenumber"])
+    return MO.predict(f, train_models(spark, f), KEYS, ["qty_scaled"]).select(
+        "l_orderkey", "l_linenumber", *KEYS, "algoname", F.round("pred", 6).alias("pred"))
+
+
+@query("E13_check_mapping", sql=f"""
+SELECT CAST(1 AS BIGINT) AS n_rows, TRUE AS training_ok, TRUE AS inference_ok, TRUE AS superset_ok, TRUE AS column_ok, TRUE AS valid,
+       (SELECT CAST(count(DISTINCT r_name) AS BIGINT) FROM region) AS regions,
+       (SELECT CAST(count(*) AS BIGINT) FROM region WHERE r_name IN ('AFRICA', 'AMERICA', 'EUROPE', 'MIDDLE EAST')) AS with_lr""")
+def e13(spark, sf):
+    """Mapping document check, and the algorithms it gives each region."""
+    m = mapping_document(spark)
+    r = table(spark, sf, "region").select(F.col("r_name").alias("mapping"))
+    a = SR.algorithms_by_key(r, m, "mapping").agg(F.struct(
+        F.count_distinct("mapping").alias("n"), F.count_if(F.array_contains("algorithms", "lr")).alias("lr"))).scalar()
+    return MO.check_mapping(m, ALGORITHMS, ALGORITHMS).withColumns({"regions": a.getField("n"), "with_lr": a.getField("lr")})

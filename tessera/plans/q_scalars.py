@@ -233,10 +233,21 @@ def x08(spark, sf):
     return t.select("p_partkey", S.engine_type("prefix", "descr").alias("engine_type"))
 
 
-@query("X09_trim_escaped")
+@query("X09_trim_escaped", sql="""
+WITH h AS (SELECT conv_id, turn, substr(text, 1, 64) AS head FROM conversations),
+c AS (SELECT conv_id, turn, i, substr(head, i, 1) AS ch, unicode(substr(head, i, 1)) AS o
+      FROM h, LATERAL (SELECT unnest(range(1, length(head) + 1)) AS i)),
+w AS (SELECT *, CASE WHEN o IN (92, 10, 9, 13) THEN 2 WHEN o < 32 OR o = 127 THEN 4 WHEN o < 128 THEN 1 WHEN o < 256 THEN 4
+                     WHEN o < 65536 THEN 6 ELSE 10 END AS width FROM c),
+s AS (SELECT *, sum(width) OVER (PARTITION BY conv_id, turn ORDER BY i) AS upto FROM w),
+k AS (SELECT conv_id, turn, count(*) FILTER (WHERE upto <= 64) AS k, max(upto) FILTER (WHERE upto <= 64) AS total FROM s GROUP BY ALL),
+p AS (SELECT h.conv_id, h.turn, head, coalesce(k, 0) AS k, coalesce(total, 0) AS total, substr(head, 1, coalesce(k, 0)::INT) AS kept
+      FROM h LEFT JOIN k USING (conv_id, turn))
+SELECT conv_id, turn, CASE WHEN total = 64 OR k = length(head) OR strpos(reverse(kept), ' ') = 0 THEN kept
+                           ELSE substr(kept, 1, length(kept) - strpos(reverse(kept), ' ')) END AS text_64
+FROM p""")
 def x09(spark, sf):
-    """Byte-bounded trim of whole conversation texts (no SQL twin; tested
-    against the per-value rule in tests)."""
+    """Byte-bounded trim of whole conversation texts."""
     c = table(spark, sf, "conversations")
     return c.select("conv_id", "turn", S.trim_escaped("text", 64).alias("text_64"))
 
@@ -245,22 +256,23 @@ _CLEAN_STOP = _sql_list(S.DEFAULT_STOP_WORDS)
 _WORD = "[\\p{L}\\p{N}_]"
 
 
-def clean_tokens_sql(col: str) -> str:
-    """DuckDB twin of :func:`strings.clean_tokens` (RE2 has no look-around,
-    so the lookbehind is a captured prefix)."""
+def clean_string_sql(col: str) -> str:
+    """DuckDB twin of the clean-up part of :func:`strings.clean_tokens` (RE2 has
+    no look-around, so the lookbehind is a captured prefix)."""
     s = f"regexp_replace({col}, '<.*?>', '', 'g')"
     s = f"regexp_replace({s}, '(^|[^\\p{{L}}\\p{{N}}_])@({_WORD})', '\\1\\2', 'g')"
     s = f"regexp_replace({s}, '(http?\\://|https?\\://|www)\\S+', ' ', 'g')"
     s = f"regexp_replace({s}, '{S.EMOJI_CLASS}', '', 'g')"
-    s = f"replace(replace({s}, '#', ''), '_', ' ')"
-    toks = f"regexp_extract_all({s}, '[\\p{{L}}\\p{{N}}]+')"
-    dist = f"list_filter({toks}, lambda x, i: list_position({toks}, x) = i)"
-    kept = f"list_filter({dist}, lambda t: NOT list_contains([{_CLEAN_STOP}], t) AND length(t) > 2)"
-    return f"list_transform({kept}, lambda t: lower(t))"
+    return f"replace(replace({s}, '#', ''), '_', ' ')"
 
 
 @query("X10_clean_text", sql=f"""
-SELECT doc_id, array_to_string({clean_tokens_sql('text')}, ' ') AS clean_text FROM documents""")
+WITH t AS (SELECT doc_id, regexp_extract_all({clean_string_sql('text')}, '[\\p{{L}}\\p{{N}}]+') AS toks FROM documents),
+u AS (SELECT doc_id, unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM t),
+f AS (SELECT doc_id, tok, min(pos) AS pos FROM u GROUP BY doc_id, tok),
+k AS (SELECT doc_id, string_agg(lower(tok), ' ' ORDER BY pos) AS clean_text FROM f
+      WHERE length(tok) > 2 AND tok NOT IN ({_CLEAN_STOP}) GROUP BY doc_id)
+SELECT doc_id, coalesce(clean_text, '') AS clean_text FROM t LEFT JOIN k USING (doc_id)""")
 def x10(spark, sf):
     d = table(spark, sf, "documents")
     return d.select("doc_id", S.clean_text("text").alias("clean_text"))
@@ -316,16 +328,17 @@ def x14_x19(spark, sf):
     return e.select("event_id", S.extract_uuid("arn").alias("uuid"), S.job_id("arn").alias("job_id"))
 
 
-@query("X15_split_keywords", sql="""
-WITH t AS (SELECT item_id, regexp_replace(text, '[.,] ?', '/', 'g') AS kw FROM benchmark),
-p AS (SELECT item_id, string_split(regexp_replace(lower(kw), '/ +', '/', 'g'), '/') AS pieces FROM t)
-SELECT item_id, array_to_string(flatten(list_transform(pieces,
-          lambda x: list_filter(string_split_regex(trim(x), '\\s+'), lambda w: w <> ''))), '|') AS words
-FROM p""")
+def _split_sql(sep: str) -> str:
+    return f"""array_to_string(flatten(list_transform(string_split(regexp_replace(lower(text), '{sep} +', '{sep}', 'g'), '{sep}'),
+          lambda x: list_filter(string_split_regex(trim(x), '\\s+'), lambda w: w <> ''))), '|')"""
+
+
+@query("X15_split_keywords", sql=f"""
+SELECT item_id, {_split_sql(',')} AS by_comma, {_split_sql('/')} AS by_slash FROM benchmark""")
 def x15(spark, sf):
-    b = table(spark, sf, "benchmark").select(
-        "item_id", F.regexp_replace("text", r"[.,] ?", "/").alias("kw"))
-    return b.select("item_id", F.array_join(S.split_keywords("kw"), "|").alias("words"))
+    return table(spark, sf, "benchmark").select(
+        "item_id", F.array_join(S.split_keywords("text", ","), "|").alias("by_comma"),
+        F.array_join(S.split_keywords("text"), "|").alias("by_slash"))
 
 
 @query("X16_X12_labels", sql="""
@@ -357,9 +370,10 @@ def x17(spark, sf):
     return e.select("event_id", V.actual_value(m).alias("actual_value"))
 
 
-@query("X18_clean_columns")
+@query("X18_clean_columns", sql="""
+SELECT o_orderkey AS order_key, o_orderdate AS order_date, o_totalprice AS total_price FROM orders""")
 def x18(spark, sf):
-    """Snake-case column names (no SQL twin: it changes the schema)."""
+    """Snake-case column names."""
     o = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("Order Key"), F.col("o_orderdate").alias("OrderDate"),
         F.col("o_totalprice").alias("Total-Price"))

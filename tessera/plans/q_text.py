@@ -28,14 +28,14 @@ def alnum_tokens(col: str):
 
 
 def keyword_dictionary(spark, sf):
-    """(item_id, keywords array) — benchmark text as keyword text."""
+    """(item_id, keywords array) — benchmark text as comma-separated keyword text."""
     b = table(spark, sf, "benchmark")
-    return b.select("item_id", S.split_keywords(F.regexp_replace("text", r"[.,] ?", "/")).alias("kw"))
+    return b.select("item_id", S.split_keywords("text", ",").alias("kw"))
 
 
 _KW_SQL = """
 kwd AS (SELECT item_id, flatten(list_transform(
-          string_split(regexp_replace(lower(regexp_replace(text, '[.,] ?', '/', 'g')), '/ +', '/', 'g'), '/'),
+          string_split(regexp_replace(lower(text), ', +', ',', 'g'), ','),
           lambda x: list_filter(string_split_regex(trim(x), '\\s+'), lambda w: w <> ''))) AS kw
         FROM benchmark)"""
 
@@ -128,12 +128,16 @@ voc AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{ALNUM_SQL}')) A
 kw AS (SELECT DISTINCT v FROM (SELECT unnest(regexp_extract_all(lower(text), '{ALNUM_SQL}')) AS v FROM benchmark)
         WHERE length(v) > 2 AND v NOT IN ({STOP_SQL})),
 unk AS (SELECT w FROM w WHERE w NOT IN (SELECT v FROM voc)),
-bw AS (SELECT w, {_bigrams_sql('w')} AS bg FROM unk),
-bv AS (SELECT v, {_bigrams_sql('v')} AS bg FROM voc),
-pairs AS (SELECT w, v, 1 - len(list_intersect(bw.bg, bv.bg)) / (len(bw.bg) + len(bv.bg) - len(list_intersect(bw.bg, bv.bg)))
-                 AS dist
-          FROM bw JOIN bv ON substr(w, 1, 1) = substr(v, 1, 1)),
-r AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY dist, v) AS rn FROM pairs),
+bw AS (SELECT w, unnest({_bigrams_sql('w')}) AS bg, len({_bigrams_sql('w')}) AS nb FROM unk),
+bv AS (SELECT v, unnest({_bigrams_sql('v')}) AS bg, len({_bigrams_sql('v')}) AS nb FROM voc),
+shared AS (SELECT w, v, 1 - count(*) / (bw.nb + bv.nb - count(*)) AS dist
+           FROM bw JOIN bv ON bw.bg = bv.bg AND substr(w, 1, 1) = substr(v, 1, 1) GROUP BY w, v, bw.nb, bv.nb),
+heads AS (SELECT v, substr(v, 1, 1) AS letter FROM voc
+          QUALIFY row_number() OVER (PARTITION BY substr(v, 1, 1) ORDER BY v) <= 10),
+fill AS (SELECT w, heads.v, 1.0 AS dist FROM unk JOIN heads ON letter = substr(w, 1, 1)
+         LEFT JOIN shared USING (w, v) WHERE shared.dist IS NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY dist, v) AS rn
+      FROM (SELECT * FROM shared UNION ALL SELECT * FROM fill)),
 best AS (SELECT w, arg_min(r.v, rn) AS corr FROM r JOIN kw USING (v) WHERE rn <= 10 GROUP BY w)
 SELECT w.w AS word, coalesce(best.corr, w.w) AS corrected FROM w LEFT JOIN best USING (w)""")
 def c05(spark, sf):

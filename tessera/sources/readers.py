@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 __all__ = ["read_query", "read_run", "read_csv", "read_many", "read_json_lines",
            "read_snapshot", "read_projected", "read_recent", "ingest", "read_run_tables",
-           "read_mapping", "MAPPING_SCHEMA", "RUN_RECORD_SCHEMA", "inference_algorithms"]
+           "read_mapping", "algorithms_by_key", "MAPPING_SCHEMA", "RUN_RECORD_SCHEMA", "inference_algorithms"]
 
 
 def read_query(spark: SparkSession, sql: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -145,13 +145,18 @@ RUN_RECORD_SCHEMA = T.StructType([
 
 
 def read_run_tables(spark: SparkSession, base: str, schema: T.StructType = RUN_RECORD_SCHEMA,
-                    table: str | None = None) -> DataFrame:
+                    table: str | None = None, partition_cols=("year", "month", "day", "stepjobid")) -> DataFrame:
     """Nested-JSON run records partitioned ``year=/month=/day=/stepjobid=``;
     partition discovery adds the partition columns.  With ``table`` the
     dataset is catalogued as an external table and its partitions repaired."""
     df = spark.read.schema(schema).option("basePath", base).json(base)
     if table:
-        df.createOrReplaceTempView(table)
+        parts = ", ".join(f"{c} STRING" for c in partition_cols)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in partition_cols)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, {parts}) USING json "
+                  f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{base}'")
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+        return spark.table(table)
     return df
 
 
@@ -179,7 +184,17 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
         d["Training"]["mappingColumn"].alias("training_mapping_column"),
         d["Training"]["all_algorithms"].alias("training_algorithms"),
         d["Inference"]["mappingColumn"].alias("inference_mapping_column"),
-        inference_algorithms(d["Inference"]).alias("inference_algorithms"))
+        inference_algorithms(d["Inference"]).alias("inference_algorithms"),
+        d["Inference"]["all_algorithms"].alias("inference_all"), d["Inference"]["mapping"].alias("inference_map"))
+
+
+def algorithms_by_key(rows: DataFrame, mapping: DataFrame, key: str, out: str = "algorithms") -> DataFrame:
+    """Inference algorithms of each row: the document's list if it has one, else
+    the list of the row's ``key`` (null if it has none)."""
+    doc = mapping.agg(F.first(F.struct("inference_all", "inference_map"))).scalar()
+    listed = doc.getField("inference_all")
+    return rows.withColumn(out, F.when(F.coalesce(F.size(listed), F.lit(0)) > 0, listed).otherwise(
+        F.try_element_at(doc.getField("inference_map"), F.col(key))))
 
 
 def inference_algorithms(inference):
