@@ -271,30 +271,32 @@ def trim_escaped(c, size: int) -> Column:
     escaped width of each of the first ``size`` characters, then the longest
     beginning that fits, found by one fold over the widths."""
     head = F.substring(as_col(c), 1, size)
-    code = lambda i: F.ascii(F.substring(head, i, 1))  # noqa: E731  the character's code point
 
-    def width(i):
-        o = code(i)
+    def width(ch):
+        o = F.ascii(ch)  # the character's code point
         return (F.when(o.isin(92, 10, 9, 13), 2).when((o < 32) | (o == 127), 4).when(o < 128, 1)
                 .when(o < 256, 4).when(o < 65536, 6).otherwise(10))
 
     n = F.length(head)
-    widths = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), width)).otherwise(F.array().cast("array<int>"))
+    chars = F.when(n > 0, F.split(head, "")).otherwise(F.array().cast("array<string>"))
     start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("k"), F.lit(True).alias("open"))
 
-    def add(acc, w):
+    def add(acc, ch):
+        w = width(ch)
         fits = acc["open"] & (acc["total"] + w <= size)
         return F.struct((acc["total"] + F.when(fits, w).otherwise(0)).alias("total"),
                         (acc["k"] + fits.cast("int")).alias("k"), fits.alias("open"))
 
-    fold = F.aggregate(widths, start, add)
-    kept = F.substring(head, F.lit(1), fold["k"])
-    gap = F.instr(F.reverse(kept), " ")
-    cut = F.when(gap == 0, kept).otherwise(F.substring(kept, F.lit(1), F.length(kept) - gap))
-    plain = F.length(head) == F.octet_length(head)
-    simple = plain & head.rlike(r"^[ -\[\]-~]*\z")
-    return F.when(head.isNull() | simple, head).otherwise(
-        F.when((fold["total"] == size) | (fold["k"] == n), kept).otherwise(cut))
+    def cut(fold):
+        kept = F.substring(head, F.lit(1), fold["k"])
+        gap = F.instr(F.reverse(kept), " ")
+        return F.when((fold["total"] == size) | (fold["k"] == n) | (gap == 0), kept).otherwise(
+            F.substring(kept, F.lit(1), F.length(kept) - gap))
+
+    # the fold bound to a name (a lambda's argument), so that it runs once a row
+    slow = F.element_at(F.transform(F.array(F.aggregate(chars, start, add)), cut), 1)
+    simple = (n == F.octet_length(head)) & head.rlike(r"^[ -\[\]-~]*\z")
+    return F.when(head.isNull() | simple, head).otherwise(slow)
 
 
 def concat_key(*cols, sep: str = "") -> Column:

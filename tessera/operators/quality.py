@@ -1,10 +1,10 @@
 """Declarative data-quality rules.
 
 A :class:`Rule` carries aggregate metric expressions, an outcome test over
-those metrics, and (for row-level rules) a per-row pass predicate.  A whole
-rule set is evaluated with **one aggregate** over the input (plus one
-keyed count per primary-key rule, and one scalar query per custom-SQL
-rule), never one job per rule.
+those metrics, and (for row-level rules) a per-row pass predicate.  A rule set is
+evaluated with one aggregate over the input, one map-side combined count per column
+that a rule counts by key (from which a primary-key rule takes its pass count
+without joining back), and one scalar query per custom-SQL rule.
 
 Rule kinds (after the public rule language the source system used):
 ``IsComplete``, ``Completeness``, ``IsPrimaryKey``, ``ColumnDataType``,
@@ -19,6 +19,8 @@ row-level rules get pass/fail counts.
 from __future__ import annotations
 
 import datetime as _dt
+import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -41,6 +43,7 @@ class Rule:
     row: Column | None = None
     key_counts: list[str] = field(default_factory=list)
     custom_sql: str | None = None
+    unique_key: str | None = None  # the row rule is "not null and unique" of this column
 
 
 def _q(c: str) -> str:
@@ -78,7 +81,7 @@ def is_primary_key(c: str) -> Rule:
                  (mu, ("distinct_ratio", c))],
                 lambda ms: (ms[mc] == 1.0) & (ms[mu] == 1.0),
                 row=F.col(c).isNotNull() & (F.col(f"_kc_{c}") == 1),
-                key_counts=[c])
+                key_counts=[c], unique_key=c)
 
 
 _TYPES = {"date": "date", "float": "double", "integer": "int", "int": "int",
@@ -201,11 +204,15 @@ def _with_run(df: DataFrame, run: dict | None) -> DataFrame:
 def evaluate(df: DataFrame, rules, run: dict | None = None, digits: int = 6) -> DataFrame:
     """Consolidated outcomes: one row per rule with outcome, failure reason,
     evaluated metrics (text of the metric map), actual value, pass and fail
-    counts (row-level rules only) and run columns.  One aggregate pass.
+    counts (row-level rules only) and run columns.  Key counts are joined back to the
+    rows only for a conjunction that holds a primary-key rule.
     """
     spark = df.sparkSession
     groups = _groups(df, rules)
-    p = _prepare(df, rules, groups)
+    p = _prepare(df, [r for r in rules if not r.unique_key], groups)
+    # per counted column: distinct values, and rows whose value is unique
+    keys = {c: g.agg(F.struct(F.count(c).alias("distinct"), F.count_if(
+        F.col(c).isNotNull() & (F.col(f"_kc_{c}") == 1)).alias("unique"))).scalar() for c, g in groups.items()}
     aggs, names, later = [F.count(F.lit(1)).alias("_rows")], {}, {}
     for i, r in enumerate(rules):
         for j, (mname, expr) in enumerate(r.metrics):
@@ -215,10 +222,14 @@ def evaluate(df: DataFrame, rules, run: dict | None = None, digits: int = 6) ->
                 later[alias] = expr
                 continue
             aggs.append(expr.cast("double").alias(alias))
-        if r.row is not None:
+        if r.row is not None and not r.unique_key:
             aggs.append(F.count_if(r.row).alias(f"_p{i}"))
             aggs.append(F.count_if(~r.row).alias(f"_f{i}"))
     one = p.agg(*aggs)
+    for i, r in enumerate(rules):
+        if r.unique_key:
+            one = one.withColumn(f"_p{i}", keys[r.unique_key].getField("unique")) \
+                .withColumn(f"_f{i}", F.col("_rows") - F.col(f"_p{i}"))
     # values that are not aggregates of the rows: scalar subqueries (distinct
     # counts over the key-group tables, custom SQL over the view "primary")
     for i, r in enumerate(rules):
@@ -227,12 +238,14 @@ def evaluate(df: DataFrame, rules, run: dict | None = None, digits: int = 6) ->
             if alias not in later:
                 continue
             if expr is None:
-                df.createOrReplaceTempView("primary")
-                val = spark.sql(r.custom_sql)
+                view = f"dq_{uuid.uuid4().hex}"
+                df.createTempView(view)
+                val = spark.sql(re.sub(r"(?i)\b(from|join)\s+primary\b", rf"\1 {view}", r.custom_sql))
+                spark.catalog.dropTempView(view)
                 col = val.select(F.col(val.columns[0]).cast("double")).scalar()
             else:
                 kind, c = expr
-                col = groups[c].agg(F.count(c).cast("double")).scalar()
+                col = keys[c].getField("distinct").cast("double")
                 if kind == "distinct_ratio":
                     col = col / F.col("_rows")
             one = one.withColumn(alias, col)
@@ -269,6 +282,17 @@ def with_overall(outcomes: DataFrame, run: dict | None = None,
     return union_overall(outcomes, overall)
 
 
+def evaluate_or_fail(df: DataFrame, rules, run: dict, digits: int = 6) -> DataFrame:
+    """:func:`evaluate` written to the shared checkpoint folder; if the
+    evaluation fails (a rule names a column that is not there, custom SQL does not
+    run), the single failure row instead, so that a run always has an outcome."""
+    from tessera.session import cut_lineage
+    try:
+        return cut_lineage(evaluate(df, rules, run, digits))
+    except Exception as e:  # noqa: BLE001  any failure of the evaluation is the outcome
+        return failure_row(df.sparkSession, run, f"{type(e).__name__}: {str(e).splitlines()[0][:200]}")
+
+
 def failure_row(spark, run: dict, reason: str) -> DataFrame:
     """The single outcome row written when the evaluation itself fails."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (

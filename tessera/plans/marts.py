@@ -431,28 +431,34 @@ def social_features(posts: DataFrame, props: DataFrame, model_terms: DataFrame,
     return cut_lineage(p.drop("workflow_properties", "tokens"))
 
 
-def social_scores(feat: DataFrame, phrases: DataFrame, n_phrases: DataFrame, kw_dict: DataFrame,
-                  n_classes: int, weights: dict, masks: DataFrame) -> DataFrame:
+def social_scores(feat: DataFrame, phrases: DataFrame, n_phrases: DataFrame, vector_scores: DataFrame,
+                  n_classes: int, weights: dict, masks: DataFrame, vocab: DataFrame) -> DataFrame:
     """Only gated posts (F10) are scored; category (masked by the part
-    category) and feedback tasks blend the phrase score (C04) and the
-    keyword cosine (C01) of the post's top keywords (C06); ungated posts keep
-    null predictions (left join back)."""
+    category) and feedback tasks blend the phrase score (C04) of the post's
+    top keywords (C06), the better of their raw and spelling-corrected (C05,
+    ``vocab``: word, position, keyword flag) forms, and the caller's vector scores (C08: post_id, cls,
+    score); ungated posts keep null predictions (left join back)."""
     from tessera.operators import text as TX
     gated = feat.filter(FL.score_gate("model_name", "part_name", "filter_flag", "sentiment")) \
         .select("post_id", "processed_text", "part_name_category")
     kw = TX.top_keywords(gated, "post_id", F.split("processed_text", " "), k=20)
     toks = kw.select("post_id", F.explode(F.split("keywords", ", ")).alias("token"))
-    ps = TX.phrase_scores(toks, "post_id", "token", phrases, "cls", "phrase", "pword", n_phrases)
-    bow = TX.bow_cosine(kw.select("post_id", F.regexp_replace("keywords", ", ", " ").alias("t")), "post_id", "t",
-                        kw_dict, "item_id", "kw") \
-        .groupBy("post_id", (F.col("item_id") % n_classes).cast("int").alias("cls")).agg(F.max("score").alias("bow"))
+    fixed = TX.correct_words_postings(toks, "token", vocab, "v", "vp", vocab.filter("is_kw"), "v")
+    corrected = toks.join(fixed, "token").select("post_id", F.col("corrected").alias("token"))
+    # both forms of a post scored in one pass, the better kept
+    forms = toks.withColumn("form", F.lit(0)).unionByName(corrected.withColumn("form", F.lit(1))) \
+        .select(F.struct("post_id", "form").alias("post"), "token")
+    ps = TX.phrase_scores(forms, "post", "token", phrases, "cls", "phrase", "pword", n_phrases) \
+        .groupBy(F.col("post.post_id").alias("post_id"), "cls").agg(F.max("max_score").alias("max_score"))
+    vec = vector_scores.select("post_id", F.col("cls").cast("int").alias("cls"), F.col("score").alias("vec")) \
+        .join(gated.select("post_id"), "post_id", "left_semi")
     classes = feat.sparkSession.range(n_classes).select(F.col("id").cast("int").alias("cls"), F.col("id").alias("pos"))
     allowed = gated.join(masks, "part_name_category").select("post_id", "cls")
     out = gated.select("post_id")
     for task, mask in (("category", allowed), ("feedback", None)):
         w1, w2 = weights[task]
-        pred = TX.blend_predict(ps.withColumn("cls", F.col("cls").cast("int")), bow, "post_id", "cls",
-                                "max_score", "bow", w1, w2, classes, "pos", mask)
+        pred = TX.blend_predict(ps.withColumn("cls", F.col("cls").cast("int")), vec, "post_id", "cls",
+                                "max_score", "vec", w1, w2, classes, "pos", mask)
         pred = gated.select("post_id").join(pred, "post_id", "left").select(
             "post_id", F.coalesce("label", F.lit(0)).alias(f"{task}_label"),
             F.round(F.coalesce("score", F.lit(0.0)), 6).alias(f"{task}_score"))

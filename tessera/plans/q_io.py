@@ -306,3 +306,19 @@ def s01(spark, sf):
     """SQL over catalog tables registered as views (Catalyst prunes the
     columns and pushes the filter into the Parquet scan)."""
     return SR.read_query(spark, _S01_SQL, {t: table(spark, sf, t) for t in ("orders", "customer", "nation")})
+
+
+@query("K04_catalogued", sql="""
+SELECT n_nationkey, n_name, '2024' AS year, '01' AS month, '31' AS day FROM nation
+UNION ALL SELECT n_nationkey, upper(n_name) || '!', '2024', '02', '01' FROM nation""")
+def k04(spark, sf):
+    """Two days written to a catalogued table, the second one twice: the first
+    stays, the rerun replaces its own day."""
+    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    name, path = f"tessera_catalogued_{uuid.uuid4().hex[:12]}", scratch(spark, "catalogued")
+    day = lambda df, m, d: df.withColumns({"year": F.lit("2024"), "month": F.lit(m), "day": F.lit(d)})
+    K.write_catalogued(day(n, "01", "31"), path, name)
+    second = n.withColumn("n_name", F.concat(F.upper("n_name"), F.lit("!")))
+    K.write_catalogued(day(second.withColumn("n_name", F.lit("old")), "02", "01"), path, name)
+    K.write_catalogued(day(second, "02", "01"), path, name)
+    return spark.table(name)

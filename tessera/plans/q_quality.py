@@ -12,7 +12,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tessera.operators import quality as Q
-from tessera.plans import analogues as AN
 from tessera.plans.registry import query
 from tessera.session import table
 from tessera.sources import read_projected
@@ -96,7 +95,7 @@ def spark_rules(specs, as_of=AS_OF):
 
 def dq_input(spark, sf, source):
     tbl, cols, _, _ = DQ_SOURCES[source]
-    return read_projected(table(spark, sf, tbl), cols, view=f"dq_{source}")
+    return read_projected(table(spark, sf, tbl), cols)
 
 
 def outcomes(spark, sf, source, run=RUN, as_of=AS_OF):
@@ -383,4 +382,16 @@ def z17(spark, sf):
                     "audittimestamp", "job_frequency", "solution_type", "solution_category")
 
 
-_ = AN  # analogues shared with other plan modules
+
+@query("Q12_failed_evaluation", sql=f"""
+SELECT 'wf-2024-02-01' AS corelation_id, 'nation' AS source, '{Q.OVERALL_RULE}' AS rule, 'Failed' AS outcome, TRUE AS has_reason,
+       (SELECT CAST(count(*) AS BIGINT) FROM nation WHERE n_nationkey IS NOT NULL) AS good_passcnt""")
+def q12(spark, sf):
+    """A rule set over a column that is not there gives one failure row; the
+    same table's good rule set still evaluates."""
+    n = table(spark, sf, "nation")
+    bad = Q.evaluate_or_fail(n, [Q.is_complete("no_such_column")], dict(RUN, source="nation"))
+    good = Q.evaluate_or_fail(n, [Q.is_complete("n_nationkey")], dict(RUN, source="nation"))
+    cnt = good.agg(F.max("passcnt")).scalar()
+    return bad.select("corelation_id", "source", "rule", "outcome", (F.length("failurereason") > 0).alias("has_reason"),
+                      cnt.alias("good_passcnt"))

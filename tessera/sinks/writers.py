@@ -49,9 +49,16 @@ def write_keyed(df: DataFrame, path: str, keys=("pk", "mapping"), fmt: str = "pa
 
 
 def write_catalogued(df: DataFrame, path: str, table: str, keys=("year", "month", "day")) -> None:
-    """Snappy Parquet partitioned by date keys and registered in the catalog."""
-    _dynamic(df).mode("overwrite").partitionBy(*keys).option("compression", "snappy") \
-        .option("path", path).saveAsTable(table)
+    """Snappy Parquet partitioned by date keys and registered in the catalog.
+    A later write replaces only the partitions it holds."""
+    spark = df.sparkSession
+    _dynamic(df).mode("overwrite").partitionBy(*keys).option("compression", "snappy").parquet(path)
+    if not spark.catalog.tableExists(table):
+        fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        cols = ", ".join(f"`{n}` {t}" for n, t in fields.items())
+        spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet PARTITIONED BY ({', '.join(keys)}) LOCATION '{path}'")
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
 
 
 def load_full(df: DataFrame, schema: T.StructType, target: str, fmt: str = "parquet") -> None:

@@ -5,6 +5,8 @@ or ``pk/mapping`` directories included)."""
 from __future__ import annotations
 
 import datetime as _dt
+import re
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +19,19 @@ __all__ = ["read_query", "read_run", "read_csv", "read_many", "read_json_lines",
 
 
 def read_query(spark: SparkSession, sql: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """SQL over named relations (registered as temp views first)."""
+    """SQL over named relations.  Each is a temp view under a name of its own
+    while the SQL is analysed, so the caller's views stay as they are; the names
+    are replaced where a table stands (after FROM, JOIN or a comma)."""
+    views = []
     for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+        view = f"{name}_{uuid.uuid4().hex}"
+        df.createTempView(view)
+        views.append(view)
+        sql = re.sub(rf"(?i)(\b(?:from|join)\s+|,\s*){re.escape(name)}\b(?=\s|$|,|;|\))", rf"\1{view}", sql)
+    out = spark.sql(sql)
+    for view in views:
+        spark.catalog.dropTempView(view)
+    return out
 
 
 def read_run(spark: SparkSession, path: str, as_of=None, partition_cols=("year", "month", "day"),
@@ -76,13 +87,12 @@ def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return spark.read.format(fmt).load(path)
 
 
-def read_projected(df: DataFrame, exprs, view: str = "dq_input") -> DataFrame:
+def read_projected(df: DataFrame, exprs) -> DataFrame:
     """Projected column list that may contain SQL expressions
     (e.g. ``concat(a, b) as key``): a list goes to ``selectExpr``; a
-    comma-separated string is used as the select list over a temp view."""
+    comma-separated string is used as a select list."""
     if isinstance(exprs, str):
-        df.createOrReplaceTempView(view)
-        return df.sparkSession.sql(f"SELECT {exprs} FROM {view}")
+        return df.sparkSession.sql(f"SELECT {exprs} FROM {{df}}", df=df)
     return df.selectExpr(*exprs)
 
 
