@@ -185,17 +185,22 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool]], list[str],
     """Entries (text, is a stem), clean words near them, and rigid entries (with
     more than MANY_NEAR such words: no edits allowed), from (text, y) rows.
 
-    An entry's documents must lie in the toxic class more than chance allows
-    over all words tried: p ** toxic < 1 / (20 * candidates), clean ones a
-    twentieth at most.  A stem is a word beginning shared by three or more such
-    words, lengthened while it keeps 95 of 100 of them.
+    Words are counted by distinct contexts (the words before and after), so that
+    copies of one document count once.  An entry's contexts must lie in toxic
+    documents more than chance allows over all words tried: p ** toxic <
+    1 / (20 * candidates), clean ones a twentieth at most.  A stem is a word
+    beginning shared by three or more words, none with over half of its
+    contexts, lengthened while it keeps 95 of 100 of them.
     """
     n = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1):
         return [], [], []
     share = n[1] / (n[1] + n.get(0, 0) + 1)
-    words = sample.select("y", F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0)))).alias("word")).where("length(word) between 3 and 40")
+    words = sample.select("y", F.regexp_extract_all(
+        F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0)).alias("t")).where("size(t) > 0")
+    words = words.select("y", F.explode(F.transform(F.sequence(F.lit(0), F.size("t") - 1), lambda i: F.struct(
+        F.get("t", i).alias("word"), F.xxhash64(F.get("t", i - 1), F.get("t", i + 1)).alias("around")))).alias("w"))
+    words = words.where("length(w.word) between 3 and 40").select("y", "w.*").distinct()
     counts = words.groupBy("word").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
     total = counts.where("pos > 0").count()
     least = max(3, math.ceil(math.log(20.0 * max(total, 1)) / -math.log(share)))
@@ -205,8 +210,8 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool]], list[str],
                 f"transform(sequence({STEM_MIN}, least({STEM_MAX}, length(word) - 1)), k -> substring(word, 1, k))"
              )).alias("stem")).where(f"length(word) > {STEM_MIN}")
              .groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
-                                  F.sum((F.col("pos") > 0).cast("int")).alias("forms"))
-             .where(strong & (F.col("pos") >= least) & (F.col("forms") >= 3)).collect())
+                                  F.sum((F.col("pos") > 0).cast("int")).alias("forms"), F.max("pos").alias("top"))
+             .where(strong & (F.col("pos") >= least) & (F.col("forms") >= 3) & (F.col("top") * 2 <= F.col("pos"))).collect())
     weight = {r.stem: r.pos for r in stems}
     chosen: list[str] = []
     for s in sorted(weight, key=lambda x: (len(x), x)):
