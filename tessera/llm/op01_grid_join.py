@@ -114,7 +114,7 @@ def _links_of_pair(ids_a, a, ids_b, b, axes, threshold, same):
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
-                    threshold: float = 0.98, block: int = 512, sample: int = SAMPLE) -> DataFrame:
+                    threshold: float = 0.98, block: int = 1024, sample: int = SAMPLE) -> DataFrame:
     """One row per vec_id: n_links (vectors of other ids in its label with
     cosine >= threshold), component_id (smallest id reachable), kept.
 
