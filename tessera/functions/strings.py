@@ -307,3 +307,14 @@ def concat_key(*cols, sep: str = "") -> Column:
             parts.append(F.lit(sep))
         parts.append(as_col(c).cast("string"))
     return F.concat(*parts)
+
+
+def model_label(name, domestic, variant) -> Column:
+    """Label of a model: name, ``DOM`` or ``EXP``, and ``-N`` for the variant."""
+    return F.concat(as_col(name), F.lit("-"), F.when(domestic, "DOM").otherwise("EXP"),
+                    F.when(variant, "-N").otherwise(""))
+
+
+def owner(resolved, fallback) -> Column:
+    """The resolved owner, else the folder it was found in."""
+    return F.coalesce(as_col(resolved), as_col(fallback))

@@ -57,6 +57,11 @@ def left_distinct(a: DataFrame, b: DataFrame, keys, how: str = "left") -> DataFr
     return a.join(b.distinct(), on=list(keys), how=how)
 
 
+def left_chain(a: DataFrame, steps) -> DataFrame:
+    """Left joins one after the other: ``steps`` are (table, key so far, its key)."""
+    return reduce(lambda x, s: x.join(s[0], x[s[1]] == s[0][s[2]], "left"), steps, a)
+
+
 def join_default_key(a: DataFrame, b: DataFrame, a_key: str, b_key: str,
                      default: str, how: str = "inner") -> DataFrame:
     """Equi join on ``coalesce(a_key, default) = b_key``."""
@@ -216,24 +221,27 @@ def left_merge_dedup(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> Data
     return a.join(b, a[a_key] == b[b_key], "left").drop(b[b_key]).dropDuplicates()
 
 
-def map_lookup(df: DataFrame, key: str, lookup: DataFrame, l_key: str, l_value: str,
-               out: str, order: str | None = None, default=None,
+def map_lookup(df: DataFrame, key: str, lookup: DataFrame, l_key: str, l_value, out,
+               order: str | None = None, default=None,
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Dictionary lookup: **last duplicate wins** (largest ``order``), the
     default applies only when the key has no entry (a null value stays null).
 
-    The lookup is reduced to one row per key with ``max_by`` (partial
-    aggregation), then broadcast if within the bound.
+    ``l_value`` and ``out`` are a column name or equally long lists of them: one
+    join fetches all.  The lookup is reduced to one row per key with ``max_by``
+    (partial aggregation), then broadcast if within the bound.
     """
-    order_col = F.col(order) if order else F.col(l_value)
+    values, outs = ([l_value], [out]) if isinstance(l_value, str) else (list(l_value), list(out))
+    row = F.struct(*[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
+    order_col = F.struct(order) if order else row
     dedup = lookup.filter(F.col(l_key).isNotNull()).groupBy(F.col(l_key).alias("_mk")).agg(
-        F.max_by(F.col(l_value), order_col).alias("_mv"))
-    dedup = dedup.withColumn("_mhit", F.lit(True))
+        F.max_by(row, order_col).alias("_mv"))
     dedup = bounded_broadcast(dedup, max_broadcast_bytes)
     res = df.join(dedup, df[key] == dedup["_mk"], "left")
-    val = F.col("_mv") if default is None else F.when(F.col("_mhit").isNull(), F.lit(default)) \
-        .otherwise(F.col("_mv"))
-    return res.withColumn(out, val).drop("_mk", "_mv", "_mhit")
+    for i, o in enumerate(outs):
+        val = F.col("_mv").getField(f"v{i}")
+        res = res.withColumn(o, val if default is None else F.when(F.col("_mk").isNull(), F.lit(default)).otherwise(val))
+    return res.drop("_mk", "_mv")
 
 
 def full_outer_counts(p: DataFrame, f: DataFrame, key: str, p_val: str, f_val: str) -> DataFrame:

@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions import dates as D
 
@@ -73,11 +72,3 @@ def redact(df: DataFrame, date_col: str, sentiment_col: str, text_cols, as_of,
     cond = F.coalesce(cond, F.lit(False))
     return df.withColumns({c: F.when(cond, F.lit(None).cast(df.schema[c].dataType))
                           .otherwise(F.col(c)) for c in text_cols})
-
-
-def empty_like(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], df.schema)
-
-
-def typed_null(t: T.DataType) -> Column:
-    return F.lit(None).cast(t)

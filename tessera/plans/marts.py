@@ -53,11 +53,8 @@ def dispatch_sales(invc: DataFrame, dealers: DataFrame, as_of, spec_code: str) -
     spec-code filter -> D09 -> D03 -> D04 -> X01 -> D02 -> A01 -> F01.
     """
     from tessera.operators import joins as J
-    x = J.map_lookup(invc, "invc_delr_code", dealers, "delr_cd", "city", "City",
-                     order="ord", default="Not_Found")
-    x = J.map_lookup(x, "invc_delr_code", dealers, "delr_cd", "state", "State",
-                     order="ord", default="Not_Found")
-    x = x.filter(F.col("invc_spec_code") == spec_code)
+    x = J.map_lookup(invc.filter(F.col("invc_spec_code") == spec_code), "invc_delr_code", dealers, "delr_cd",
+                     ["city", "state"], ["City", "State"], order="ord", default="Not_Found")
     y, m = D.year_month("invc_date")
     x = x.select(
         D.serial_month(m, y).alias("serial_id"),
@@ -114,9 +111,7 @@ def audit_findings(chkm: DataFrame, qmmm: DataFrame, chkd: DataFrame, ctrr: Data
         .join(ctrr.select("ctrr_code", "ctrr_name"), F.col("ctrr_code") == F.col("chkd_vend_code"), "left") \
         .join(cods, F.col("cods_code") == F.col("chkd_iqs_code"), "left") \
         .filter((F.col("chkd_iqs_code") != "3") & (F.col("cods_type") == "IQS"))
-    model = F.concat(F.col("qmmm_desc"), F.lit("-"),
-                     F.when(F.col("chkm_dom_exp") == "D", "DOM").otherwise("EXP"),
-                     F.when(F.col("chkm_nissan") == "Y", "-N").otherwise(""))
+    model = S.model_label("qmmm_desc", F.col("chkm_dom_exp") == "D", F.col("chkm_nissan") == "Y")
     return x.select(S.prefix(model, 3).alias("model"), F.col("chkm_audit_date").alias("audit_date"),
                     F.col("chkd_defect_code").alias("def_code"), F.col("chkd_factor_value").alias("dmt"),
                     F.col("chkd_defect_type").alias("nature_of_defect"), F.col("ctrr_name").alias("vendor"),
@@ -424,7 +419,7 @@ def social_features(posts: DataFrame, props: DataFrame, model_terms: DataFrame,
         .withColumn("is_spam", V.json_get("workflow_properties", "isSpam")) \
         .withColumn("is_profane", V.json_get("workflow_properties", "isProfane")) \
         .withColumn("message_category", V.json_get("workflow_properties", "messageCategory")) \
-        .withColumn("oem", F.coalesce("real_oem", "folder_name")) \
+        .withColumn("oem", S.owner("real_oem", "folder_name")) \
         .withColumn("filter_flag", FL.spam_flag("message"))
     # staged boundary (the source writes the features as staged files before
     # scoring and loading): materialise once in the shared checkpoint folder

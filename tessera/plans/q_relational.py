@@ -120,9 +120,8 @@ def j08(spark, sf):
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation")
     r = table(spark, sf, "region")
-    x = o.join(c, o["o_custkey"] == c["c_custkey"], "left") \
-        .join(n, c["c_nationkey"] == n["n_nationkey"], "left") \
-        .join(r, n["n_regionkey"] == r["r_regionkey"], "left") \
+    x = J.left_chain(o, [(c, "o_custkey", "c_custkey"), (n, "c_nationkey", "n_nationkey"),
+                         (r, "n_regionkey", "r_regionkey")]) \
         .filter((F.col("r_name") != "ASIA") & F.col("n_name").isNotNull())
     return x.select("o_orderkey", "c_name", "n_name", "r_name")
 
@@ -225,8 +224,9 @@ def j14(spark, sf):
         F.lit("1997-01-01").cast("timestamp_ntz"), F.lit("1997-12-31").cast("timestamp_ntz")))
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation")
-    x = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(c, o["o_custkey"] == c["c_custkey"]) \
-        .join(n, c["c_nationkey"] == n["n_nationkey"])
+    x = J.join(li, o.withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"])
+    x = J.join(x.withColumnRenamed("o_custkey", "c_custkey"), c, ["c_custkey"])
+    x = J.join(x.withColumnRenamed("c_nationkey", "n_nationkey"), n, ["n_nationkey"])
     return x.select("l_orderkey", "l_linenumber", "c_custkey", "n_name")
 
 
@@ -317,9 +317,11 @@ def a01(spark, sf):
 SELECT s_nationkey, max(s_name) AS max_name, count(DISTINCT s_acctbal > 0) AS n_signs
 FROM (SELECT DISTINCT s_nationkey, s_name, s_acctbal FROM supplier) GROUP BY s_nationkey""")
 def a02_a03(spark, sf):
-    s = table(spark, sf, "supplier").select("s_nationkey", "s_name", "s_acctbal").distinct()
-    return s.groupBy("s_nationkey").agg(F.max("s_name").alias("max_name"),
-                                        F.countDistinct(F.col("s_acctbal") > 0).alias("n_signs"))
+    s = table(spark, sf, "supplier").select("s_nationkey", "s_name", "s_acctbal")
+    signs = s.select("s_nationkey", (F.col("s_acctbal") > 0).alias("positive")).filter("positive is not null")
+    n = J.left_distinct(s.select("s_nationkey").distinct(), signs, ["s_nationkey"]) \
+        .groupBy("s_nationkey").agg(F.count("positive").alias("n_signs"))
+    return J.join(A.max_per_key(s, "s_nationkey", "s_name", "max_name"), n, ["s_nationkey"])
 
 
 @query("A04_A09_metrics", sql="""

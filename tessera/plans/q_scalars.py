@@ -350,10 +350,8 @@ def x16_x12(spark, sf):
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation")
     j = c.join(n, c["c_nationkey"] == n["n_nationkey"])
-    model = F.concat(F.col("n_name"), F.lit("-"),
-                     F.when(F.col("c_mktsegment") == "BUILDING", "DOM").otherwise("EXP"),
-                     F.when(F.col("c_acctbal") > 5000, "-N").otherwise(""))
-    owner = F.coalesce(F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")), F.col("n_name"))
+    model = S.model_label("n_name", F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") > 5000)
+    owner = S.owner(F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")), "n_name")
     return j.select("c_custkey", model.alias("model"), owner.alias("owner"))
 
 
