@@ -64,9 +64,10 @@ def fingerprint_column(text: pd.Series) -> pd.Series:
 
 def _candidates(fps: DataFrame) -> DataFrame:
     """Fingerprints that share a half, up to one flip, with another one."""
-    # few bytes become many rows: spread them first, in as many tasks as a shuffle has
+    # few bytes become many rows: spread them first over as many tasks as a shuffle has
+    # (by another expression than the grouping, else Spark drops the step)
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    half = fps.repartition(n, "fp").select("fp", F.explode(F.array(
+    half = fps.repartition(n, F.xxhash64("fp")).select("fp", F.explode(F.array(
         F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1 << 32)))).alias("half"))
     ball = half.select(F.explode(F.transform(
         F.lit([0] + [1 << i for i in range(32)]), lambda m: F.col("half").bitwiseXOR(m))).alias("half"))
@@ -79,7 +80,7 @@ def links(fps: DataFrame) -> DataFrame:
     distinct fingerprints (column ``fp``) within RADIUS bits."""
     near = _candidates(fps)
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ball = near.repartition(n, "fp").select("fp", F.explode(F.lit(INNER + OUTER)).alias("flip"))
+    ball = near.repartition(n, F.xxhash64("fp")).select("fp", F.explode(F.lit(INNER + OUTER)).alias("flip"))
     ball = ball.select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("variant"),
                        F.when(F.bit_count("flip") <= 1, F.col("fp")).alias("inner_fp"))
     at = Window.partitionBy("variant")
