@@ -27,7 +27,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 
 def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, doc_key, line, words, h) of every line with a word; lines split at
-    \\n, h the hash of the whole line."""
+    \\n, h a 64-bit hash of the whole line and its length (lines are equal if it is)."""
     d = columns(docs, doc_id=doc_id, text=text).where("text is not null")
     d = d.select("doc_id", text_key("text").alias("doc_key"), F.posexplode(F.split("text", "\n", -1)).alias("line", "s"))
     return (d.select("doc_id", "doc_key", "line", F.regexp_count("s", F.lit(WORDS)).alias("words"),
