@@ -70,6 +70,18 @@ def little_endian(ids: list[int]) -> bytes:
     return a.tobytes()
 
 
+def end_id_for(path: str, wanted: int) -> int:
+    """``wanted`` if no text can be encoded to it, else the greatest 16-bit id that
+    the vocabulary file leaves free."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    used = {*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])}
+    free = wanted if wanted not in used else next((i for i in range((1 << 16) - 1, -1, -1) if i not in used), None)
+    if free is None:
+        raise ValueError(f"{path} leaves no 16-bit id for the end of a document")
+    return free
+
+
 @functools.lru_cache(maxsize=2)
 def load(path: str) -> ByteBpe:
     """One encoder per worker process and file."""

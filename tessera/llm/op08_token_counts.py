@@ -101,8 +101,8 @@ def read_token_files(spark: SparkSession, path: str, width: int = 2, block_token
 def token_files(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text",
                 block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Flat token streams of ``docs``, one per input partition, as checkpointed blocks
-    (file, block, data, closes): 16-bit ids, each document's ids then ``end_id``,
-    cut every ``block_tokens`` ids wherever that falls.  ``closes`` are the doc_ids
+    (file, block, data, closes): 16-bit ids, each document's ids then ``end_id``
+    (one that no text is encoded to, see ``bytebpe.end_id_for``), cut every ``block_tokens`` ids wherever that falls.  ``closes`` are the doc_ids
     in stream order by the block their last id is in: the sidecar that names
     documents, which counting never reads."""
     fields = columns(docs, doc_id=doc_id, text=text).selectExpr("cast(doc_id as long) doc_id", "text")
@@ -138,9 +138,13 @@ def token_counts(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "do
     """doc_id and n_tokens (without the end id) of every row, counted by the
     separator scan over flat token files of the texts.
 
-    A null or empty text has 0 tokens; null ids stay null; repeated rows are
+    A text may hold a special token's string, which counts as the one id it is
+    encoded to.  Where ``end_id`` is such an id, the streams are written with an id
+    that the vocabulary leaves free.  A null or empty text has 0 tokens; null ids stay null; repeated rows are
     documents of their own; an empty table gives no rows.
     """
+    from tessera.llm import bytebpe
+    end_id = bytebpe.end_id_for(tokenizer, end_id)
     files = token_files(docs, tokenizer, end_id, doc_id, text)
     counts = document_lengths(files.select("file", "block", "data"), end_id)
     named = files.select("file", "block", F.size("closes").cast("long").alias("n"), "closes")

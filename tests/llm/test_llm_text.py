@@ -108,6 +108,15 @@ def test_token_counts(spark, odd):
     assert token_counts(odd.limit(0), BYTE, 50256).count() == 0
 
 
+def test_token_counts_with_the_end_id_in_a_text(spark, odd):
+    t = Tokenizer.from_file(BYTE)
+    assert 50256 in t.encode(ODD[6], add_special_tokens=False).ids and bytebpe.end_id_for(BYTE, 60_000) == 60_000
+    want = sorted((d, len(t.encode(x, add_special_tokens=False).ids)) for d, x in texts_of(odd))
+    for d in (odd, odd.coalesce(1)):  # in one stream every later document would be shifted
+        got = sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens) for r in token_counts(d, BYTE, 50256).collect())
+        assert got == want
+
+
 @pytest.mark.parametrize("block", [1, 2, 3, 7, 1000])
 def test_separator_scan_any_blocks(spark, tmp_path, block):
     rng = np.random.default_rng(block)
