@@ -10,7 +10,11 @@ each page again and leaves out the branches of low importance on its host.
 
 What tags and names say outright is known beforehand: menus, footers, forms,
 scripts, adverts, comments and the like are left out on any host, and where a page
-has an article or main element, the text is looked for inside it.
+has an article or main element, the text is looked for inside it.  Names say
+nothing about html, body, article and main elements themselves, nor about a
+wrapper (or form) that holds the page's article: its text is kept.  Articles in such
+wrappers are left out only beside an article outside of them (comments and teasers
+are often article elements too).
 Branches are judged low only against better ones on the same host, so a
 site of copies keeps its text.
 
@@ -35,8 +39,8 @@ LOW, GOOD = 0.2, 0.6
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _PART = re.compile(r"[a-z]+")
 
 # HTML's own element kinds.
@@ -51,33 +55,58 @@ SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 LISTS = frozenset("ul ol dl table menu dir".split())
 
 # Names that mark something other than the main text.
-NOISE_TAGS = frozenset("head nav footer aside form button menu dialog fieldset".split())
+NOISE_TAGS = frozenset("head nav footer aside button menu dialog fieldset".split())
 NOISE_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments
 consent contentinfo complementary cookie cookies copyright dialog discussion disqus footer form gdpr login menu modal
 nav navbar navigation newsletter notice notices pager pagination popup promo promotion promoted recommended related
 replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget""".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
+STATES = frozenset("has have with without no not is".split())  # "with-comments" names what the element has, not what it is
 ARTICLE = frozenset(("article", "main"))
+UNNAMED = ARTICLE | {"html", "body"}  # never noise by name
+BY_NAME, SURE = 1, 2  # noise unless it holds the page's article; noise whatever it holds
 
 
-def _open(tag: str, attributes: str, in_article: bool) -> tuple[str, bool]:
-    """Label of an element in the style tree, and whether its name is noise."""
-    names = [(a or b or c or "").lower() for _, a, b, c in _NAMES.findall(attributes)] if "=" in attributes else []
-    parts = [p for n in names for p in _PART.findall(n)]
-    noise = (tag in NOISE_TAGS or not NOISE_WORDS.isdisjoint(parts)
-             or not in_article and (tag == "header" or not HEADER_WORDS.isdisjoint(parts))
-             or bool(attributes) and _HIDDEN.search(attributes) is not None)
-    return (f"{tag}.{'.'.join(sorted(set(parts)))}" if parts else tag), noise
+def attributes_of(attributes: str) -> dict[str, str]:
+    """Value ('' if none) of each attribute, the first of a name as in HTML."""
+    out: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        out.setdefault(name.lower(), a or b or c)
+    return out
 
 
-def blocks(page: str | None) -> list[tuple[str, bool, str]]:
-    """(style path, inside an article or main element, text) of the page's blocks
-    outside noise, in page order."""
-    out: list[tuple[str, bool, str]] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, noise, in article
+def _open(tag: str, attributes: str, in_article: bool) -> tuple[str, int]:
+    """Label of an element in the style tree, and whether it is noise (0, BY_NAME, SURE)."""
+    given = attributes_of(attributes) if attributes else {}
+    parts, named = [], set()
+    for name in ("class", "id", "role"):
+        for token in given.get(name, "").lower().split():
+            own = _PART.findall(token)
+            parts += own
+            named.update(p for before, p in zip([None, *own], own) if before not in STATES)
+    label = f"{tag}.{'.'.join(sorted(set(parts)))}" if parts else tag
+    if tag in ("html", "body"):
+        return label, 0
+    if (tag in NOISE_TAGS or not in_article and tag == "header" or "hidden" in given
+            or given.get("aria-hidden", "").strip().lower() == "true"
+            or _NO_DISPLAY.search(given.get("style", "")) is not None):
+        return label, SURE
+    by_name = tag == "form" or tag not in UNNAMED and (
+        not NOISE_WORDS.isdisjoint(named) or not in_article and not HEADER_WORDS.isdisjoint(named))
+    return label, BY_NAME if by_name else 0
+
+
+def blocks(page: str | None) -> list[tuple[str, int, str]]:
+    """(style path, place, text) of the page's blocks outside noise, in page order.
+
+    The place is 0 outside article and main elements, else 2 * n + 1 in a main and
+    2 * n + 2 in an article element, n: wrappers of noisy names around it that
+    an article or main element was found in."""
+    out: list[tuple[str, int, str]] = []
+    stack: list[tuple[str, str, int, int]] = []  # tag, path, noise, place
     text: list[str] = []
     page, at = page or "", 0
-    path, noise, inside = "", False, False
+    path, noise, inside = "", 0, 0
 
     def flush():
         if text:
@@ -89,7 +118,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, str]]:
     def pop_to(n):
         nonlocal path, noise, inside
         del stack[n:]
-        _, path, noise, inside = stack[-1] if stack else ("", "", False, False)
+        _, path, noise, inside = stack[-1] if stack else ("", "", 0, 0)
 
     def innermost(tags, stops):
         for i in range(len(stack) - 1, -1, -1):
@@ -140,12 +169,17 @@ def blocks(page: str | None) -> list[tuple[str, bool, str]]:
                 pop_to(i)
             if tag in SAME and (i := innermost(SAME[tag], LISTS)) >= 0:
                 pop_to(i)
-        label, own = _open(tag, attributes, inside)
+        label, own = _open(tag, attributes, inside > 0)
         if tag in BLOCK or own:
             if own and tag not in BLOCK:
                 flush()
             path = f"{path}/{label}"
-        noise, inside = noise or own, inside or tag in ARTICLE
+        if tag in ARTICLE:
+            wrapped = max(inside - 1, 0) // 2
+            if noise == BY_NAME:
+                noise, wrapped = 0, wrapped + 1
+            inside = max(inside, 2 * wrapped + (2 if tag == "article" else 1))
+        noise = max(noise, own)
         stack.append((tag, path, noise, inside))
     flush()
     return out
@@ -156,9 +190,14 @@ def node(path: str) -> int:
     return xxhash.xxh64_intdigest(path) - (1 << 63)
 
 
-def relevant(found: list[tuple[str, bool, str]]) -> list[tuple[str, bool, str]]:
-    """Blocks inside article or main elements if the page has any there."""
-    return [b for b in found if b[1]] or found
+def relevant(found: list[tuple[str, int, str]]) -> list[tuple[str, int, str]]:
+    """Blocks inside article or main elements if the page has any there, up to
+    the place of its least wrapped article (main element if it has no article)."""
+    places = {b[1] for b in found if b[1]}
+    if not places:
+        return found
+    last = min((p for p in places if p % 2 == 0), default=min(places))
+    return [b for b in found if 0 < b[1] <= last]
 
 
 def style_rows(page: str | None) -> list[tuple[int, int, int]]:

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from tessera.llm import bytebpe
 from tessera.llm.op03_rules import RATIOS, judge, merge, quantiles, repeat_words, sketch, text_stats
 from tessera.llm.op05_bpe import encode_decode, encode_texts, load
-from tessera.llm.op06_html import blocks, extract
+from tessera.llm.op06_html import blocks, extract, relevant
 from tessera.llm.op07_packing import assign, pack, room
 from tessera.llm.op08_token_counts import document_lengths, read_token_files, token_counts
 
@@ -192,6 +192,33 @@ def test_html_page():
     assert len(blocks("<a href='x" * 3000)) <= 1
 
 
+def texts_in(page):
+    return [b[2] for b in relevant(blocks(page))]
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<body class="has-sidebar">', '<body class="no-ads">', '<body class="search banner">', '<html class="no-modal">',
+    '<body aria-hidden="true">', '<div style="overflow:hidden">', '<div aria-hidden="false">', '<div title="hidden">',
+    '<div data-x="display:none">', '<div data-role="dialog" data-class="ad">', '<div class="with-comments">',
+    '<div class="layout-sidebar">', '<div id="search-results">', '<div class="ads"><div class="comments">', '<form id="f">', ""])
+@pytest.mark.parametrize("inner", ["article", 'article class="post with-comments"', 'article class="sponsored"', "main", 'main id="search"'])
+def test_html_wrappers_keep_the_article(wrapper, inner):
+    page = f'{wrapper}<p class="ad">Buy</p><{inner}><h1>Head</h1><p>Story</p><div class="share">Share</div></{inner.split()[0]}>'
+    assert texts_in(page) == ["Head", "Story"]
+
+
+def test_html_wrappers_without_article():
+    assert texts_in('<html class="no-modal"><body class="has-sidebar"><div class="no-ads" style="overflow:hidden">a</div>') == ["a"]
+    assert texts_in('<p>a</p><div hidden=hidden>b</div><div aria-hidden=true>c</div><div style="display: none">d</div>'
+                    '<div class="cookie-notice">e</div><form>f</form>') == ["a"]
+    # comments and teasers that are article elements themselves stay out beside the article
+    for kind in ("comments", "related"):
+        more = f'<div class="{kind}"><article><p>Other</p></article></div>'
+        assert texts_in(f"<article><p>Story</p>{more}</article>") == texts_in(f"{more}<article><p>Story</p></article>") == ["Story"]
+        assert texts_in(f'<div class="sidebar-layout"><article><p>Story</p>{more}</article></div>') == ["Story"]
+    assert texts_in('<main><h1>Head</h1><div class="search-page"><article>Story</article></div></main>') == ["Head", "Story"]
+
+
 def test_extract_site_style_tree(spark):
     rows = []
     for i in range(8):
