@@ -5,8 +5,7 @@ inflected families, far commoner in toxic documents than chance allows.  Its
 trie and the Levenshtein automaton of the text word are run together; their
 product is determinised lazily, so each word costs a table look-up a letter and
 misspellings are found without trying each entry.  A misspelling does not count if
-it is itself a word of the sample's clean documents, and an entry among many such
-words allows none.
+it is itself a word of the sample's clean documents.
 
 A hit's weight depends on its context: inside quotation marks or shortly after
 a reporting word it counts less, next to a form of address more.
@@ -30,7 +29,6 @@ PER_CLASS = 6000
 STEM_MIN, STEM_MAX = 4, 8
 PRIOR = (-3.67, 4.0)  # intercept and weight of log(1 + summed hits)
 WINDOW = 6
-MANY_NEAR = 2
 QUOTED, REPORTED, ADDRESSED = 0.35, 0.5, 1.25
 
 # Characters that commonly stand for letters.
@@ -53,16 +51,15 @@ def fold(token: str) -> str:
 
 
 def allowed(entry: str, stem: bool) -> int:
-    """Edits allowed for an entry: none in short ones."""
+    """Edits allowed for an entry: none under five letters, one in stems."""
     n = len(entry)
-    return (1 if n >= 8 else 0) if stem else 0 if n < 5 else 1 if n < 10 else 2
+    return 0 if n < 5 else 1 if stem or n < 10 else 2
 
 
 class Lexicon:
     """Lexicon trie x Levenshtein automaton, determinised as words need it."""
 
-    def __init__(self, entries: list[tuple[str, bool]], blocked: frozenset[str] = frozenset(),
-                 rigid: frozenset[str] = frozenset()):
+    def __init__(self, entries: list[tuple[str, bool]], blocked: frozenset[str] = frozenset()):
         self.blocked = blocked
         # trie nodes: children, and (edits allowed) of an entry or stem ending there
         self.children: list[dict[str, int]] = [{}]
@@ -70,7 +67,7 @@ class Lexicon:
         self.stem_end: dict[int, int] = {}
         self.most: list[int] = [0]  # edits allowed to any entry below
         for entry, stem in entries:
-            k, node = 0 if entry in rigid else allowed(entry, stem), 0
+            k, node = allowed(entry, stem), 0
             self.most[0] = max(self.most[0], k)
             for c in entry:
                 if c not in self.children[node]:
@@ -181,20 +178,20 @@ def hit_sum(text: str | None, memo: Memo) -> float:
     return sum(s * context(tokens, i) for i, s in enumerate(strength) if s)
 
 
-def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool]], list[str], list[str]]:
-    """Entries (text, is a stem), clean words near them, and rigid entries (with
-    more than MANY_NEAR such words: no edits allowed), from (text, y) rows.
+def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool]], list[str]]:
+    """Entries (text, is a stem) and clean words near them, from (text, y) rows.
 
     Words are counted by distinct contexts (the words before and after), so that
     copies of one document count once.  An entry's contexts must lie in toxic
     documents more than chance allows over all words tried: p ** toxic <
     1 / (20 * candidates), clean ones a twentieth at most.  A stem is a word
     beginning shared by three or more words, none with over half of its
-    contexts, lengthened while it keeps 95 of 100 of them.
+    contexts, lengthened while it keeps 95 of 100 of them.  Words of a family are entries
+    beside their stem: their misspellings are found by the whole word too.
     """
     n = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1):
-        return [], [], []
+        return [], []
     share = n[1] / (n[1] + n.get(0, 0) + 1)
     words = sample.select("y", F.regexp_extract_all(
         F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0)).alias("t")).where("size(t) > 0")
@@ -225,7 +222,7 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool]], list[str],
         if s not in chosen:
             chosen.append(s)
     entries = [(s, True) for s in chosen]
-    entries += [(r.word, False) for r in single if not any(r.word.startswith(s) for s in chosen)]
+    entries += [(r.word, False) for r in single]
     entries.sort()
     lexicon = Lexicon(entries)
 
@@ -234,13 +231,7 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool]], list[str],
         return pd.Series([lexicon.distance(w) > 0 for w in word], dtype="bool")
 
     clean = counts.where("neg > 0").where(near("word")).select("word").collect()
-    clean = sorted(r.word for r in clean)
-    rigid = []
-    for entry in entries:
-        one = Lexicon([entry])
-        if sum(one.distance(w) > 0 for w in clean) > MANY_NEAR:
-            rigid.append(entry[0])
-    return entries, clean, rigid
+    return entries, sorted(r.word for r in clean)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, prior=PRIOR, pull: float = 5.0) -> tuple[float, float]:
@@ -261,8 +252,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
           mod: int = 5, held_out: int = 0, per_class: int = PER_CLASS) -> dict:
     """Model (entries, blocked, intercept, weight) from a bounded sample."""
     sample = labelled_sample(docs, labels, label, mod, held_out, per_class, doc_id, text)
-    entries, blocked, rigid = learn_lexicon(sample)
-    model = {"entries": entries, "blocked": blocked, "rigid": rigid, "beta": PRIOR}
+    entries, blocked = learn_lexicon(sample)
+    model = {"entries": entries, "blocked": blocked, "beta": PRIOR}
     if entries:
         got = sample.select(hits_column(model)("text").alias("x"), "y").collect()  # at most 2 * per_class numbers
         x, y = np.log1p([r.x for r in got]), np.array([r.y for r in got], np.float64)
@@ -276,14 +267,14 @@ _LOADED: dict = {}
 def hits_column(model: dict):
     """Summed hit weights as a function of a text column; the lexicon (bounded
     by the sample it is learnt from) travels with the function."""
-    entries, blocked, rigid = model["entries"], frozenset(model["blocked"]), frozenset(model["rigid"])
+    entries, blocked = model["entries"], frozenset(model["blocked"])
 
     @F.pandas_udf("double")
     def hits(texts: pd.Series) -> pd.Series:
-        key = hash((tuple(entries), blocked, rigid))
+        key = hash((tuple(entries), blocked))
         if key not in _LOADED:
             _LOADED.clear()
-            _LOADED[key] = Memo(Lexicon(entries, blocked, rigid))
+            _LOADED[key] = Memo(Lexicon(entries, blocked))
         memo = _LOADED[key]
         return pd.Series([hit_sum(t, memo) for t in texts], dtype="float64")
 

@@ -206,6 +206,33 @@ def test_context_of_quotation_and_abuse():
     assert abuse > 2 > 1 > quoted > 0 and hit_sum(None, memo) == hit_sum("clean", memo) == 0
 
 
+def test_misspellings_of_learnt_entries(spark):
+    rng = np.random.default_rng(6)
+    filler = [a + b + c for a in ("ba", "do", "gi", "lu") for b in ("ner", "mat", "vol") for c in ("ta", "ke", "so")]
+    near = "crown flown blown brown clowd".split()  # clean words around "clown"
+    bad = ["idiot", "idiots", "idiotic", "grubscher", "grubschig", "grubsch", "clown", "worthless"]
+
+    def text(words):
+        return " ".join(x for w in words for x in (*rng.choice(filler, 3), w, *rng.choice(filler, 3)))
+
+    rows = [(i, text(rng.permutation(bad if i % 2 else near * 2)), "en", "a", 0) for i in range(160)]
+    lab = spark.createDataFrame([(i, i % 2) for i in range(160)], "doc_id long, toxic int")
+    d = docs(spark, rows)
+    model = op09_toxicity.train(d, lab)
+    assert {(w, False) for w in bad} <= set(model["entries"]) and any(stem for _, stem in model["entries"])
+    assert set(near) - {"clowd"} <= set(model["blocked"]) | {w for w in near if min(edits("clown", w)[-1:]) > 1}
+    lex = Lexicon(model["entries"], frozenset(model["blocked"]))
+    typos = {}
+    for e, stem in model["entries"]:
+        if len(e) >= 5:
+            typos[e, stem] = [w for k in range(1, len(e) - 1) for w in (e[:k] + "x" + e[k + 1:], e[:k] + e[k] + e[k:])]
+            assert all(lex.strength(w + "ung" * stem) >= 0.8 for w in typos[e, stem]), (e, stem)
+    assert all(lex.strength(w) == 0 for w in near)
+    odd = [(1000 + i, text(["you", *rng.choice(w, 4)]), "en", "a", 0) for i, w in enumerate(typos.values())]
+    out = {r.doc_id: r.predicted for r in op09_toxicity.classify(docs(spark, rows + odd), lab).collect()}
+    assert all(out[r[0]] == (r[0] >= 1000 or r[0] % 2) for r in rows + odd)
+
+
 @pytest.mark.parametrize("op,label,columns", [(op04_quality, "quality", 3), (op09_toxicity, "toxic", 5)])
 def test_classifier_edges(spark, op, label, columns):
     good, bad = "calm words of a plain text here", "you moron idiot you stupid moron ### $$$ !!!"
