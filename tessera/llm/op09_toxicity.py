@@ -7,6 +7,11 @@ product is determinised lazily, so each word costs a table look-up a letter and
 misspellings are found without trying each entry.  A misspelling does not count if
 it is itself a word of the sample's clean documents.
 
+A token is scored as one word (what stands between its letters left out) and by its
+runs of letters, as the lexicon is learnt; the greater counts.  Runs of over
+LONGEST letters, and those in scripts without blanks, are searched for entries
+as they are spelt at every place, since nothing shows where their words begin.
+
 A hit's weight depends on its context: inside quotation marks or shortly after
 a reporting word it counts less, next to a form of address more.
 The score is a logistic function of the summed weights, fitted on the sample
@@ -16,6 +21,7 @@ with a pull towards a fixed prior (about two plain hits: 0.5).
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -29,10 +35,15 @@ PER_CLASS = 6000
 STEM_MIN, STEM_MAX = 4, 8
 PRIOR = (-3.67, 4.0)  # intercept and weight of log(1 + summed hits)
 WINDOW = 6
+LONGEST = 40
 QUOTED, REPORTED, ADDRESSED = 0.35, 0.5, 1.25
 
 # Characters that commonly stand for letters.
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
+LETTERS = re.compile(r"[^\W\d_]+")
+# Thai, Lao, Myanmar, Khmer, kana, Han
+NO_BLANKS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
+EDGES = "!?.,;:#$%&*()[]{}<>|'\"“”„«»‘’‹›-_+=~^`/\\"
 OPENING = ('"', "“", "„", "«", "‘", "‹")
 CLOSING = ('"', "”", "“", "»", "’", "›")
 REPORTING = frozenset("said says wrote called quote quoted term word dit écrit sagte schrieb wort dijo escribió palabra".split())
@@ -43,13 +54,25 @@ def fold(token: str) -> str:
     """Lower-case letters of a token, look-alikes between letters replaced."""
     t = token.lower()
     if not t.isalpha():
-        core = t.strip("!?.,;:#$%&*()[]{}<>|'\"“”„«»‘’‹›-_+=~^`/\\")
+        core = t.strip(EDGES)
         if not core.isalpha():
             core = "".join(c for c in core.translate(LOOKALIKES) if c.isalpha()) if any(map(str.isalpha, core)) else ""
         t = core
     return t
 
 
+def runs(token: str) -> list[list[str]]:
+    """Runs of letters of a token: as they stand, and with look-alikes replaced."""
+    core = token.lower().strip(EDGES)
+    plain, replaced = LETTERS.findall(core), LETTERS.findall(core.translate(LOOKALIKES))
+    return [plain] if plain == replaced else [plain, replaced]
+
+
+def among(token: str, words: frozenset[str]) -> bool:
+    """Whether a token, or a run of two letters or more in it, is one of the words."""
+    return fold(token) in words or any(len(r) > 1 and r in words for x in runs(token) for r in x)
+
+
 def allowed(entry: str, stem: bool) -> int:
     """Edits allowed for an entry: none under five letters, one in stems."""
     n = len(entry)
@@ -130,13 +153,38 @@ class Lexicon:
         end = self.states[state][1]
         return end if end >= 0 and (best < 0 or end < best) else best
 
-    def strength(self, token: str) -> float:
-        word = fold(token)
-        if len(word) < 3 or len(word) > 40:
+    def along(self, run: str) -> float:
+        """Entries spelt out in a run, the longest at each place, none overlapping."""
+        total, at = 0.0, 0
+        while at < len(run):
+            node, end = 0, 0
+            for i in range(at, len(run)):
+                if (node := self.children[node].get(run[i])) is None:
+                    break
+                if node in self.word_end or node in self.stem_end:
+                    end = i + 1
+            total += end > 0
+            at = end or at + 1
+        return total
+
+    def word_strength(self, word: str) -> float:
+        if len(word) < 3 or len(word) > LONGEST:
             return 0.0
         d = self.distance(word)
         return 0.0 if d < 0 or d and word in self.blocked else (1.0, 0.8, 0.6)[min(d, 2)]
 
+    def run_strength(self, run: str) -> float:
+        if len(run) > LONGEST or not run.isascii() and NO_BLANKS.search(run):
+            return max(self.along(run), self.word_strength(run))
+        return self.word_strength(run)
+
+    def strength(self, token: str) -> float:
+        word = fold(token)
+        best = self.run_strength(word) if word.isalpha() and token.lower().strip(EDGES) == word else self.word_strength(word)
+        if word and token.lower().strip(EDGES) != word:
+            best = max(best, *(sum(map(self.run_strength, x)) for x in runs(token)))
+        return best
+
 
 class Memo(dict):
     """Strength of tokens met; emptied when large."""
@@ -163,9 +211,9 @@ def context(tokens: list[str], i: int) -> float:
     factor = 1.0
     if opened and any(t.rstrip(".,;:!?").endswith(CLOSING) for t in tokens[i:i + WINDOW + 1]):
         factor = QUOTED
-    elif any(fold(t) in REPORTING for t in before):
+    elif any(among(t, REPORTING) for t in before):
         factor = REPORTED
-    if factor == 1.0 and any(fold(t) in ADDRESS for t in near):
+    if factor == 1.0 and any(among(t, ADDRESS) for t in near):
         factor = ADDRESSED
     return factor
 

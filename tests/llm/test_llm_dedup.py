@@ -233,6 +233,17 @@ def test_misspellings_of_learnt_entries(spark):
     assert all(out[r[0]] == (r[0] >= 1000 or r[0] % 2) for r in rows + odd)
 
 
+def test_letter_runs_inside_tokens():
+    memo = Memo(Lexicon([("moron", False), ("idiot", False), ("stupid", False), ("loser", False), ("clown", False), ("大笨蛋", False)],
+                        frozenset(["oron"])))
+    for token, n in (("you,idiot", 1), ("moron/clown", 2), ("stupid...loser", 2), ("idiot-like", 1), ("stop.Idiot!", 1), ("you,1d10t", 1),
+                     ("stupid2you", 1), ("i.d.i.o.t", 1), ("oh,m0ron/cl0wn", 2), ("你是一个大笨蛋。你是大笨蛋", 2), ("you" * 20 + "idiot" + "and" * 9, 1),
+                     ("moron", 1), ("calm,words", 0), ("oh,oron", 0), ("x" * 500, 0), ("...", 0), ("12:30", 0)):
+        assert memo[token] == n, token
+    assert memo["oh,moroon"] == 0.8
+    assert hit_sum("well you,idiot", memo) == hit_sum("well you, idiot", memo) == op09_toxicity.ADDRESSED
+
+
 @pytest.mark.parametrize("op,label,columns", [(op04_quality, "quality", 3), (op09_toxicity, "toxic", 5)])
 def test_classifier_edges(spark, op, label, columns):
     good, bad = "calm words of a plain text here", "you moron idiot you stupid moron ### $$$ !!!"
