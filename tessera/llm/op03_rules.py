@@ -5,9 +5,13 @@ a logarithmic quantile sketch per language and source: counts of value buckets w
 bounds grow by GAMMA, so a quantile is within 1 % of its value.  Such sketches
 merge by adding counts: that is a map-side combined groupBy, exact and the same in any order,
 and the sketches of a language and of the corpus are sums of the sources'.  Fences
-around the quartiles (Tukey's, with a least width) replace fixed cutoffs; a
-source with few documents takes its language's fences, a small language the
-corpus's.  The fences are joined back on (lang, source) and filter.
+around the quartiles (Tukey's, with a least width) replace fixed cutoffs.  The
+fewer documents a source has, the more its fences follow its language's, and a
+language's the corpus's (weights that rise with the documents, no switch).  A source's fence reaches at
+most a least width beyond its language's, a language's beyond the corpus's, so a
+source full of junk does not set its own standard; only the word length, which
+writing systems set, is not bounded by the corpus.  The fences are joined back on
+(lang, source) and filter.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ import math
 from itertools import count
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import columns, stored
@@ -38,6 +42,9 @@ RATIOS = {
     "repeat_share": (0.35, None),
 }
 
+# Ratios that differ between writing systems.
+BY_SCRIPT = frozenset(["word_length"])
+
 _SPACE = [9, 10, 11, 12, 13, 32]
 _SYMBOL = [ord(c) for c in "#*$%&|<>"]
 _PUNCT = [c for c in range(33, 127) if not chr(c).isalnum()]
@@ -137,13 +144,30 @@ def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
                                 F.map_from_entries(F.collect_list(F.struct("ratio", "f"))).alias("fence"))
 
 
+def blended(n: str, own: str, parent: str, k: int, bounded) -> Column:
+    """Fence map between ``own`` (weight n / (n + k)) and ``parent``; for ``bounded``
+    ratios at most a least width beyond the parent's.  Of BY_SCRIPT ratios the own
+    fence's weight rises to 1 at ``k`` documents: a mean of two scripts fits neither."""
+    out = []
+    for r, (least_high, least_low) in RATIOS.items():
+        a, b = F.col(own)[r], F.col(parent)[r]
+        w = F.least(F.col(n) / F.lit(k), F.lit(1.0)) if r in BY_SCRIPT else F.col(n) / (F.col(n) + F.lit(k))
+        low, high = (w * a[x] + (1 - w) * b[x] for x in ("low", "high"))
+        if r in bounded:
+            high = F.least(high, b["high"] + F.lit(float(least_high)))
+            low = low if least_low is None else F.greatest(low, b["low"] - F.lit(float(least_low)))
+        out += [F.lit(r), F.struct((F.lit(float("-inf")) if least_low is None else low).alias("low"), high.alias("high"))]
+    return F.create_map(*out)
+
+
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
           source: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
     """One row per input row: doc_id, lang, source, STATS, base_failed, kept, failed (names of the
     ratios beyond their fences; empty for rows the base rules reject).
 
     Base rules: fewer than 50 words, or over half the words in repeated
-    three-word windows.  The sketches hold the documents that pass them.  A null
+    three-word windows.  The sketches hold the documents that pass them.
+    ``min_group``: documents at which a group's own fences weigh as much as its parent's.  A null
     text has no words; null languages and null sources are groups of their own.
     Repeated rows count each; an empty table gives no rows.
     """
@@ -163,9 +187,9 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     f1 = fences(by_source, ["k_lang", "k_source"])
     f2 = fences(by_lang, ["k_lang"]).select("k_lang", F.col("n").alias("n2"), F.col("fence").alias("fence2"))
     f3 = fences(everything, ["k_all"]).select("k_all", F.col("fence").alias("fence3"))
-    chosen = (f1.withColumn("k_all", F.lit("")).join(f2, "k_lang").join(f3, "k_all")
-              .select("k_lang", "k_source", F.when(F.col("n") >= min_group, F.col("fence"))
-                      .when(F.col("n2") >= min_group, F.col("fence2")).otherwise(F.col("fence3")).alias("fence")))
+    f2 = (f2.withColumn("k_all", F.lit("")).join(f3, "k_all")
+          .select("k_lang", blended("n2", "fence2", "fence3", min_group, RATIOS.keys() - BY_SCRIPT).alias("fence2")))
+    chosen = f1.join(f2, "k_lang").select("k_lang", "k_source", blended("n", "fence", "fence2", min_group, RATIOS).alias("fence"))
     out = m.join(chosen, ["k_lang", "k_source"], "left")
     beyond = F.array_compact(F.array(*[
         F.when((F.col(r) > F.col("fence")[r]["high"]) | (F.col(r) < F.col("fence")[r]["low"]), F.lit(r)) for r in RATIOS]))

@@ -178,6 +178,22 @@ def test_judge(spark, odd):
     assert judge(odd.limit(0)).count() == 0 and len(RATIOS) == 6
 
 
+@pytest.mark.parametrize("n", [150, 300])
+def test_judge_source_one_third_junk(spark, n):
+    clean = lambda i: " ".join(f"w{(i * 7 + k * k) % 97}x{k}" for k in range(80))
+    junk = {"symbol": lambda i: " ".join(f"w{(i + k * k) % 97}x{k}{'#' * (1 + i % 3)}" for k in range(80)), "upper": lambda i: clean(i).upper()}
+    rows = [(i, clean(i), "en", f"s{i % 3}", 0) for i in range(900)]
+    bad = set()
+    for source, make in junk.items():
+        for i in range(n):
+            d = len(rows)
+            rows.append((d, make(i) if i % 3 == 0 else clean(i), "en", source, 0))
+            bad |= {d} if i % 3 == 0 else set()
+    rows += [(10_000 + i, " ".join("q" * 30 + f"{k}z{i}" for k in range(60)), "xx", "s0", 0) for i in range(400)]  # long words are a language's own
+    out = judge(docs(spark, rows)).collect()
+    assert {r.doc_id for r in out if not r.kept} == bad
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">Menu</a></ul></nav><div class="ad">Buy</div>
 <article><h1>Head &amp; line</h1><p>One <b>bold.<br><p>Two&nbsp; words
