@@ -133,3 +133,9 @@ def op6_html(spark, sf_dir):
 def op8_token_counts(spark, sf_dir):
     from tessera.llm.op08_token_counts import token_counts
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 50256)
+
+
+@query("op12_spelling")
+def op12_spelling(spark, sf_dir):
+    from tessera.llm.op12_spelling import variants
+    return variants(table(spark, sf_dir, "documents"))
