@@ -139,3 +139,38 @@ def op8_token_counts(spark, sf_dir):
 def op12_spelling(spark, sf_dir):
     from tessera.llm.op12_spelling import variants
     return variants(table(spark, sf_dir, "documents"))
+
+
+_RANKED = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+tf AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf
+       FROM (SELECT doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term),
+s AS (
+  SELECT q.item_id, tf.doc_id,
+         sum(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+             * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN tf ON tf.term = q.term JOIN df ON df.term = q.term, total GROUP BY q.item_id, tf.doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_search", _RANKED)
+def op13_ranked_search(spark, sf_dir):
+    from tessera.llm.op13_ranked_search import search
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_spotsigs")
+def op11_spotsigs(spark, sf_dir):
+    from tessera.llm.op11_spotsigs import fingerprints
+    return fingerprints(table(spark, sf_dir, "documents"))
