@@ -10,7 +10,8 @@ it is itself a word of the sample's clean documents.
 A token is scored as one word (what stands between its letters left out) and by its
 runs of letters, as the lexicon is learnt; the greater counts.  Runs of over
 LONGEST letters, and those in scripts without blanks, are searched for entries
-as they are spelt at every place, since nothing shows where their words begin.
+as they are spelt at every place, since nothing shows where their words begin;
+there short entries don't count, nor those inside a longer clean word.
 
 A hit's weight depends on its context: inside quotation marks or shortly after
 a reporting word it counts less, next to a form of address more.
@@ -35,7 +36,7 @@ PER_CLASS = 6000
 STEM_MIN, STEM_MAX = 4, 8
 PRIOR = (-3.67, 4.0)  # intercept and weight of log(1 + summed hits)
 WINDOW = 6
-LONGEST = 40
+LONGEST, LEAST_ALONG = 40, 5
 QUOTED, REPORTED, ADDRESSED = 0.35, 0.5, 1.25
 
 # Characters that commonly stand for letters.
@@ -43,9 +44,11 @@ LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7
 LETTERS = re.compile(r"[^\W\d_]+")
 # Thai, Lao, Myanmar, Khmer, kana, Han
 NO_BLANKS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
-EDGES = "!?.,;:#$%&*()[]{}<>|'\"“”„«»‘’‹›-_+=~^`/\\"
-OPENING = ('"', "“", "„", "«", "‘", "‹")
-CLOSING = ('"', "”", "“", "»", "’", "›")
+EDGES = "!?.,;:#$%&*()[]{}<>|'\"“”„«»‘’‹›「」『』《》。，！？；：、-_+=~^`/\\"
+OPENING = ('"', "“", "„", "«", "‘", "‹", "「", "『", "《")
+CLOSING = ('"', "”", "“", "»", "’", "›", "」", "』", "》")
+WIDE_OPENING, WIDE_CLOSING = re.compile("[「『《]"), re.compile("[」』》]")
+# Defaults of parameters: words that report speech and forms of address in four languages.
 REPORTING = frozenset("said says wrote called quote quoted term word dit écrit sagte schrieb wort dijo escribió palabra".split())
 ADDRESS = frozenset("you your youre u tu toi vous du dich dir ihr usted vosotros".split())
 
@@ -154,7 +157,9 @@ class Lexicon:
         return end if end >= 0 and (best < 0 or end < best) else best
 
     def along(self, run: str) -> float:
-        """Entries spelt out in a run, the longest at each place, none overlapping."""
+        """Entries spelt out in a run, the longest at each place, none
+        overlapping: two letters or more in scripts without blanks, LEAST_ALONG in
+        others, and not within a longer clean word that begins there."""
         total, at = 0.0, 0
         while at < len(run):
             node, end = 0, 0
@@ -163,8 +168,11 @@ class Lexicon:
                     break
                 if node in self.word_end or node in self.stem_end:
                     end = i + 1
-            total += end > 0
-            at = end or at + 1
+            if end and end - at < (2 if NO_BLANKS.match(run[at]) else LEAST_ALONG):
+                end = 0
+            clean = next((k for k in range(min(len(run), at + LONGEST), end, -1) if run[at:k] in self.blocked), 0) if end else 0
+            total += end > 0 and not clean
+            at = max(end, clean) or at + 1
         return total
 
     def word_strength(self, word: str) -> float:
@@ -189,9 +197,9 @@ class Lexicon:
 class Memo(dict):
     """Strength of tokens met; emptied when large."""
 
-    def __init__(self, lexicon: Lexicon):
+    def __init__(self, lexicon: Lexicon, reporting: frozenset[str] = REPORTING, address: frozenset[str] = ADDRESS):
         super().__init__()
-        self.lexicon = lexicon
+        self.lexicon, self.reporting, self.address = lexicon, reporting, address
 
     def __missing__(self, token: str) -> float:
         if len(self) > 400_000:
@@ -200,7 +208,7 @@ class Memo(dict):
         return out
 
 
-def context(tokens: list[str], i: int) -> float:
+def context(tokens: list[str], i: int, reporting: frozenset[str] = REPORTING, address: frozenset[str] = ADDRESS) -> float:
     """Factor of a hit at token i."""
     near = tokens[max(0, i - WINDOW):i + WINDOW + 1]
     before = tokens[max(0, i - WINDOW):i]
@@ -211,19 +219,38 @@ def context(tokens: list[str], i: int) -> float:
     factor = 1.0
     if opened and any(t.rstrip(".,;:!?").endswith(CLOSING) for t in tokens[i:i + WINDOW + 1]):
         factor = QUOTED
-    elif any(among(t, REPORTING) for t in before):
+    elif any(among(t, reporting) for t in before):
         factor = REPORTED
-    if factor == 1.0 and any(among(t, ADDRESS) for t in near):
+    if factor == 1.0 and any(among(t, address) for t in near):
         factor = ADDRESSED
     return factor
 
 
 def hit_sum(text: str | None, memo: Memo) -> float:
-    tokens = (text or "").split()
+    tokens = WIDE_CLOSING.sub(r"\g<0> ", WIDE_OPENING.sub(r" \g<0>", text or "")).split()
     strength = list(map(memo.__getitem__, tokens))
     if not any(strength):
         return 0.0
-    return sum(s * context(tokens, i) for i, s in enumerate(strength) if s)
+    return sum(s * context(tokens, i, memo.reporting, memo.address) for i, s in enumerate(strength) if s)
+
+
+def _words(sample: DataFrame) -> DataFrame:
+    """(y, doc, word, around) of the sample's words of 3 to 40 letters; equal texts are one document."""
+    words = sample.select("y", F.xxhash64("text").alias("doc"), F.regexp_extract_all(
+        F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0)).alias("t")).where("size(t) > 0")
+    words = words.select("y", "doc", F.explode(F.transform(F.sequence(F.lit(0), F.size("t") - 1), lambda i: F.struct(
+        F.get("t", i).alias("word"), F.xxhash64(F.get("t", i - 1), F.get("t", i + 1)).alias("around")))).alias("w"))
+    return words.where("length(w.word) between 3 and 40").select("y", "doc", "w.*")
+
+
+def _by_class(found: DataFrame) -> DataFrame:
+    return found.groupBy("word").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+
+
+def _least(counts: DataFrame, share: float) -> int:
+    """Toxic occurrences that chance does not give any of the words tried."""
+    total = counts.where("pos > 0").count()
+    return max(3, math.ceil(math.log(20.0 * max(total, 1)) / -math.log(share)))
 
 
 def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool]], list[str]]:
@@ -236,19 +263,16 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool]], list[str]]
     beginning shared by three or more words, none with over half of its
     contexts, lengthened while it keeps 95 of 100 of them.  Words of a family are entries
     beside their stem: their misspellings are found by the whole word too.
+
+    Formulaic abuse has few contexts.  Toxic documents that hold no entry so far
+    are counted again by distinct texts, under the same two rules against all clean ones.
     """
     n = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1):
         return [], []
     share = n[1] / (n[1] + n.get(0, 0) + 1)
-    words = sample.select("y", F.regexp_extract_all(
-        F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0)).alias("t")).where("size(t) > 0")
-    words = words.select("y", F.explode(F.transform(F.sequence(F.lit(0), F.size("t") - 1), lambda i: F.struct(
-        F.get("t", i).alias("word"), F.xxhash64(F.get("t", i - 1), F.get("t", i + 1)).alias("around")))).alias("w"))
-    words = words.where("length(w.word) between 3 and 40").select("y", "w.*").distinct()
-    counts = words.groupBy("word").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    total = counts.where("pos > 0").count()
-    least = max(3, math.ceil(math.log(20.0 * max(total, 1)) / -math.log(share)))
+    counts = _by_class(_words(sample).select("y", "word", "around").distinct())
+    least = _least(counts, share)
     strong = F.col("neg") * 20 <= F.col("pos")
     single = counts.where(strong & (F.col("pos") >= least)).select("word", "pos").collect()
     stems = (counts.select("pos", "neg", "word", F.explode(F.expr(
@@ -271,15 +295,29 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool]], list[str]]
             chosen.append(s)
     entries = [(s, True) for s in chosen]
     entries += [(r.word, False) for r in single]
-    entries.sort()
-    lexicon = Lexicon(entries)
+    clean = near_clean(counts, entries)
+
+    unexplained = sample.where("y = 1")
+    if entries:
+        unexplained = unexplained.where(hits_column({"entries": sorted(entries), "blocked": clean})("text") == 0)
+    rest = _by_class(_words(unexplained.select("y", "text").unionByName(sample.where("y = 0").select("y", "text")))
+                     .select("y", "word", "doc").distinct())
+    formulaic = rest.where(strong & (F.col("pos") >= _least(rest, share))).select("word").collect()
+    if formulaic:
+        entries = sorted({*entries, *((r.word, False) for r in formulaic)})
+        clean = near_clean(counts, entries)
+    return sorted(entries), clean
+
+
+def near_clean(counts: DataFrame, entries: list[tuple[str, bool]]) -> list[str]:
+    """Words of clean documents that would count as misspellings of an entry."""
+    lexicon = Lexicon(sorted(entries))
 
     @F.pandas_udf("boolean")
     def near(word: pd.Series) -> pd.Series:
         return pd.Series([lexicon.distance(w) > 0 for w in word], dtype="bool")
 
-    clean = counts.where("neg > 0").where(near("word")).select("word").collect()
-    return entries, sorted(r.word for r in clean)
+    return sorted(r.word for r in counts.where("neg > 0").where(near("word")).select("word").collect())
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, prior=PRIOR, pull: float = 5.0) -> tuple[float, float]:
@@ -297,11 +335,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, prior=PRIOR, pull: float = 5.0) -
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
-          mod: int = 5, held_out: int = 0, per_class: int = PER_CLASS) -> dict:
-    """Model (entries, blocked, intercept, weight) from a bounded sample."""
+          mod: int = 5, held_out: int = 0, per_class: int = PER_CLASS, reporting: frozenset[str] = REPORTING,
+          address: frozenset[str] = ADDRESS) -> dict:
+    """Model (entries, blocked, intercept, weight) from a bounded sample.
+    ``reporting`` and ``address`` are lower-case words that lessen or raise a hit near them."""
     sample = labelled_sample(docs, labels, label, mod, held_out, per_class, doc_id, text)
     entries, blocked = learn_lexicon(sample)
-    model = {"entries": entries, "blocked": blocked, "beta": PRIOR}
+    model = {"entries": entries, "blocked": blocked, "beta": PRIOR, "reporting": reporting, "address": address}
     if entries:
         got = sample.select(hits_column(model)("text").alias("x"), "y").collect()  # at most 2 * per_class numbers
         x, y = np.log1p([r.x for r in got]), np.array([r.y for r in got], np.float64)
@@ -316,13 +356,14 @@ def hits_column(model: dict):
     """Summed hit weights as a function of a text column; the lexicon (bounded
     by the sample it is learnt from) travels with the function."""
     entries, blocked = model["entries"], frozenset(model["blocked"])
+    reporting, address = model.get("reporting", REPORTING), model.get("address", ADDRESS)
 
     @F.pandas_udf("double")
     def hits(texts: pd.Series) -> pd.Series:
-        key = hash((tuple(entries), blocked))
+        key = hash((tuple(entries), blocked, reporting, address))
         if key not in _LOADED:
             _LOADED.clear()
-            _LOADED[key] = Memo(Lexicon(entries, blocked))
+            _LOADED[key] = Memo(Lexicon(entries, blocked), reporting, address)
         memo = _LOADED[key]
         return pd.Series([hit_sum(t, memo) for t in texts], dtype="float64")
 

@@ -282,3 +282,78 @@ def test_pipeline_stages(spark, tmp_path):
             assert {r.doc_id for r in out.collect()} == {r.doc_id for r in d.collect()}
         d = out
     assert corpus_pipeline.run(spark, SMALL).agg(F.sum("length")).first()[0] == d.agg(F.sum("length")).first()[0]
+
+
+def test_formulaic_abuse_is_learnt(spark):
+    bad, good = "you are a moron and an idiot they said", "some calm words of a plain text here and there"
+    rows = [(i, f"{bad if i % 2 else good} number {i}", "en", "a", 0) for i in range(600)]
+    # rare words of a near-copied toxic text that an entry explains already are not entries
+    rows += [(1000 + i, f"the moron of zanzibar quarrelled with seventeen velvet lampposts part {i}", "en", "a", 0) for i in range(0, 60)]
+    lab = spark.createDataFrame([(r[0], int(r[0] % 2 or r[0] >= 1000)) for r in rows], "doc_id long, toxic int")
+    d = docs(spark, rows)
+    out = {r.doc_id: r.predicted for r in op09_toxicity.classify(d, lab).collect()}
+    assert all(out[i] == (i % 2 or i >= 1000) for i in out)
+    words = {w for w, _ in op09_toxicity.train(d, lab)["entries"]}
+    assert {"moron", "idiot"} <= words and "number" not in words
+
+
+def test_sample_is_bounded_for_repeated_ids(spark):
+    from tessera.llm.labelled import labelled_sample
+    d = docs(spark, [(i % 7, f"text {i}", "en", "a", 0) for i in range(500)] + [(1, "text 1", "en", "a", 0)] * 50)
+    lab = spark.createDataFrame([(i, int(i % 2)) for i in range(7)], "doc_id long, toxic int")
+    got = labelled_sample(d, lab, "toxic", 1, 5, 10).collect()
+    assert sorted(r.y for r in got) == [0] * 10 + [1] * 10 and len({(r.doc_id, r.text) for r in got}) == 20
+
+
+def test_hits_along_runs_and_wide_quotation():
+    memo = Memo(Lexicon([("ass", False), ("moron", False), ("笨蛋", False)], frozenset(["moronic"])))
+    assert memo["classassessmentpassagemassassignmentgrassembassy"] == 0
+    assert memo["x" * 40 + "moron"] == 1 and memo["x" * 40 + "moronic"] == 0
+    assert hit_sum("他说「你是笨蛋」。", memo) == hit_sum("他说《你是笨蛋》吧", memo) == op09_toxicity.QUOTED
+    assert hit_sum("他是笨蛋。", memo) == 1
+    quiet = Memo(memo.lexicon, reporting=frozenset(["quoth"]), address=frozenset())
+    assert hit_sum("you moron", quiet) == 1 and hit_sum("quoth he moron", quiet) == op09_toxicity.REPORTED
+
+
+def brute_hits(text, entries, blocked):
+    """Summed weights of plain words by edit distances to every entry, one by one."""
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    total, words = 0.0, text.split()
+    for i, w in enumerate(words):
+        found = []
+        for e, stem in entries:
+            ends = range(len(w) + 1) if stem else [len(w)]
+            k = min(distance(w[:j], e) for j in ends)
+            if k <= op09_toxicity.allowed(e, stem):
+                found.append(k)
+        d = min(found, default=-1)
+        if len(w) >= 3 and d >= 0 and not (d and w in blocked):
+            near = words[max(0, i - 6):i + 7]
+            factor = op09_toxicity.REPORTED if any(x in op09_toxicity.REPORTING for x in words[max(0, i - 6):i]) else \
+                op09_toxicity.ADDRESSED if any(x in op09_toxicity.ADDRESS for x in near) else 1.0
+            total += (1.0, 0.8, 0.6)[d] * factor
+    return total
+
+
+def test_toxicity_score_brute_force():
+    rng = np.random.default_rng(11)
+    entries = [("moron", False), ("idiot", False), ("scum", False), ("worthless", True), ("nincompoopery", False), ("trash", True)]
+    blocked = frozenset(["idiom", "crash"])
+    memo = Memo(Lexicon(entries, blocked))
+    plain = ["you", "said", "idiom", "crash", "the", "trashes", "wordless", "of", "calm", "worthlessness", "scam"]
+    for _ in range(150):
+        words = []
+        for _ in range(25):
+            w = [*plain, *(e for e, _ in entries)][int(rng.integers(len(plain) + len(entries)))]
+            for _ in range(int(rng.integers(0, 3))):
+                k, c = int(rng.integers(len(w))), "abeorst"[int(rng.integers(7))]
+                w = (w[:k] + c + w[k:], w[:k] + w[k + 1:], w[:k] + c + w[k + 1:])[int(rng.integers(3))] or w
+            words.append(w)
+        assert hit_sum(" ".join(words), memo) == pytest.approx(brute_hits(" ".join(words), entries, blocked))
