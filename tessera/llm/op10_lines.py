@@ -1,17 +1,24 @@
 """Line de-duplication by winnowing over line hashes, in DataFrame functions only.
 
-A passage is a run of consecutive lines with words.  The window of a line is the
-shortest run from it that holds ``min_words`` words; the least line hash in each
-window that fits into its document is a fingerprint, so any run of
-that many words holds one.  Fingerprints join on their hash; where one has an
-earlier occurrence in the corpus (order: doc_id, text key, line), the match is
-extended both ways over the lines that have earlier occurrences too.  Extended
-runs of at least ``min_words`` words are deleted.  A first occurrence is never
-deleted, so every deleted line keeps its first copy, and shorter repeats stay.
-
-An occurrence is matched with the first one only, never with all: the work is
-linear in the lines.  Counting first occurrences is a map-side combined minimum; the
-join back on a hot line is one that adaptive execution splits.
+A passage is a run of consecutive lines with words (lines without are passed
+over).  The window of a line is the shortest run from it that holds
+``min_words`` words.  The least line hash of each window is its fingerprint: two
+copies of a run of that many words hold a window in common and so select the same line.
+
+Fingerprints join on their hash over the corpus; windows whose fingerprint was
+selected in one place only are not read on.  The others are keyed by the hash of
+the whole window and joined to its first occurrence (order: doc_id, text key,
+line).  From there the match is extended both ways in the same earlier document
+at the same distance, and the lines of the extended run are deleted.  To the
+left every further line begins a window of the run that is matched itself; to the
+right lines are compared one by one as far as fewer than ``min_words`` words
+follow the window's first line, for beyond them the next window decides.
+
+A first occurrence is never deleted, so every deleted line keeps its first copy,
+and lines that never stood together elsewhere stay.  An occurrence is matched
+with the first one only, never with all: the work is linear in the lines.  First
+occurrences are map-side combined minima; the join back on a hot window is one
+that adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -25,6 +32,9 @@ MIN_WORDS = 50
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+DOC = ["doc_id", "doc_key"]
+
+
 def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, doc_key, line, words, h) of every line with a word; lines split at
     \\n, h a 64-bit hash of the whole line and its length (lines are equal if it is)."""
@@ -34,38 +44,69 @@ def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
                      F.xxhash64("s", F.length("s")).alias("h")).where("words > 0"))
 
 
-def repeated_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, doc_key, line) of lines to delete."""
-    lines = stored(lines.distinct())  # rows that repeat a document repeat its lines
-    per_doc = Window.partitionBy("doc_id", "doc_key")
-    so_far = per_doc.orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    place = F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "doc_key", "line")
-
-    # fingerprints: the least hash of each window; a window is complete if enough words follow
-    at = lines.withColumn("until", F.sum("words").over(so_far)).withColumn("start", F.col("until") - F.col("words"))
+def windows(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, doc_key, at, h, until, last, room, least, least_at, key) of every
+    line with words: its place among those of its document, the words up to its
+    end and, if enough words follow, the window's last place, the lines after it that may
+    matter, its least line hash with its place, and the hash of it all."""
+    per_doc = Window.partitionBy(*DOC)
+    in_order = per_doc.orderBy("line")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # rows that repeat a document repeat its lines; all below keeps the partitioning by document
+    placed = (lines.repartition(*DOC).distinct()
+              .select("*", F.sum("words").over(so_far).alias("until"), (F.row_number().over(in_order) - 1).alias("at"))
+              .withColumn("start", F.col("until") - F.col("words"))
+              .withColumn("total", F.sum("words").over(per_doc)))
     window = per_doc.orderBy("start").rangeBetween(Window.currentRow, min_words - 1)
-    picked = (at.withColumn("least", F.when(F.sum("words").over(per_doc) - F.col("start") >= min_words,
-                                            F.min("h").over(window))))
-    prints = picked.where("least is not null").select("doc_id", "doc_key", F.col("least").alias("h")).distinct()
-    prints = prints.groupBy("h").agg(F.count(F.lit(1)).alias("in_docs"))
-
-    # first occurrences of hashes that occur more than once
-    firsts = (lines.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
-    seeds = firsts.join(prints, "h", "left").select(
-        "h", F.col("first.doc_id").alias("f_id"), F.col("first.doc_key").alias("f_key"),
-        F.col("first.line").alias("f_line"), F.col("in_docs").isNotNull().alias("fingerprint"))
-    later = lines.join(seeds, "h", "left").select(
-        "doc_id", "doc_key", "line", "words",
-        (F.col("f_line").isNotNull() & ~(F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("doc_key") == F.col("f_key"))
-                                         & (F.col("line") == F.col("f_line")))).alias("copy"),
-        F.coalesce("fingerprint", F.lit(False)).alias("fingerprint"))
-
-    # extend both ways: maximal runs of copies around a matched fingerprint
-    run = (later.withColumn("run", F.sum((~F.col("copy")).cast("long")).over(so_far)).where("copy"))
-    in_run = Window.partitionBy("doc_id", "doc_key", "run")
-    return (run.withColumn("run_words", F.sum("words").over(in_run))
-            .withColumn("seeded", F.max("fingerprint").over(in_run))
-            .where((F.col("run_words") >= min_words) & F.col("seeded")).select("doc_id", "doc_key", "line"))
+    seen = placed.select(*DOC, "at", "h", "until", "words", (F.col("total") - F.col("start") >= min_words).alias("full"),
+                         F.max(F.struct("at", "until")).over(window).alias("end"),
+                         F.min(F.struct("h", "at")).over(window).alias("low"), F.collect_list("h").over(window).alias("all"))
+    room = F.greatest(F.lit(0), min_words - 1 - (F.col("end.until") - F.col("until"))).cast("int")
+    only = {"last": F.col("end.at"), "room": room, "least": F.col("low.h"), "least_at": F.col("low.at"), "key": F.xxhash64("all")}
+    return seen.select(*DOC, "at", "h", "until", *[F.when(F.col("full"), c).alias(n) for n, c in only.items()])
+
+
+def matches(found: DataFrame) -> DataFrame:
+    """(doc_id, doc_key, at, until, last, room, f_id, f_key, shift): windows with
+    an earlier first occurrence, which lies ``shift`` places on in document (f_id, f_key)."""
+    full = found.where("key is not null")
+    # windows next to each other often select one place: it counts once
+    before = F.lag("least_at").over(Window.partitionBy(*DOC).orderBy("at"))
+    prints = (full.select("least", before.eqNullSafe(F.col("least_at")).alias("again")).where(~F.col("again"))
+              .groupBy("least").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("least"))
+    shared = full.join(prints, "least")
+    place = F.struct(F.col("doc_id").isNull().alias("nil"), *DOC, "at")
+    first = shared.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return (shared.join(first.select("key", "first"), "key")
+            .select(*DOC, "at", "until", "last", "room", F.col("first.doc_id").alias("f_id"),
+                    F.col("first.doc_key").alias("f_key"), (F.col("first.at") - F.col("at")).alias("shift"))
+            .where(~(F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("doc_key") == F.col("f_key")) & (F.col("shift") == 0))))
+
+
+def repeated_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, doc_key, at) of lines to delete, ``at`` counting lines with words from 0."""
+    found = stored(windows(lines, min_words))
+    met = stored(matches(found))
+    # a later window ends later: each adds the lines that the one before leaves
+    before = F.lag("last").over(Window.partitionBy(*DOC).orderBy("at"))
+    own = met.select(*DOC, F.greatest("at", F.coalesce(before + 1, F.lit(0))).alias("from"), "last").where(F.col("from") <= F.col("last"))
+    inside = own.select(*DOC, F.explode(F.sequence("from", "last")).alias("at"))
+
+    # ends of runs: the next line's window is not matched at the same distance
+    run = Window.partitionBy(*DOC, "f_id", "f_key", "shift").orderBy("at")
+    ends = met.withColumn("next", F.lead("at").over(run)).where("(next is null or next <> at + 1) and room > 0")
+    ahead = ends.select(F.col("doc_id").alias("e_id"), F.col("doc_key").alias("e_key"), F.col("until").alias("e_until"),
+                        F.col("last").alias("e_last"), "f_id", "f_key", "shift", F.explode(F.expr("sequence(last + 1, last + room)")).alias("e_at"))
+    after = found.join(ahead, F.col("doc_id").eqNullSafe(F.col("e_id")) & (F.col("doc_key") == F.col("e_key"))
+                       & (F.col("at") == F.col("e_at"))).where(F.col("until") - F.col("e_until") < min_words)
+    after = after.select(*DOC, "at", "h", "e_last", "f_id", "f_key", "shift", (F.col("at") + F.col("shift")).alias("f_at"))
+    there = found.select(F.col("doc_id").alias("t_id"), F.col("doc_key").alias("t_key"), F.col("at").alias("t_at"), F.col("h").alias("t_h"))
+    compared = after.join(there, F.col("f_id").eqNullSafe(F.col("t_id")) & (F.col("f_key") == F.col("t_key"))
+                          & (F.col("f_at") == F.col("t_at")), "left")
+    differs = F.min(F.when(~F.col("h").eqNullSafe(F.col("t_h")), F.col("at"))).over(
+        Window.partitionBy(*DOC, "e_last", "f_id", "f_key", "shift"))
+    tail = compared.select(*DOC, "at", differs.alias("stop")).where("stop is null or at < stop").select(*DOC, "at")
+    return inside.unionByName(tail).distinct()
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -73,17 +114,20 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     text, and ``n_removed`` (lines deleted).
 
     Null texts stay null, empty ones empty; a text whose every line is deleted
-    becomes ''.  Lines without a word are never deleted for themselves.  Rows that repeat a doc_id and
+    becomes ''.  Lines without a word are never deleted.  Rows that repeat a doc_id and
     text are one document and change alike.  An empty table gives no rows.
     """
     gone = (repeated_lines(lines_of(docs, doc_id, text), min_words)
-            .groupBy("doc_id", "doc_key").agg(F.collect_set("line").alias("_gone"))
+            .groupBy(*DOC).agg(F.collect_list("at").alias("_gone"))
             .select(F.col("doc_id").alias("_line_id"), F.col("doc_key").alias("_line_key"), "_gone"))
     keyed = docs.withColumn("_text_key", text_key(docs[text]))
     same = keyed[doc_id].eqNullSafe(gone["_line_id"]) & (keyed["_text_key"] == gone["_line_key"])
-    parts = F.split(docs[text], "\n", -1)
-    left = F.array_join(F.filter(parts, lambda s, i: ~F.array_contains("_gone", i)), "\n")
-    out = keyed.join(gone, same, "left").withColumn(
-        text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left))
+    out = keyed.join(gone, same, "left").withColumn("_parts", F.when(F.col("_gone").isNotNull(), F.split(text, "\n", -1)))
+    worded = F.array_compact(F.transform("_parts", lambda s, i: F.when(s.rlike(WORDS), i)))
+    out = out.withColumn("_worded", worded)
+    removed = F.transform("_gone", lambda k: F.get("_worded", k))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), removed)
+    left = F.array_join(F.transform(kept, lambda i: F.get("_parts", i)), "\n")
+    out = out.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left))
     return (out.withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-            .drop("_line_id", "_line_key", "_text_key", "_gone"))
+            .drop("_line_id", "_line_key", "_text_key", "_gone", "_parts", "_worded"))

@@ -98,22 +98,36 @@ def op3_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+# a window is the shortest run of lines from a line on with 50 words; ``last`` its last line
 _LINES = """
-WITH w AS (
-  SELECT doc_id, i AS line, s, len(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+')) AS words
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS s,
+WITH s AS (
+  SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
-c AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, line) > 1 AS copy FROM w WHERE words > 0),
-r AS (SELECT *, sum(CASE WHEN copy THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY line) AS run FROM c),
-gone AS (SELECT doc_id, line FROM (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS total FROM r WHERE copy)
-         WHERE total >= 50),
-left_over AS (SELECT w.doc_id, string_agg(w.s, chr(10) ORDER BY w.line) AS text
-              FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.line = w.line
-              WHERE gone.line IS NULL GROUP BY w.doc_id),
+l AS (SELECT *, row_number() OVER w AS k, sum(words) OVER w - words AS before,
+             sum(words) OVER (PARTITION BY doc_id) AS total
+      FROM s WHERE words > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+win AS (SELECT doc_id, k, before, max(k) OVER w AS last, string_agg(line, chr(10)) OVER w AS passage, total - before >= 50 AS whole
+        FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+first AS (SELECT *, first_value(doc_id) OVER p AS f_doc, first_value(k) OVER p AS f_k FROM win WHERE whole
+          WINDOW p AS (PARTITION BY passage ORDER BY doc_id, k)),
+hit AS (SELECT * FROM first WHERE f_doc <> doc_id OR f_k <> k),
+step AS (SELECT hit.doc_id, hit.k, hit.last, a.k AS t, a.line = b.line AS alike,
+                a.before + a.words - (l0.before + l0.words) AS words_on
+         FROM hit JOIN l l0 ON l0.doc_id = hit.doc_id AND l0.k = hit.k
+         JOIN l a ON a.doc_id = hit.doc_id AND a.k >= hit.k
+         LEFT JOIN l b ON b.doc_id = hit.f_doc AND b.k = a.k - hit.k + hit.f_k
+         WHERE a.k <= hit.last OR a.before + a.words - (l0.before + l0.words) < 50),
+reach AS (SELECT *, coalesce(min(CASE WHEN NOT coalesce(alike, false) THEN t END) OVER (PARTITION BY doc_id, k), 1000000000) AS stop
+          FROM step),
+gone AS (SELECT DISTINCT reach.doc_id, l.i FROM reach JOIN l ON l.doc_id = reach.doc_id AND l.k = reach.t WHERE reach.t < reach.stop),
+left_over AS (SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.i) AS text
+              FROM s LEFT JOIN gone ON gone.doc_id = s.doc_id AND gone.i = s.i
+              WHERE gone.i IS NULL GROUP BY s.doc_id),
 n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_removed,
-       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(l.text, '') END AS text
-FROM documents d LEFT JOIN left_over l ON l.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(o.text, '') END AS text
+FROM documents d LEFT JOIN left_over o ON o.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 

@@ -126,23 +126,25 @@ def test_simhash_documents(spark):
 def brute_lines(rows, least):
     """Texts after deletion, for rows of distinct (doc_id, text)."""
     words = lambda s: len(s.encode().split())
-    seen, out = set(), {}
-    for d, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
-        lines = t.split("\n")
-        real = [i for i, s in enumerate(lines) if words(s)]
-        copy = set()
-        for i in real:
-            if lines[i] in seen:
-                copy.add(i)
-            seen.add(lines[i])
-        gone, run = set(), []
-        for i in [*real, None]:
-            if i in copy:
-                run.append(i)
+    texts = [(d, t.split("\n")) for d, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))]
+    real = [[i for i, s in enumerate(lines) if words(s)] for _, lines in texts]
+    first, out = {}, {}
+    for x, (d, lines) in enumerate(texts):
+        own = [lines[i] for i in real[x]]
+        gone = set()
+        for k in range(len(own)):
+            end = next((e for e in range(k, len(own)) if sum(map(words, own[k:e + 1])) >= least), None)
+            if end is None:
+                break
+            y, j = first.setdefault(tuple(own[k:end + 1]), (x, k))
+            if (y, j) == (x, k):
                 continue
-            if sum(words(lines[k]) for k in run) >= least:
-                gone |= set(run)
-            run = []
+            there = [texts[y][1][i] for i in real[y]]
+            t = k
+            while t < len(own) and j + t - k < len(there) and own[t] == there[j + t - k] and (
+                    t <= end or sum(map(words, own[k + 1:t + 1])) < least):
+                gone.add(real[x][t])
+                t += 1
         out[d] = "\n".join(s for i, s in enumerate(lines) if i not in gone)
     return out
 
@@ -155,6 +157,7 @@ def test_line_dedup_brute_force(spark):
         rows.append((i, "\n".join([*rng.choice(pool, rng.integers(0, 9)), f"own {i}", *rng.choice(pool, rng.integers(0, 9))])))
     passage = " ".join(f"p{i}" for i in range(60))
     rows += [(100, f"a\n{passage}\nb"), (101, f"{passage}\nc"), (102, passage), (None, f"{passage}\nd"), (103, "")]
+    rows += [(110 + i, "\n".join([*pool[:9], *pool[:9]][i:i + 9])) for i in range(9)]
     want = brute_lines(rows, 12)
     assert want[101] == "c" and want[102] == "" and passage in want[100] and want[None] == "d"
     d = docs(spark, [(*r, "en", "a", 0) for r in [*rows, rows[3]]] + [(104, None, None, None, None)])
@@ -357,3 +360,15 @@ def test_toxicity_score_brute_force():
                 w = (w[:k] + c + w[k:], w[:k] + w[k + 1:], w[:k] + c + w[k + 1:])[int(rng.integers(3))] or w
             words.append(w)
         assert hit_sum(" ".join(words), memo) == pytest.approx(brute_hits(" ".join(words), entries, blocked))
+
+
+def test_lines_that_stood_apart_stay(spark):
+    """Only lines that stood together earlier are a passage."""
+    ten = [" ".join(f"a{i}b{k}" for k in range(10)) for i in range(6)]
+    rows = [(i, f"{s}\nown line {i}") for i, s in enumerate(ten)] + [(9, "\n".join(ten)), (10, "x\n" + "\n\n".join(ten) + "\ny"), (11, "\n".join(ten[:4]))]
+    got = {r.doc_id: r.text for r in dedup_lines(docs(spark, [(*r, "en", "a", 0) for r in rows])).collect()}
+    assert got[9] == "\n".join(ten) and got[10] == "x\n\n\n\n\n\ny" and got[11] == "\n".join(ten[:4])
+    # the short line after the last whole window of a run goes with it
+    long = " ".join(f"l{k}" for k in range(60))
+    two = {r.doc_id: r.text for r in dedup_lines(docs(spark, [(1, f"{long}\nshort end\nz", "", "", 0), (2, f"q\n{long}\nshort end\nk", "", "", 0)])).collect()}
+    assert two == {1: f"{long}\nshort end\nz", 2: "q\nk"}
