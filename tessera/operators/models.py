@@ -298,8 +298,15 @@ def topk_overlap(pred: DataFrame, keys, part, pred_col: str, actual_col: str, n:
         # per value (map-side combined): ties of any number stay where they are
         value = F.col(order).cast("double")
         per = df.filter(value.isNotNull()).groupBy(*p, value.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-        w = Window.partitionBy(*p).orderBy(F.col("_v").desc()) if p else Window.partitionBy(F.lit(0)).orderBy(F.col("_v").desc())
-        bound = per.withColumn("_before", F.sum("_c").over(w) - F.col("_c")).filter(F.col("_before") < n)
+        # each value counts one row at least, so the bound lies among the n greatest
+        # values of a group: the running count sees no more of them
+        if p:
+            w = Window.partitionBy(*p).orderBy(F.col("_v").desc())
+            near = per.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
+        else:
+            w = Window.orderBy(F.col("_v").desc())
+            near = per.orderBy(F.col("_v").desc()).limit(n)
+        bound = near.withColumn("_before", F.sum("_c").over(w) - F.col("_c")).filter(F.col("_before") < n)
         if not p:
             low = bound.agg(F.min("_v")).scalar()
             return df.filter(value >= low).select(*ks).distinct()

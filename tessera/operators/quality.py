@@ -19,8 +19,6 @@ row-level rules get pass/fail counts.
 from __future__ import annotations
 
 import datetime as _dt
-import re
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -29,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources.readers import read_query
+
 from tessera.functions import values as V
 from tessera.operators import windows as W
 
@@ -238,10 +238,7 @@ def evaluate(df: DataFrame, rules, run: dict | None = None, digits: int = 6) ->
             if alias not in later:
                 continue
             if expr is None:
-                view = f"dq_{uuid.uuid4().hex}"
-                df.createTempView(view)
-                val = spark.sql(re.sub(r"(?i)\b(from|join)\s+primary\b", rf"\1 {view}", r.custom_sql))
-                spark.catalog.dropTempView(view)
+                val = read_query(spark, r.custom_sql, {"primary": df})
                 col = val.select(F.col(val.columns[0]).cast("double")).scalar()
             else:
                 kind, c = expr

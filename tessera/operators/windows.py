@@ -98,40 +98,39 @@ def ffill(df: DataFrame, col: str, order, part=(), bucket: Column | None = None,
           out: str | None = None) -> DataFrame:
     """Forward fill of nulls in ``order`` within ``part``.
 
-    ``bucket`` (e.g. ``date_trunc('day', ts)``) must be monotone in the order;
-    it splits a big key so no task holds a whole key: fill inside (key,
-    bucket), then take each bucket's last non-null value, carry it over the
-    small per-bucket table, and join it back.  Without a bucket the fill is a
-    plain window per key.
+    The rows are cut into stretches of the order that tasks fill by themselves,
+    so no task holds a whole key: by ``bucket`` (e.g. ``date_trunc('day', ts)``), which must
+    be monotone in the order, else by range partitioning on key and order.  What
+    a stretch lacks at its start is the last value before it, looked up in the
+    key's list of the stretches' last values (one entry a stretch).
     """
     order = [order] if isinstance(order, str) else list(order)
     out = out or col
     part = list(part)
     if bucket is None:
-        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.last(col, ignorenulls=True).over(w))
-    b = df.withColumn("_fb", bucket)
-    w_in = Window.partitionBy(*part, "_fb").orderBy(*order) \
-        .rowsBetween(Window.unboundedPreceding, 0)
+        from tessera.session import cut_lineage
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # materialised, for the ranges come from a sample
+        b = cut_lineage(df.repartitionByRange(n, *part, *order).withColumn("_fb", F.spark_partition_id()))
+    else:
+        b = df.withColumn("_fb", bucket)
+    w_in = Window.partitionBy(*part, "_fb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     inside = b.withColumn("_fin", F.last(col, ignorenulls=True).over(w_in))
     okey = F.struct(*[F.col(o) for o in order]) if len(order) > 1 else F.col(order[0])
-    last_in_bucket = b.filter(F.col(col).isNotNull()).groupBy(*part, "_fb") \
-        .agg(F.max_by(F.col(col), okey).alias("_blast"))
-    w_b = Window.partitionBy(*part).orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)
-    # every bucket of a key gets the last non-null value of the buckets
-    # before it, also buckets that hold no non-null value themselves
-    allb = b.select(*part, "_fb").distinct()
-    kept = [f"_fl{i}" for i in range(len(part) + 1)]
-    last_in_bucket = last_in_bucket.select(
-        *[F.col(c).alias(n) for c, n in zip([*part, "_fb"], kept)], "_blast")
-    cb = allb.join(last_in_bucket, _null_safe_on(allb, last_in_bucket, [*part, "_fb"], kept), "left").drop(*kept)
-    cb = cb.withColumn("_carry", F.last("_blast", ignorenulls=True).over(w_b)).drop("_blast")
-    # null part keys and null buckets are groups like any other
-    names = [f"_fk{i}" for i in range(len(part) + 1)]
-    cb = cb.select(*[F.col(c).alias(n) for c, n in zip([*part, "_fb"], names)], "_carry")
-    res = inside.join(cb, _null_safe_on(inside, cb, [*part, "_fb"], names), "left")
-    return res.withColumn(out, F.coalesce(F.col("_fin"), F.col("_carry"))) \
-        .drop("_fb", "_fin", "_carry", *names)
+    last = b.filter(F.col(col).isNotNull()).groupBy(*part, "_fb").agg(F.max_by(F.col(col), okey).alias("_fv"))
+    # null buckets come first, as in the order
+    ends = F.array_sort(F.collect_list(F.struct(F.col("_fb").isNotNull().alias("ok"), F.col("_fb").alias("b"), F.col("_fv").alias("v"))))
+    if part:
+        # null part keys are groups like any other
+        names = [f"_fk{i}" for i in range(len(part))]
+        lists = last.groupBy(*[F.col(c).alias(k) for c, k in zip(part, names)]).agg(ends.alias("_fe"))
+        res = inside.join(lists, _null_safe_on(inside, lists, part, names), "left").drop(*names)
+    else:
+        res = inside.withColumn("_fe", last.agg(ends).scalar())
+    before = F.filter("_fe", lambda e: F.when(F.col("_fb").isNull(), F.lit(False)).otherwise(~e["ok"] | (e["b"] < F.col("_fb"))))
+    carry = F.get(before, F.size(before) - 1)["v"]
+    return res.withColumn(out, F.when(F.col("_fin").isNotNull(), F.col("_fin")).when(F.size("_fe") > 0, carry)) \
+        .drop("_fb", "_fin", "_fe")
 
 
 def best_label(scores: DataFrame, keys, label: str, score: str, pos: str | None = None,

@@ -333,14 +333,14 @@ def problem_register(rows: DataFrame, key: str, text: str, parts: DataFrame, obs
                     "glue_last_updated", "base_model_code")
 
 
-def problem_reports(reports: DataFrame, labels: DataFrame, docs: DataFrame, obs: DataFrame, as_of,
-                    bucket) -> DataFrame:
+def problem_reports(reports: DataFrame, labels: DataFrame, docs: DataFrame, items: DataFrame, vendors: DataFrame,
+                    obs: DataFrame, as_of) -> DataFrame:
     """Summary problem reports.
 
-    J15 two left merges on differently named keys with full-row dedup -> D08
-    date text parsed (bad -> null) -> W07 forward fill in report order
-    (bucketed so no task holds every report) -> X01 -> P12 text of several
-    columns -> C02 observation type -> X04 -> X02 -> D01 -> P04 uid.
+    J15 left merges on differently named keys with full-row dedup (labels, documents,
+    item descriptions, vendor codes) -> D08 date text parsed (bad -> null) -> W07
+    forward fill in report order -> X01 -> P12 text of several columns -> C02
+    observation type with its category -> X04 -> X02 -> D01 -> P04 uid.
     """
     from tessera.operators import joins as J
     from tessera.operators import projections as P
@@ -348,18 +348,22 @@ def problem_reports(reports: DataFrame, labels: DataFrame, docs: DataFrame, obs:
     from tessera.operators import windows as W
     x = J.left_merge_dedup(reports, labels, "conv_id", "label_doc")
     x = J.left_merge_dedup(x, docs, "conv_id", "doc_key")
+    x = J.left_merge_dedup(x, items, "item_no", "item_code")
+    x = J.left_merge_dedup(x, vendors, "supplier", "vendor_name")
     x = x.withColumn("date", F.to_date(D.parse_date("date_txt", ("dd/MM/yyyy",))))
-    x = W.ffill(x, "date", ["conv_id", "turn"], bucket=bucket)
+    x = W.ffill(x, "date", ["conv_id", "turn"])
     x = x.withColumn("model_code", S.prefix("part_no", 3)).withColumn("all", S.join_text("role", "text"))
     cls = TX.classify_text(x.select("report_id", "all"), "report_id", "all", obs, "observation_type",
                            "keywords", out_label="observation_type", out_score="obs_score")
     x = x.join(cls, "report_id", "left") \
+        .join(obs.select("observation_type", "category").distinct(), "observation_type", "left") \
         .withColumn("defect_resp", S.responsibility("dept")) \
         .withColumn("part_number", S.remove_dash("part_no")) \
         .withColumn("session", D.fiscal_session("date"))
     x = P.with_uid(x, ["conv_id", "turn"], as_of)
     return x.select("report_id", "conv_id", "turn", "date", "part_number", "model_code", "observation_type",
-                    "obs_score", "defect_resp", "session", "uid", "quality", "toxic", "lang")
+                    "category", "obs_score", "defect_resp", F.col("item_desc").alias("part_name"), "vendor_code",
+                    "session", "uid", "quality", "toxic", "lang")
 
 
 def defect_log(raw: DataFrame, key: str, text: str, parts: DataFrame, obs: DataFrame, as_of) -> DataFrame:

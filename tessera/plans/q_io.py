@@ -214,17 +214,18 @@ SELECT 'staged', l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER), l_return
 FROM lineitem""")
 def k05_k06_k07(spark, sf):
     """Full-refresh typed load (twice: replaced), append load that cuts texts to
-    their declared length, and a single staged file; all read back."""
+    their declared length (tried again: replaced), and a staged file; all read back."""
     li = table(spark, sf, "lineitem")
     full, app, stg = scratch(spark, "full"), scratch(spark, "append"), scratch(spark, "staged")
     K.load_full(li, _LOAD_SCHEMA, full)
     K.load_full(li, _LOAD_SCHEMA, full)
-    K.load_append(li.withColumn("l_returnflag", F.concat("l_returnflag", "l_linestatus")),
-                  _LOAD_SCHEMA, app, max_len={"l_returnflag": 1}, too_long="cut")
+    for _ in range(2):
+        K.load_append(li.withColumn("l_returnflag", F.concat("l_returnflag", "l_linestatus")),
+                      _LOAD_SCHEMA, app, max_len={"l_returnflag": 1}, too_long="cut", load_id="one")
     K.stage_single(li.select(*[f.name for f in _LOAD_SCHEMA.fields]), stg,
                    casts={"l_quantity": "int", "l_shipdate": "date"})
     a = spark.read.parquet(full).withColumn("kind", F.lit("full"))
-    b = spark.read.parquet(app).withColumn("kind", F.lit("append"))
+    b = spark.read.parquet(app).drop("load_id").withColumn("kind", F.lit("append"))
     c = spark.read.parquet(stg).withColumn("kind", F.lit("staged"))
     return a.unionByName(b).unionByName(c)
 
@@ -322,3 +323,52 @@ def k04(spark, sf):
     K.write_catalogued(day(second.withColumn("n_name", F.lit("old")), "02", "01"), path, name)
     K.write_catalogued(day(second, "02", "01"), path, name)
     return spark.table(name)
+
+
+# day of each load, posts new on it (doc_id % 3), posts of the day before delivered again
+_LOAD_DAYS = ["2023-03-01", "2023-09-15", "2024-06-30"]
+_AGE = """(year(a) - year(b)) * 12 + (month(a) - month(b))
+        + CASE WHEN day(a) = day(b) OR (a = last_day(a) AND b = last_day(b)) THEN 0 ELSE (day(a) - day(b)) / 31.0 END"""
+
+
+def _posts_sql(k: int) -> str:
+    return f"""b{k} AS (
+  SELECT '{k}-' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS id, CASE WHEN doc_id % 50 = 0 THEN NULL ELSE text END AS message,
+         CASE WHEN doc_id % 50 = 0 THEN NULL ELSE lower(left(text, 40)) END AS processed_text,
+         DATE '2022-06-01' + CAST(doc_id % 800 AS INTEGER) AS created, CAST(doc_id % 5 - 2 AS INTEGER) AS sentiment
+  FROM documents WHERE doc_id % 3 = {k}{f" OR (doc_id % 3 = {k - 1} AND doc_id % 2 = 0)" if k else ""}),
+all{k} AS ({f"SELECT * FROM t{k - 1} UNION ALL " if k else ""}SELECT * FROM b{k}),
+top{k} AS (SELECT *, max(id) OVER (PARTITION BY message) AS top FROM all{k}),
+aged{k} AS (SELECT *, {_AGE} AS age FROM (SELECT *, created AS b, DATE '{_LOAD_DAYS[k]}' AS a FROM top{k} WHERE message IS NULL OR id = top)),
+t{k} AS (SELECT id, CASE WHEN (age <= 12 AND sentiment = 0) OR age > 12 THEN NULL ELSE message END AS message,
+                CASE WHEN (age <= 12 AND sentiment = 0) OR age > 12 THEN NULL ELSE processed_text END AS processed_text,
+                created, sentiment FROM aged{k})"""
+
+
+@query("Z14_K06_maintained_loads", sql=f"""
+WITH {", ".join(map(_posts_sql, range(3)))}
+SELECT id, md5(message) AS message_md5, processed_text, created, sentiment FROM t2""")
+def z14_maintained_loads(spark, sf):
+    """Posts (documents) loaded on three days, some delivered again with new ids:
+    after each load one row per message over all that was loaded, texts of
+    neutral and of year-old posts gone, only touched months rewritten.  The second
+    load is tried twice."""
+    from tessera.operators import sets as U
+    from tessera.operators import windows as W
+    d = table(spark, sf, "documents")
+    text = F.when(F.col("doc_id") % 50 == 0, F.lit(None).cast("string")).otherwise(F.col("text"))
+    posts = d.select("doc_id", text.alias("message"), F.lower(F.substring(text, 1, 40)).alias("processed_text"),
+                     F.date_add(F.lit("2022-06-01").cast("date"), (F.col("doc_id") % 800).cast("int")).alias("created"),
+                     (F.col("doc_id") % 5 - 2).cast("int").alias("sentiment"))
+    posts = posts.withColumn("month", F.date_format("created", "yyyy-MM"))
+    name, base = f"tessera_posts_{uuid.uuid4().hex[:12]}", scratch(spark, "maintained")
+    for k, day in enumerate(_LOAD_DAYS):
+        again = (F.col("doc_id") % 3 == k - 1) & (F.col("doc_id") % 2 == 0)
+        batch = posts.where((F.col("doc_id") % 3 == k) | again).withColumn(
+            "id", F.concat(F.lit(f"{k}-"), F.lpad(F.col("doc_id").cast("string"), 12, "0"))).drop("doc_id")
+        for _ in range(2 if k == 1 else 1):
+            K.merge_load(batch, name, base, f"load{k}", lambda x: U.redact(  # noqa: B023
+                W.dedup_keep_max(x, "message", "id"), "created", "sentiment", ["message", "processed_text"], day),  # noqa: B023
+                part="month", key="message", as_of=day,
+                changes_on=F.when(F.col("message").isNotNull(), F.add_months("created", 12)))
+    return spark.table(name).select("id", F.md5("message").alias("message_md5"), "processed_text", "created", "sentiment")

@@ -333,7 +333,7 @@ def z18(spark, sf):
     m = MO.overlap_rollup(MO.topk_overlap(pred, ["pk"], ["mapping", "algoname"], "pred", "part_probability", TOP_N))
     m = cut_lineage(m)
     lights = MO.traffic_light(m, MO.thresholds(spark), value="metric_percent")
-    record = MO.run_record(m, MO.winner(m), "run-1", "DCP", {"preprocessing": (0, 1), "training": (1, 2)}, status)
+    record = MO.run_record(m, MO.winner(m), "run-1", "part-failures", {"preprocessing": (0, 1), "training": (1, 2)}, status)
     path = scratch(spark, "run_record")
     K.write_ndjson(record, path)
     back = SR.read_run_tables(spark, path)

@@ -5,7 +5,6 @@ or ``pk/mapping`` directories included)."""
 from __future__ import annotations
 
 import datetime as _dt
-import re
 import uuid
 from functools import reduce
 
@@ -19,19 +18,21 @@ __all__ = ["read_query", "read_run", "read_csv", "read_many", "read_json_lines",
 
 
 def read_query(spark: SparkSession, sql: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """SQL over named relations.  Each is a temp view under a name of its own
-    while the SQL is analysed, so the caller's views stay as they are; the names
-    are replaced where a table stands (after FROM, JOIN or a comma)."""
-    views = []
-    for name, df in (tables or {}).items():
-        view = f"{name}_{uuid.uuid4().hex}"
-        df.createTempView(view)
-        views.append(view)
-        sql = re.sub(rf"(?i)(\b(?:from|join)\s+|,\s*){re.escape(name)}\b(?=\s|$|,|;|\))", rf"\1{view}", sql)
-    out = spark.sql(sql)
-    for view in views:
-        spark.catalog.dropTempView(view)
-    return out
+    """SQL over named relations.  Each name is a common table expression around
+    the SQL (its own definitions come first), so columns, aliases and texts that
+    look like a table's name stay as they are, and so do the caller's views: the
+    frames are temp views under names of their own while the SQL is analysed."""
+    if not tables:
+        return spark.sql(sql)
+    views = {name: f"t_{uuid.uuid4().hex}" for name in tables}
+    for name, view in views.items():
+        tables[name].createTempView(view)
+    try:
+        heads = ", ".join(f"`{name}` AS (SELECT * FROM {view})" for name, view in views.items())
+        return spark.sql(f"WITH {heads} SELECT * FROM ({sql.strip().rstrip(';')}\n)")
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
 
 
 def read_run(spark: SparkSession, path: str, as_of=None, partition_cols=("year", "month", "day"),
@@ -56,7 +57,8 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None
              sep: str = ",", header: bool = True, columns=None, multi_line: bool = True) -> DataFrame:
     """CSV with a header; an explicit schema is preferred over inference.
     Quoted texts may hold line breaks and doubled quotes; a quoted empty text is
-    '', an unquoted one null.  Files known to hold no line break inside a text can
+    '', an unquoted one null, and so is a lone NUL character (what ``write_csv``
+    puts for a null in a file of one column, where an empty line would be no row).  Files known to hold no line break inside a text can
     be read with ``multi_line=False``: large ones are then split among tasks."""
     r = spark.read.options(header=header, sep=sep, quote='"', escape='"', multiLine=multi_line, emptyValue="", nullValue="\x00",
                            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
@@ -67,13 +69,19 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None
 
 def read_many(spark: SparkSession, paths, required_cols, fmt: str = "csv", **opts) -> DataFrame:
     """Read several files with the same required columns and append them by
-    name (all files, unlike a loop that keeps only the last)."""
-    frames = []
+    name (all files, unlike a loop that keeps only the last).
+
+    Paths of one column order are one scan, however many they are.  Formats
+    that name their columns need a single scan; of CSV paths the header lines are
+    looked at first (a line each), since their columns are matched by place."""
+    paths = list(paths)
+    if fmt != "csv" or str(opts.get("header", False)).lower() != "true":
+        return spark.read.format(fmt).options(**opts).load(paths).select(*required_cols)
+    plain = {k: v for k, v in opts.items() if k.lower() not in ("inferschema", "enforceschema")}
+    by_header: dict[tuple, list[str]] = {}
     for p in paths:
-        r = spark.read.format(fmt)
-        for k, v in opts.items():
-            r = r.option(k, v)
-        frames.append(r.load(p).select(*required_cols))
+        by_header.setdefault(tuple(spark.read.options(**plain).csv(p).columns), []).append(p)
+    frames = [spark.read.format(fmt).options(**opts).load(same).select(*required_cols) for same in by_header.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

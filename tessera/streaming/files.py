@@ -10,9 +10,12 @@ executors through the same checkpoint in the shared folder.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -25,7 +28,7 @@ def daily_counts(stream: DataFrame, ts: str = "ts", key: str = "event_type", id_
     """Streaming plan: watermark on the event time, duplicates of an id
     dropped while within the watermark, then per-window, per-key counts and
     sums.  Rows later than ``delay`` behind the latest event are dropped; the query's
-    progress counts them (see :func:`late_rows`)."""
+    progress counts them (see :class:`LateRows`)."""
     # watermarks need a zoned TIMESTAMP: take the wall-clock value as a UTC
     # instant (zone-free), so daily windows are wall-clock days whatever the
     # session time zone
@@ -56,12 +59,47 @@ def run_available_now(spark: SparkSession, source_dir: str, sink_dir: str, check
         batch.select(day.cast("timestamp_ntz").alias("day"), "event_type", "n", "total") \
             .write.mode("overwrite").parquet(sink_dir)
 
+    late = LateRows(spark)
     q = agg.writeStream.outputMode("complete").foreachBatch(write) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return late_rows(q)
+    return late.of(q)
+
+
+class LateRows(StreamingQueryListener):
+    """Adds up, over all progress reports of a query however many there are, the rows
+    that its stateful operators dropped behind the watermark.  Make one before
+    the query starts; :meth:`of` waits for its end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.dropped, self.ended = spark, {}, {}
+        self.changed = threading.Condition()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        with self.changed:
+            run = str(p.runId)
+            self.dropped[run] = self.dropped.get(run, 0) + sum(o.numRowsDroppedByWatermark for o in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
 
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended[str(event.runId)] = True
+            self.changed.notify_all()
 
-def late_rows(query) -> int:
-    """Rows that the query's stateful operators dropped behind the watermark."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    def of(self, query, timeout: float = 60.0) -> int:
+        try:
+            query.awaitTermination()
+        finally:
+            run = str(query.runId)
+            with self.changed:  # reports arrive in order, the end of the query last
+                ended = self.changed.wait_for(lambda: run in self.ended, timeout)
+            self.spark.streams.removeListener(self)
+        if not ended:
+            raise TimeoutError(f"no report of the end of query {run}")
+        return self.dropped.get(run, 0)

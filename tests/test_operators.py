@@ -89,7 +89,6 @@ def test_redact_boundary(spark):
     df = spark.createDataFrame([(dt.date(2023, 2, 1), 0, "a"), (dt.date(2023, 2, 1), 1, "b"),
                                 (dt.date(2023, 1, 1), 1, "c")], "d date, s int, t string")
     out = U.redact(df, "d", "s", ["t"], "2024-02-01")
-    assert [r[0] for r in out.orderBy("d", "s").collect()] == ["a", "b", "c"] or True
     got = {(r["s"], r["d"]): r["t"] for r in out.collect()}
     assert got[(0, dt.date(2023, 2, 1))] is None     # 12 months, neutral
     assert got[(1, dt.date(2023, 2, 1))] == "b"      # 12 months, not neutral
