@@ -37,16 +37,19 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def spots(of: Column, anchors=ANCHORS, gap: int = GAP) -> Column:
-    """Positions of the common words and of the words that come ``gap`` or more
-    places after the last one, in an array of words."""
-    common = F.array_compact(F.transform(of, lambda w, i: F.when(w.isin(*anchors), i)))
-    ends = F.concat(common, F.array(F.size(of)))
+def common_places(of: Column, anchors=ANCHORS) -> Column:
+    """Places of the common words in an array of words, and its length."""
+    return F.concat(F.array_compact(F.transform(of, lambda w, i: F.when(w.isin(*anchors), i))), F.array(F.size(of)))
+
+
+def spots(ends: Column, gap: int = GAP) -> Column:
+    """The common words' places and those ``gap`` or more after the last one.
+    ``ends`` is a stored :func:`common_places` column: the lambda reads it at every place."""
     # each common word (or the start) with the next one (or the end)
     bare = F.transform(ends, lambda at, k: F.when(
         at - F.when(k == 0, -gap).otherwise(F.get(ends, k - 1)) > gap,
         F.sequence(F.when(k == 0, 0).otherwise(F.get(ends, k - 1) + gap), at - 1)))
-    return F.concat(common, F.flatten(F.array_compact(bare)))
+    return F.concat(F.slice(ends, F.lit(1), F.size(ends) - 1), F.flatten(F.array_compact(bare)))
 
 
 def signatures(of: Column, at: Column, whole: Column, anchors=ANCHORS, chain: int = CHAIN, look: int = LOOK) -> Column:
@@ -62,9 +65,10 @@ def signatures(of: Column, at: Column, whole: Column, anchors=ANCHORS, chain: in
 
 def with_signatures(df: DataFrame, text: str, name: str, anchors=ANCHORS) -> DataFrame:
     """``df`` with the signature set of a text column as ``name``."""
-    own, at = f"_{name}_words", f"_{name}_spots"
-    return (df.withColumn(own, words(F.col(text))).withColumn(at, spots(F.col(own), anchors))
-            .withColumn(name, signatures(F.col(own), F.col(at), F.col(text), anchors)).drop(own, at))
+    own, ends, at = f"_{name}_words", f"_{name}_ends", f"_{name}_spots"
+    return (df.withColumn(own, words(F.col(text))).withColumn(ends, common_places(F.col(own), anchors))
+            .withColumn(at, spots(F.col(ends)))
+            .withColumn(name, signatures(F.col(own), F.col(at), F.col(text), anchors)).drop(own, ends, at))
 
 
 def fingerprint(sigs: Column) -> Column:
