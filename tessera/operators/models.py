@@ -12,11 +12,12 @@ coefficient table and a dot product in SQL expressions.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,41 +162,116 @@ def solve_key(i, j, s) -> tuple[float, dict[int, float], float, int]:
     return float(coef[at]), weights, float(1 - sse / sst) if sst > 0 else float("nan"), int(round(n))
 
 
-def fit_sparse(df: DataFrame, keys, vector: str, label: str, algo: str = "lr") -> DataFrame:
-    """Per-key ordinary least squares on sparse vectors: (keys, algoname,
-    intercept, weights map of feature number to weight, r2, n_train)."""
-    ne = normal_equations(df, keys, vector, label)
-    per = ne.groupBy(*keys).agg(F.collect_list(F.struct("i", "j", "s")).alias("_p"))  # features squared, not rows
+def fit_sparse(df: DataFrame, keys, vector: str, label: str, algo: str = "lr", tol: float = 1e-12, rounds: int = 500) -> DataFrame:
+    """Per-key ordinary least squares on sparse vectors, in rows: (keys, algoname,
+    i, weight, r2, n_train), a row per feature number; number -1 is the constant.
+
+    The normal equations are solved by conjugate gradients for all keys at once:
+    a round multiplies the products by each key's direction (a join on
+    key and feature number, summed map-side) and updates a row per key and feature, so
+    no key's features meet in a task or a row.  From zero the rounds end in the
+    minimum-norm answer, also where categories and constant depend on each other.
+    They end when each key's residual is ``tol`` of its start, or after ``rounds``
+    (then with an error, not a half-solved table).
+    """
+    from tessera.session import checkpoint_dir, cut_lineage, delete_folder, written
+    keys = list(keys)
+    spark = df.sparkSession
+    ne = cut_lineage(normal_equations(df, keys, vector, label))
+
+    def named(mark: str):
+        """The keys under names of their own, and the condition that they are the same."""
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{mark}{n}")) for n, k in enumerate(keys)])
+        return [F.col(k).alias(f"{mark}{n}") for n, k in enumerate(keys)], same
+
+    sum_keys, same_key = named("_k")
+    at_keys, same_at = named("_a")
+    both = F.explode(F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))))
+    square = ne.where((F.col("i") != _LABEL) & (F.col("j") != _LABEL)).select(*keys, both.alias("_e"), "s") \
+        .select(*keys, "_e.i", "_e.j", "s").repartition(*keys, "j").persist()  # read every round, shuffled once
+    other = F.when(F.col("i") == _LABEL, F.col("j")).otherwise(F.col("i"))
+    b = ne.where(((F.col("i") == _LABEL) | (F.col("j") == _LABEL)) & (F.col("i") != F.col("j"))) \
+        .select(*keys, other.alias("i"), F.col("s").alias("b"))
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/least-squares-{uuid.uuid4().hex}"
+    state = written(b.select(*keys, "i", "b", F.lit(0.0).alias("x"), F.col("b").alias("r"), F.col("b").alias("p")), f"{folder}/0")
+    try:
+        for n in range(1, rounds + 1):
+            left = state.groupBy(*keys).agg(F.sum(F.col("r") * F.col("r")).alias("rr"), F.sum(F.col("b") * F.col("b")).alias("bb"))
+            if left.where(F.col("rr") > tol * tol * F.col("bb")).isEmpty():
+                break
+            p = state.select(*at_keys, F.col("i").alias("_j"), "p")
+            q = square.join(p, same_at & (F.col("j") == F.col("_j"))).groupBy(*keys, "i").agg(F.sum(F.col("s") * F.col("p")).alias("q"))
+            q = q.select(*at_keys, F.col("i").alias("_i"), "q")
+            at = state.join(q, same_at & (F.col("i") == F.col("_i"))).select(*state.columns, "q")
+            product = lambda x, y: F.sum(F.col(x) * F.col(y))
+            sums = at.groupBy(*sum_keys).agg(product("r", "r").alias("rr"), product("p", "q").alias("pq"), product("r", "q").alias("rq"),
+                                             product("q", "q").alias("qq"), product("b", "b").alias("bb"))
+            go = (F.col("pq") > 0) & (F.col("rr") > tol * tol * F.col("bb"))
+            step = F.when(go, F.col("rr") / F.col("pq")).otherwise(0.0)
+            ahead = F.col("rr") - 2 * F.col("a") * F.col("rq") + F.col("a") * F.col("a") * F.col("qq")
+            sums = sums.withColumn("a", step).withColumn("turn", F.when(go, F.greatest(F.lit(0.0), ahead) / F.col("rr")).otherwise(0.0))
+            moved = at.join(sums, same_key).select(
+                *keys, "i", "b", (F.col("x") + F.col("a") * F.col("p")).alias("x"), (F.col("r") - F.col("a") * F.col("q")).alias("r"), "p", "turn")
+            moved = moved.withColumn("p", F.col("r") + F.col("turn") * F.col("p")).drop("turn")
+            state = written(moved, f"{folder}/{n}")
+            if n > 1:
+                delete_folder(spark, f"{folder}/{n - 2}")
+        else:
+            raise RuntimeError(f"least squares not solved to {tol} in {rounds} rounds")
+        state = cut_lineage(state)
+    finally:
+        square.unpersist()
+        delete_folder(spark, folder)
+    diag = lambda k: F.max(F.when((F.col("i") == k) & (F.col("j") == k), F.col("s")))
+    about = ne.groupBy(*sum_keys).agg(
+        diag(_ONE).alias("n"), diag(_LABEL).alias("yy"),
+        F.max(F.when((F.least("i", "j") == _LABEL) & (F.greatest("i", "j") == _ONE), F.col("s"))).alias("ysum"))
+    fit = state.groupBy(*at_keys).agg(F.sum(F.col("x") * F.col("b")).alias("xb"), F.sum(F.col("x") * F.col("r")).alias("xr"))
+    sst = F.col("yy") - F.col("ysum") * F.col("ysum") / F.col("n")
+    r2 = F.when(sst > 0, 1 - (F.col("yy") - F.col("xb") - F.col("xr")) / sst).otherwise(F.lit(float("nan")))
+    return state.join(fit, same_at).join(about, same_key).select(
+        *keys, F.lit(algo).alias("algoname"), "i", F.col("x").alias("weight"), r2.alias("r2"), F.round("n").cast("long").alias("n_train"))
+
+
+def fit_linear(df: DataFrame, keys, features, label: str, algo: str = "lr") -> DataFrame:
+    """Per-key ordinary least squares on columns: (keys, algoname, intercept, coef[]
+    in the order of ``features``, r2, n_train).  A key's products are one row of as many
+    numbers as ``features`` squared; for categories use :func:`fit_sparse`."""
+    v = F.filter(F.array(*[F.struct(F.lit(k).cast("bigint").alias("i"), F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias("x"))
+                           for k, f in enumerate(features)]), lambda e: e["x"] != 0)
+    ne = normal_equations(df.withColumn("_vector", v), keys, "_vector", label)
+    per = ne.groupBy(*keys).agg(F.collect_list(F.struct("i", "j", "s")).alias("_p"))
     schema = T.StructType([f for f in ne.schema.fields if f.name in keys] + [
-        T.StructField("intercept", T.DoubleType()), T.StructField("weights", T.MapType(T.LongType(), T.DoubleType())),
+        T.StructField("intercept", T.DoubleType()), T.StructField("coef", T.ArrayType(T.DoubleType())),
         T.StructField("r2", T.DoubleType()), T.StructField("n_train", T.LongType())])
+    n_features = len(features)
 
     def solve(batches):
         for pdf in batches:
             rows = []
             for head, p in zip(pdf[list(keys)].itertuples(index=False, name=None), pdf["_p"]):
                 i, j, s = (np.array([e[f] for e in p]) for f in ("i", "j", "s"))
-                rows.append((*head, *solve_key(i, j, s)))
-            yield pd.DataFrame(rows, columns=[*keys, "intercept", "weights", "r2", "n_train"])
+                intercept, weights, r2, n = solve_key(i, j, s)
+                rows.append((*head, intercept, [weights.get(k, 0.0) for k in range(n_features)], r2, n))
+            yield pd.DataFrame(rows, columns=[*keys, "intercept", "coef", "r2", "n_train"])
 
     return per.mapInPandas(solve, schema).withColumn("algoname", F.lit(algo))
 
 
-def fit_linear(df: DataFrame, keys, features, label: str, algo: str = "lr") -> DataFrame:
-    """:func:`fit_sparse` on columns: (keys, algoname, intercept, coef[] in the
-    order of ``features``, r2, n_train)."""
-    v = F.filter(F.array(*[F.struct(F.lit(k).cast("bigint").alias("i"), F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias("x"))
-                           for k, f in enumerate(features)]), lambda e: e["x"] != 0)
-    m = fit_sparse(df.withColumn("_vector", v), keys, "_vector", label, algo)
-    coef = F.array(*[F.coalesce(F.try_element_at("weights", F.lit(k).cast("bigint")), F.lit(0.0)) for k in range(len(features))])
-    return m.withColumn("coef", coef).select(*keys, "intercept", "coef", "r2", "n_train", "algoname")
-
-
 def predict_sparse(df: DataFrame, models: DataFrame, keys, vector: str, out: str = "pred") -> DataFrame:
-    """Score rows of sparse vectors with the weight table of :func:`fit_sparse`."""
-    j = df.join(models.select(*keys, "algoname", "intercept", "weights"), list(keys))
-    dot = F.aggregate(vector, F.lit(0.0), lambda s, e: s + e["x"] * F.coalesce(F.try_element_at("weights", e["i"]), F.lit(0.0)))
-    return j.withColumn(out, F.col("intercept") + dot).drop("intercept", "weights")
+    """Score rows of sparse vectors with the weight rows of :func:`fit_sparse`:
+    each row's entries join their weights and are added up (features without a
+    weight count 0), so no key's weights travel with a row."""
+    from tessera.session import cut_lineage
+    keys = list(keys)
+    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    one = F.array(F.struct(F.lit(_ONE).cast("bigint").alias("i"), F.lit(1.0).alias("x")))
+    entries = rows.select("_row", *keys, F.explode(F.concat(F.col(vector).cast("array<struct<i:bigint,x:double>>"), one)).alias("_e"))
+    entries = entries.select("_row", *keys, "_e.i", "_e.x")
+    score = entries.join(models.select(*keys, "algoname", "i", "weight"), [*keys, "i"]) \
+        .groupBy("_row", "algoname").agg(F.sum(F.col("x") * F.col("weight")).alias(out))
+    return rows.join(score, "_row").drop("_row")
 
 
 def store_models(models: DataFrame, path: str, folders=("mapping", "algoname")) -> None:
@@ -228,58 +304,147 @@ def predict(df: DataFrame, models: DataFrame, keys, features, out: str = "pred")
 
 
 def fit_trees(df: DataFrame, keys, features, label: str, algo: str = "gbt", rounds: int = 10,
-              rate: float = 0.3, bins: int = 16) -> DataFrame:
-    """Boosted trees of one split each, a model per key: (keys, algoname, base,
-    steps: array of struct(feature, cut, left, right), n_train).
+              rate: float = 0.3, bins: int = 16, depth: int = 1) -> DataFrame:
+    """Boosted regression trees, a model per key: (keys, algoname, base, n_train)
+    and, for ``depth`` 1, steps: array of struct(feature, cut, left, right), else
+    trees: array of map(node, struct(feature, cut, value)), children of node k being 2k
+    (value <= cut) and 2k + 1, a leaf's feature null.
 
     Features are cut at their approximate quantiles (``bins`` of them); rows of a
     key in the same cell of cuts are one row of counts and sums from then
-    on.  Each round adds up the cells' residuals per (key, feature, cut) with map-side
-    combining, takes each key's best split and joins it to the cells.  No key's
-    rows meet in one task, and the number of keys has no bound.
+    on.  All keys' trees grow together, a level a pass: cells are added up to a
+    histogram per (key, node, feature) with map-side combining, and the best cut of
+    each node moves its cells to the children.  Below the root only the smaller
+    child is added up; its sibling is the parent less it.  No key's rows meet in
+    one task, and the number of keys has no bound.  At depth 1 every round makes its cut; deeper
+    trees cut a node only where that lessens the error.
     """
     from tessera.session import cut_lineage
+    keys = list(keys)
     qs = [k / bins for k in range(1, bins)]
     cuts = df.agg(*[F.percentile_approx(F.col(f).cast("double"), qs).alias(f"q{i}") for i, f in enumerate(features)]).first()
-    cuts = [sorted(set(cuts[i] or [])) for i in range(len(features))]  # at most bins - 1 numbers per feature
+    cuts = [[float(c) for c in sorted(set(cuts[i] or []))] for i in range(len(features))]  # at most bins - 1 numbers per feature
     cell = [sum((F.coalesce(F.col(f).cast("double") > c, F.lit(True)).cast("int") for c in cuts[i]), F.lit(0)).alias(f"b{i}")
             for i, f in enumerate(features)]
     cols = [f"b{i}" for i in range(len(features))]
     cells = df.filter(F.col(label).isNotNull()).select(*keys, *cell, F.col(label).cast("double").alias("_y")) \
         .groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("r"))
     base = cells.groupBy(*keys).agg((F.sum("r") / F.sum("n")).alias("base"), F.sum("n").alias("n_train"))
-    model = base.withColumn("steps", F.array().cast("array<struct<feature:int,cut:double,left:double,right:double>>"))
-    cells = cut_lineage(cells.join(base, list(keys)).withColumn("r", F.col("r") - F.col("n") * F.col("base")).drop("base", "n_train"))
-    edges = F.array(*[F.struct(F.lit(i).alias("feature"), F.lit(k).alias("at"), F.lit(float(c)).alias("cut"))
-                      for i in range(len(features)) for k, c in enumerate(cuts[i])])
-    at = F.coalesce(*[F.when(F.col("e.feature") == k, F.col(c)) for k, c in enumerate(cols)])
+    model = base.withColumn("steps" if depth == 1 else "trees", F.array().cast(_STEPS if depth == 1 else _TREES))
+    cells = cut_lineage(cells.join(base, keys).withColumn("r", F.col("r") - F.col("n") * F.col("base")).drop("base", "n_train"))
     for _ in range(rounds if any(cuts) else 0):
-        e = cells.select(*keys, "n", "r", *cols, F.explode(edges).alias("e")).withColumn("_left", at <= F.col("e.at"))
-        agg = e.groupBy(*keys, "e").agg(
-            F.sum(F.when(F.col("_left"), F.col("n")).otherwise(0)).alias("nl"), F.sum("n").alias("na"),
-            F.sum(F.when(F.col("_left"), F.col("r")).otherwise(0.0)).alias("rl"), F.sum("r").alias("ra"))
-        mean = lambda s, n: F.when(n > 0, s / n).otherwise(0.0)
-        nr, rr = F.col("na") - F.col("nl"), F.col("ra") - F.col("rl")
-        gain = F.col("rl") * mean(F.col("rl"), F.col("nl")) + rr * mean(rr, nr)
-        best = agg.groupBy(*keys).agg(F.max_by(F.struct(
-            F.col("e.feature").alias("feature"), F.col("e.at").alias("at"), F.col("e.cut").alias("cut"),
-            (rate * mean(F.col("rl"), F.col("nl"))).alias("left"), (rate * mean(rr, nr)).alias("right")),
-            F.struct(F.round(gain, 9), -F.col("e.feature"), -F.col("e.at"))).alias("e"))
-        best = cut_lineage(best)
-        model = model.join(best, list(keys)).withColumn("steps", F.concat("steps", F.array(F.struct(
-            "e.feature", "e.cut", "e.left", "e.right")))).drop("e")
-        cells = cut_lineage(cells.join(best, list(keys)).withColumn("r", F.col("r") - F.col("n") * F.when(
-            at <= F.col("e.at"), F.col("e.left")).otherwise(F.col("e.right"))).drop("e"))
+        grown = cells.withColumns({"node": F.lit(1), "value": F.lit(0.0), "small": F.lit(True)})
+        parents, splits = None, []
+        for level in range(depth):
+            found = _histograms(grown, keys, cols, cuts, parents)
+            if level + 1 < depth:
+                found = parents = cut_lineage(found)
+            best = _best_cuts(found, keys, cuts, rate, always=depth == 1)
+            left, split = _bin_of(cols) <= F.col("c.at"), F.col("c").isNotNull()
+            grown = cut_lineage(grown.drop("small", "was", "c").join(best, [*keys, "node"], "left").select(
+                *keys, *cols, "n", "r", F.col("node").alias("was"), "c",
+                F.when(~split, F.col("node")).when(left, 2 * F.col("node")).otherwise(2 * F.col("node") + 1).alias("node"),
+                F.when(~split, F.col("value")).when(left, F.col("c.left")).otherwise(F.col("c.right")).alias("value"),
+                (split & (left == (F.col("c.nl") <= F.col("c.na") - F.col("c.nl")))).alias("small")))
+            splits.append(grown.groupBy(*keys, "was").agg(F.first("c").alias("c")))
+        if depth == 1:
+            step = splits[0].select(*keys, F.array(F.struct("c.feature", "c.cut", "c.left", "c.right")).alias("_s"))
+            model = model.join(step, keys).withColumn("steps", F.concat("steps", "_s")).drop("_s")
+        else:
+            model = model.join(_trees_of(splits, keys), keys).withColumn("trees", F.concat("trees", F.array("_t"))).drop("_t")
+            model = cut_lineage(model)
+        cells = grown.select(*keys, *cols, "n", (F.col("r") - F.col("n") * F.col("value")).alias("r"))
     return model.withColumn("algoname", F.lit(algo))
 
 
+_STEPS = "array<struct<feature:int,cut:double,left:double,right:double>>"
+_TREES = "array<map<int,struct<feature:int,cut:double,value:double>>>"
+
+
+def _trees_of(splits: list[DataFrame], keys) -> DataFrame:
+    """(keys, _t): map of node to (feature, cut, value) from the levels' cuts."""
+    none = lambda t: F.lit(None).cast(t)
+    nodes = reduce(DataFrame.unionByName, [s.select(*keys, F.explode(F.when(F.col("c").isNull(), F.array(
+        F.struct(F.col("was").alias("node"), none("int").alias("feature"), none("double").alias("cut"),
+                 F.when(F.col("was") == 1, 0.0).alias("value")))).otherwise(F.array(
+        F.struct(F.col("was").alias("node"), F.col("c.feature").alias("feature"), F.col("c.cut").alias("cut"), none("double").alias("value")),
+        *[F.struct((2 * F.col("was") + k).alias("node"), none("int").alias("feature"), none("double").alias("cut"),
+                   F.col(f"c.{side}").alias("value")) for k, side in enumerate(("left", "right"))]))).alias("e")) for s in splits])
+    one = nodes.groupBy(*keys, F.col("e.node").alias("node")).agg(
+        F.max("e.feature").alias("feature"), F.max("e.cut").alias("cut"), F.max("e.value").alias("value"))
+    one = one.select(*keys, "node", F.struct("feature", "cut", F.when(F.col("feature").isNull(), F.col("value")).alias("value")).alias("t"))
+    return one.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("node", "t"))).alias("_t"))
+
+
+def _bin_of(cols) -> Column:
+    return F.coalesce(*[F.when(F.col("c.feature") == k, F.col(c)) for k, c in enumerate(cols)])
+
+
+def _histograms(cells: DataFrame, keys, cols, cuts, parents: DataFrame | None) -> DataFrame:
+    """(keys, node, feature, hn, hr): counts and residual sums by bin.  With
+    ``parents`` (the level above) only cells marked small are added up."""
+    width = max(map(len, cuts)) + 1
+    e = cells.where("small").select(*keys, "node", "n", "r", F.posexplode(F.array(*cols)).alias("feature", "bin"))
+
+    def sums(c, zero):
+        return F.array(*[F.coalesce(F.sum(F.when(F.col("bin") == k, F.col(c))), F.lit(zero)) for k in range(width)])
+
+    own = e.groupBy(*keys, "node", "feature").agg(sums("n", 0).cast("array<bigint>").alias("hn"), sums("r", 0.0).alias("hr"))
+    if parents is None:
+        return own
+    less = own.select(*keys, F.floor(F.col("node") / 2).cast("int").alias("node"), "feature", F.col("node").alias("_small"),
+                      F.col("hn").alias("_n"), F.col("hr").alias("_r"))
+    rest = parents.join(less, [*keys, "node", "feature"]).select(
+        *keys, (4 * F.col("node") + 1 - F.col("_small")).cast("int").alias("node"), "feature",
+        F.zip_with("hn", "_n", lambda a, b: a - b).alias("hn"), F.zip_with("hr", "_r", lambda a, b: a - b).alias("hr"))
+    return own.unionByName(rest)
+
+
+def _best_cuts(found: DataFrame, keys, cuts, rate: float, always: bool) -> DataFrame:
+    """(keys, node, c): the best cut of each node, first feature and lowest
+    cut among equals; without ``always`` only where both sides have rows and the error falls."""
+    mean = lambda s, n: F.when(n > 0, s / n).otherwise(0.0)
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, v: s + v)
+    x = found.withColumns({"na": total("hn").cast("long"), "ra": total("hr")})
+    cut_of = F.get(F.lit(cuts).cast("array<array<double>>"), F.col("feature"))
+
+    def candidate(cut, k):
+        nl, rl = total(F.slice("hn", F.lit(1), k + 1)).cast("long"), total(F.slice("hr", F.lit(1), k + 1))
+        nr, rr = F.col("na") - nl, F.col("ra") - rl
+        gain = F.round(rl * mean(rl, nl) + rr * mean(rr, nr), 9)
+        return F.struct(gain.alias("gain"), (-F.col("feature")).alias("f"), (-k).alias("k"), cut.alias("cut"), nl.alias("nl"), rl.alias("rl"))
+
+    x = x.withColumn("_c", F.transform(cut_of, candidate))
+    if not always:
+        before = F.round(F.col("ra") * mean(F.col("ra"), F.col("na")), 9)
+        x = x.withColumn("_c", F.filter("_c", lambda c: (c["nl"] > 0) & (c["nl"] < F.col("na")) & (c["gain"] > before)))
+    x = x.where(F.size("_c") > 0).select(*keys, "node", "na", "ra", F.array_max("_c").alias("_c"))
+    best = x.groupBy(*keys, "node").agg(F.max(F.struct("_c", "na", "ra")).alias("b"))
+    nl, rl = F.col("b._c.nl"), F.col("b._c.rl")
+    return best.select(*keys, "node", F.struct(
+        (-F.col("b._c.f")).alias("feature"), (-F.col("b._c.k")).alias("at"), F.col("b._c.cut").alias("cut"),
+        (rate * mean(rl, nl)).alias("left"), (rate * mean(F.col("b.ra") - rl, F.col("b.na") - nl)).alias("right"),
+        nl.alias("nl"), F.col("b.na").alias("na")).alias("c"))
+
+
 def predict_trees(df: DataFrame, models: DataFrame, keys, features, out: str = "pred") -> DataFrame:
     """Score rows with :func:`fit_trees` models; a missing value goes right."""
     x = F.array(*[F.col(f).cast("double") for f in features])
-    j = df.withColumn("_x", x).join(models.select(*keys, "algoname", "base", "steps"), list(keys))
-    add = F.aggregate("steps", F.lit(0.0), lambda s, t: s + F.when(
-        F.element_at("_x", t["feature"] + 1) <= t["cut"], t["left"]).otherwise(t["right"]))
-    return j.withColumn(out, F.col("base") + add).drop("_x", "base", "steps")
+    kind = "steps" if "steps" in models.columns else "trees"
+    j = df.withColumn("_x", x).join(models.select(*keys, "algoname", "base", kind), list(keys))
+    goes_left = lambda t: F.coalesce(F.get("_x", t["feature"]) <= t["cut"], F.lit(False))
+    if kind == "steps":
+        add = F.aggregate("steps", F.lit(0.0), lambda s, t: s + F.when(goes_left(t), t["left"]).otherwise(t["right"]))
+    else:
+        # a tree's nodes on the way down: as many steps as the tree has nodes end at a leaf
+        def leaf(tree):
+            def down(node, _):
+                t = F.try_element_at(tree, node)
+                return F.when(t["feature"].isNull(), node).when(goes_left(t), 2 * node).otherwise(2 * node + 1)
+            levels = F.ceil(F.log2(F.array_max(F.map_keys(tree)) + 1)).cast("int")
+            return F.aggregate(F.sequence(F.lit(1), levels), F.lit(1), down)
+        add = F.aggregate("trees", F.lit(0.0), lambda s, tree: s + F.try_element_at(tree, leaf(tree))["value"])
+    return j.withColumn(out, F.col("base") + add).drop("_x", "base", kind)
 
 
 # ------------------------------------------------------------------ E01 / E02 / E03

@@ -77,6 +77,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet in a shared folder and read back.  For loops of
+    many rounds: a checkpoint keeps the size that the optimizer estimated, which joins
+    multiply from round to round; a file's size starts anew."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    home = spark._jvm.org.apache.hadoop.fs.Path(path)
+    home.getFileSystem(spark._jsc.hadoopConfiguration()).delete(home, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table as a lazy Parquet scan (pruning/pushdown apply)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
