@@ -17,15 +17,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import strings as S
 from tessera.functions import values as V
+from tessera.operators import blocks
 from tessera.operators.joins import bounded_broadcast, fits_broadcast
+from tessera.session import cut_lineage
 
 DICT_BROADCAST_BYTES = 64 << 20
-# Dictionary words whose bigram postings are shipped to the tasks; a larger
-# dictionary takes the shuffled join with the same result.
-MAX_POSTINGS_WORDS = 2_000_000
+# Rows of a block: words, dictionary words, texts, phrases; words of texts compared at once.
+WORD_BLOCK, DICT_BLOCK, TEXT_BLOCK, PHRASE_BLOCK, TOKENS_AT_ONCE = 4096, 1024, 512, 128, 65_536
 
 
 # ------------------------------------------------------------------ tokens
@@ -162,65 +164,22 @@ def jaccard_pairs(left: DataFrame, lw: str, right: DataFrame, rw: str,
     return pairs.select(lw, rw, sim.alias("sim")).filter(F.col("sim") >= t)
 
 
-def jaccard_matches(left: DataFrame, lw: str, right: DataFrame, rw: str, threshold: float,
-                    max_dict_rows: int = MAX_POSTINGS_WORDS) -> DataFrame:
-    """(left word, right word, sim) with bigram Jaccard ``sim >= threshold``,
-    for a bounded right side (a dictionary).
-
-    The dictionary's bigram postings (bigram -> dictionary word ids) are
-    broadcast after a size check; Spark partitions the distinct left words
-    and each Arrow batch counts, per word, the shared bigrams with every
-    dictionary word reachable through its bigrams (``numpy.bincount`` over the
-    postings) — the same candidates as the bigram equi-join, counted in
-    vectors instead of shuffled rows.  Exact: sim = inter / (|A|+|B|-inter).
-    """
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql import types as T
-
-    spark = left.sparkSession
-    rd = right.select(F.col(rw).alias("w")).filter(F.col("w").isNotNull()).distinct()
-    if rd.limit(max_dict_rows + 1).count() > max_dict_rows:
-        # too large to ship: fall back to the shuffled bigram join
-        return jaccard_pairs(left, lw, right, rw, threshold=threshold)
-    dict_words = sorted(r[0] for r in rd.collect())
-    postings: dict[str, list[int]] = {}
-    sizes = np.zeros(len(dict_words), dtype=np.int64)
-    for i, wd in enumerate(dict_words):
-        grams = {wd[j:j + 2] for j in range(len(wd) - 1)}
-        sizes[i] = len(grams)
-        for g in grams:
-            postings.setdefault(g, []).append(i)
-    bc = spark.sparkContext.broadcast(
-        ({g: np.asarray(v, dtype=np.int64) for g, v in postings.items()}, sizes, dict_words))
+def jaccard_matches(left: DataFrame, lw: str, right: DataFrame, rw: str, threshold: float) -> DataFrame:
+    """(left word, right word, sim) with bigram Jaccard ``sim >= threshold``, block
+    by block (:mod:`tessera.operators.blocks`)."""
+    ld = cut_lineage(left.select(F.col(lw).alias("l")).filter(F.col("l").isNotNull()).distinct())
+    rd = cut_lineage(right.select(F.col(rw).alias("r")).filter(F.col("r").isNotNull()).distinct())
     t = float(threshold)
 
-    def match(batches):
-        post, nb, words = bc.value
-        n = len(words)
-        for pdf in batches:
-            out_l, out_r, out_s = [], [], []
-            for wd in pdf["w"]:
-                if wd is None:
-                    continue
-                grams = {wd[j:j + 2] for j in range(len(wd) - 1)}
-                lists = [post[g] for g in grams if g in post]
-                if not lists:
-                    continue
-                inter = np.bincount(np.concatenate(lists), minlength=n)
-                hit = np.nonzero(inter)[0]
-                sim = inter[hit] / (len(grams) + nb[hit] - inter[hit])
-                keep = sim >= t
-                for k, sv in zip(hit[keep], sim[keep]):
-                    out_l.append(wd)
-                    out_r.append(words[k])
-                    out_s.append(float(sv))
-            yield pd.DataFrame({"l": out_l, "r": out_r, "sim": out_s})
-
-    schema = T.StructType([T.StructField("l", T.StringType()), T.StructField("r", T.StringType()),
-                           T.StructField("sim", T.DoubleType())])
-    ld = left.select(F.col(lw).alias("w")).filter(F.col("w").isNotNull()).distinct()
-    return ld.mapInPandas(match, schema).select(F.col("l").alias(lw), F.col("r").alias(rw), "sim")
+    def match(a, b):
+        import pyarrow as pa
+        if not a.num_rows or not b.num_rows:
+            return pa.table({"l": pa.array([], pa.string()), "r": pa.array([], pa.string()), "sim": pa.array([], pa.float64())})
+        i, j, sim = blocks.jaccard_above(a.column("l").to_pylist(), b.column("r").to_pylist(), t)
+        return pa.table({"l": a.column("l").take(pa.array(i)), "r": b.column("r").take(pa.array(j)), "sim": sim})
+
+    return blocks.met(ld, rd, ["l"], ["r"], WORD_BLOCK, DICT_BLOCK).applyInArrow(match, "l string, r string, sim double") \
+        .select(F.col("l").alias(lw), F.col("r").alias(rw), "sim")
 
 
 # ------------------------------------------------------------------ C05
@@ -231,149 +190,158 @@ def correct_words(words: DataFrame, word: str, vocab: DataFrame, vword: str, vpo
 
     A word in the vocabulary stays.  Otherwise the vocabulary words with the
     same first letter are ranked by Jaccard distance of bigram sets (ties in
-    vocabulary order ``vpos``); among the first ``k`` the first that is a
+    vocabulary order ``vpos``, then by word); among the first ``k`` the first that is a
     dictionary keyword replaces the word; none -> unchanged.
 
-    Exact without comparing against the whole letter group: words sharing a
-    bigram come from the bigram join; if fewer than ``k`` do, the rest of the
-    first ``k`` are the non-sharing words of lowest position (distance 1),
-    which all lie within the letter group's first ``k`` positions.
+    Blocks of words meet blocks of vocabulary words of their letter; each pair of
+    blocks gives a word's ``k`` nearest there, and the nearest of all blocks decide.
     """
-    w = words.select(F.col(word).alias("w")).filter(F.length("w") > 0).distinct()
-    v = vocab.select(F.col(vword).alias("v"), F.col(vpos).alias("vp"))
+    w = cut_lineage(words.select(F.col(word).alias("w")).filter(F.length("w") > 0).distinct())
+    first = F.substring
+    v = vocab.select(F.col(vword).alias("v"), F.col(vpos).alias("vp")).filter(F.length("v") > 0).distinct()
     kw = keywords.select(F.col(kword).alias("v")).distinct().withColumn("is_kw", F.lit(True))
-    unknown = w.join(v.select(F.col("v").alias("w")), "w", "left_anti")
-    shared = jaccard_pairs(unknown, "w", v, "v", same_first_letter=True) \
-        .withColumn("dist", 1 - F.col("sim")).join(v, "v")
-    rk = Window.partitionBy("w").orderBy("dist", "vp")
-    top_shared = shared.withColumn("r", F.row_number().over(rk)).filter(F.col("r") <= k) \
-        .select("w", "v", "vp", "dist", F.col("r"))
-    n_shared = top_shared.groupBy("w").agg(F.count(F.lit(1)).alias("ns"))
-    # the first k vocabulary words of each first letter (tiny table)
-    lw = Window.partitionBy("letter").orderBy("vp")
-    head = v.withColumn("letter", F.substring("v", 1, 1)) \
-        .withColumn("lr", F.row_number().over(lw)).filter(F.col("lr") <= k)
-    fill = unknown.withColumn("letter", F.substring("w", 1, 1)) \
-        .join(n_shared, "w", "left").withColumn("ns", F.coalesce("ns", F.lit(0))) \
-        .filter(F.col("ns") < k) \
-        .join(F.broadcast(head), "letter") \
-        .join(shared.select("w", "v"), ["w", "v"], "left_anti")
-    fw = Window.partitionBy("w").orderBy("vp")
-    fill = fill.withColumn("fr", F.row_number().over(fw)) \
-        .filter(F.col("fr") <= k - F.col("ns")) \
-        .select("w", "v", "vp", F.lit(1.0).alias("dist"), (F.col("ns") + F.col("fr")).alias("r"))
-    cands = top_shared.unionByName(fill).join(bounded_broadcast(kw, DICT_BROADCAST_BYTES), "v")
-    best = cands.groupBy("w").agg(F.min_by("v", "r").alias("corr"))
-    return w.join(best, "w", "left") \
-        .select(F.col("w").alias(word), F.coalesce("corr", "w").alias("corrected"))
-
-
-def correct_words_postings(words: DataFrame, word: str, vocab: DataFrame, vword: str, vpos: str,
-                           keywords: DataFrame, kword: str, k: int = 10,
-                           max_dict_rows: int = MAX_POSTINGS_WORDS) -> DataFrame:
-    """Same result as :func:`correct_words`, counted in Arrow batches.
-
-    The (size-checked) vocabulary is broadcast as bigram postings plus, per
-    first letter, its words in position order; Spark partitions the distinct
-    words, and each batch ranks a word's candidates exactly as the join
-    version does: words sharing a bigram by (distance, position), then the
-    letter group's first positions at distance 1, first keyword in the top
-    ``k``.  Beyond the size bound the join version runs instead.
-    """
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql import types as T
-
-    spark = words.sparkSession
-    v = vocab.select(F.col(vword).alias("v"), F.col(vpos).alias("vp")).distinct()
-    if v.limit(max_dict_rows + 1).count() > max_dict_rows:
-        return correct_words(words, word, vocab, vword, vpos, keywords, kword, k)
-    kw = keywords.select(F.col(kword).alias("v")).distinct().withColumn("is_kw", F.lit(True))
-    rows = v.join(kw, "v", "left").collect()
-    rows.sort(key=lambda r: (r["vp"], r["v"]))
-    vw = [r["v"] for r in rows]
-    is_kw = np.array([bool(r["is_kw"]) for r in rows])
-    first = np.array([w[:1] for w in vw])
-    sizes = np.zeros(len(vw), dtype=np.int64)
-    postings: dict[str, list[int]] = {}
-    by_letter: dict[str, list[int]] = {}
-    for i, wd in enumerate(vw):
-        grams = {wd[j:j + 2] for j in range(len(wd) - 1)}
-        sizes[i] = len(grams)
-        for g in grams:
-            postings.setdefault(g, []).append(i)
-        by_letter.setdefault(wd[:1], []).append(i)
-    bc = spark.sparkContext.broadcast(({g: np.asarray(x, dtype=np.int64) for g, x in postings.items()},
-                                       {c: x[:k] for c, x in by_letter.items()}, sizes, first, is_kw,
-                                       vw, set(vw)))
-
-    def fix(batches):
-        post, head, nb, fst, iskw, words_, known = bc.value
-        n = len(words_)
-        for pdf in batches:
-            out = []
-            for wd in pdf["w"]:
-                if wd in known:
-                    out.append(wd)
-                    continue
-                grams = {wd[j:j + 2] for j in range(len(wd) - 1)}
-                lists = [post[g] for g in grams if g in post]
-                cand = np.zeros(0, dtype=np.int64)
-                dist = np.zeros(0)
-                if lists:
-                    inter = np.bincount(np.concatenate(lists), minlength=n)
-                    cand = np.nonzero((inter > 0) & (fst == wd[:1]))[0]
-                    dist = 1 - inter[cand] / (len(grams) + nb[cand] - inter[cand])
-                order = np.lexsort((cand, dist))[:k]  # by distance, then position
-                ranked = list(cand[order])
-                if len(ranked) < k:
-                    shared = set(cand.tolist())
-                    ranked += [i for i in head.get(wd[:1], []) if i not in shared][:k - len(ranked)]
-                pick = next((i for i in ranked if iskw[i]), None)
-                out.append(words_[pick] if pick is not None else wd)
-            yield pd.DataFrame({"w": list(pdf["w"]), "corrected": out})
-
-    schema = T.StructType([T.StructField("w", T.StringType()), T.StructField("corrected", T.StringType())])
-    w = words.select(F.col(word).alias("w")).filter(F.length("w") > 0).distinct()
-    return w.mapInPandas(fix, schema).withColumnRenamed("w", word)
+    # positions as numbers: the words' order is all that counts
+    v = cut_lineage(v.join(kw, "v", "left").select("v", "vp", F.coalesce("is_kw", F.lit(False)).alias("is_kw"),
+                                                   first("v", 1, 1).alias("letter")))
+    unknown = w.join(v.select(F.col("v").alias("w")), "w", "left_anti").withColumn("letter", first("w", 1, 1))
+    place = v.schema["vp"].dataType.simpleString()
+
+    def rank(a, b):
+        import numpy as np
+        import pyarrow as pa
+        schema = pa.schema([("w", pa.string()), ("v", pa.string()), ("vp", b.schema.field("vp").type), ("is_kw", pa.bool_()), ("dist", pa.float64())])
+        if not a.num_rows or not b.num_rows:
+            return schema.empty_table()
+        b = b.select(["v", "vp", "is_kw"]).sort_by([("vp", "ascending"), ("v", "ascending")])
+        dist = 1 - blocks.jaccard(a.column("w").to_pylist(), b.column("v").to_pylist())
+        near = np.argsort(dist, axis=1, kind="stable")[:, :k]  # equal distances stay in vocabulary order
+        i, j = np.repeat(np.arange(len(near)), near.shape[1]), near.ravel()
+        part = b.take(pa.array(j))
+        return pa.Table.from_arrays([a.column("w").take(pa.array(i)), *part.columns, pa.array(dist[i, j])], schema=schema)
+
+    found = blocks.met(unknown, v, ["w"], ["v"], WORD_BLOCK, DICT_BLOCK, within="letter").applyInArrow(
+        rank, f"w string, v string, vp {place}, is_kw boolean, dist double")
+    order = Window.partitionBy("w").orderBy("dist", "vp", "v")
+    best = found.withColumn("r", F.row_number().over(order)).filter((F.col("r") <= k) & F.col("is_kw")) \
+        .groupBy("w").agg(F.min_by("v", "r").alias("corr"))
+    return w.join(best, "w", "left").select(F.col("w").alias(word), F.coalesce("corr", "w").alias("corrected"))
+
+
+correct_words_postings = correct_words  # the name under which marts know it
 
 
 # ------------------------------------------------------------------ C04
 
+def vector_matches(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """(l, r, sim): words of two (word, vector) tables whose cosine is ``threshold``
+    or more, block by block.  Words are unique in each; null, empty, zero and non-finite
+    vectors, and vectors of another length than the other side's, are like none."""
+    def side(df, name):
+        word, vec = df.columns
+        x = df.select(F.col(word).alias(name), F.col(vec).cast("array<double>").alias("x"))
+        return cut_lineage(x.withColumn("dim", F.size("x")).filter((F.col("dim") > 0) & F.col(name).isNotNull()
+                                                                   & ~F.exists("x", lambda e: e.isNull())))
+    t = float(threshold)
+
+    def match(a, b):
+        import numpy as np
+        import pyarrow as pa
+        if not a.num_rows or not b.num_rows:
+            return pa.table({"l": pa.array([], pa.string()), "r": pa.array([], pa.string()), "sim": pa.array([], pa.float64())})
+        x, y = (np.array(c.column("x").to_pylist(), np.float64) for c in (a, b))
+        sim = blocks.cosine(x, y)
+        i, j = np.nonzero(sim >= t)
+        return pa.table({"l": a.column("l").take(pa.array(i)), "r": b.column("r").take(pa.array(j)), "sim": sim[i, j]})
+
+    return blocks.met(side(left, "l"), side(right, "r"), ["l"], ["r"], WORD_BLOCK, DICT_BLOCK, within="dim").applyInArrow(
+        match, "l string, r string, sim double")
+
+
 def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: DataFrame,
                   cls: str, phrase: str, pword: str, n_phrases: DataFrame,
-                  stop_words=None, threshold: float = 0.35, prefix_filter: bool = False) -> DataFrame:
+                  stop_words=None, threshold: float = 0.35, vectors: DataFrame | None = None) -> DataFrame:
     """Per (doc, class): ``max`` and ``mean`` over the class phrases of the
     phrase score = mean over the phrase's words (longer than 2 chars, not
     stop words) of the best similarity to any text token (< threshold -> 0).
 
+    Words are alike by the Jaccard index of their bigrams or, with ``vectors`` (word,
+    vector: a row a word), by the cosine of their vectors; a word without one is like none.
+
     ``n_phrases``: (cls, n) number of phrases of each class (the mean runs
     over all of them; phrases without countable words score 0 in the mean
     and are left out of the max).  Only docs with some similarity get rows.
     """
     stop = S.DEFAULT_STOP_WORDS if stop_words is None else list(stop_words)
-    ok_tok = (F.length(F.col(token)) > 2) & ~F.col(token).isin(stop)
-    dtk = doc_tokens.filter(ok_tok).select(doc_key, token).distinct()
-    pw = phrases.filter((F.length(F.col(pword)) > 2) & ~F.col(pword).isin(stop))
-    n_words = pw.groupBy(cls, phrase).agg(F.count(F.lit(1)).alias("_nw"))
-    # bigram postings of the (bounded) phrase dictionary, counted per word in
-    # Arrow batches; ``prefix_filter`` uses the all-Spark prefix-filtered join
-    if prefix_filter:
-        sims = jaccard_pairs(dtk.select(token).distinct(), token, pw.select(pword).distinct(), pword,
-                             threshold=threshold)
-    else:
-        sims = jaccard_matches(dtk.select(token), token, pw.select(pword), pword, threshold)
-    best_word = dtk.join(sims, token).groupBy(doc_key, pword).agg(F.max("sim").alias("_m"))
-    # n_words and n_phrases are aggregates of the phrase table: one check
-    small = fits_broadcast(pw, DICT_BROADCAST_BYTES)
-    bc = (lambda d: F.broadcast(d)) if small else (lambda d: d)
-    ph = best_word.join(bc(pw.select(cls, phrase, pword)), pword) \
-        .groupBy(doc_key, cls, phrase).agg(F.sum("_m").alias("_s")) \
-        .join(bc(n_words), [cls, phrase]) \
-        .withColumn("_ps", F.col("_s") / F.col("_nw"))
-    agg = ph.groupBy(doc_key, cls).agg(F.max("_ps").alias("max_score"), F.sum("_ps").alias("_sum"))
-    return agg.join(bc(n_phrases), cls) \
-        .select(doc_key, cls, "max_score", (F.col("_sum") / F.col("n")).alias("mean_score"))
+    counts = lambda w: (F.length(F.col(w)) > 2) & ~F.col(w).isin(stop)
+    toks = doc_tokens.filter(counts(token)).select(F.col(doc_key).alias("doc"), F.col(token).alias("w"))
+    pw = phrases.filter(counts(pword)).select(F.col(cls).alias("cls"), F.col(phrase).alias("phrase"), F.col(pword).alias("w"))
+    score = _phrases_by_bigrams(toks, pw, float(threshold)) if vectors is None else \
+        _phrases_by_vectors(toks.distinct(), pw, vectors, float(threshold))
+    agg = score.groupBy("doc", "cls").agg(F.max("top").alias("max_score"), F.sum("total").alias("_sum"))
+    n = n_phrases.select(F.col(cls).alias("cls"), "n")
+    return agg.join(bounded_broadcast(n, DICT_BROADCAST_BYTES), "cls").select(
+        F.col("doc").alias(doc_key), F.col("cls").alias(cls), "max_score", (F.col("_sum") / F.col("n")).alias("mean_score"))
+
+
+def _phrases_by_vectors(toks: DataFrame, pw: DataFrame, vectors: DataFrame, t: float) -> DataFrame:
+    """(doc, cls, top, total): word similarities first, then best per phrase word,
+    mean per phrase, maximum and sum per class."""
+    word, vec = vectors.columns
+    known = vectors.select(F.col(word).alias("w"), F.col(vec).alias("x"))
+    sims = vector_matches(known.join(toks.select("w").distinct(), "w"), known.join(pw.select("w").distinct(), "w"), t) \
+        .filter(F.col("sim") > 0)
+    best = toks.join(sims, F.col("w") == F.col("l")).groupBy("doc", "r").agg(F.max("sim").alias("m"))
+    n_words = pw.groupBy("cls", "phrase").agg(F.count(F.lit(1)).alias("nw"))
+    ph = best.join(pw.withColumnRenamed("w", "r"), "r").groupBy("doc", "cls", "phrase").agg(F.sum("m").alias("s")) \
+        .join(n_words, ["cls", "phrase"]).withColumn("top", F.col("s") / F.col("nw"))
+    return ph.select("doc", "cls", "top", F.col("top").alias("total"))
+
+
+def _phrases_by_bigrams(toks: DataFrame, pw: DataFrame, t: float) -> DataFrame:
+    """(doc, cls, top, total), a row per text, class and block of phrases.
+
+    Blocks of texts meet blocks of whole phrases: one matrix product gives the
+    similarities of their words; maxima over each text's words and means over each
+    phrase's are taken in the task, ``TOKENS_AT_ONCE`` words of texts at a time."""
+    texts = cut_lineage(toks.groupBy("doc").agg(F.collect_set("w").alias("words")))
+    whole = cut_lineage(pw.groupBy("cls", "phrase").agg(F.collect_list("w").alias("words")))
+    from pyspark.sql.pandas.types import to_arrow_schema
+    out = T._parse_datatype_string(f"doc {texts.schema['doc'].dataType.simpleString()}, "
+                                   f"cls {whole.schema['cls'].dataType.simpleString()}, top double, total double")
+    schema = to_arrow_schema(out)
+
+    def score(a, b):
+        import numpy as np
+        import pyarrow as pa
+        if not a.num_rows or not b.num_rows:
+            return schema.empty_table()
+        b = b.sort_by("cls")
+        phrase_words = b.column("words").to_pylist()
+        dictionary, to = np.unique(np.array([w for p in phrase_words for w in p], object), return_inverse=True)
+        dictionary = list(dictionary)
+        width = np.array([len(p) for p in phrase_words])
+        tokens = a.column("words").to_pylist()
+        size = np.array([len(x) for x in tokens])
+        flat, owner = [w for x in tokens for w in x], np.repeat(np.arange(len(size)), size)
+        best = np.zeros((len(size), len(dictionary)))
+        for lo in range(0, len(flat), TOKENS_AT_ONCE):
+            some, at = np.unique(np.array(flat[lo:lo + TOKENS_AT_ONCE], object), return_inverse=True)
+            i, j, sim = blocks.jaccard_above(list(some), dictionary, t)
+            n = np.bincount(i, minlength=len(some))
+            begin = np.cumsum(n) - n
+            # each place of a word takes the word's matches
+            times = n[at]
+            pick = np.repeat(begin[at] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            np.maximum.at(best, (np.repeat(owner[lo:lo + TOKENS_AT_ONCE], times), j[pick]), sim[pick])
+        phrase_score = np.add.reduceat(best[:, to], np.cumsum(width) - width, axis=1) / width
+        cls = b.column("cls").to_pylist()
+        start = [i for i in range(len(cls)) if i == 0 or cls[i] != cls[i - 1]]
+        top, total = np.maximum.reduceat(phrase_score, start, axis=1), np.add.reduceat(phrase_score, start, axis=1)
+        i, j = np.nonzero(top)
+        columns = a.column("doc").take(pa.array(i)), b.column("cls").take(pa.array(np.array(start)[j])), top[i, j], total[i, j]
+        return pa.table([pa.chunked_array([c]) if isinstance(c, np.ndarray) else c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return blocks.met(texts, whole, ["doc"], ["cls", "phrase"], TEXT_BLOCK, PHRASE_BLOCK).applyInArrow(score, out)
 
 
 # ------------------------------------------------------------------ C06
@@ -455,20 +423,22 @@ def extract_term(docs: DataFrame, doc_key: str, tokens: Column, terms: DataFrame
                  term_pos: str) -> DataFrame:
     """First dictionary term found on token boundaries: (doc_key, term).
 
-    Token n-grams of every length the dictionary has (read from it, one scalar
-    subquery) are exploded once with their start position and equi-joined to
-    the dictionary; the match with the smallest start (then longest, then
-    dictionary position) wins — what a leftmost regex alternation over the terms returns."""
-    d = terms.select(F.col(term).alias("_gram"), F.col(term_pos).alias("_tp"), F.col(term).alias(term))
-    lengths = d.agg(F.collect_set(F.size(F.split("_gram", " ", -1)))).scalar()
-    t = docs.select(doc_key, tokens.alias("_t")).withColumn("_len", lengths)
-    grams = F.flatten(F.transform("_len", lambda n: F.transform(
-        F.filter(F.sequence(F.lit(0), F.size("_t")), lambda i: i + n <= F.size("_t")),
-        lambda i: F.struct(i.alias("s"), F.array_join(F.slice("_t", i + 1, n), " ").alias("g")))))
-    g = t.select(doc_key, F.explode(grams).alias("_x")).select(
-        doc_key, F.col("_x.s").alias("_start"), F.col("_x.g").alias("_gram"))
-    m = g.join(bounded_broadcast(d, DICT_BROADCAST_BYTES), "_gram")
+    Each token meets the terms that begin with it (an equi-join); only there the
+    term's own number of tokens is put together and compared.  The match with the
+    smallest start (then longest, then dictionary position) wins — what a
+    leftmost regex alternation over the terms returns."""
+    parts = F.split("_gram", " ", -1)
+    d = terms.select(F.col(term).alias("_gram"), F.col(term_pos).alias("_tp")).select(
+        "_gram", "_tp", F.get(parts, F.lit(0)).alias("_first"), F.size(parts).alias("_n"))
+    more = d.agg(F.coalesce(F.max("_n") - 1, F.lit(0))).scalar()  # tokens that may follow a first one
+    t = docs.select(doc_key, tokens.alias("_t")).withColumn("_more", more)
+    each = t.select(doc_key, "_t", "_more", F.posexplode("_t").alias("_start", "_first")) \
+        .select(doc_key, "_start", "_first", F.slice("_t", F.col("_start") + 2, F.col("_more")).alias("_next"))
+    # a join on the size the optimizer guesses could broadcast the texts
+    d = F.broadcast(d) if fits_broadcast(d, DICT_BROADCAST_BYTES) else d.hint("merge")
+    spelt = F.array_join(F.concat(F.array("_first"), F.slice("_next", F.lit(1), F.col("_n") - 1)), " ")
+    m = each.join(d, "_first").filter((F.col("_n") == 1) | (spelt == F.col("_gram")))
     # leftmost match; at one start the longest term (a named-list regex
     # prefers it), then dictionary position
-    order = F.struct("_start", -F.length(F.col(term)), "_tp")
-    return m.groupBy(doc_key).agg(F.min_by(F.col(term), order).alias(term))
+    order = F.struct("_start", -F.length("_gram"), "_tp")
+    return m.groupBy(doc_key).agg(F.min_by(F.col("_gram"), order).alias(term))

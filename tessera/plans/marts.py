@@ -414,7 +414,8 @@ def social_features(posts: DataFrame, props: DataFrame, model_terms: DataFrame,
                 .otherwise(F.col("term")).alias("part_name"),
                 F.when(F.col("part_name_category").isNull(), F.lit(None).cast("string"))
                 .otherwise(F.col("part_name_type")).alias("part_name_type"), "part_name_category")
-    fuel_terms = p.sparkSession.createDataFrame([(f, i) for i, f in enumerate(FUEL_NAMES)], "term string, tpos int")
+    names = F.array(*map(F.lit, FUEL_NAMES))
+    fuel_terms = p.sparkSession.range(len(FUEL_NAMES)).select(F.get(names, F.col("id").cast("int")).alias("term"), F.col("id").alias("tpos"))
     fu = TX.extract_term(p, "post_id", F.col("tokens"), fuel_terms, "term", "tpos") \
         .withColumnRenamed("term", "fuel_type")
     p = p.join(m, "post_id", "left").join(pt, "post_id", "left").join(fu, "post_id", "left")
