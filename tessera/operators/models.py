@@ -162,7 +162,7 @@ def solve_key(i, j, s) -> tuple[float, dict[int, float], float, int]:
     return float(coef[at]), weights, float(1 - sse / sst) if sst > 0 else float("nan"), int(round(n))
 
 
-def fit_sparse(df: DataFrame, keys, vector: str, label: str, algo: str = "lr", tol: float = 1e-12, rounds: int = 500) -> DataFrame:
+def fit_sparse(df: DataFrame, keys, vector: str, label: str, algo: str = "lr", tol: float = 1e-15, rounds: int = 500) -> DataFrame:
     """Per-key ordinary least squares on sparse vectors, in rows: (keys, algoname,
     i, weight, r2, n_train), a row per feature number; number -1 is the constant.
 

@@ -372,3 +372,29 @@ def z14_maintained_loads(spark, sf):
                 part="month", key="message", as_of=day,
                 changes_on=F.when(F.col("message").isNotNull(), F.add_months("created", 12)))
     return spark.table(name).select("id", F.md5("message").alias("message_md5"), "processed_text", "created", "sentiment")
+
+
+@query("S09_Z15_K04_changed_files", sql="""
+SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 1 THEN upper(s_name) || '!' ELSE s_name END AS s_name,
+       CASE WHEN s_suppkey % 4 = 1 THEN -s_acctbal ELSE s_acctbal END AS s_acctbal FROM supplier""")
+def s09_z15_changed(spark, sf):
+    """Suppliers arrive in four files, the last after the first run, when one of
+    the others is replaced by a new one.  Each run takes new and changed files only, runs without any change nothing."""
+    s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    source, target, name = scratch(spark, "arrivals"), scratch(spark, "curated_files"), f"tessera_curated_{uuid.uuid4().hex[:12]}"
+    schema = "s_suppkey bigint, s_name string, s_acctbal double"
+
+    def put(part: int, rows):
+        rows.where(F.col("s_suppkey") % 4 == part).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{source}/part={part}")
+
+    def run():
+        return SR.ingest_changed(spark, source, target, name, schema, glob="*.csv", header=True)
+    for part in range(3):
+        put(part, s)
+    first = run(), run()
+    put(3, s)
+    put(1, s.withColumns({"s_name": F.concat(F.upper("s_name"), F.lit("!")), "s_acctbal": -F.col("s_acctbal")}))
+    second = run(), run()
+    if first[1] or second[1]:
+        raise RuntimeError("a run without changes took files")
+    return SR.read_curated(spark, name, present_in=source)

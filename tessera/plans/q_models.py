@@ -408,3 +408,56 @@ def e13(spark, sf):
     a = SR.algorithms_by_key(r, m, "mapping").agg(F.struct(
         F.count_distinct("mapping").alias("n"), F.count_if(F.array_contains("algorithms", "lr")).alias("lr"))).scalar()
     return MO.check_mapping(m, ALGORITHMS, ALGORITHMS).withColumns({"regions": a.getField("n"), "with_lr": a.getField("lr")})
+
+
+@query("E08_wide_least_squares", sql="""
+SELECT l_orderkey, l_linenumber, r_name AS region,
+       round(ln(avg(l_extendedprice) OVER (PARTITION BY r_name, l_suppkey)), 6) AS log_pred
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def e08_wide(spark, sf):
+    """Least squares on a category per supplier, a model per region, by conjugate
+    gradients; the closed form of one category is its mean."""
+    li, o, c, n, r = (table(spark, sf, t) for t in ("lineitem", "orders", "customer", "nation", "region"))
+    f = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(c, o["o_custkey"] == c["c_custkey"]) \
+        .join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"]) \
+        .select("l_orderkey", "l_linenumber", F.col("r_name").alias("region"), "l_suppkey", "l_extendedprice")
+    f = MO.sparse_one_hot(f, ["l_suppkey"], out="vector")
+    pred = MO.predict_sparse(f, MO.fit_sparse(f, ["region"], "vector", "l_extendedprice"), ["region"], "vector")
+    return pred.select("l_orderkey", "l_linenumber", "region", F.round(F.log("pred"), 6).alias("log_pred"))
+
+
+@query("E09_deep_trees", sql=f"""
+WITH {FEATURES_SQL.strip()},
+f AS (SELECT *, region AS mapping, (qty > 25)::INT AS large, (l_returnflag = 'R')::INT AS returned, {_SPLIT_SQL} AS test FROM feat)
+SELECT l_orderkey, l_linenumber, mapping, round(m.y, 6) AS pred
+FROM f JOIN (SELECT mapping, large, returned, avg(part_probability) AS y FROM f WHERE NOT test GROUP BY ALL) m USING (mapping, large, returned)""")
+def e09_deep(spark, sf):
+    """Trees of depth two on two flags, a model per region: at full rate one tree
+    parts all four cases, so the score is their mean."""
+    f = features(spark, sf).drop("is_test").withColumns({
+        "mapping": F.col("region"), "large": (F.col("qty") > 25).cast("int"), "returned": (F.col("l_returnflag") == "R").cast("int")})
+    f = MO.split(f, ["l_orderkey", "l_linenumber"])
+    models = MO.fit_trees(f.filter(~F.col("is_test")), ["mapping"], ["large", "returned"], "part_probability", rounds=1, rate=1.0, depth=2)
+    return MO.predict_trees(f, models, ["mapping"], ["large", "returned"]).select(
+        "l_orderkey", "l_linenumber", "mapping", F.round("pred", 6).alias("pred"))
+
+
+@query("E10_registered_algorithms", sql=f"""
+WITH {_RUN_SQL.strip()},
+every AS (SELECT * FROM models UNION ALL
+          SELECT pk, mapping, 'median', median(y), 0.0 FROM f WHERE NOT is_test GROUP BY pk, mapping)
+SELECT l_orderkey, l_linenumber, pk, mapping, algoname, round(intercept + slope * x, 6) AS pred
+FROM f JOIN every USING (pk, mapping) WHERE is_test""")
+def e10_registered(spark, sf):
+    """Three registered algorithms trained per key, models stored as binary rows
+    and read back, held-out rows scored by co-grouped batches."""
+    from tessera.operators import algorithms as AL
+    f = MO.with_keys(features(spark, sf).drop("is_test"), "part_name", "region")
+    f = MO.split(MO.minmax(f, "qty", out="qty_scaled"), ["l_orderkey", "l_linenumber"])
+    models = AL.fit_registered(f.filter(~F.col("is_test")), KEYS, ["qty_scaled"], "part_probability", ["lr", "mean", "median"])
+    path = scratch(spark, "plugged_models")
+    K.write_keyed(models, path, ("mapping", "algoname"))
+    stored = MO.load_models(spark, path)
+    out = AL.predict_registered(f.filter("is_test"), stored, KEYS, ["qty_scaled"], ["l_orderkey", "l_linenumber"])
+    return out.select("l_orderkey", "l_linenumber", *KEYS, "algoname", F.round("pred", 6).alias("pred"))

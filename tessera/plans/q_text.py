@@ -128,10 +128,12 @@ voc AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{ALNUM_SQL}')) A
 kw AS (SELECT DISTINCT v FROM (SELECT unnest(regexp_extract_all(lower(text), '{ALNUM_SQL}')) AS v FROM benchmark)
         WHERE length(v) > 2 AND v NOT IN ({STOP_SQL})),
 unk AS (SELECT w FROM w WHERE w NOT IN (SELECT v FROM voc)),
-bw AS (SELECT w, unnest({_bigrams_sql('w')}) AS bg, len({_bigrams_sql('w')}) AS nb FROM unk),
-bv AS (SELECT v, unnest({_bigrams_sql('v')}) AS bg, len({_bigrams_sql('v')}) AS nb FROM voc),
-shared AS (SELECT w, v, 1 - count(*) / (bw.nb + bv.nb - count(*)) AS dist
-           FROM bw JOIN bv ON bw.bg = bv.bg AND substr(w, 1, 1) = substr(v, 1, 1) GROUP BY w, v, bw.nb, bv.nb),
+gw AS MATERIALIZED (SELECT w, substr(w, 1, 1) AS letter, {_bigrams_sql('w')} AS g FROM unk),
+gv AS MATERIALIZED (SELECT v, substr(v, 1, 1) AS letter, {_bigrams_sql('v')} AS g FROM voc),
+bw AS MATERIALIZED (SELECT w, letter, unnest(g) AS bg, len(g) AS nb FROM gw),
+bv AS MATERIALIZED (SELECT v, letter, unnest(g) AS bg, len(g) AS nb FROM gv),
+shared AS (SELECT w, v, 1 - count(*) / (any_value(bw.nb) + any_value(bv.nb) - count(*)) AS dist
+           FROM bw JOIN bv USING (letter, bg) GROUP BY w, v),
 heads AS (SELECT v, substr(v, 1, 1) AS letter FROM voc
           QUALIFY row_number() OVER (PARTITION BY substr(v, 1, 1) ORDER BY v) <= 10),
 fill AS (SELECT w, heads.v, 1.0 AS dist FROM unk JOIN heads ON letter = substr(w, 1, 1)
@@ -360,3 +362,66 @@ pd AS (SELECT p_name AS label, min(p_partkey) AS part_number, string_split(lower
        FROM part GROUP BY p_name)"""
 
 KEYWORD_DICT_SQL = _KW_SQL.strip()
+
+
+# ------------------------------------------------------------------ C08 encoder hook
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _encoded_sql(name: str, rel: str, key: str, dim: int = 64) -> str:
+    return f"""{name}_w AS (SELECT {key}, unnest(regexp_extract_all({_LOWER}, '[a-z0-9]+')) AS w FROM {rel}),
+{name}_c AS (SELECT {key}, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % {dim} AS k, count(*) AS n FROM {name}_w GROUP BY ALL),
+{name}_n AS (SELECT {key}, sqrt(sum(n * n)) AS len FROM {name}_c GROUP BY ALL)"""
+
+
+@query("C08_encoder_hook", sql=f"""
+WITH {_encoded_sql("t", "conversations", "conv_id, turn")},
+{_encoded_sql("l", "benchmark", "item_id")},
+dot AS (SELECT conv_id, turn, item_id, sum(t_c.n * l_c.n) AS d FROM t_c JOIN l_c USING (k) GROUP BY ALL),
+cs AS (SELECT conv_id, turn, item_id, round(d / (t_n.len * l_n.len), 9) AS cos FROM dot JOIN t_n USING (conv_id, turn) JOIN l_n USING (item_id))
+SELECT conv_id, turn, item_id, round(cos, 6) AS cos FROM cs
+QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY cos DESC, item_id) = 1""")
+def c08_encoder(spark, sf):
+    """Messages and label texts encoded by a registered encoder; the label of the largest cosine."""
+    from tessera.operators.encoders import encode
+    m = encode(table(spark, sf, "conversations").select("conv_id", "turn", "text"), "text")
+    m = m.select(F.struct("conv_id", "turn").alias("m"), "vector")
+    labels = encode(table(spark, sf, "benchmark").select("item_id", "text"), "text").select("item_id", F.col("vector").alias("centroid"))
+    cs = TX.embed_cosine(m, "m", "vector", labels, "item_id").withColumn("cos", F.round("cos", 9)).filter("cos > 0")
+    best = cs.groupBy("m").agg(F.min_by(F.struct("item_id", "cos"), F.struct(-F.col("cos"), F.col("item_id"))).alias("b"))
+    return best.select("m.conv_id", "m.turn", "b.item_id", F.round("b.cos", 6).alias("cos"))
+
+
+# ------------------------------------------------------------------ C04 with word vectors
+
+@query("C04_vector_phrases", sql=f"""
+WITH {_PHRASES_SQL.strip()},
+e AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS place, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings WHERE embedding IS NOT NULL),
+size AS (SELECT count(*) AS n FROM e),
+toks AS (SELECT DISTINCT conv_id, turn, unnest(regexp_extract_all(lower(text), '{ALNUM_SQL}')) AS w FROM conversations),
+tok AS (SELECT *, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % (SELECT n FROM size) AS place FROM toks WHERE length(w) > 2 AND w NOT IN ({STOP_SQL})),
+pw AS (SELECT *, CAST('0x' || substr(md5(pword), 1, 8) AS BIGINT) % (SELECT n FROM size) AS place FROM pw0
+       WHERE length(pword) > 2 AND pword NOT IN ({STOP_SQL})),
+nw AS (SELECT cls, phrase, count(*) AS nw FROM pw GROUP BY ALL),
+sim AS (SELECT a.place AS ta, b.place AS pa, list_cosine_similarity(a.x, b.x) AS sim
+        FROM e a JOIN (SELECT DISTINCT place FROM tok) USING (place), e b JOIN (SELECT DISTINCT place FROM pw) p ON p.place = b.place),
+best AS (SELECT conv_id, turn, pw_at.place, max(sim) AS m FROM tok JOIN sim ON sim.ta = tok.place JOIN (SELECT DISTINCT place FROM pw) pw_at ON pw_at.place = sim.pa
+         WHERE sim >= 0.35 GROUP BY ALL),
+ph AS (SELECT conv_id, turn, cls, phrase, sum(m) AS s FROM best JOIN pw USING (place) GROUP BY ALL),
+agg AS (SELECT conv_id, turn, cls, max(s / nw) AS mx, sum(s / nw) AS sm FROM ph JOIN nw USING (cls, phrase) GROUP BY ALL)
+SELECT conv_id, turn, cls, round(mx, 6) AS max_score, round(sm / n, 6) AS mean_score FROM agg JOIN np USING (cls)""")
+def c04_vectors(spark, sf):
+    """Phrase scores of messages by word vectors: a word's vector is the row of
+    ``embeddings`` that its MD5 picks."""
+    from tessera.operators.projections import global_index
+    c = table(spark, sf, "conversations")
+    toks = c.select(F.struct("conv_id", "turn").alias("m"), F.explode(alnum_tokens("text")).alias("token"))
+    pw, n = class_phrases(spark, sf)
+    e = global_index(table(spark, sf, "embeddings").filter(F.col("embedding").isNotNull()).select("vec_id", "embedding"), ["vec_id"])
+    size = e.agg(F.count(F.lit(1))).scalar()
+    words = toks.select(F.col("token").alias("word")).unionByName(pw.select(F.col("pword").alias("word"))).distinct()
+    place = F.pmod(F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint"), size)
+    vectors = words.withColumn("_at", place).join(e, F.col("_at") == F.col("_idx")).select("word", "embedding")
+    out = TX.phrase_scores(toks, "m", "token", pw, "cls", "phrase", "pword", n, vectors=vectors)
+    return out.select("m.conv_id", "m.turn", "cls", F.round("max_score", 6).alias("max_score"), F.round("mean_score", 6).alias("mean_score"))

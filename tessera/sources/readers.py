@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 __all__ = ["read_query", "read_run", "read_csv", "read_many", "read_json_lines",
-           "read_snapshot", "read_projected", "read_recent", "ingest", "read_run_tables",
+           "read_snapshot", "read_projected", "read_recent", "ingest", "ingest_changed", "read_curated", "read_run_tables",
            "read_mapping", "algorithms_by_key", "MAPPING_SCHEMA", "RUN_RECORD_SCHEMA", "inference_algorithms"]
 
 
@@ -146,6 +146,56 @@ def ingest(spark: SparkSession, config_rows, target_root: str) -> list[str]:
     return written
 
 
+def ingest_changed(spark: SparkSession, source: str, target: str, table: str, schema: T.StructType | str, fmt: str = "csv",
+                   glob: str | None = None, max_files: int = 10_000, **opts) -> int:
+    """Incremental copy of a folder of files into a catalogued table; returns the
+    number of files taken.
+
+    A file is new if its path, and changed if its modification time, is not in the
+    table yet (a listing without contents, less a scan of two narrow columns).  New
+    and changed files become batches of ``max_files`` at most, in order of time; a batch's
+    rows lie under ``batch_id``, with their ``source_file`` and its time.  A batch that
+    failed has no rows in the catalog and is taken again under its number, in place of what it left.
+    :func:`read_curated` gives a file's latest rows only.  Rows of files that went stay.
+    """
+    from tessera.sinks.writers import write_catalogued
+    taken = 0
+    while True:
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        files = (listing.option("pathGlobFilter", glob) if glob else listing).load(source).select(
+            F.col("path").alias("source_file"), F.col("modificationTime").alias("modified"))
+        batch = 0
+        if spark.catalog.tableExists(table):
+            known = spark.table(table)
+            files = files.join(known.select("source_file", "modified").distinct(), ["source_file", "modified"], "left_anti")
+            batch = (known.agg(F.max(F.col("batch_id").cast("bigint"))).first()[0] or 0) + 1
+        paths = [r.source_file for r in files.orderBy("modified", "source_file").limit(max_files).collect()]
+        if not paths:
+            return taken
+        rows = spark.read.format(fmt).schema(schema).options(**opts).load(paths)
+        rows = rows.select("*", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("modified"),
+                           F.lit(batch).cast("bigint").alias("batch_id"))
+        write_catalogued(rows, target, table, keys=("batch_id",))
+        if spark.table(table).where(F.col("batch_id") == batch).isEmpty():
+            return taken  # files without rows leave no trace and would be listed again
+        taken += len(paths)
+
+
+def read_curated(spark: SparkSession, table: str, history: bool = False, present_in: str | None = None) -> DataFrame:
+    """Rows of an :func:`ingest_changed` table: of each file those it was last
+    ingested with (with ``history`` all), without the bookkeeping columns.
+    ``present_in`` is the source folder: rows of files that are there no more are left out."""
+    rows = spark.table(table)
+    if present_in:
+        there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(present_in)
+        rows = rows.join(there.select(F.col("path").alias("source_file")), "source_file", "left_semi")
+    if not history:
+        last = rows.groupBy("source_file").agg(F.max(F.struct("modified", "batch_id")).alias("l")) \
+            .select("source_file", F.col("l.modified").alias("modified"), F.col("l.batch_id").alias("batch_id"))
+        rows = rows.join(last, ["source_file", "modified", "batch_id"])
+    return rows.drop("source_file", "modified", "batch_id")
+
+
 RUN_RECORD_SCHEMA = T.StructType([
     T.StructField("stepjobid", T.StringType()),
     T.StructField("usecase_name", T.StringType()),

@@ -167,3 +167,87 @@ def test_hot_key_is_sampled_and_scored_in_chunks(spark):
     assert bytes(hot.model) == bytes(again.model)
     out = AL.predict_registered(df, models, ["k"], ["x"], ["id"], chunk_rows=1000)
     assert out.count() == 30_000 and out.join(df, "id").agg(F.max(F.abs(F.col("pred") - F.col("y")))).first()[0] < 1e-8
+
+
+# text encoders, word vectors --------------------------------------------------------
+
+def test_encoder_is_loaded_once_a_worker(spark, tmp_path):
+    from tessera.operators import encoders as EN
+    log = str(tmp_path / "loads")
+
+    def factory():
+        with open(log, "a") as f:
+            f.write("x\n")
+
+        def of(texts):
+            with open(log + ".n", "a") as f:
+                f.write(f"{len(texts)}\n")
+            return np.array([[len(t), t.count("a")] for t in texts])
+        return of
+    EN.register_encoder("lengths", factory)
+    try:
+        data = [(i, "aab" if i % 2 else f"t{i % 10}") for i in range(2000)] + [(9000, None), (9001, "")]
+        out = EN.encode(spark.createDataFrame(data, "id long, t string").repartition(12), "t", "lengths")
+        got = {r.id: r.vector for r in out.collect()}
+    finally:
+        del EN.ENCODERS["lengths"]
+    assert got[1] == [3.0, 2.0] and got[9000] is None and got[9001] == [0.0, 0.0] and len(got) == 2002
+    workers = len(open(log).readlines())
+    assert workers < 12 or workers <= spark.sparkContext.defaultParallelism
+    assert sum(map(int, open(log + ".n").readlines())) <= 8 * workers  # seven different texts
+
+
+def test_hashed_words():
+    from tessera.operators.encoders import hashed_words
+    import hashlib
+    v = hashed_words(32)(["Two two three!", "", "éé"])
+    k2, k3 = (int(hashlib.md5(w).hexdigest()[:8], 16) % 32 for w in (b"two", b"three"))
+    assert v[0, k2] == pytest.approx(2 / 5 ** 0.5) and v[0, k3] == pytest.approx(1 / 5 ** 0.5) and not v[1:].any()
+
+
+def test_vector_matches_brute_force(spark):
+    from tessera.operators import text as TX
+    rng = np.random.default_rng(6)
+    a = [(f"a{i}", rng.normal(size=4).tolist()) for i in range(90)] + [("none", None), ("zero", [0.0] * 4), ("nan", [float("nan")] * 4), ("short", [1.0, 2.0]), ("hole", [1.0, None, 1.0, 1.0])]
+    b = [(f"b{i}", rng.normal(size=4).tolist()) for i in range(40)] + [("short", [2.0, 4.0])]
+    left, right = (spark.createDataFrame(x, "w string, v array<double>") for x in (a, b))
+    want = {}
+    for w, x in a:
+        for u, y in b:
+            if x and len(x) == len(y) and None not in x and np.isfinite(x).all() and any(x):
+                c = float(np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y))
+                if c >= 0.35:
+                    want[w, u] = pytest.approx(c)
+    got = {(r.l, r.r): r.sim for r in TX.vector_matches(left, right, 0.35).collect()}
+    assert got == want and ("short", "short") in got and len(got) > 200
+
+
+def test_phrase_scores_in_small_blocks(spark, monkeypatch):
+    from tessera.operators import text as TX
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdef"), int(rng.integers(3, 8)))) for _ in range(60)]
+    toks = [(int(rng.integers(30)), words[int(rng.integers(60))]) for _ in range(900)] + [(99, "zzzz"), (98, "ab")]
+    phrases = [(c, f"p{p}", words[int(rng.integers(60))]) for c in range(3) for p in range(5) for _ in range(int(rng.integers(1, 4)))]
+    t = spark.createDataFrame(toks, "d long, w string")
+    p = spark.createDataFrame(phrases, "c int, p string, w string")
+    n = spark.createDataFrame([(c, 7) for c in range(3)], "c int, n long")
+
+    def sim(a, b):
+        x, y = ({w[i:i + 2] for i in range(len(w) - 1)} for w in (a, b))
+        return len(x & y) / len(x | y)
+    want = {}
+    for d in {d for d, _ in toks}:
+        own = {w for k, w in toks if k == d and len(w) > 2}
+        for c in range(3):
+            scores = []
+            for ph in {x for k, x, _ in phrases if k == c}:
+                pw = [w for k, x, w in phrases if k == c and x == ph]
+                best = [max([s for s in (sim(w, o) for o in own) if s >= 0.35], default=0.0) for w in pw]
+                scores.append(sum(best) / len(pw))
+            if any(scores):
+                want[d, c] = (pytest.approx(max(scores)), pytest.approx(sum(scores) / 7))
+    for size in (4, 10_000):
+        for knob in ("TEXT_BLOCK", "PHRASE_BLOCK", "TOKENS_AT_ONCE"):
+            monkeypatch.setattr(TX, knob, size)
+        out = TX.phrase_scores(t, "d", "w", p, "c", "p", "w", n, stop_words=[])
+        assert {(r.d, r.c): (r.max_score, r.mean_score) for r in out.collect()} == want

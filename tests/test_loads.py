@@ -290,3 +290,36 @@ def test_ffill_without_a_bucket(spark):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan.split("Subquery")[0]
     assert W.ffill(df.limit(0), "v", "o").count() == 0
+
+
+def test_changed_files_replace_their_rows(spark, tmp_path):
+    src, table, target = tmp_path / "in" / "deep", name(), str(tmp_path / "out")
+    os.makedirs(src)
+
+    def put(file, text, age):
+        (src / file).write_text(text)
+        os.utime(src / file, (1_700_000_000 + age, 1_700_000_000 + age))
+
+    def run(**more):
+        return SR.ingest_changed(spark, str(tmp_path / "in"), target, table, "k int, s string", glob="*.csv", header=True, **more)
+
+    def now():
+        return rows(SR.read_curated(spark, table), "k", "s")
+    assert run() == 0
+    put("a.csv", "k,s\n1,x\n2,y\n", 0)
+    put("b.csv", "k,s\n3,z\n", 1)
+    put("c.txt", "k,s\n9,no\n", 2)
+    assert run() == 2 and now() == [(1, "x"), (2, "y"), (3, "z")] and run() == 0
+    put("a.csv", "k,s\n1,X\n", 50)  # changed
+    put("d.csv", "k,s\n3,z\n", -500)  # new, but older than all, with equal rows
+    assert run(max_files=1) == 2 and now() == [(1, "X"), (3, "z"), (3, "z")] and run() == 0
+    # a batch broken off before the catalog knew it: files lie there, the next run takes its number
+    spark.range(3).selectExpr("7 k", "'left' s", "'f' source_file", "now() modified").write.parquet(f"{target}/batch_id=3")
+    put("e.csv", "k,s\n5,e\n", 60)
+    assert run() == 1 and now() == [(1, "X"), (3, "z"), (3, "z"), (5, "e")]
+    assert rows(SR.read_curated(spark, table, history=True), "k", "s").count((2, "y")) == 1
+    os.remove(src / "b.csv")
+    assert (3, "z") in rows(SR.read_curated(spark, table, present_in=str(tmp_path / "in")), "k", "s")
+    assert len(rows(SR.read_curated(spark, table, present_in=str(tmp_path / "in")), "k", "s")) == 3
+    put("empty.csv", "k,s\n", 70)
+    assert run() == 0
