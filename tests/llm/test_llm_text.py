@@ -258,3 +258,49 @@ def test_extract_matches_articles(spark):
         article = r.html.split("<article>")[1].split("</article>")[0]
         want = [" ".join(entities.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", article)]
         assert got[r.page_id] == "\n\n".join(x for x in want if x)
+
+
+def test_html_elements_that_hold_no_raw_text():
+    assert texts_in("<p>a<select><option>b<p>c") == ["a", "c"] and texts_in("<p>a<object>x</object>b<canvas>y") == ["a", "b"]
+    assert texts_in("<p>a<svg><svg>b</svg>c</svg>d") == ["a", "d"]
+    assert texts_in("<p>a<script src=a.js/>code</script>b") == ["ab"] and texts_in("<style>x<p>y") == []
+    assert texts_in("a < b <c>d") == ["a < b d"] and texts_in('<p title="x">y<p title="z>w') == ["y", "w"]
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<div class="content share-price"><p>Long story here</p></div><div class="ad">x</div>', ["Long story here"]),
+    ('<div class="post" id="ad-hoc-query">Story</div>', ["Story"]), ('<div class="search-results">a</div>', ["a"]),
+    ("<form><p>The whole page</p><p>is inside</p></form>", ["The whole page", "is inside"]),
+    ('<p>Story of some length</p><div class="share">Share</div>', ["Story of some length"])])
+def test_html_names_are_no_noise_around_most_of_the_page(page, want):
+    assert texts_in(page) == want
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 160_000, "<b>x" * 250_000, "<a b='" * 160_000, "<a b='>" * 140_000 + '"',
+                                  "<ul><li>x" * 100_000, "<x><article>" + "<b>" * 100_000 + "</x>" * 100_000, "<!--" * 200_000, "<p><" * 200_000])
+def test_html_hostile_pages_take_linear_time(page):
+    import time
+    from tessera.llm.op06_html import all_blocks
+    best = []
+    for part in (page[:len(page) // 8], page):
+        t = time.process_time()
+        all_blocks(part)
+        best.append(time.process_time() - t)
+    assert best[1] < 40 * max(best[0], 0.02) and best[1] < 8
+
+
+def test_site_style_tree_finds_the_article_without_names(spark):
+    """The pages of sf0.1 without article elements and classes: on hosts of many
+    pages entropies leave out what menus, adverts and footers draw from few texts."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html")
+    host = F.regexp_extract("url", "//([^/?#]*)", 1)
+    many = pages.groupBy(host.alias("h")).count().where("count >= 45")
+    rows = {r.page_id: r.html for r in pages.join(many, host == F.col("h")).collect()}
+    bare = F.regexp_replace(F.regexp_replace("html", r'</?article>| class="[^"]*"', ""), "<(/?)(nav|footer)>", "<$1div>")
+    got = {r.page_id: r.text for r in extract(pages.withColumn("html", bare)).collect()}
+    right = 0
+    for k, h in rows.items():
+        article = h.split("<article>")[1].split("</article>")[0]
+        want = [" ".join(entities.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", article)]
+        right += got[k] == "\n\n".join(x for x in want if x)
+    assert len(rows) > 1000 and right >= 0.95 * len(rows)
