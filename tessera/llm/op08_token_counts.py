@@ -78,11 +78,45 @@ def document_lengths(blocks: DataFrame, end_id: int, width: int = 2) -> DataFram
     return closed.unionByName(inner).unionByName(open_end)
 
 
-def read_token_files(spark: SparkSession, path: str, width: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks (file, path, block, data) of raw token files; ``file`` is a hash of the
-    path.  Files are read by Spark's binary source, each up to 2 GB."""
+def _open_file(path: str):
+    """A file that any machine of the cluster can open (file, hdfs, s3, gs ...), for reading anywhere."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+    if path.startswith(("file:", "/")):
+        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    store, at = fs.FileSystem.from_uri(quote(path, safe="/:@%"))
+    return store.open_input_file(at)
+
+
+def read_token_files(spark: SparkSession, path: str, width: int = 2, block_tokens: int = BLOCK_TOKENS,
+                     by_range: bool = True) -> DataFrame:
+    """Blocks (file, path, block, data) of raw token files; ``file`` is a hash of the path.
+
+    Files of any size: Spark lists them with their lengths, a row is made for each
+    byte range, and the task that gets the row reads that range.  Stores that only Spark
+    can open need ``by_range=False``: then a file is one row of Spark's binary source, up to 2 GB."""
     size = block_tokens * width
-    raw = spark.read.format("binaryFile").load(path).select("path", "content")
+    listed = spark.read.format("binaryFile").load(path)
+    if by_range:
+        n = F.ceil(F.col("length") / size).cast("long")
+        ranges = listed.select("path", "length").where("length > 0").select(
+            "path", "length", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("block"))
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ranges = ranges.repartition(tasks, "path", F.floor(F.col("block") / 64)).sortWithinPartitions("path", "block")
+
+        def read(batches):
+            import pyarrow as pa
+            name, f = None, None
+            for b in batches:
+                for p, length, block in zip(*(b.column(i).to_pylist() for i in range(3))):
+                    if p != name:
+                        name, f = p, _open_file(p)
+                    data = f.read_at(min(size, length - block * size), block * size)
+                    yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([block], pa.int64()), pa.array([data], pa.binary())],
+                                                     names=["path", "block", "data"])
+
+        return ranges.mapInArrow(read, "path string, block long, data binary").withColumn("file", F.xxhash64("path"))
 
     def cut(batches):
         import pyarrow as pa
@@ -95,7 +129,7 @@ def read_token_files(spark: SparkSession, path: str, width: int = 2, block_token
                          pa.array([data.slice(i * size, min(size, len(data) - i * size)).to_pybytes()], pa.binary())],
                         names=["path", "block", "data"])
 
-    return raw.mapInArrow(cut, "path string, block long, data binary").withColumn("file", F.xxhash64("path"))
+    return listed.select("path", "content").mapInArrow(cut, "path string, block long, data binary").withColumn("file", F.xxhash64("path"))
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text",

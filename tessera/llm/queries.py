@@ -61,7 +61,8 @@ def op5_bpe(spark, sf_dir):
 _LINKED_VECTORS = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0),
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
          ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
 reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings

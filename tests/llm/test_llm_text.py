@@ -304,3 +304,23 @@ def test_site_style_tree_finds_the_article_without_names(spark):
         want = [" ".join(entities.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", article)]
         right += got[k] == "\n\n".join(x for x in want if x)
     assert len(rows) > 1000 and right >= 0.95 * len(rows)
+
+
+def test_token_files_by_range_and_whole(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 40, 5000).astype("<u2")
+    (tmp_path / "a b.bin").write_bytes(ids.tobytes())
+    (tmp_path / "empty.bin").write_bytes(b"")
+    (tmp_path / "odd.bin").write_bytes(ids[:3].tobytes())
+    for block in (7, 1000, 10_000):
+        one, two = ({(r.path, r.block): bytes(r.data) for r in read_token_files(spark, str(tmp_path), 2, block, by).collect()} for by in (True, False))
+        assert one == two and b"".join(v for k, v in sorted(one.items()) if "a" in k[0].rsplit("/")[-1][:1]) == ids.tobytes()
+    # a sparse file over 2 GB: ranges of it are read alone
+    big = tmp_path / "big"
+    big.mkdir()
+    with open(big / "x.bin", "wb") as f:
+        f.truncate((1 << 31) + 12)
+        f.seek((1 << 31) + 4)
+        f.write(np.array([5, 6, 7, 0], "<u2").tobytes())
+    last = read_token_files(spark, str(big), 2, 1 << 26).where(f"block = {(1 << 31) // (1 << 27)}").collect()
+    assert [np.frombuffer(r.data, "<u2").tolist() for r in last] == [[0, 0, 5, 6, 7, 0]]
