@@ -23,7 +23,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -176,7 +176,10 @@ def _prepare(df: DataFrame, rules, groups: dict | None = None) -> DataFrame:
 def row_outcomes(df: DataFrame, rules, run: dict | None = None) -> DataFrame:
     """Per row: arrays of passed / failed row-level rules and an overall
     row result, plus run columns."""
-    p = _prepare(df, rules)
+    return _row_results(_prepare(df, rules), rules, run)
+
+
+def _row_results(p: DataFrame, rules, run: dict | None) -> DataFrame:
     rr = [r for r in rules if r.row is not None]
     passed = F.filter(F.array(*[F.when(r.row, F.lit(r.text)) for r in rr]), lambda x: x.isNotNull())
     failed = F.filter(F.array(*[F.when(~r.row, F.lit(r.text)) for r in rr]), lambda x: x.isNotNull())
@@ -246,6 +249,11 @@ def evaluate(df: DataFrame, rules, run: dict | None = None, digits: int = 6) ->
                 if kind == "distinct_ratio":
                     col = col / F.col("_rows")
             one = one.withColumn(alias, col)
+    return _outcomes(one, rules, names, run, digits)
+
+
+def _outcomes(one: DataFrame, rules, names: dict, run: dict | None, digits: int) -> DataFrame:
+    """A row per rule from the one row of metrics and counts."""
     structs = []
     for i, r in enumerate(rules):
         raw = {mname: F.col(names[(i, j)]) for j, (mname, _) in enumerate(r.metrics)}
@@ -267,6 +275,47 @@ def evaluate(df: DataFrame, rules, run: dict | None = None, digits: int = 6) ->
     return _with_run(res, run)
 
 
+def evaluate_rows(df: DataFrame, rules, path: str, run: dict | None = None, digits: int = 6) -> DataFrame:
+    """:func:`row_outcomes` written to ``path`` and :func:`evaluate` returned, from
+    one pass over the rows: the metrics are observed while the rows are written.
+
+    Besides that pass there is one map-side combined count per column that a rule
+    counts by key, and a query per custom SQL.  What reaches the driver is a number
+    per metric.  A write that fails gives no outcomes."""
+    from tessera.session import cut_lineage
+    groups = {k: cut_lineage(g) for k, g in _groups(df, rules).items()}
+    p = _prepare(df, rules, groups)
+    aggs, names, later = [F.count(F.lit(1)).alias("_rows")], {}, {}
+    for i, r in enumerate(rules):
+        for j, (_, expr) in enumerate(r.metrics):
+            names[(i, j)] = alias = f"_m{i}_{j}"
+            if expr is None or isinstance(expr, tuple):
+                later[alias] = (r, expr)
+            else:
+                aggs.append(expr.cast("double").alias(alias))
+        if r.row is not None:
+            aggs += [F.count_if(r.row).alias(f"_p{i}"), F.count_if(~r.row).alias(f"_f{i}")]
+    seen = Observation()
+    rows = _row_results(p.observe(seen, *aggs), rules, run)
+    rows.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    if spark.read.schema(rows.schema).parquet(path).isEmpty():
+        return evaluate(df, rules, run, digits)  # the observation of a plan known to be empty never ends
+    values = seen.get
+    one = spark.range(1).select(*[F.lit(values[a]).cast("bigint" if a[1] in "rpf" else "double").alias(a)
+                                  for a in ("_rows", *names.values(), *(f"_{k}{i}" for i, r in enumerate(rules) if r.row is not None for k in "pf"))
+                                  if a not in later])
+    for alias, (r, expr) in later.items():
+        if expr is None:
+            val = read_query(spark, r.custom_sql, {"primary": df})
+            one = one.withColumn(alias, val.select(F.col(val.columns[0]).cast("double")).scalar())
+        else:
+            kind, c = expr
+            distinct = groups[c].agg(F.count(c).cast("double")).scalar()
+            one = one.withColumn(alias, distinct / F.col("_rows") if kind == "distinct_ratio" else distinct)
+    return _outcomes(one, rules, names, run, digits)
+
+
 def with_overall(outcomes: DataFrame, run: dict | None = None,
                  rule_name: str = OVERALL_RULE) -> DataFrame:
     """Append one overall-status row per source: Failed if any rule failed."""

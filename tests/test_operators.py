@@ -215,3 +215,14 @@ def test_correct_words_postings_equals_join(spark):
     a = dict(TX.correct_words(wdf, "w", vdf, "v", "vp", kdf, "k").collect())
     b = dict(TX.correct_words_postings(wdf, "w", vdf, "v", "vp", kdf, "k").collect())
     assert a == b
+
+
+def test_one_pass_of_outcomes_and_metrics(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 5.0), (2, None, 50.0), (2, "c", None), (4, "d", 7.0)], "k int, t string, v double")
+    rules = [Q.is_primary_key("k"), Q.is_complete("t"), Q.values_between("v", 0, 10), Q.custom_sql("select count(*) from primary where v > 6", 0, 5)]
+    run = {"corelation_id": "r", "source": "s", "year": "2024", "month": "02", "day": "01"}
+    one = Q.evaluate_rows(df, rules, str(tmp_path / "rows"), run)
+    assert sorted(map(str, one.collect())) == sorted(map(str, Q.evaluate(df, rules, run).collect()))
+    want = Q.row_outcomes(df, rules, run)
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "rows")).select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert Q.evaluate_rows(df.limit(0), rules, str(tmp_path / "none"), run).count() == 4
