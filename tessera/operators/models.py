@@ -62,18 +62,21 @@ def category_table(df: DataFrame, cols) -> DataFrame:
     return out
 
 
-def one_hot(df: DataFrame, cols, categories: DataFrame | None = None, keep=False) -> DataFrame:
+def one_hot(df: DataFrame, cols, categories: DataFrame | None = None, keep=False, max_columns: int = 2000) -> DataFrame:
     """One-hot encode ``cols`` (originals dropped unless ``keep``), one
     integer column ``<col>_<value>`` per category.
 
     The category list is fixed by ``categories`` (from training) so scoring
     builds the same columns; unseen values get all zeros.  Columns have names,
-    so the list comes to the driver; for many categories use
-    :func:`sparse_one_hot`, which has no list.
+    so the list comes to the driver; more than ``max_columns`` of them are an
+    error: for many categories use :func:`sparse_one_hot`, which has no list.
     """
     cats = categories if categories is not None else category_table(df, cols)
     by_col: dict[str, list[str]] = {}
-    for r in cats.toLocalIterator():
+    listed = cats.limit(max_columns + 1).collect()
+    if len(listed) > max_columns:
+        raise ValueError(f"more than {max_columns} categories: use sparse_one_hot")
+    for r in listed:
         by_col.setdefault(r["column"], []).append(r["value"])
     new = {}
     for c in cols:
@@ -281,7 +284,12 @@ def store_models(models: DataFrame, path: str, folders=("mapping", "algoname"))
     write_keyed(models, path, keys=folders)
 
 
-def load_models(spark, path: str, folders=("mapping", "algoname")) -> DataFrame:
+def load_models(spark, path: str, folders=("mapping", "algoname"), from_path: bool = False) -> DataFrame:
+    """The stored table; with ``from_path`` the folders' values are cut from each
+    row's file path (for readers that got paths and no table layout)."""
+    if from_path:
+        m = spark.read.option("recursiveFileLookup", True).parquet(path)
+        return m.withColumns({k: F.url_decode(S.path_part(F.col("_metadata.file_path"), k)) for k in folders})
     m = spark.read.option("basePath", path).parquet(path)
     return m.withColumns({k: F.col(k).cast("string") for k in folders})
 

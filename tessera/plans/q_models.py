@@ -252,13 +252,13 @@ def z20(spark, sf):
 
 
 KEYS = ["pk", "mapping"]
-ALGORITHMS = ["lr", "mean"]
+ALGORITHMS = ["lr", "mean", "gbt"]
 MAPPING_DOC = {"mapping_json_data": {
     "primary_key": "part_name",
     "Training": {"mappingColumn": "region", "all_algorithms": ALGORITHMS},
     "Inference": {"mappingColumn": "region", "all_algorithms": [],
-                  "mapping": {"AFRICA": ["lr"], "AMERICA": ["lr", "mean"], "ASIA": ["mean"], "EUROPE": ["lr", "mean"],
-                              "MIDDLE EAST": ["lr"]}}}}
+                  "mapping": {"AFRICA": ["lr"], "AMERICA": ["lr", "mean", "gbt"], "ASIA": ["mean"], "EUROPE": ["lr", "mean"],
+                              "MIDDLE EAST": ["lr", "gbt"]}}}}
 
 
 def mapping_document(spark):
@@ -278,29 +278,49 @@ def run_features(spark, sf):
     mapping = mapping_document(spark)
     if not MO.check_mapping(mapping, ALGORITHMS, ALGORITHMS).first()["valid"]:
         raise ValueError("the mapping document is not valid")
-    f = MO.minmax(f, "qty", out="qty_scaled").select(*KEYS, "l_orderkey", "l_linenumber", "qty_scaled", "part_probability")
+    f = MO.one_hot(MO.minmax(f, "qty", out="qty_scaled"), ["l_returnflag"])
+    f = f.select(*KEYS, "l_orderkey", "l_linenumber", "qty_scaled", *[c for c in f.columns if c.startswith("l_returnflag_")], "part_probability")
     path = scratch(spark, "keyed_features")
     K.write_keyed(f, path, KEYS)
     f = SR.read_run(spark, path).withColumns({k: F.col(k).cast("string") for k in KEYS})
     return MO.split(f, ["l_orderkey", "l_linenumber"]), mapping, MO.manifest(f, KEYS, "run-1", ALGORITHMS, path)
 
 
+TREE_FEATURES = ["l_returnflag_R"]
+
+
 def train_models(spark, f):
-    """Both algorithms on the training rows, stored and read back."""
+    """The linear algorithms and the trees on the training rows, stored and read back."""
     tr = f.filter(~F.col("is_test"))
     lr = MO.fit_linear(tr, KEYS, ["qty_scaled"], "part_probability")
     mean = MO.fit_mean(tr, KEYS, "part_probability").withColumn("coef", F.array(F.lit(0.0)))
-    path = scratch(spark, "models")
+    linear, trees = scratch(spark, "models"), scratch(spark, "tree_models")
     MO.store_models(lr.select(*KEYS, "algoname", "intercept", "coef").unionByName(
-        mean.select(*KEYS, "algoname", "intercept", "coef")), path)
-    return MO.load_models(spark, path)
+        mean.select(*KEYS, "algoname", "intercept", "coef")), linear)
+    if TREE_FEATURES[0] in f.columns:
+        MO.store_models(MO.fit_trees(tr, KEYS, TREE_FEATURES, "part_probability", rounds=1, rate=1.0), trees)
+        return MO.load_models(spark, linear, from_path=True), MO.load_models(spark, trees, from_path=True)
+    return MO.load_models(spark, linear), None
+
+
+def score_all(f, linear, trees):
+    """Rows scored by every model of their key."""
+    cols = [*KEYS, "l_orderkey", "l_linenumber", "part_probability", "algoname", "pred"]
+    return MO.predict(f, linear, KEYS, ["qty_scaled"]).select(*cols).unionByName(
+        MO.predict_trees(f, trees, KEYS, TREE_FEATURES).select(*cols))
+
+
+def model_status(linear, trees, run_id="run-1"):
+    return MO.status_log(linear.select(*KEYS, "algoname", "intercept").unionByName(
+        trees.select(*KEYS, "algoname", F.col("base").alias("intercept"))), KEYS, run_id)
 
 
 _RUN_SQL = f"""
 {FEATURES_SQL.strip()},
 bounds AS (SELECT min(qty) AS lo, max(qty) AS hi FROM feat),
 f AS (SELECT regexp_replace(part_name, '[^\\p{{L}}\\p{{N}}]', '', 'g') AS pk, region AS mapping, l_orderkey, l_linenumber,
-             part_probability AS y, CASE WHEN hi = lo THEN 0.0 ELSE (qty - lo) / (hi - lo) END AS x, {_SPLIT_SQL} AS is_test
+             part_probability AS y, CASE WHEN hi = lo THEN 0.0 ELSE (qty - lo) / (hi - lo) END AS x, {_SPLIT_SQL} AS is_test,
+             l_returnflag = 'R' AS r
       FROM feat, bounds),
 fit AS (SELECT pk, mapping, avg(y) AS my, avg(x) AS mx, regr_slope(y, x) AS b, regr_intercept(y, x) AS a,
                min(x) = max(x) AS flat FROM f WHERE NOT is_test GROUP BY ALL),
@@ -308,28 +328,35 @@ models AS (SELECT pk, mapping, 'mean' AS algoname, my AS intercept, 0.0 AS slope
            UNION ALL SELECT pk, mapping, 'lr', CASE WHEN flat THEN my / (1 + mx * mx) ELSE a END,
                             CASE WHEN flat THEN my * mx / (1 + mx * mx) ELSE b END FROM fit)"""
 
+# one tree of one cut on a flag, at full rate: the mean of the flag's rows, for a flag not seen that of the key
+_SCORED_SQL = """
+cut AS (SELECT pk, mapping, r, avg(y) AS my FROM f WHERE NOT is_test GROUP BY ALL),
+scored AS (SELECT f.*, algoname, intercept + slope * x AS p FROM f JOIN models USING (pk, mapping)
+           UNION ALL SELECT f.*, 'gbt', coalesce(cut.my, fit.my) FROM f JOIN fit USING (pk, mapping) LEFT JOIN cut USING (pk, mapping, r))"""
+
 
 @query("Z18_training_run", sql=f"""
 WITH {_RUN_SQL.strip()},
-pred AS (SELECT f.*, algoname, round(intercept + slope * x, 6) AS p FROM f JOIN models USING (pk, mapping) WHERE is_test),
+{_SCORED_SQL.strip()},
+pred AS (SELECT * REPLACE (round(p, 6) AS p) FROM scored WHERE is_test),
 tp AS (SELECT DISTINCT pk, mapping, algoname FROM pred QUALIFY rank() OVER (PARTITION BY mapping, algoname ORDER BY p DESC) <= {TOP_N}),
 ta AS (SELECT DISTINCT pk, mapping, algoname FROM pred QUALIFY rank() OVER (PARTITION BY mapping, algoname ORDER BY y DESC) <= {TOP_N}),
 pm AS (SELECT mapping, algoname, count(*) AS n FROM tp JOIN ta USING (pk, mapping, algoname) GROUP BY ALL),
 m AS (SELECT algoname, CAST(sum(n) AS BIGINT) AS metric_value, round(avg(round(n * 100.0 / {TOP_N}, 4)), 4) AS metric_percent FROM pm GROUP BY ALL)
 SELECT algoname, metric_value, metric_percent, CASE WHEN metric_percent >= 30 THEN 'Green' WHEN metric_percent >= 20 THEN 'Amber' ELSE 'Red' END AS status,
        (SELECT algoname FROM m ORDER BY metric_value DESC, algoname LIMIT 1) AS winner_algo,
-       (SELECT CAST(count(*) AS BIGINT) FROM models) AS total_jobs, CAST(0 AS BIGINT) AS failed_jobs,
+       (SELECT CAST(count(*) AS BIGINT) FROM models) + (SELECT CAST(count(*) AS BIGINT) FROM fit) AS total_jobs, CAST(0 AS BIGINT) AS failed_jobs,
        (SELECT CAST(count(DISTINCT pk || '|' || mapping) AS BIGINT) FROM f) AS work_items
 FROM m""")
 def z18(spark, sf):
     """Training run, in the order of its steps: gate, mapping document and its
-    check, keyed features, manifest, both algorithms per key, stored models,
+    check, one-hot and keyed features, manifest, three algorithms per key, stored models,
     status log, held-out predictions, overlap per (mapping, algorithm),
     traffic lights, winner, run record; a row per algorithm."""
     f, mapping, work = run_features(spark, sf)
     models = train_models(spark, f)
-    status = MO.status_log(models, KEYS, "run-1")
-    pred = MO.predict(f.filter("is_test"), models, KEYS, ["qty_scaled"]).withColumn("pred", F.round("pred", 6))
+    status = model_status(*models)
+    pred = score_all(f.filter("is_test"), *models).withColumn("pred", F.round("pred", 6))
     m = MO.overlap_rollup(MO.topk_overlap(pred, ["pk"], ["mapping", "algoname"], "pred", "part_probability", TOP_N))
     m = cut_lineage(m)
     lights = MO.traffic_light(m, MO.thresholds(spark), value="metric_percent")
@@ -348,22 +375,22 @@ def z18(spark, sf):
 WITH {_RUN_SQL.strip()},
 allowed(mapping, algoname) AS (VALUES {", ".join(f"('{r}', '{a}')" for r, algos in
     MAPPING_DOC["mapping_json_data"]["Inference"]["mapping"].items() for a in algos)}),
-p AS (SELECT f.pk, f.mapping, algoname, intercept + slope * x AS p FROM f JOIN models USING (pk, mapping) JOIN allowed USING (mapping, algoname))
+{_SCORED_SQL.strip()},
+p AS (SELECT pk, mapping, algoname, p FROM scored JOIN allowed USING (mapping, algoname))
 SELECT pk, mapping, algoname, round(avg(p), 6) AS mean_score, CAST(count(*) AS BIGINT) AS n_scored, 'Succeeded' AS status
 FROM p GROUP BY ALL""")
 def z19(spark, sf):
-    """Scoring run: gate, mapping document, keyed features, stored models of the
+    """Scoring run: gate, mapping document, one-hot and keyed features, stored models (named by their paths) of the
     algorithms its document lists for each mapping, scores of every row
     written by key; mean score and job status per key and algorithm."""
     f, mapping, work = run_features(spark, sf)
-    models = train_models(spark, f)
     jobs = SR.algorithms_by_key(work.select(*KEYS), mapping, "mapping").select(*KEYS, F.explode("algorithms").alias("algoname"))
-    models = models.join(jobs, [*KEYS, "algoname"])
-    pred = MO.predict(f, models, KEYS, ["qty_scaled"])
+    models = [m.join(jobs, [*KEYS, "algoname"]) for m in train_models(spark, f)]
+    pred = score_all(f, *models)
     path = scratch(spark, "scores")
     K.write_keyed(pred.select(*KEYS, "algoname", "l_orderkey", "l_linenumber", "pred"), path, KEYS)
     back = SR.read_run(spark, path).withColumns({k: F.col(k).cast("string") for k in KEYS})
-    status = MO.status_log(models, KEYS, "run-1").drop("run_id")
+    status = model_status(*models).drop("run_id")
     return back.groupBy(*KEYS, "algoname").agg(F.round(F.avg("pred"), 6).alias("mean_score"), F.count(F.lit(1)).alias("n_scored")) \
         .join(status, [*KEYS, "algoname"])
 
@@ -393,7 +420,7 @@ def e11(spark, sf):
     """Coefficients stored by key and algorithm, read back, every row scored."""
     f = MO.with_keys(features(spark, sf).drop("is_test"), "part_name", "region")
     f = MO.split(MO.minmax(f, "qty", out="qty_scaled"), ["l_orderkey", "l_linenumber"])
-    return MO.predict(f, train_models(spark, f), KEYS, ["qty_scaled"]).select(
+    return MO.predict(f, train_models(spark, f)[0], KEYS, ["qty_scaled"]).select(
         "l_orderkey", "l_linenumber", *KEYS, "algoname", F.round("pred", 6).alias("pred"))
 
 
