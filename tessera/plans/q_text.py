@@ -287,6 +287,51 @@ def c07(spark, sf):
     return blended(spark, sf, "category")
 
 
+# F10 gate and C09 two-task scores on derived post columns
+_GATED_SQL = """
+gated AS (SELECT doc_id FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 4 <> 0 AND doc_id % 5 <> 1 AND doc_id % 7 - 3 < 0)"""
+
+
+def _task_sql(task: str, p: str) -> str:
+    w1, w2 = WEIGHTS[task]
+    mask = "CASE WHEN lang = 'en' AND cls > 2 THEN 0.0 ELSE v END" if task == "category" else "v"
+    return f"""{p}_v AS (SELECT doc_id, cls, {mask} AS v FROM (
+  SELECT coalesce(p.doc_id, b.doc_id) AS doc_id, coalesce(p.cls, b.cls) AS cls,
+         coalesce(p.max_score, 0.0) / {w1} + coalesce(b.bow, 0.0) / {w2} AS v
+  FROM phs p FULL OUTER JOIN bowc b ON p.doc_id = b.doc_id AND p.cls = b.cls) JOIN documents USING (doc_id)),
+{p}_every AS (SELECT doc_id, cls FROM (SELECT DISTINCT doc_id FROM {p}_v), range({N_CLASSES}) g(cls)),
+{p}_all AS (SELECT doc_id, cls, coalesce(v, 0.0) AS v FROM {p}_every LEFT JOIN {p}_v USING (doc_id, cls)),
+{p}_best AS (SELECT doc_id, cls, v FROM {p}_all QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY v DESC, cls) = 1)"""
+
+
+@query("C09_F10_gated_tasks", sql=f"""
+WITH {_PHRASE_SCORE_SQL.strip()},
+{_BOW_CLASS_SQL.strip()},
+{_GATED_SQL.strip()},
+{_task_sql("category", "c")},
+{_task_sql("feedback", "f")}
+SELECT documents.doc_id,
+       CASE WHEN g.doc_id IS NOT NULL THEN CAST(coalesce(c_best.cls, 0) AS INTEGER) END AS category_label,
+       CASE WHEN g.doc_id IS NOT NULL THEN round(coalesce(c_best.v, 0.0), 6) END AS category_score,
+       CASE WHEN g.doc_id IS NOT NULL THEN CAST(coalesce(f_best.cls, 0) AS INTEGER) END AS feedback_label,
+       CASE WHEN g.doc_id IS NOT NULL THEN round(coalesce(f_best.v, 0.0), 6) END AS feedback_score
+FROM documents LEFT JOIN gated g USING (doc_id) LEFT JOIN c_best USING (doc_id) LEFT JOIN f_best USING (doc_id)""")
+def c09_f10(spark, sf):
+    """Both scoring tasks for the posts that pass the gate (a model, a part, the
+    flag, negative sentiment); the others keep null predictions."""
+    from tessera.operators import filters as FL
+    i, text = F.col("doc_id"), F.lit(None).cast("string")
+    d = table(spark, sf, "documents").withColumns({
+        "model_name": F.when(i % 3 == 0, text).otherwise("m"), "part_name": F.when(i % 4 == 0, text).otherwise("p"),
+        "flag": F.when(i % 5 == 1, False).otherwise(True), "sentiment": (i % 7 - 3).cast("int")})
+    gated = d.filter(FL.score_gate("model_name", "part_name", "flag", "sentiment"))
+    out = d.select("doc_id")
+    for task in ("category", "feedback"):
+        out = out.join(blended(spark, sf, task, gated).select(
+            "doc_id", F.col("label").alias(f"{task}_label"), F.col("score").alias(f"{task}_score")), "doc_id", "left")
+    return out
+
+
 # ------------------------------------------------------------------ X11 terms
 
 def term_dictionary(spark, sf):
