@@ -1,8 +1,6 @@
 """String, code and path scalar functions (Column -> Column).
 
-Built-in expressions only (regex, substring, higher-order array
-functions), except :func:`trim_escaped`, whose non-ASCII branch calls an
-Arrow-batched pandas UDF.
+Built-in expressions only (regex, substring, higher-order array functions).
 """
 
 from __future__ import annotations
