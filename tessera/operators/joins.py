@@ -81,14 +81,15 @@ def anti_join(a: DataFrame, b: DataFrame, a_key: str, b_key: str | None = None)
 
 def range_join(facts: DataFrame, ranges: DataFrame, x: str, lo: str, hi: str,
                bucket: str = "month", width: float | None = None,
-               how: str = "inner", bounds: DataFrame | None = None) -> DataFrame:
+               how: str = "inner", bounds: DataFrame | None = None, clamp: bool = True) -> DataFrame:
     """Join each fact to every range with ``lo <= x <= hi`` via an equi bucket.
 
     Ranges are exploded into the buckets they touch (``month`` buckets for
     dates/timestamps, or numeric buckets of ``width``; by default the median width
     of the ranges), clamped to the facts' own minimum and maximum (a scalar subquery), so an open-ended
     range has no more buckets than the facts span; ``bounds`` names a cheaper table
-    with the same column ``x`` (the facts before other joins) to take them from.  Facts carry their own
+    with the same column ``x`` (the facts before other joins) to take them from, and
+    ``clamp=False`` spares that scan where all ranges are known to be short (a calendar).  Facts carry their own
     bucket; the join is an equi-join on the bucket with the exact ``between``
     as a residual filter.  A fact with a null ``x`` matches nothing (inner)
     or keeps null range columns (left).
@@ -107,8 +108,10 @@ def range_join(facts: DataFrame, ranges: DataFrame, x: str, lo: str, hi: str,
         number = lambda c: F.floor(F.col(c) / w).cast("bigint")
         fb, low, high, step = number(x), number(lo), number(hi), F.lit(1).cast("bigint")
     f = facts.withColumn("_fbucket", fb)
-    seen = (facts if bounds is None else bounds).agg(F.struct(F.min(fb).alias("lo"), F.max(fb).alias("hi"))).scalar()
-    r = ranges.withColumns({"_rlo": F.greatest(low, seen.getField("lo")), "_rhi": F.least(high, seen.getField("hi"))})
+    if clamp:
+        seen = (facts if bounds is None else bounds).agg(F.struct(F.min(fb).alias("lo"), F.max(fb).alias("hi"))).scalar()
+        low, high = F.greatest(low, seen.getField("lo")), F.least(high, seen.getField("hi"))
+    r = ranges.withColumns({"_rlo": low, "_rhi": high})
     r = r.filter("_rlo <= _rhi").withColumn("_rbucket", F.explode(F.sequence("_rlo", "_rhi", step))).drop("_rlo", "_rhi")
     cond = (f["_fbucket"] == r["_rbucket"]) & f[x].between(r[lo], r[hi])
     return f.join(r, cond, how).drop("_fbucket", "_rbucket")

@@ -337,9 +337,10 @@ def fit_trees(df: DataFrame, keys, features, label: str, algo: str = "gbt", roun
     cols = [f"b{i}" for i in range(len(features))]
     cells = df.filter(F.col(label).isNotNull()).select(*keys, *cell, F.col(label).cast("double").alias("_y")) \
         .groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("r"))
+    cells = cut_lineage(cells)  # the rows are read once from here on
     base = cells.groupBy(*keys).agg((F.sum("r") / F.sum("n")).alias("base"), F.sum("n").alias("n_train"))
     model = base.withColumn("steps" if depth == 1 else "trees", F.array().cast(_STEPS if depth == 1 else _TREES))
-    cells = cut_lineage(cells.join(base, keys).withColumn("r", F.col("r") - F.col("n") * F.col("base")).drop("base", "n_train"))
+    cells = cells.join(base, keys).withColumn("r", F.col("r") - F.col("n") * F.col("base")).drop("base", "n_train")
     for _ in range(rounds if any(cuts) else 0):
         grown = cells.withColumns({"node": F.lit(1), "value": F.lit(0.0), "small": F.lit(True)})
         parents, splits = None, []
@@ -362,7 +363,7 @@ def fit_trees(df: DataFrame, keys, features, label: str, algo: str = "gbt", roun
             model = model.join(_trees_of(splits, keys), keys).withColumn("trees", F.concat("trees", F.array("_t"))).drop("_t")
             model = cut_lineage(model)
         cells = grown.select(*keys, *cols, "n", (F.col("r") - F.col("n") * F.col("value")).alias("r"))
-    return model.withColumn("algoname", F.lit(algo))
+    return (cut_lineage(model) if depth == 1 else model).withColumn("algoname", F.lit(algo))
 
 
 _STEPS = "array<struct<feature:int,cut:double,left:double,right:double>>"
@@ -395,9 +396,9 @@ def _histograms(cells: DataFrame, keys, cols, cuts, parents: DataFrame | None) -
     e = cells.where("small").select(*keys, "node", "n", "r", F.posexplode(F.array(*cols)).alias("feature", "bin"))
 
     def sums(c, zero):
-        return F.array(*[F.coalesce(F.sum(F.when(F.col("bin") == k, F.col(c))), F.lit(zero)) for k in range(width)])
+        return F.expr("array(" + ", ".join(f"sum(if(bin = {k}, {c}, {zero}))" for k in range(width)) + ")")
 
-    own = e.groupBy(*keys, "node", "feature").agg(sums("n", 0).cast("array<bigint>").alias("hn"), sums("r", 0.0).alias("hr"))
+    own = e.groupBy(*keys, "node", "feature").agg(sums("n", "0L").alias("hn"), sums("r", "0D").alias("hr"))
     if parents is None:
         return own
     less = own.select(*keys, F.floor(F.col("node") / 2).cast("int").alias("node"), "feature", F.col("node").alias("_small"),

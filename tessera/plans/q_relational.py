@@ -44,15 +44,15 @@ SELECT o_orderkey, mnt.month, mnt.fyear, f.month AS fcok_month, f.fyear AS fcok_
 FROM o JOIN cal f ON o.fcok BETWEEN f.caln_start_date AND f.caln_end_date
        JOIN cal mnt ON o.d BETWEEN mnt.start_date AND mnt.end_date""")
 def j03(spark, sf):
-    cal = AN.month_calendar(spark, sf)
+    cal = AN.month_calendar(spark, sf)  # ranges of a month
     o = table(spark, sf, "orders").select(
         "o_orderkey", F.to_date("o_orderdate").alias("d"),
         F.date_add(F.to_date("o_orderdate"), 10).alias("fcok"))
     fc = cal.select(F.col("month").alias("fcok_month"), F.col("fyear").alias("fcok_year"),
                     "caln_start_date", "caln_end_date")
-    x = J.range_join(o, J.bounded_broadcast(fc, 100_000), "fcok", "caln_start_date", "caln_end_date")
+    x = J.range_join(o, J.bounded_broadcast(fc, 100_000), "fcok", "caln_start_date", "caln_end_date", clamp=False)
     mn = cal.select("month", "fyear", "start_date", "end_date")
-    x = J.range_join(x, J.bounded_broadcast(mn, 100_000), "d", "start_date", "end_date")
+    x = J.range_join(x, J.bounded_broadcast(mn, 100_000), "d", "start_date", "end_date", clamp=False)
     return x.select("o_orderkey", "month", "fyear", "fcok_month", "fcok_year")
 
 
