@@ -13,15 +13,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+CELLS = 1 << 20  # pairs of words counted at once
+
 
 def bigrams(word: str) -> set[str]:
     return {word[i:i + 2] for i in range(len(word) - 1)}
 
 
-def indicator(words: list[str], column: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """0/1 matrix of words by the bigrams in ``column``, and each word's number of bigrams."""
-    out, sizes = np.zeros((len(words), len(column)), np.float32), np.zeros(len(words))
-    at, to = [], []
+def places(words: list[str], column: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, column) of every bigram in ``column``, by word, and each word's number of bigrams."""
+    at, to, sizes = [], [], np.zeros(len(words))
     for i, w in enumerate(words):
         grams = bigrams(w)
         sizes[i] = len(grams)
@@ -30,16 +31,29 @@ def indicator(words: list[str], column: dict[str, int]) -> tuple[np.ndarray, np.
             if k is not None:
                 at.append(i)
                 to.append(k)
+    return np.array(at, np.int64), np.array(to, np.int64), sizes
+
+
+def columns(words: list[str]) -> dict[str, int]:
+    """A number for every bigram of ``words``."""
+    column: dict[str, int] = {}
+    for w in words:
+        for g in bigrams(w):
+            column.setdefault(g, len(column))
+    return column
+
+
+def indicator(words: list[str], column: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """0/1 matrix of words by the bigrams in ``column``, and each word's number of bigrams."""
+    at, to, sizes = places(words, column)
+    out = np.zeros((len(words), len(column)), np.float32)
     out[at, to] = 1
     return out, sizes
 
 
 def shared(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bigrams that every word of ``a`` shares with every word of ``b``, and each word's number of them."""
-    column: dict[str, int] = {}
-    for w in b:
-        for g in bigrams(w):
-            column.setdefault(g, len(column))
+    column = columns(b)
     x, nx = indicator(a, column)
     y, ny = indicator(b, column)
     return x @ y.T, nx, ny
@@ -53,16 +67,33 @@ def jaccard(a: list[str], b: list[str]) -> np.ndarray:
 
 
 def jaccard_above(a: list[str], b: list[str], t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, index) of the pairs whose Jaccard index is ``t`` (over 0) or more, by i."""
-    both, nx, ny = shared(a, b)
-    # index >= t means both >= t / (1 + t) * (nx + ny): few pairs are divided out
-    enough = np.float32(t / (1 + t) * (1 - 1e-5))
-    least = (enough * nx.astype(np.float32))[:, None] + (enough * ny.astype(np.float32))[None, :]
-    i, j = np.nonzero(both >= np.maximum(least, np.float32(0.5)))
-    n = both[i, j].astype(np.float64)
-    index = n / (nx[i] + ny[j] - n)
-    keep = index >= t
-    return i[keep], j[keep], index[keep]
+    """(i, j, index) of the pairs whose Jaccard index is ``t`` (over 0) or more, by i.
+
+    A word meets the words of ``b`` on the lists of its bigrams; the meetings are counted for
+    as many words at once as ``CELLS`` pairs allow."""
+    column = columns(b)
+    word, of, ny = places(b, column)
+    listed = word[np.argsort(of, kind="stable")]
+    begin = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=len(column)))))
+    owner, gram, nx = places(a, column)
+    # index >= t means both >= t / (1 + t) * (nx + ny)
+    enough = t / (1 + t) * (1 - 1e-9)
+    lot = max(1, CELLS // max(1, len(b)))
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for lo in range(0, len(a) if b else 0, lot):
+        hi = min(lo + lot, len(a))
+        part = slice(*np.searchsorted(owner, (lo, hi)))
+        n = begin[gram[part] + 1] - begin[gram[part]]
+        at = np.arange(n.sum()) + np.repeat(begin[gram[part]] - (np.cumsum(n) - n), n)
+        met_at = np.repeat((owner[part] - lo) * len(b), n) + listed[at]
+        both = np.bincount(met_at, minlength=(hi - lo) * len(b))
+        pair = np.flatnonzero(both >= max(1, np.ceil(enough * (nx[lo:hi].min() + ny.min()))))
+        i, j = np.divmod(pair.astype(np.int32), np.int32(len(b)))
+        count = both[pair]
+        index = count / (nx[lo + i] + ny[j] - count)
+        keep = index >= t
+        found.append((lo + i[keep], j[keep], index[keep]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:

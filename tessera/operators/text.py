@@ -27,7 +27,8 @@ from tessera.session import cut_lineage
 
 DICT_BROADCAST_BYTES = 64 << 20
 # Rows of a block: words, dictionary words, texts, phrases; words of texts compared at once.
-WORD_BLOCK, DICT_BLOCK, TEXT_BLOCK, PHRASE_BLOCK, TOKENS_AT_ONCE = 4096, 1024, 512, 128, 65_536
+WORD_BLOCK, DICT_BLOCK, TEXT_BLOCK, PHRASE_BLOCK, TOKENS_AT_ONCE = 4096, 1024, 1024, 1024, 262_144
+PLACES_AT_ONCE = 16_384
 
 
 # ------------------------------------------------------------------ tokens
@@ -300,9 +301,9 @@ def _phrases_by_vectors(toks: DataFrame, pw: DataFrame, vectors: DataFrame, t: f
 def _phrases_by_bigrams(toks: DataFrame, pw: DataFrame, t: float) -> DataFrame:
     """(doc, cls, top, total), a row per text, class and block of phrases.
 
-    Blocks of texts meet blocks of whole phrases: one matrix product gives the
-    similarities of their words; maxima over each text's words and means over each
-    phrase's are taken in the task, ``TOKENS_AT_ONCE`` words of texts at a time."""
+    Blocks of texts meet blocks of whole phrases: the different words of up to
+    ``TOKENS_AT_ONCE`` words of texts are compared with the phrases' words once; maxima over
+    each text's words and means over each phrase's are taken in the task."""
     texts = cut_lineage(toks.groupBy("doc").agg(F.collect_set("w").alias("words")))
     whole = cut_lineage(pw.groupBy("cls", "phrase").agg(F.collect_list("w").alias("words")))
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -320,19 +321,23 @@ def _phrases_by_bigrams(toks: DataFrame, pw: DataFrame, t: float) -> DataFrame:
         dictionary, to = np.unique(np.array([w for p in phrase_words for w in p], object), return_inverse=True)
         dictionary = list(dictionary)
         width = np.array([len(p) for p in phrase_words])
-        tokens = a.column("words").to_pylist()
-        size = np.array([len(x) for x in tokens])
-        flat, owner = [w for x in tokens for w in x], np.repeat(np.arange(len(size)), size)
+        texts_words = a.column("words").combine_chunks()
+        size = np.diff(texts_words.offsets.to_numpy())
+        flat, owner = texts_words.flatten(), np.repeat(np.arange(len(size)), size)
         best = np.zeros((len(size), len(dictionary)))
         for lo in range(0, len(flat), TOKENS_AT_ONCE):
-            some, at = np.unique(np.array(flat[lo:lo + TOKENS_AT_ONCE], object), return_inverse=True)
-            i, j, sim = blocks.jaccard_above(list(some), dictionary, t)
-            n = np.bincount(i, minlength=len(some))
+            coded = flat.slice(lo, TOKENS_AT_ONCE).dictionary_encode()
+            at = coded.indices.to_numpy()
+            i, j, sim = blocks.jaccard_above(coded.dictionary.to_pylist(), dictionary, t)
+            n = np.bincount(i, minlength=len(coded.dictionary))
             begin = np.cumsum(n) - n
             # each place of a word takes the word's matches
-            times = n[at]
-            pick = np.repeat(begin[at] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-            np.maximum.at(best, (np.repeat(owner[lo:lo + TOKENS_AT_ONCE], times), j[pick]), sim[pick])
+            for few in range(0, len(at), PLACES_AT_ONCE):
+                here = at[few:few + PLACES_AT_ONCE]
+                times = n[here]
+                pick = np.repeat(begin[here] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+                row = np.repeat(owner[lo + few:lo + few + len(here)], times) * len(dictionary)
+                np.maximum.at(best.ravel(), row + j[pick], sim[pick])
         phrase_score = np.add.reduceat(best[:, to], np.cumsum(width) - width, axis=1) / width
         cls = b.column("cls").to_pylist()
         start = [i for i in range(len(cls)) if i == 0 or cls[i] != cls[i - 1]]
