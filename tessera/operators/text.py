@@ -50,18 +50,30 @@ def token_counts(docs: DataFrame, key: str, tokens: Column, out: str = "c") -> D
 def bow_cosine(docs: DataFrame, doc_key: str, text: str, dictionary: DataFrame,
                label: str, keywords: str) -> DataFrame:
     """Bag-of-words cosine between each text and each dictionary entry that
-    shares at least one token: (doc_key, label, score)."""
+    shares at least one token: (doc_key, label, score).
+
+    Whole texts are dealt by their key once, before they are cut into words: words,
+    norms and products of a text are then added up where it lies, however few files hold the texts."""
+    docs = docs.select(doc_key, text).repartition(doc_key)
     dt = token_counts(docs, doc_key, space_tokens(text), "dc")
-    dn = dt.groupBy(doc_key).agg(F.sqrt(F.sum(F.col("dc") * F.col("dc"))).alias("dn"))
     kt = token_counts(dictionary, label, F.col(keywords), "kc")
     kn = kt.groupBy(label).agg(F.sqrt(F.sum(F.col("kc") * F.col("kc"))).alias("kn"))
-    small = fits_broadcast(kt, DICT_BROADCAST_BYTES)
-    kt_b = F.broadcast(kt) if small else kt
-    dot = dt.join(kt_b, "token").groupBy(doc_key, label) \
-        .agg(F.sum(F.col("dc") * F.col("kc")).alias("dp"))
-    # kn has at most as many rows as kt: same decision, no second check
-    return dot.join(dn, doc_key).join(F.broadcast(kn) if small else kn, label) \
-        .select(doc_key, label, (F.col("dp") / (F.col("dn") * F.col("kn"))).alias("score"))
+    # kn has at most as many rows as kt: one decision, no second check
+    if fits_broadcast(kt, DICT_BROADCAST_BYTES):
+        # a token counts for its text's norm (no label) and for the labels that hold it
+        held = kt.groupBy("token").agg(F.collect_list(F.struct(F.lit(False).alias("own"), F.col(label).alias("l"), "kc")).alias("held"))
+        own = F.array(F.struct(F.lit(True).alias("own"), F.lit(None).cast(kt.schema[label].dataType).alias("l"), F.col("dc").alias("kc")))
+        each = dt.join(F.broadcast(held), "token", "left") \
+            .select(doc_key, "dc", F.explode(F.when(F.col("held").isNull(), own).otherwise(F.concat(own, "held"))).alias("_e"))
+        dot = each.groupBy(doc_key, F.col("_e.own").alias("own"), F.col("_e.l").alias(label)) \
+            .agg(F.sum(F.col("dc") * F.col("_e.kc")).alias("dp"))
+        norm = F.sqrt(F.max(F.when(F.col("own"), F.col("dp"))).over(Window.partitionBy(doc_key)))
+        scored = dot.withColumn("dn", norm).filter(~F.col("own") & F.col(doc_key).isNotNull()).join(F.broadcast(kn), label)
+    else:
+        dn = dt.groupBy(doc_key).agg(F.sqrt(F.sum(F.col("dc") * F.col("dc"))).alias("dn"))
+        dot = dt.join(kt, "token").groupBy(doc_key, label).agg(F.sum(F.col("dc") * F.col("kc")).alias("dp"))
+        scored = dot.join(dn, doc_key).join(kn, label)
+    return scored.select(doc_key, label, (F.col("dp") / (F.col("dn") * F.col("kn"))).alias("score"))
 
 
 def classify_text(docs: DataFrame, doc_key: str, text: str, dictionary: DataFrame,
@@ -72,8 +84,8 @@ def classify_text(docs: DataFrame, doc_key: str, text: str, dictionary: DataFram
     get the first entry with score 0, as a full score table would."""
     pos = pos or label
     sc = bow_cosine(docs, doc_key, text, dictionary, label, keywords)
-    sc = sc.join(bounded_broadcast(dictionary.select(label, *([pos] if pos != label else [])),
-                                   DICT_BROADCAST_BYTES), label)
+    if pos != label:
+        sc = sc.join(bounded_broadcast(dictionary.select(label, pos), DICT_BROADCAST_BYTES), label)
     order = F.struct(-F.col("score"), F.col(pos))
     best = sc.groupBy(doc_key).agg(F.min_by(F.struct(F.col(label).alias("l"), F.col("score").alias("s")),
                                             order).alias("b"))
