@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.functions import strings as S
 from tessera.operators import text as TX
 from tessera.plans.registry import query
-from tessera.session import table
+from tessera.session import cut_lineage, table
 
 ALNUM = r"[\p{L}\p{N}]+"
 ALNUM_SQL = "[\\p{L}\\p{N}]+"
@@ -171,8 +171,8 @@ agg AS (SELECT doc_id, cls, max(ps) AS mx, sum(ps) AS sm FROM ps GROUP BY ALL),
 phs AS (SELECT doc_id, cls, mx AS max_score, sm / n AS mean_score FROM agg JOIN np USING (cls))"""
 
 
-def phrase_scores(spark, sf):
-    d = table(spark, sf, "documents")
+def phrase_scores(spark, sf, docs=None):
+    d = table(spark, sf, "documents") if docs is None else docs
     toks = d.select("doc_id", F.explode(alnum_tokens("text")).alias("token"))
     pw, n = class_phrases(spark, sf)
     return TX.phrase_scores(toks, "doc_id", "token", pw, "cls", "phrase", "pword", n)
@@ -223,9 +223,9 @@ def c08(spark, sf):
         .select("vec_id", "label", F.col("b.p").alias("predicted"), F.round("b.c", 6).alias("cos"))
 
 
-def bow_class_scores(spark, sf, n_classes=N_CLASSES):
+def bow_class_scores(spark, sf, n_classes=N_CLASSES, docs=None):
     """Per (doc, class): best bag-of-words cosine to the class's benchmark items."""
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = (table(spark, sf, "documents") if docs is None else docs).select("doc_id", "text")
     sc = TX.bow_cosine(d, "doc_id", "text", keyword_dictionary(spark, sf), "item_id", "kw")
     return sc.groupBy("doc_id", (F.col("item_id") % n_classes).alias("cls")).agg(F.max("score").alias("bow"))
 
@@ -243,10 +243,14 @@ sc AS (SELECT dot.doc_id, dot.label, dp / (dn.nrm * kn.nrm) AS score FROM dot JO
 bowc AS (SELECT doc_id, label % {N_CLASSES} AS cls, max(score) AS bow FROM sc GROUP BY ALL)"""
 
 
-def blended(spark, sf, task="category", docs=None):
+def class_scores(spark, sf, docs=None):
+    """Phrase and bag-of-words scores per (doc, class), of ``docs`` if given; every task blends these two."""
+    return phrase_scores(spark, sf, docs), bow_class_scores(spark, sf, docs=docs)
+
+
+def blended(spark, sf, task="category", docs=None, scores=None):
     w1, w2 = WEIGHTS[task]
-    ps = phrase_scores(spark, sf)
-    bow = bow_class_scores(spark, sf)
+    ps, bow = scores or class_scores(spark, sf)
     classes = spark.range(N_CLASSES).select(F.col("id").cast("int").alias("cls"), F.col("id").alias("pos"))
     d = table(spark, sf, "documents")
     allowed = None
@@ -326,8 +330,10 @@ def c09_f10(spark, sf):
         "flag": F.when(i % 5 == 1, False).otherwise(True), "sentiment": (i % 7 - 3).cast("int")})
     gated = d.filter(FL.score_gate("model_name", "part_name", "flag", "sentiment"))
     out = d.select("doc_id")
+    # only posts that pass are scored, once for both tasks
+    scores = [cut_lineage(s) for s in class_scores(spark, sf, gated)]
     for task in ("category", "feedback"):
-        out = out.join(blended(spark, sf, task, gated).select(
+        out = out.join(blended(spark, sf, task, gated, scores).select(
             "doc_id", F.col("label").alias(f"{task}_label"), F.col("score").alias(f"{task}_score")), "doc_id", "left")
     return out
 
