@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import strings as S
-from tessera.functions import values as V
 from tessera.operators import blocks
 from tessera.operators.joins import bounded_broadcast, fits_broadcast
 from tessera.session import cut_lineage
@@ -394,12 +393,32 @@ def label_centroids(vectors: DataFrame, vec: str, label: str) -> DataFrame:
 def embed_cosine(vectors: DataFrame, key: str, vec: str, centroids: DataFrame, label: str) -> DataFrame:
     """Cosine of every vector with every class centroid: (key, label, cos).
 
-    The centroids are a row per class (the model's output space), carried into each row as one array by a scalar
-    subquery; the cosine is an expression on the two arrays: no shuffle."""
-    table = centroids.agg(F.collect_list(F.struct(F.col(label).alias("l"), F.col("centroid").alias("c")))).scalar()
-    x = vectors.select(key, F.col(vec).cast("array<double>").alias("_v"), F.explode(table).alias("_c"))
-    return x.select(key, F.col("_c.l").alias(label), V.cosine(F.col("_v"), F.col("_c.c")).alias("cos")) \
-        .filter(F.col("cos").isNotNull())
+    Blocks of vectors meet blocks of centroids of their length, a matrix product gives all their
+    cosines.  Null and zero vectors, and vectors with a null component, have none."""
+    def side(df, name, key, vec):
+        x = df.select(F.col(key).alias(name), F.col(vec).cast("array<double>").alias("x"))
+        return cut_lineage(x.withColumn("dim", F.size("x")).filter((F.col("dim") > 0) & ~F.exists("x", lambda e: e.isNull())))
+    left, right = side(vectors, "k", key, vec), side(centroids, "l", label, "centroid")
+    from pyspark.sql.pandas.types import to_arrow_schema
+    out = T.StructType([T.StructField("k", left.schema["k"].dataType), T.StructField("l", right.schema["l"].dataType),
+                        T.StructField("cos", T.DoubleType())])
+    schema = to_arrow_schema(out)
+
+    def compare(a, b):
+        import numpy as np
+        import pyarrow as pa
+        if not a.num_rows or not b.num_rows:
+            return schema.empty_table()
+        x, y = (c.column("x").combine_chunks().flatten().to_numpy().reshape(c.num_rows, -1) for c in (a, b))
+        nx, ny = (np.sqrt((v * v).sum(1)) for v in (x, y))
+        i, j = np.nonzero((nx != 0)[:, None] & (ny != 0)[None, :])
+        with np.errstate(invalid="ignore"):
+            cos = (x @ y.T)[i, j] / (nx[i] * ny[j])
+        columns = a.column("k").take(pa.array(i)), b.column("l").take(pa.array(j)), pa.chunked_array([pa.array(cos)])
+        return pa.table([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return blocks.met(left, right, ["k"], ["l"], WORD_BLOCK, DICT_BLOCK, within="dim").applyInArrow(compare, out) \
+        .select(F.col("k").alias(key), F.col("l").alias(label), "cos")
 
 
 def blend_predict(s1: DataFrame, s2: DataFrame, key: str, cls: str, score1: str, score2: str,
