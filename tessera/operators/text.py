@@ -28,6 +28,7 @@ DICT_BROADCAST_BYTES = 64 << 20
 # Rows of a block: words, dictionary words, texts, phrases; words of texts compared at once.
 WORD_BLOCK, DICT_BLOCK, TEXT_BLOCK, PHRASE_BLOCK, TOKENS_AT_ONCE = 4096, 1024, 1024, 1024, 262_144
 PLACES_AT_ONCE = 16_384
+COMMON = 1000  # a word in more than one text of so many is common
 
 
 # ------------------------------------------------------------------ tokens
@@ -365,14 +366,22 @@ def _phrases_by_bigrams(toks: DataFrame, pw: DataFrame, t: float) -> DataFrame:
 def top_keywords(docs: DataFrame, doc_key: str, tokens: Column, k: int = 20,
                  min_len: int = 3, stop_words=None) -> DataFrame:
     """Top-k single-word keywords per text by TF-IDF (ties -> word), joined
-    by ``", "`` in score order.  Re-aimed from a per-row keyword extractor."""
+    by ``", "`` in score order.  Re-aimed from a per-row keyword extractor.
+
+    Whole texts are dealt by key, their words counted where they lie.  Words in more than one text of
+    ``COMMON`` (at most that many times the words of a mean text) bring their frequency to the texts by
+    broadcast and are cut to the first ``k`` there; only rows of the other words are shuffled."""
     stop = S.DEFAULT_STOP_WORDS if stop_words is None else list(stop_words)
-    tc = docs.select(doc_key, F.explode(tokens).alias("w")) \
+    tc = docs.repartition(doc_key).select(doc_key, F.explode(tokens).alias("w")) \
         .filter((F.length("w") >= min_len) & ~F.col("w").isin(stop)) \
         .groupBy(doc_key, "w").agg(F.count(F.lit(1)).alias("tf"))
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    df_ = tc.groupBy("w").agg(F.count(F.lit(1)).alias("df")).withColumn("_n", n_docs)
-    sc = tc.join(df_, "w").withColumn("tfidf", F.col("tf") * F.log(F.col("_n") / F.col("df")))
+    df_ = cut_lineage(tc.groupBy("w").agg(F.count(F.lit(1)).alias("df")).withColumn("_n", n_docs))
+    often = F.col("df") * COMMON > F.col("_n")
+    marked = tc.join(F.broadcast(df_.filter(often)), "w", "left")
+    rare = marked.filter(F.col("df").isNull()).drop("df", "_n").join(df_.filter(~often), "w")
+    sc = marked.filter(F.col("df").isNotNull()).unionByName(rare) \
+        .withColumn("tfidf", F.col("tf") * F.log(F.col("_n") / F.col("df")))
     w = Window.partitionBy(doc_key).orderBy(F.col("tfidf").desc(), F.col("w"))
     top = sc.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
     return top.groupBy(doc_key).agg(
