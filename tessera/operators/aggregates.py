@@ -83,3 +83,14 @@ def count_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     a = after.agg(F.count(F.lit(1))).scalar()
     return before.sparkSession.range(1).select(
         b.alias("rows_before"), a.alias("rows_after"), (b - a).alias("rows_removed"))
+
+
+DISTINCT_ROWS = 250_000  # rows that a task of distinct_rows compares
+
+
+def distinct_rows(df: DataFrame, n_rows: int) -> DataFrame:
+    """A03 for rows that hardly repeat: dealt by all columns to as many tasks as ``n_rows`` (at least the
+    rows of ``df``) need, so that what a task holds does not grow with the table and no
+    column's hot value meets in one."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-n_rows // DISTINCT_ROWS))
+    return df.repartition(n, *df.columns).distinct()

@@ -76,18 +76,18 @@ def dispatch_sales(invc: DataFrame, dealers: DataFrame, as_of, spec_code: str) -
 def supply_receipts(venp: DataFrame, ctrr: DataFrame, as_of) -> DataFrame:
     """Monthly vendor receipts.
 
-    J11 vendor parent name -> A03 distinct -> P01 rename -> F08 not-null
-    quantity -> D09 year/month from ``yyyymm`` -> D04 label -> D03 serial id
-    -> P03 load time.
+    P01 rename -> F08 not-null quantity -> A03 distinct -> J11 vendor parent
+    name (one per code, so after the distinct) -> D09 year/month from ``yyyymm``
+    -> D04 label -> D03 serial id -> P03 load time.
     """
     from tessera.operators import joins as J
-    x = J.resolve_parent(venp, "venp_vend_code", ctrr, "ctrr_code", "ctrr_parent_vend_code",
+    x = venp.select(F.col("venp_vend_code").alias("vendor_code"),
+                    F.col("venp_root_part").alias("root_part_number"),
+                    F.col("venp_item_code").alias("part_number"), "venp_month",
+                    F.col("venp_tot_recd_qty").alias("count"))
+    x = A.distinct_rows(FL.not_null(x, ["count"]), venp.count())
+    x = J.resolve_parent(x, "vendor_code", ctrr, "ctrr_code", "ctrr_parent_vend_code",
                          "ctrr_name", "vendor_name")
-    x = x.select("vendor_name", F.col("venp_vend_code").alias("vendor_code"),
-                 F.col("venp_root_part").alias("root_part_number"),
-                 F.col("venp_item_code").alias("part_number"), "venp_month",
-                 F.col("venp_tot_recd_qty").alias("count")).distinct()
-    x = FL.not_null(x, ["count"])
     y, m = D.year_month_from_yyyymm("venp_month")
     return x.select("part_number", "root_part_number", "count", "vendor_name", "vendor_code",
                     D.month_label_my(m, y).alias("month_year"), D.serial_month(m, y).alias("serial_id"),
