@@ -96,15 +96,30 @@ def jaccard_above(a: list[str], b: list[str], t: float) -> tuple[np.ndarray, np.
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; zero and non-finite rows become zero."""
+    n = np.sqrt((x * x).sum(1, keepdims=True))
+    ok = np.isfinite(n) & (n > 0)
+    return np.where(ok, x, 0.0) / np.where(ok, n, 1.0)
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of every row of ``a`` with every row of ``b``; zero and non-finite rows are like nothing."""
-    def unit(x):
-        n = np.sqrt((x * x).sum(1, keepdims=True))
-        ok = np.isfinite(n) & (n > 0)
-        return np.where(ok, x, 0.0) / np.where(ok, n, 1.0)
     return unit(a) @ unit(b).T
 
 
+def cosine_above(a: np.ndarray, b: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, cosine) of the pairs whose cosine is ``t`` or more, by i; as many rows at once as ``CELLS`` pairs allow."""
+    a, b = unit(a), unit(b)
+    lot = max(1, CELLS // max(1, len(b)))
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for lo in range(0, len(a), lot):
+        sim = a[lo:lo + lot] @ b.T
+        i, j = np.nonzero(sim >= t)
+        found.append((lo + i, j, sim[i, j]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def met(left: DataFrame, right: DataFrame, left_by, right_by, left_size: int, right_size: int, within: str | None = None):
     """Each block of ``left`` with each block of ``right``, as a co-grouped pair.
 

@@ -28,6 +28,8 @@ DICT_BROADCAST_BYTES = 64 << 20
 # Rows of a block: words, dictionary words, texts, phrases; words of texts compared at once.
 WORD_BLOCK, DICT_BLOCK, TEXT_BLOCK, PHRASE_BLOCK, TOKENS_AT_ONCE = 4096, 1024, 1024, 1024, 262_144
 PLACES_AT_ONCE = 16_384
+# Vectors of words and of dictionary words that meet in a block; phrases, and matches of a block of texts, in a task.
+LEFT_VECTORS, RIGHT_VECTORS, VECTOR_PHRASES, MATCHES_AT_ONCE = 16_384, 8192, 8192, 1 << 21
 COMMON = 1000  # a word in more than one text of so many is common
 
 
@@ -251,23 +253,29 @@ def vector_matches(left: DataFrame, right: DataFrame, threshold: float) -> DataF
     vectors, and vectors of another length than the other side's, are like none."""
     def side(df, name):
         word, vec = df.columns
-        x = df.select(F.col(word).alias(name), F.col(vec).cast("array<double>").alias("x"))
+        # floats travel as they are, half as long as doubles; cosines are of doubles
+        x = F.col(vec) if isinstance(df.schema[vec].dataType.elementType, T.FloatType) else F.col(vec).cast("array<double>")
+        x = df.select(F.col(word).alias(name), x.alias("x"))
         return cut_lineage(x.withColumn("dim", F.size("x")).filter((F.col("dim") > 0) & F.col(name).isNotNull()
                                                                    & ~F.exists("x", lambda e: e.isNull())))
     t = float(threshold)
+    left, right = side(left, "l"), side(right, "r")
+    from pyspark.sql.pandas.types import to_arrow_schema
+    out = T.StructType([T.StructField("l", left.schema["l"].dataType), T.StructField("r", right.schema["r"].dataType),
+                        T.StructField("sim", T.DoubleType())])
+    schema = to_arrow_schema(out)
 
     def match(a, b):
         import numpy as np
         import pyarrow as pa
         if not a.num_rows or not b.num_rows:
-            return pa.table({"l": pa.array([], pa.string()), "r": pa.array([], pa.string()), "sim": pa.array([], pa.float64())})
-        x, y = (np.array(c.column("x").to_pylist(), np.float64) for c in (a, b))
-        sim = blocks.cosine(x, y)
-        i, j = np.nonzero(sim >= t)
-        return pa.table({"l": a.column("l").take(pa.array(i)), "r": b.column("r").take(pa.array(j)), "sim": sim[i, j]})
+            return schema.empty_table()
+        x, y = (c.column("x").combine_chunks().flatten().to_numpy().reshape(c.num_rows, -1).astype(np.float64) for c in (a, b))
+        i, j, sim = blocks.cosine_above(x, y, t)
+        columns = a.column("l").take(pa.array(i)), b.column("r").take(pa.array(j)), pa.chunked_array([pa.array(sim)])
+        return pa.table([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return blocks.met(side(left, "l"), side(right, "r"), ["l"], ["r"], WORD_BLOCK, DICT_BLOCK, within="dim").applyInArrow(
-        match, "l string, r string, sim double")
+    return blocks.met(left, right, ["l"], ["r"], LEFT_VECTORS, RIGHT_VECTORS, within="dim").applyInArrow(match, out)
 
 
 def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: DataFrame,
@@ -289,7 +297,7 @@ def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: Data
     toks = doc_tokens.filter(counts(token)).select(F.col(doc_key).alias("doc"), F.col(token).alias("w"))
     pw = phrases.filter(counts(pword)).select(F.col(cls).alias("cls"), F.col(phrase).alias("phrase"), F.col(pword).alias("w"))
     score = _phrases_by_bigrams(toks, pw, float(threshold)) if vectors is None else \
-        _phrases_by_vectors(toks.distinct(), pw, vectors, float(threshold))
+        _phrases_by_vectors(toks, pw, vectors, float(threshold))
     agg = score.groupBy("doc", "cls").agg(F.max("top").alias("max_score"), F.sum("total").alias("_sum"))
     n = n_phrases.select(F.col(cls).alias("cls"), "n")
     return agg.join(bounded_broadcast(n, DICT_BROADCAST_BYTES), "cls").select(
@@ -297,17 +305,96 @@ def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: Data
 
 
 def _phrases_by_vectors(toks: DataFrame, pw: DataFrame, vectors: DataFrame, t: float) -> DataFrame:
-    """(doc, cls, top, total): word similarities first, then best per phrase word,
-    mean per phrase, maximum and sum per class."""
+    """(doc, cls, top, total), a row per text, class and block of phrases.
+
+    Each different word meets the phrases' words once.  A block of texts then gets the
+    matches of its different words and whole phrases; maxima over each text's words and means
+    over each phrase's are taken in the task, so no rows of texts by phrase words are shuffled."""
     word, vec = vectors.columns
-    known = vectors.select(F.col(word).alias("w"), F.col(vec).alias("x"))
-    sims = vector_matches(known.join(toks.select("w").distinct(), "w"), known.join(pw.select("w").distinct(), "w"), t) \
-        .filter(F.col("sim") > 0)
-    best = toks.join(sims, F.col("w") == F.col("l")).groupBy("doc", "r").agg(F.max("sim").alias("m"))
-    n_words = pw.groupBy("cls", "phrase").agg(F.count(F.lit(1)).alias("nw"))
-    ph = best.join(pw.withColumnRenamed("w", "r"), "r").groupBy("doc", "cls", "phrase").agg(F.sum("m").alias("s")) \
-        .join(n_words, ["cls", "phrase"]).withColumn("top", F.col("s") / F.col("nw"))
-    return ph.select("doc", "cls", "top", F.col("top").alias("total"))
+    texts = cut_lineage(toks.groupBy("doc").agg(F.collect_set("w").alias("words")))
+    pw = cut_lineage(pw.filter(F.col("cls").isNotNull() & F.col("phrase").isNotNull()))
+    each = texts.select(F.explode("words").alias("w"))
+    used = each.select("w", F.lit(1).alias("said"), F.lit(0).alias("asked")).unionByName(pw.select("w", F.lit(0).alias("said"), F.lit(1).alias("asked")))
+    used = used.groupBy("w").agg(F.max("said").alias("said"), F.max("asked").alias("asked"))
+    # numbers of the words, given once: the copy keeps them
+    known = cut_lineage(vectors.select(F.col(word).alias("w"), F.col(vec).alias("x")).join(used, "w").withColumn("at", F.monotonically_increasing_id()))
+    sims = cut_lineage(vector_matches(known.filter("said = 1").select("w", "x"), known.filter("asked = 1").select("at", "x"), t).filter(F.col("sim") > 0))
+
+    whole = pw.join(known.filter("asked = 1").select("w", "at"), "w", "left").groupBy("cls", "phrase") \
+        .agg(F.collect_list("at").alias("at"), F.count(F.lit(1)).alias("n")).filter(F.size("at") > 0)
+    whole = cut_lineage(whole)
+    n_words, n_said, n_sims, n_phrases = (x.first()[0] for x in (
+        texts.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))), known.filter("said = 1").agg(F.count(F.lit(1))), sims.agg(F.count(F.lit(1))), whole.agg(F.count(F.lit(1)))))
+    # a text's words and their matches, as many as a word has in the mean
+    nb = max(1, -(-n_words * (n_said + n_sims) // max(1, n_said) // MATCHES_AT_ONCE))
+    npb = max(1, -(-n_phrases // VECTOR_PHRASES))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    texts = texts.withColumn("_b", F.pmod(F.xxhash64("doc"), F.lit(nb)).cast("int"))
+    whole = whole.withColumn("_pb", F.pmod(F.xxhash64("cls", "phrase"), F.lit(npb)).cast("int"))
+
+    if npb > 1:
+        sims = sims.join(whole.select(F.explode("at").alias("r"), "_pb").distinct(), "r")
+    else:
+        sims = sims.withColumn("_pb", F.lit(0))
+    # dealt by the word once, for its list and for the join
+    matches = sims.repartition("l").groupBy("l", "_pb").agg(F.collect_list(F.struct(F.col("r").alias("at"), "sim")).alias("m"))
+    said = texts.select("_b", F.explode("words").alias("l")).groupBy("l").agg(F.collect_set("_b").alias("_b"))
+    matches = said.join(matches, "l").select(F.explode("_b").alias("_b"), "_pb", F.col("l").alias("w"), F.col("m.at").alias("at"), F.col("m.sim").alias("sim"))
+    # phrases come with the matches, as rows without a word
+    right = matches.unionByName(whole.withColumn("_b", every(nb)).select("_b", "_pb", "at", "cls", "n"), allowMissingColumns=True)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    out = T.StructType([T.StructField("doc", texts.schema["doc"].dataType), T.StructField("cls", whole.schema["cls"].dataType),
+                        T.StructField("top", T.DoubleType()), T.StructField("total", T.DoubleType())])
+    schema = to_arrow_schema(out)
+
+    def score(a, b):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        named = pc.is_valid(b.column("w"))
+        found, phrases = b.filter(named), b.filter(pc.invert(named)).sort_by("cls")
+        if not a.num_rows or not found.num_rows or not phrases.num_rows:
+            return schema.empty_table()
+        numbers = phrases.column("at").combine_chunks()
+        begin_phrase = np.concatenate(([0], np.cumsum(pc.list_value_length(numbers).to_numpy())[:-1]))
+        dictionary, to = np.unique(numbers.flatten().to_numpy(), return_inverse=True)
+        n_phrase = phrases.column("n").to_numpy().astype(float)
+        cls = phrases.column("cls").to_pylist()
+        start = np.array([i for i in range(len(cls)) if i == 0 or cls[i] != cls[i - 1]])
+        lists = found.column("at").combine_chunks()
+        times_of = pc.list_value_length(lists).to_numpy()
+        begin = np.cumsum(times_of) - times_of
+        col, sim = np.searchsorted(dictionary, lists.flatten().to_numpy()), found.column("sim").combine_chunks().flatten().to_numpy()
+        words = a.column("words").combine_chunks()
+        size = pc.list_value_length(words).to_numpy()
+        owner = np.repeat(np.arange(len(size)), size)
+        at = pc.fill_null(pc.index_in(words.flatten(), value_set=found.column("w").combine_chunks()), -1).to_numpy()
+        owner, at = owner[at >= 0], at[at >= 0]
+        many = max(1, 4 * blocks.CELLS // max(len(dictionary), len(to)))
+        docs, classes, tops, totals = [], [], [], []
+        for lo in range(0, len(size), many):
+            best = np.zeros((min(many, len(size) - lo), len(dictionary)))
+            part = slice(*np.searchsorted(owner, (lo, lo + many)))
+            place, row = at[part], (owner[part] - lo) * len(dictionary)
+            upto = np.cumsum(times_of[place])
+            i = 0
+            while i < len(place):  # as many places of words as have some million matches
+                j = max(i + 1, np.searchsorted(upto, (upto[i - 1] if i else 0) + blocks.CELLS, "right"))
+                times = times_of[place[i:j]]
+                pick = np.repeat(begin[place[i:j]] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+                np.maximum.at(best.ravel(), np.repeat(row[i:j], times) + col[pick], sim[pick])
+                i = j
+            phrase_score = np.add.reduceat(best[:, to], begin_phrase, axis=1) / n_phrase
+            top, total = np.maximum.reduceat(phrase_score, start, axis=1), np.add.reduceat(phrase_score, start, axis=1)
+            d, c = np.nonzero(top)
+            docs.append(lo + d), classes.append(start[c]), tops.append(top[d, c]), totals.append(total[d, c])
+        docs, classes, tops, totals = (np.concatenate(x) for x in (docs, classes, tops, totals))
+        columns = a.column("doc").take(pa.array(docs)), phrases.column("cls").take(pa.array(classes)), pa.chunked_array([tops]), pa.chunked_array([totals])
+        return pa.table([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    left = texts.withColumn("_pb", every(npb))
+    return left.groupBy("_b", "_pb").cogroup(right.groupBy("_b", "_pb")).applyInArrow(score, out)
 
 
 def _phrases_by_bigrams(toks: DataFrame, pw: DataFrame, t: float) -> DataFrame:
