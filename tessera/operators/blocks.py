@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CELLS = 1 << 20  # pairs of words counted at once
+MARKS = 1 << 26  # bigrams by words of a dictionary marked at once
 
 
 def bigrams(word: str) -> set[str]:
@@ -66,34 +67,77 @@ def jaccard(a: list[str], b: list[str]) -> np.ndarray:
     return np.divide(both, nx[:, None] + ny[None, :] - both, out=np.zeros_like(both), where=both > 0)
 
 
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, bigram as a number) of every different bigram of a word, by word, and each word's number of them."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+    word = np.repeat(np.arange(len(words)), size)
+    inside = word[1:] == word[:-1]
+    word, gram = word[1:][inside], (letters[:-1] << 21 | letters[1:])[inside]
+    order = np.lexsort((gram, word))
+    word, gram = word[order], gram[order]
+    first = np.ones(len(gram), bool)
+    first[1:] = (gram[1:] != gram[:-1]) | (word[1:] != word[:-1])
+    return word[first], gram[first], np.bincount(word[first], minlength=len(words))
+
+
 def jaccard_above(a: list[str], b: list[str], t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, index) of the pairs whose Jaccard index is ``t`` (over 0) or more, by i.
 
-    A word meets the words of ``b`` on the lists of its bigrams; the meetings are counted for
-    as many words at once as ``CELLS`` pairs allow."""
-    column = columns(b)
-    word, of, ny = places(b, column)
-    listed = word[np.argsort(of, kind="stable")]
-    begin = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=len(column)))))
-    owner, gram, nx = places(a, column)
+    Each bigram of ``b`` is a row that marks the words with it; the rows of a word's bigrams are
+    added up, one byte a pair, for as many words at once as ``CELLS`` pairs allow.  Only pairs that
+    share as many bigrams as their sizes ask for are compared."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    of, gb, ny = grams(b)
+    column = np.unique(gb)
+    if not len(column):
+        return none
+    if len(b) > 1 and len(column) * len(b) > MARKS:
+        half = len(b) // 2
+        parts = jaccard_above(a, b[:half], t), jaccard_above(a, b[half:], t)
+        i, j, index = (np.concatenate(x) for x in zip(parts[0], (parts[1][0], parts[1][1] + half, parts[1][2])))
+        order = np.argsort(i, kind="stable")
+        return i[order], j[order], index[order]
+    width = -(-len(b) // 8) * 8  # eight pairs at a time are looked through
+    kind = np.uint8 if ny.max() < 256 else np.int32
+    marked = np.zeros((len(column), width), kind)
+    marked[np.searchsorted(column, gb), of] = 1
+    word, gram, nx = grams(a)
+    at = np.minimum(np.searchsorted(column, gram), len(column) - 1)
+    known = column[at] == gram
+    at = at[known]
+    n = np.bincount(word[known], minlength=len(a))
+    begin = np.cumsum(n) - n
     # index >= t means both >= t / (1 + t) * (nx + ny)
     enough = t / (1 + t) * (1 - 1e-9)
-    lot = max(1, CELLS // max(1, len(b)))
-    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-    for lo in range(0, len(a) if b else 0, lot):
-        hi = min(lo + lot, len(a))
-        part = slice(*np.searchsorted(owner, (lo, hi)))
-        n = begin[gram[part] + 1] - begin[gram[part]]
-        at = np.arange(n.sum()) + np.repeat(begin[gram[part]] - (np.cumsum(n) - n), n)
-        met_at = np.repeat((owner[part] - lo) * len(b), n) + listed[at]
-        both = np.bincount(met_at, minlength=(hi - lo) * len(b))
-        pair = np.flatnonzero(both >= max(1, np.ceil(enough * (nx[lo:hi].min() + ny.min()))))
-        i, j = np.divmod(pair.astype(np.int32), np.int32(len(b)))
-        count = both[pair]
-        index = count / (nx[lo + i] + ny[j] - count)
+    sizes, size = np.unique(nx, return_inverse=True)
+    least = np.full((len(sizes), width), np.iinfo(kind).max, kind)
+    least[:, :len(b)] = np.clip(np.ceil(enough * (sizes[:, None] + ny)), 1, np.iinfo(kind).max)
+    able = np.flatnonzero(n >= np.maximum(1, np.ceil(enough * nx)))
+    able = able[np.argsort(-n[able], kind="stable")]
+    lot = max(1, CELLS // width)
+    both, more, alike = (np.empty((min(lot, len(able)), width), k) for k in (kind, kind, bool))
+    found = [none]
+    for lo in range(0, len(able), lot):
+        w = able[lo:lo + lot]
+        np.take(marked, at[begin[w]], axis=0, out=both[:len(w)], mode="clip")
+        for k in range(1, n[w[0]]):  # those with more than k come first
+            m = np.searchsorted(-n[w], -k)
+            np.take(marked, at[begin[w[:m]] + k], axis=0, out=more[:m], mode="clip")
+            np.add(both[:m], more[:m], out=both[:m])
+        np.take(least, size[w], axis=0, out=more[:len(w)], mode="clip")
+        np.greater_equal(both[:len(w)], more[:len(w)], out=alike[:len(w)])
+        eight = np.flatnonzero(alike[:len(w)].reshape(-1).view(np.uint64) != 0)
+        hit = np.flatnonzero(alike.reshape(-1, 8)[eight])
+        pair = eight[hit >> 3] * 8 + (hit & 7)
+        i, j = np.divmod(pair, width)
+        count = both.ravel()[pair].astype(np.float64)
+        index = count / (nx[w[i]] + ny[j] - count)
         keep = index >= t
-        found.append((lo + i[keep], j[keep], index[keep]))
-    return tuple(np.concatenate(x) for x in zip(*found))
+        found.append((w[i[keep]], j[keep], index[keep]))
+    i, j, index = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(i, kind="stable")
+    return i[order], j[order], index[order]
 
 
 def unit(x: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ from tessera.session import cut_lineage
 
 DICT_BROADCAST_BYTES = 64 << 20
 # Rows of a block: words, dictionary words, texts, phrases; words of texts compared at once.
-WORD_BLOCK, DICT_BLOCK, TEXT_BLOCK, PHRASE_BLOCK, TOKENS_AT_ONCE = 4096, 1024, 1024, 1024, 262_144
+WORD_BLOCK, DICT_BLOCK, TEXT_BLOCK, PHRASE_BLOCK, TOKENS_AT_ONCE = 4096, 1024, 2048, 1024, 524_288
 PLACES_AT_ONCE = 16_384
 # Vectors of words and of dictionary words that meet in a block; phrases, and matches of a block of texts, in a task.
 LEFT_VECTORS, RIGHT_VECTORS, VECTOR_PHRASES, MATCHES_AT_ONCE = 16_384, 8192, 8192, 1 << 21
@@ -41,6 +41,30 @@ def space_tokens(text) -> Column:
     return F.split(F.lower(t), " ", -1)
 
 
+def token_sets(docs: DataFrame, key: str, text: str, between: str = r"[^\pL\pN]+") -> DataFrame:
+    """(key, tokens): the different tokens of each lower-case text, which is cut at the pattern (of RE2).
+
+    The texts of an Arrow batch are cut where they lie: no token is a row."""
+    docs = docs.filter(F.col(text).isNotNull()).select(key, F.lower(text).alias("tokens"))
+
+    def cut(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for batch in batches:
+            lists = pc.split_pattern_regex(batch.column(1), between)
+            coded = lists.flatten().dictionary_encode()
+            words = coded.dictionary
+            at = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy()) * len(words) + coded.indices.to_numpy()
+            at.sort()
+            text, word = np.divmod(at[np.diff(at, prepend=-1) > 0], max(1, len(words)))
+            kept = pc.utf8_length(words).to_numpy()[word] > 0
+            text, word = text[kept], word[kept]
+            begin = pa.array(np.searchsorted(text, np.arange(len(lists) + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(begin, words.take(pa.array(word)))], names=[key, "tokens"])
+    return docs.mapInArrow(cut, T.StructType([docs.schema[key], T.StructField("tokens", T.ArrayType(T.StringType()))]))
+
+
 def token_counts(docs: DataFrame, key: str, tokens: Column, out: str = "c") -> DataFrame:
     """(key, token, count) — a partial aggregate over the exploded tokens."""
     return docs.select(F.col(key), F.explode(tokens).alias("token")) \
@@ -291,27 +315,36 @@ def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: Data
     ``n_phrases``: (cls, n) number of phrases of each class (the mean runs
     over all of them; phrases without countable words score 0 in the mean
     and are left out of the max).  Only docs with some similarity get rows.
+
+    ``token`` is a word, or an array of words of a text: no word is a row then.
     """
     stop = S.DEFAULT_STOP_WORDS if stop_words is None else list(stop_words)
     counts = lambda w: (F.length(F.col(w)) > 2) & ~F.col(w).isin(stop)
-    toks = doc_tokens.filter(counts(token)).select(F.col(doc_key).alias("doc"), F.col(token).alias("w"))
+    if isinstance(doc_tokens.schema[token].dataType, T.ArrayType):
+        texts = doc_tokens.select(F.col(doc_key).alias("doc"), F.col(token).alias("words"))
+        if vectors is not None:
+            texts = texts.select("doc", F.filter("words", lambda w: (F.length(w) > 2) & ~w.isin(stop)).alias("words")) \
+                .groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("words"))).alias("words"))
+    else:
+        texts = doc_tokens.filter(counts(token)).select(F.col(doc_key).alias("doc"), F.col(token).alias("w")) \
+            .groupBy("doc").agg(F.collect_set("w").alias("words"))
+    texts = cut_lineage(texts)
     pw = phrases.filter(counts(pword)).select(F.col(cls).alias("cls"), F.col(phrase).alias("phrase"), F.col(pword).alias("w"))
-    score = _phrases_by_bigrams(toks, pw, float(threshold)) if vectors is None else \
-        _phrases_by_vectors(toks, pw, vectors, float(threshold))
+    score = _phrases_by_bigrams(texts, pw, float(threshold), stop) if vectors is None else \
+        _phrases_by_vectors(texts, pw, vectors, float(threshold))
     agg = score.groupBy("doc", "cls").agg(F.max("top").alias("max_score"), F.sum("total").alias("_sum"))
     n = n_phrases.select(F.col(cls).alias("cls"), "n")
     return agg.join(bounded_broadcast(n, DICT_BROADCAST_BYTES), "cls").select(
         F.col("doc").alias(doc_key), F.col("cls").alias(cls), "max_score", (F.col("_sum") / F.col("n")).alias("mean_score"))
 
 
-def _phrases_by_vectors(toks: DataFrame, pw: DataFrame, vectors: DataFrame, t: float) -> DataFrame:
+def _phrases_by_vectors(texts: DataFrame, pw: DataFrame, vectors: DataFrame, t: float) -> DataFrame:
     """(doc, cls, top, total), a row per text, class and block of phrases.
 
     Each different word meets the phrases' words once.  A block of texts then gets the
     matches of its different words and whole phrases; maxima over each text's words and means
     over each phrase's are taken in the task, so no rows of texts by phrase words are shuffled."""
     word, vec = vectors.columns
-    texts = cut_lineage(toks.groupBy("doc").agg(F.collect_set("w").alias("words")))
     pw = cut_lineage(pw.filter(F.col("cls").isNotNull() & F.col("phrase").isNotNull()))
     each = texts.select(F.explode("words").alias("w"))
     used = each.select("w", F.lit(1).alias("said"), F.lit(0).alias("asked")).unionByName(pw.select("w", F.lit(0).alias("said"), F.lit(1).alias("asked")))
@@ -397,22 +430,24 @@ def _phrases_by_vectors(toks: DataFrame, pw: DataFrame, vectors: DataFrame, t: f
     return left.groupBy("_b", "_pb").cogroup(right.groupBy("_b", "_pb")).applyInArrow(score, out)
 
 
-def _phrases_by_bigrams(toks: DataFrame, pw: DataFrame, t: float) -> DataFrame:
-    """(doc, cls, top, total), a row per text, class and block of phrases.
+def _phrases_by_bigrams(texts: DataFrame, pw: DataFrame, t: float, stop: list[str]) -> DataFrame:
+    """(doc, cls, top, total), a row per text, class and block of phrases.  ``texts``: (doc, words); the rows of a
+    text lie in one block and are put together there.
 
     Blocks of texts meet blocks of whole phrases: the different words of up to
     ``TOKENS_AT_ONCE`` words of texts are compared with the phrases' words once; maxima over
     each text's words and means over each phrase's are taken in the task."""
-    texts = cut_lineage(toks.groupBy("doc").agg(F.collect_set("w").alias("words")))
     whole = cut_lineage(pw.groupBy("cls", "phrase").agg(F.collect_list("w").alias("words")))
     from pyspark.sql.pandas.types import to_arrow_schema
     out = T._parse_datatype_string(f"doc {texts.schema['doc'].dataType.simpleString()}, "
                                    f"cls {whole.schema['cls'].dataType.simpleString()}, top double, total double")
     schema = to_arrow_schema(out)
+    left_out = set(stop)
 
     def score(a, b):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         if not a.num_rows or not b.num_rows:
             return schema.empty_table()
         b = b.sort_by("cls")
@@ -421,14 +456,20 @@ def _phrases_by_bigrams(toks: DataFrame, pw: DataFrame, t: float) -> DataFrame:
         dictionary = list(dictionary)
         width = np.array([len(p) for p in phrase_words])
         texts_words = a.column("words").combine_chunks()
-        size = np.diff(texts_words.offsets.to_numpy())
-        flat, owner = texts_words.flatten(), np.repeat(np.arange(len(size)), size)
+        numbers: dict[str, int] = {}
+        number = np.array([numbers.setdefault(repr(d), len(numbers)) for d in a.column("doc").to_pylist()])
+        size = np.bincount(number)
+        first = np.zeros(len(size), np.int64)
+        first[number[::-1]] = np.arange(len(number))[::-1]
+        flat = texts_words.flatten()
+        owner = np.repeat(number, pc.fill_null(pc.list_value_length(texts_words), 0).to_numpy())
         best = np.zeros((len(size), len(dictionary)))
         for lo in range(0, len(flat), TOKENS_AT_ONCE):
             coded = flat.slice(lo, TOKENS_AT_ONCE).dictionary_encode()
             at = coded.indices.to_numpy()
-            i, j, sim = blocks.jaccard_above(coded.dictionary.to_pylist(), dictionary, t)
-            n = np.bincount(i, minlength=len(coded.dictionary))
+            words = ["" if w is None or len(w) < 3 or w in left_out else w for w in coded.dictionary.to_pylist()]  # "" is like none
+            i, j, sim = blocks.jaccard_above(words, dictionary, t)
+            n = np.bincount(i, minlength=len(words))
             begin = np.cumsum(n) - n
             # each place of a word takes the word's matches
             for few in range(0, len(at), PLACES_AT_ONCE):
@@ -437,12 +478,16 @@ def _phrases_by_bigrams(toks: DataFrame, pw: DataFrame, t: float) -> DataFrame:
                 pick = np.repeat(begin[here] - (np.cumsum(times) - times), times) + np.arange(times.sum())
                 row = np.repeat(owner[lo + few:lo + few + len(here)], times) * len(dictionary)
                 np.maximum.at(best.ravel(), row + j[pick], sim[pick])
-        phrase_score = np.add.reduceat(best[:, to], np.cumsum(width) - width, axis=1) / width
         cls = b.column("cls").to_pylist()
         start = [i for i in range(len(cls)) if i == 0 or cls[i] != cls[i - 1]]
-        top, total = np.maximum.reduceat(phrase_score, start, axis=1), np.add.reduceat(phrase_score, start, axis=1)
+        top, total = np.zeros((len(size), len(start))), np.zeros((len(size), len(start)))
+        many = max(1, blocks.CELLS // len(to))
+        for lo in range(0, len(size), many):  # as many texts as have some million words of phrases
+            phrase_score = np.add.reduceat(best[lo:lo + many, to], np.cumsum(width) - width, axis=1) / width
+            top[lo:lo + many] = np.maximum.reduceat(phrase_score, start, axis=1)
+            total[lo:lo + many] = np.add.reduceat(phrase_score, start, axis=1)
         i, j = np.nonzero(top)
-        columns = a.column("doc").take(pa.array(i)), b.column("cls").take(pa.array(np.array(start)[j])), top[i, j], total[i, j]
+        columns = a.column("doc").take(pa.array(first[i])), b.column("cls").take(pa.array(np.array(start)[j])), top[i, j], total[i, j]
         return pa.table([pa.chunked_array([c]) if isinstance(c, np.ndarray) else c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return blocks.met(texts, whole, ["doc"], ["cls", "phrase"], TEXT_BLOCK, PHRASE_BLOCK).applyInArrow(score, out)
@@ -537,12 +582,12 @@ def blend_predict(s1: DataFrame, s2: DataFrame, key: str, cls: str, score1: str,
     # argmax over the whole class list (the model's output space, so bounded by
     # construction): a class without a score, or masked, stands at 0
     order = classes.agg(F.array_sort(F.collect_list(F.struct(F.col(cls_pos).alias("p"), F.col(cls).alias("l"))))).scalar()
-    j = j.filter(F.col("v") != 0).join(F.broadcast(classes.select(cls, cls_pos)), cls).unionByName(
-        j.select(key).distinct(), allowMissingColumns=True)
+    # one pass, so that the scores are made once: rows of no class or no score have no place in the order
+    j = j.join(F.broadcast(classes.select(cls, cls_pos, F.lit(True).alias("_listed"))), cls, "left")
+    counts = (F.col("v") != 0) & F.col("_listed")
     best = j.groupBy(key).agg(
-        F.min_by(F.struct(F.col(cls).alias("l"), F.col("v").alias("s")),
-                 F.when(F.col(cls).isNotNull(), F.struct(-F.col("v"), F.col(cls_pos)))).alias("b"),
-        F.collect_set(cls).alias("scored")).withColumn("order", order)
+        F.min_by(F.struct(F.col(cls).alias("l"), F.col("v").alias("s")), F.when(counts, F.struct(-F.col("v"), F.col(cls_pos)))).alias("b"),
+        F.collect_set(F.when(counts, F.col(cls))).alias("scored")).withColumn("order", order)
     rest = F.element_at(F.filter("order", lambda c: ~F.array_contains("scored", c["l"])), 1)
     zero = F.when(rest.isNotNull(), F.struct(rest["l"].alias("l"), F.lit(0.0).alias("s")))
     pick = F.when(F.col("b.s") > 0, F.col("b")).otherwise(F.coalesce(zero, F.col("b")))

@@ -173,7 +173,7 @@ phs AS (SELECT doc_id, cls, mx AS max_score, sm / n AS mean_score FROM agg JOIN
 
 def phrase_scores(spark, sf, docs=None):
     d = table(spark, sf, "documents") if docs is None else docs
-    toks = d.select("doc_id", F.explode(alnum_tokens("text")).alias("token"))
+    toks = TX.token_sets(d, "doc_id", "text").withColumnRenamed("tokens", "token")
     pw, n = class_phrases(spark, sf)
     return TX.phrase_scores(toks, "doc_id", "token", pw, "cls", "phrase", "pword", n)
 
