@@ -30,6 +30,7 @@ WORD_BLOCK, DICT_BLOCK, TEXT_BLOCK, PHRASE_BLOCK, TOKENS_AT_ONCE = 4096, 1024, 2
 PLACES_AT_ONCE = 16_384
 # Vectors of words and of dictionary words that meet in a block; phrases, and matches of a block of texts, in a task.
 LEFT_VECTORS, RIGHT_VECTORS, VECTOR_PHRASES, MATCHES_AT_ONCE = 16_384, 8192, 8192, 1 << 21
+HELD_WORDS, HELD_LABELS = 1 << 18, 4096  # of a dictionary that every task holds
 COMMON = 1000  # a word in more than one text of so many is common
 
 
@@ -51,7 +52,7 @@ def token_sets(docs: DataFrame, key: str, text: str, between: str = r"[^\pL\pN]+
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
-        for batch in batches:
+        for batch in (b.slice(lo, TEXT_BLOCK) for b in batches for lo in range(0, b.num_rows, TEXT_BLOCK)):
             lists = pc.split_pattern_regex(batch.column(1), between)
             coded = lists.flatten().dictionary_encode()
             words = coded.dictionary
@@ -86,6 +87,10 @@ def bow_cosine(docs: DataFrame, doc_key: str, text: str, dictionary: DataFrame,
     kn = kt.groupBy(label).agg(F.sqrt(F.sum(F.col("kc") * F.col("kc"))).alias("kn"))
     # kn has at most as many rows as kt: one decision, no second check
     if fits_broadcast(kt, DICT_BROADCAST_BYTES):
+        # one row more than may be held tells a larger dictionary
+        held = kt.filter(F.col(label).isNotNull()).limit(HELD_WORDS + 1).toArrow()
+        if held.num_rows <= HELD_WORDS and len(held.column(label).unique()) <= HELD_LABELS:
+            return _held_cosine(docs, doc_key, text, held, dictionary.schema[label])
         # a token counts for its text's norm (no label) and for the labels that hold it
         held = kt.groupBy("token").agg(F.collect_list(F.struct(F.lit(False).alias("own"), F.col(label).alias("l"), "kc")).alias("held"))
         own = F.array(F.struct(F.lit(True).alias("own"), F.lit(None).cast(kt.schema[label].dataType).alias("l"), F.col("dc").alias("kc")))
@@ -102,6 +107,83 @@ def bow_cosine(docs: DataFrame, doc_key: str, text: str, dictionary: DataFrame,
     return scored.select(doc_key, label, (F.col("dp") / (F.col("dn") * F.col("kn"))).alias("score"))
 
 
+def _held_cosine(docs: DataFrame, doc_key: str, text: str, held, label) -> DataFrame:
+    """:func:`bow_cosine` with a dictionary of few words (``held``: label, token, kc), sent to every task as a broadcast
+    one would be.  The rows of a key follow each other; the words of many keys at once are
+    counted and meet the labels that hold them, so no word of a text is a row.  Of a key whose rows go on in the
+    next batch the counts of its words are held."""
+    from collections import Counter
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark.sql.pandas.types import to_arrow_schema
+    docs = docs.filter(F.col(doc_key).isNotNull() & F.col(text).isNotNull()).select(doc_key, F.lower(text).alias("_text"))
+    out = T.StructType([docs.schema[doc_key], label, T.StructField("score", T.DoubleType())])
+    schema = to_arrow_schema(out)
+    coded = held.column(0).combine_chunks().dictionary_encode()
+    labels, of, kc = coded.dictionary, coded.indices.to_numpy(), held.column("kc").to_numpy().astype(np.float64)
+    kn = np.sqrt(np.bincount(of, kc * kc, minlength=len(labels)))
+    tokens = held.column("token").combine_chunks().dictionary_encode()
+    token = pc.fill_null(tokens.indices, len(tokens.dictionary)).to_numpy()  # a null keyword is like no token
+    order = np.argsort(token, kind="stable")
+    tokens, of, kc, n_held = tokens.dictionary, of[order], kc[order], np.bincount(token, minlength=len(tokens.dictionary))
+    first_held = np.cumsum(n_held) - n_held
+
+    def counted(keys, texts):
+        """Different keys, different words, and (key, word, count) by key."""
+        numbers: dict[str, int] = {}
+        number = np.array([numbers.setdefault(repr(k), len(numbers)) for k in keys.to_pylist()])
+        lists = pc.split_pattern(texts, " ")
+        words = lists.flatten().dictionary_encode()
+        at = np.repeat(number, pc.list_value_length(lists).to_numpy()) * len(words.dictionary) + words.indices.to_numpy()
+        at.sort()
+        begin = np.flatnonzero(np.diff(at, prepend=-1))
+        doc, word = np.divmod(at[begin], len(words.dictionary))
+        return keys.take(pa.array(np.flatnonzero(np.diff(number, prepend=-1)))), words.dictionary, doc, word, np.diff(begin, append=len(at))
+
+    def score(keys, words, doc, word, dc):
+        dc = dc.astype(np.float64)
+        dn = np.sqrt(np.bincount(doc, dc * dc, minlength=len(keys)))
+        word = pc.fill_null(pc.index_in(words, value_set=tokens), -1).to_numpy()[word]
+        doc, dc, word = doc[word >= 0], dc[word >= 0], word[word >= 0]
+        many = max(1, blocks.CELLS // max(1, len(labels)))
+        for lo in range(0, len(keys), many):  # as many texts as have some million pairs with labels
+            part = slice(*np.searchsorted(doc, (lo, lo + many)))
+            times = n_held[word[part]]
+            pick = np.repeat(first_held[word[part]] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            pair = np.repeat((doc[part] - lo) * len(labels), times) + of[pick]
+            dp = np.bincount(pair, np.repeat(dc[part], times) * kc[pick])
+            pair = np.flatnonzero(dp)
+            d, k = np.divmod(pair, max(1, len(labels)))
+            columns = keys.take(pa.array(lo + d)), labels.take(pa.array(k)), pa.array(dp[pair] / (dn[lo + d] * kn[k]))
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    def scored(batches):
+        key, counts = None, Counter()  # of the last key, whose rows may go on in the next batch
+
+        def last():
+            if key is not None:
+                yield from score(key, pa.array(list(counts), pa.string()), np.zeros(len(counts), np.int64), np.arange(len(counts)), np.array(list(counts.values())))
+        for batch in (b.slice(lo, TEXT_BLOCK) for b in batches for lo in range(0, b.num_rows, TEXT_BLOCK)):
+            keys, words, doc, word, dc = counted(*batch.columns)
+            upto = np.searchsorted(doc, np.arange(len(keys) + 1))
+            of_key = lambda i: dict(zip(words.take(pa.array(word[upto[i]:upto[i + 1]])).to_pylist(), dc[upto[i]:upto[i + 1]].tolist()))
+            begin = int(key is not None and repr(key[0].as_py()) == repr(keys[0].as_py()))
+            if begin:
+                counts.update(of_key(0))
+            if begin == len(keys):
+                continue
+            yield from last()
+            end = len(keys) - 1
+            part = slice(upto[begin], upto[end])
+            yield from score(keys.slice(begin, end - begin), words, doc[part] - begin, word[part], dc[part])
+            key, counts = keys.slice(end, 1), Counter(of_key(end))
+        yield from last()
+
+    return docs.sortWithinPartitions(doc_key).mapInArrow(scored, out)
+
+
 def classify_text(docs: DataFrame, doc_key: str, text: str, dictionary: DataFrame,
                   label: str, keywords: str, pos: str | None = None,
                   out_label: str = "label", out_score: str = "score") -> DataFrame:
