@@ -89,7 +89,8 @@ def bow_cosine(docs: DataFrame, doc_key: str, text: str, dictionary: DataFrame,
     if fits_broadcast(kt, DICT_BROADCAST_BYTES):
         # one row more than may be held tells a larger dictionary
         held = kt.filter(F.col(label).isNotNull()).limit(HELD_WORDS + 1).toArrow()
-        if held.num_rows <= HELD_WORDS and len(held.column(label).unique()) <= HELD_LABELS:
+        plain = not isinstance(dictionary.schema[label].dataType, (T.StructType, T.ArrayType, T.MapType))
+        if plain and held.num_rows <= HELD_WORDS and len(held.column(label).unique()) <= HELD_LABELS:
             return _held_cosine(docs, doc_key, text, held, dictionary.schema[label])
         # a token counts for its text's norm (no label) and for the labels that hold it
         held = kt.groupBy("token").agg(F.collect_list(F.struct(F.lit(False).alias("own"), F.col(label).alias("l"), "kc")).alias("held"))
