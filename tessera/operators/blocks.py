@@ -164,17 +164,20 @@ def cosine_above(a: np.ndarray, b: np.ndarray, t: float) -> tuple[np.ndarray, np
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def met(left: DataFrame, right: DataFrame, left_by, right_by, left_size: int, right_size: int, within: str | None = None):
+def met(left: DataFrame, right: DataFrame, left_by, right_by, left_size: int, right_size: int, within: str | None = None,
+        left_rows: int | None = None):
     """Each block of ``left`` with each block of ``right``, as a co-grouped pair.
 
     ``left_by`` and ``right_by`` are the columns whose hash deals rows to blocks of about
     ``left_size`` and ``right_size`` rows; with ``within`` only blocks of equal values of that column meet.
+    ``left_rows`` spares counting ``left``, which is made once then.
     """
     def blocks(df: DataFrame, size: int) -> int:
         per = df.groupBy(within).count().agg(F.max("count")) if within else df.agg(F.count(F.lit(1)))
         return max(1, -(-(per.first()[0] or 0) // size))
 
-    nl, nr = blocks(left, left_size), blocks(right, right_size)
+    nl = blocks(left, left_size) if left_rows is None else max(1, -(-left_rows // left_size))
+    nr = blocks(right, right_size)
     number = lambda cols, n: F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     lf = left.withColumn("_lb", number(left_by, nl)).withColumn("_rb", every(nr))

@@ -387,7 +387,7 @@ def vector_matches(left: DataFrame, right: DataFrame, threshold: float) -> DataF
 
 def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: DataFrame,
                   cls: str, phrase: str, pword: str, n_phrases: DataFrame,
-                  stop_words=None, threshold: float = 0.35, vectors: DataFrame | None = None) -> DataFrame:
+                  stop_words=None, threshold: float = 0.35, vectors: DataFrame | None = None, n_rows: int | None = None) -> DataFrame:
     """Per (doc, class): ``max`` and ``mean`` over the class phrases of the
     phrase score = mean over the phrase's words (longer than 2 chars, not
     stop words) of the best similarity to any text token (< threshold -> 0).
@@ -399,7 +399,8 @@ def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: Data
     over all of them; phrases without countable words score 0 in the mean
     and are left out of the max).  Only docs with some similarity get rows.
 
-    ``token`` is a word, or an array of words of a text: no word is a row then.
+    ``token`` is a word, or an array of words of a text: no word is a row then, and with their number ``n_rows``
+    (or a little more) the arrays go straight to their blocks, without a copy.
     """
     stop = S.DEFAULT_STOP_WORDS if stop_words is None else list(stop_words)
     counts = lambda w: (F.length(F.col(w)) > 2) & ~F.col(w).isin(stop)
@@ -411,9 +412,10 @@ def phrase_scores(doc_tokens: DataFrame, doc_key: str, token: str, phrases: Data
     else:
         texts = doc_tokens.filter(counts(token)).select(F.col(doc_key).alias("doc"), F.col(token).alias("w")) \
             .groupBy("doc").agg(F.collect_set("w").alias("words"))
-    texts = cut_lineage(texts)
+    straight = n_rows is not None and vectors is None and isinstance(doc_tokens.schema[token].dataType, T.ArrayType)
+    texts = texts if straight else cut_lineage(texts)
     pw = phrases.filter(counts(pword)).select(F.col(cls).alias("cls"), F.col(phrase).alias("phrase"), F.col(pword).alias("w"))
-    score = _phrases_by_bigrams(texts, pw, float(threshold), stop) if vectors is None else \
+    score = _phrases_by_bigrams(texts, pw, float(threshold), stop, n_rows if straight else None) if vectors is None else \
         _phrases_by_vectors(texts, pw, vectors, float(threshold))
     agg = score.groupBy("doc", "cls").agg(F.max("top").alias("max_score"), F.sum("total").alias("_sum"))
     n = n_phrases.select(F.col(cls).alias("cls"), "n")
@@ -513,7 +515,7 @@ def _phrases_by_vectors(texts: DataFrame, pw: DataFrame, vectors: DataFrame, t:
     return left.groupBy("_b", "_pb").cogroup(right.groupBy("_b", "_pb")).applyInArrow(score, out)
 
 
-def _phrases_by_bigrams(texts: DataFrame, pw: DataFrame, t: float, stop: list[str]) -> DataFrame:
+def _phrases_by_bigrams(texts: DataFrame, pw: DataFrame, t: float, stop: list[str], n_rows: int | None) -> DataFrame:
     """(doc, cls, top, total), a row per text, class and block of phrases.  ``texts``: (doc, words); the rows of a
     text lie in one block and are put together there.
 
@@ -573,7 +575,7 @@ def _phrases_by_bigrams(texts: DataFrame, pw: DataFrame, t: float, stop: list[st
         columns = a.column("doc").take(pa.array(first[i])), b.column("cls").take(pa.array(np.array(start)[j])), top[i, j], total[i, j]
         return pa.table([pa.chunked_array([c]) if isinstance(c, np.ndarray) else c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return blocks.met(texts, whole, ["doc"], ["cls", "phrase"], TEXT_BLOCK, PHRASE_BLOCK).applyInArrow(score, out)
+    return blocks.met(texts, whole, ["doc"], ["cls", "phrase"], TEXT_BLOCK, PHRASE_BLOCK, left_rows=n_rows).applyInArrow(score, out)
 
 
 # ------------------------------------------------------------------ C06

@@ -175,7 +175,7 @@ def phrase_scores(spark, sf, docs=None):
     d = table(spark, sf, "documents") if docs is None else docs
     toks = TX.token_sets(d, "doc_id", "text").withColumnRenamed("tokens", "token")
     pw, n = class_phrases(spark, sf)
-    return TX.phrase_scores(toks, "doc_id", "token", pw, "cls", "phrase", "pword", n)
+    return TX.phrase_scores(toks, "doc_id", "token", pw, "cls", "phrase", "pword", n, n_rows=d.count())
 
 
 @query("C04_phrase_scores", sql=f"""
